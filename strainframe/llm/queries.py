@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, tiff
+from . import bpe, packing, tiff
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,5 +25,10 @@ def op9_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode_digests(docs, "doc_id", "text", tokenizer, bpe.build_lexicon(docs, "text", tokenizer))
 
 
-QUERIES = {f.__name__: f for f in (op1_tiff_pages, op9_bpe_lexicon)}
+def op8_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as token ids in windows of 4,096."""
+    return packing.pack(documents(spark, sf_dir), "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+QUERIES = {f.__name__: f for f in (op1_tiff_pages, op8_bounded_packing, op9_bpe_lexicon)}
 ORACLES: dict[str, str] = {}
