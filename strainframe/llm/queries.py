@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, tiff
+from . import ann, bpe, packing, tiff, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,10 +25,29 @@ def op9_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode_digests(docs, "doc_id", "text", tokenizer, bpe.build_lexicon(docs, "text", tokenizer))
 
 
+def op4_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth, by int8 tiles and exact rescoring."""
+    return ann.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding", every=50, k=5)
+
+
+def op5_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC archives with segments and revisits, read back and put together."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    name = lambda c: F.split(c, ":")[2].cast("long")
+    records = warc.archived(pages, "page_id", "url", "html").select(
+        name(F.col("record_id")).alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest", "record_type", name(F.col("refers_to")).alias("refers_to")
+    )
+    # A revisit stores no payload; its size is that of the response it refers to.
+    originals = records.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("original_bytes")).dropDuplicates(["refers_to"])
+    revisits = records.where("record_type = 'revisit'").drop("payload_bytes").join(originals, "refers_to", "left").withColumnRenamed("original_bytes", "payload_bytes")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return records.where("record_type = 'response'").select(columns).unionByName(revisits.select(columns))
+
+
 def op8_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as token ids in windows of 4,096."""
     return packing.pack(documents(spark, sf_dir), "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_tiff_pages, op8_bounded_packing, op9_bpe_lexicon)}
+QUERIES = {f.__name__: f for f in (op1_tiff_pages, op4_block_matrix_join, op5_warc_segments, op8_bounded_packing, op9_bpe_lexicon)}
 ORACLES: dict[str, str] = {}
