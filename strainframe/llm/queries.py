@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, packing, tiff, warc
+from . import ann, bpe, langid, packing, quality, tiff, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,27 @@ def op9_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode_digests(docs, "doc_id", "text", tokenizer, bpe.build_lexicon(docs, "text", tokenizer))
 
 
+def remainder(key: str, modulus: int) -> Column:
+    """crc32 of the key as text, modulo ``modulus``."""
+    return F.crc32(F.col(key).cast("string")) % modulus
+
+
+def op2_ecoc_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by error-correcting output codes."""
+    docs = documents(spark, sf_dir)
+    model = langid.fit(docs, "doc_id", "text", "lang", learn=remainder("doc_id", 3) != 1)
+    found = langid.identified(docs.select("doc_id", "text"), "text", model)
+    return found.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op7_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of every document by supervised subword embeddings."""
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.fit(docs, labels.where(remainder("doc_id", 5) != 0), "doc_id", "text", "quality")
+    found = quality.scored(docs.select("doc_id", "text"), "text", model)
+    return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op4_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every fiftieth, by int8 tiles and exact rescoring."""
     return ann.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding", every=50, k=5)
@@ -49,5 +70,5 @@ def op8_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_tiff_pages, op4_block_matrix_join, op5_warc_segments, op8_bounded_packing, op9_bpe_lexicon)}
+QUERIES = {f.__name__: f for f in (op1_tiff_pages, op2_ecoc_language_id, op4_block_matrix_join, op5_warc_segments, op7_subword_quality, op8_bounded_packing, op9_bpe_lexicon)}
 ORACLES: dict[str, str] = {}

@@ -99,3 +99,84 @@ def words(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> Words:
     at[:-1] = np.cumsum(inside)[starts] - 1
     codes, distinct = encode(slices(kept, at))
     return Words(codes, np.searchsorted(starts, docs), distinct)
+
+
+#: A random 64-bit word for each place (modulo 64) and byte; the same in every process.
+_TABLE = mix(np.arange(1, 64 * 256 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def runs(docs: np.ndarray, most: int = 1 << 22) -> list[tuple[int, int]]:
+    """Ranges of documents that hold about ``most`` bytes, or one document."""
+    out, a, n = [], 0, len(docs) - 1
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(docs, docs[a] + most, side="right")) - 1)
+        out.append((a, b))
+        a = b
+    return out
+
+
+def word_hashes(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word of every text, and the n + 1 offsets of the texts.
+
+    The hash of a word is the mixed sum of a random number for each byte and
+    place: two different words of up to 64 bytes meet with probability 2**-64.
+    """
+    data, docs = text_bytes(column)
+    hashes, counts = [], []
+    for a, b in runs(docs):
+        part, own = data[docs[a] : docs[b]], docs[a : b + 1] - docs[a]
+        if lower:
+            part = LOWER[part]
+        inside = ~SPACE[part]
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1]
+        heads = own[:-1][own[:-1] < own[1:]]
+        begins[heads] = inside[heads]
+        starts = np.flatnonzero(begins)
+        counts.append(np.diff(np.searchsorted(starts, own)))
+        if not len(starts):
+            continue
+        kept = part[inside]
+        at = np.cumsum(inside, dtype=np.int64)[starts] - 1
+        lengths = np.diff(at, append=len(kept))
+        place = np.arange(len(kept)) - np.repeat(at, lengths)
+        value = _TABLE[((place & 63) << 8) | kept]
+        if lengths.max() > 64:
+            value *= mix((place >> 6).astype(np.uint64)) | np.uint64(1)
+        hashes.append(mix(np.add.reduceat(value, at) + lengths.astype(np.uint64)))
+    first = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(len(docs), np.int64)
+    return (np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)), first.astype(np.int64)
+
+
+def byte_grams(column: pa.Array | pa.ChunkedArray, n: int, bits: int, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket of every run of n bytes of every text (white space folded to one kind of byte), and the offsets of the texts."""
+    data, docs = text_bytes(column)
+    out, counts = [], []
+    for a, b in runs(docs):
+        part, own = data[docs[a] : docs[b]], docs[a : b + 1] - docs[a]
+        if lower:
+            part = LOWER[part]
+        part = np.where(SPACE[part], np.uint8(32), part)
+        code = np.zeros(max(0, len(part) - n + 1), np.uint64)
+        for i in range(n):
+            code = (code << np.uint64(8)) | part[i : i + len(code)]
+        code = (code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int32)
+        each = np.maximum(np.diff(own) - n + 1, 0)
+        place = np.ones(len(code), bool)
+        # Runs that reach into the next text are left out.
+        for cut in range(1, n):
+            spot = own[1:-1] - cut
+            place[spot[(spot >= 0) & (spot < len(code))]] = False
+        out.append(code[place])
+        counts.append(each)
+    first = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(len(docs), np.int64)
+    return (np.concatenate(out) if out else np.zeros(0, np.int32)), first.astype(np.int64)
+
+
+def sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The sum of each text's values; 0 where it has none."""
+    out = np.zeros(len(first) - 1)
+    some = first[1:] > first[:-1]
+    if some.any():
+        out[some] = np.add.reduceat(values, first[:-1][some])
+    return out
