@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, langid, packing, quality, tiff, warc
+from . import ann, bpe, langid, packing, quality, substrings, tiff, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +38,12 @@ def op2_ecoc_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op6_level_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words under repeated windows of 35 words removed from every document."""
+    kept = substrings.without_repeats(documents(spark, sf_dir), "doc_id", "text", window=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of every document by supervised subword embeddings."""
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -70,5 +76,5 @@ def op8_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_tiff_pages, op2_ecoc_language_id, op4_block_matrix_join, op5_warc_segments, op7_subword_quality, op8_bounded_packing, op9_bpe_lexicon)}
+QUERIES = {f.__name__: f for f in (op1_tiff_pages, op2_ecoc_language_id, op4_block_matrix_join, op5_warc_segments, op6_level_doubling, op7_subword_quality, op8_bounded_packing, op9_bpe_lexicon)}
 ORACLES: dict[str, str] = {}
