@@ -20,8 +20,10 @@ import hashlib
 import json
 import os
 import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -70,39 +72,87 @@ class Merges:
             self.tokens[i] = t.encode()
         self._pattern = regex.compile(PATTERN)
         self._cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.piece = lru_cache(1 << 17)(self._piece)
-
-    def _piece(self, piece: bytes) -> tuple[int, ...]:
-        """Merge the pair of lowest rank, leftmost first, until none is left."""
-        if (whole := self.ids.get(piece)) is not None and len(piece) == 1:
-            return (whole,)
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda i: self.rank.get((parts[i], parts[i + 1]), 1 << 60))
-            pair = parts[best], parts[best + 1]
-            if pair not in self.rank:
-                break
-            out, i = [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and parts[i] == pair[0] and parts[i + 1] == pair[1]:
-                    out.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return tuple(self.ids[p] for p in parts)
+        pair = np.array([(self.ids[a] << 32) | self.ids[b] for a, b in self.rank], np.int64)
+        order = np.argsort(pair)
+        self.pair = pair[order]
+        self.pair_rank = np.fromiter(self.rank.values(), np.int64, len(pair))[order]
+        self.pair_id = np.array([self.ids[a + b] for a, b in self.rank], np.int32)[order]
+        self.byte_id = np.array([self.ids.get(bytes([b]), -1) for b in range(256)], np.int32)
+
+    def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces after each other, and the n + 1 offsets.
+
+        In each round every piece merges all places of its pair of lowest
+        rank, from the left; a pair made by a merge never ranks below it.
+        """
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        ids = self.byte_id[np.frombuffer(b"".join(pieces), np.uint8)]
+        piece = np.repeat(np.arange(len(pieces)), lengths)
+        none = np.int64(1 << 60)
+        settled: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(ids):
+            rank, made = np.full(len(ids), none), np.zeros(len(ids), np.int32)
+            if len(ids) > 1:
+                key = (ids[:-1].astype(np.int64) << 32) | ids[1:]
+                spot = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+                found = (self.pair[spot] == key) & (piece[:-1] == piece[1:])
+                rank[:-1][found] = self.pair_rank[spot[found]]
+                made[:-1][found] = self.pair_id[spot[found]]
+            starts = np.flatnonzero(np.append(True, piece[1:] != piece[:-1]))
+            low = np.minimum.reduceat(rank, starts)
+            each = np.diff(np.append(starts, len(ids)))
+            over = np.repeat(low == none, each)
+            if over.any():
+                settled.append((piece[over], ids[over]))
+                keep = ~over
+                ids, piece, rank, made = ids[keep], piece[keep], rank[keep], made[keep]
+                low, each = low[low != none], each[low != none]
+                if not len(ids):
+                    break
+            here = rank == np.repeat(low, each)
+            # Of neighbouring places of a pair like (a, a), every other one counts, from the left.
+            at = np.flatnonzero(here)
+            run = np.append(True, np.diff(at) > 1)
+            head = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
+            at = at[(np.arange(len(at)) - head) % 2 == 0]
+            ids[at] = made[at]
+            stay = np.ones(len(ids), bool)
+            stay[at + 1] = False
+            ids, piece = ids[stay], piece[stay]
+        if not settled:
+            return np.zeros(0, np.int32), np.zeros(len(pieces) + 1, np.int64)
+        which, flat = (np.concatenate(x) for x in zip(*settled, strict=True))
+        order = np.argsort(which, kind="stable")
+        return flat[order], np.concatenate([[0], np.cumsum(np.bincount(which, minlength=len(pieces)))])
+
+    def encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts or units after each other, and the n + 1 offsets."""
+        special: list[tuple[int, int]] = []
+        if self._cut and any(mark in everything for everything in ("\n".join(texts),) for mark in self.special):
+            pieces, counts = [], []
+            for text in texts:
+                n = len(pieces)
+                for part in self._cut.split(text):
+                    if part in self.special:
+                        special.append((len(pieces), self.special[part]))
+                        pieces.append(b"")
+                    else:
+                        pieces += [m.encode() for m in self._pattern.findall(part)]
+                counts.append(len(pieces) - n)
+        else:
+            found = list(map(self._pattern.findall, texts))
+            counts = list(map(len, found))
+            pieces = list(map(str.encode, chain.from_iterable(found)))
+        ids, at = self.merge(pieces)
+        if special:
+            where = np.array([i for i, _ in special])
+            ids = np.insert(ids, at[where], [i for _, i in special])
+            at = at + np.searchsorted(where, np.arange(len(at)), side="left")
+        return ids.astype(np.int32), at[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
 
     def encode(self, text: str) -> list[int]:
         """The ids of a whole text or unit."""
-        out: list[int] = []
-        for part in self._cut.split(text) if self._cut and any(s in text for s in self.special) else (text,):
-            if part in self.special:
-                out.append(self.special[part])
-            else:
-                for m in self._pattern.findall(part):
-                    out += self.piece(m.encode())
-        return out
+        return self.encode_many([text])[0].tolist()
 
 
 @lru_cache(4)
@@ -161,7 +211,7 @@ class Lexicon:
         self.arcs, self.units = arcs, units
 
     @classmethod
-    def write(cls, path: str, units: list[bytes], ids: list[list[int]]) -> None:
+    def write(cls, path: str, units: list[bytes], ids: list[np.ndarray]) -> None:
         """Compile sorted distinct units; states with equal futures become one."""
         register: dict[tuple, int] = {}
         finals: list[int] = []
@@ -249,15 +299,16 @@ def unit_counts(df: DataFrame, text: str, special: list[bytes]) -> DataFrame:
     return df.select(text).mapInArrow(run, "unit binary, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
 
-def build_lexicon(df: DataFrame, text: str, tokenizer: str, size: int = 65_536, longest: int = 48) -> str:
+def build_lexicon(df: DataFrame, text: str, tokenizer: str, size: int = 131_072, longest: int = 48) -> str:
     """Compile the ``size`` most frequent units into a file that every executor gets; returns its name there."""
     m = merges(tokenizer)
     special = [s.encode() for s in m.special]
     top = unit_counts(df, text, special).where(F.length("unit") <= longest).orderBy(F.desc("n"), "unit").limit(size).collect()
     units = sorted(bytes(r["unit"]) for r in top)
     folder = tempfile.mkdtemp(prefix="lexicon-")
-    name = f"lexicon-{hashlib.sha256(b' '.join(units)).hexdigest()[:16]}.bin"
-    Lexicon.write(f"{folder}/{name}", units, [m.encode(u.decode()) for u in units])
+    name = f"lexicon-{uuid.uuid4().hex}.bin"
+    ids, at = m.encode_many([u.decode() for u in units])
+    Lexicon.write(f"{folder}/{name}", units, np.split(ids, at[1:-1]) if units else [])
     df.sparkSession.sparkContext.addFile(f"{folder}/{name}")
     return name
 
@@ -269,7 +320,6 @@ class Encoder:
         self.merges = merges(tokenizer)
         self.special = [s.encode() for s in self.merges.special]
         self.lexicon = Lexicon(lexicon) if lexicon else None
-        self.known: dict[bytes, np.ndarray] = {}
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids after each other, and the n + 1 offsets of the texts."""
@@ -277,7 +327,7 @@ class Encoder:
         n = len(distinct)
         rank = self.lexicon.ranks(distinct) if self.lexicon else np.full(n, -1, np.int64)
         missing = np.flatnonzero(rank < 0)
-        own = [self.merges.encode(u.decode()) for u in distinct.take(pa.array(missing)).to_pylist()]
+        own, own_at = self.merges.encode_many([u.decode() for u in distinct.take(pa.array(missing)).to_pylist()])
         length = np.zeros(n + 1, np.int64)
         source = np.zeros(n, np.int64)
         if self.lexicon:
@@ -286,10 +336,9 @@ class Encoder:
             length[:-1][hit] = self.lexicon.first[rank[hit] + 1] - source[hit]
         pool = [np.asarray(self.lexicon.ids)] if self.lexicon else []
         size = len(pool[0]) if pool else 0
-        lengths = np.fromiter(map(len, own), np.int64, len(own))
-        length[missing] = lengths
-        source[missing] = size + np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(own) else 0
-        pool.append(np.fromiter((i for x in own for i in x), np.int32, int(lengths.sum())))
+        length[missing] = np.diff(own_at)
+        source[missing] = size + own_at[:-1]
+        pool.append(own)
         ids = np.concatenate(pool)
         each = length[codes]
         end = np.cumsum(each)
@@ -312,7 +361,7 @@ def encode_decode(df: DataFrame, key: str, text: str, tokenizer: str, lexicon: s
     return rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, n_tokens long, ids binary, decoded binary").withColumnRenamed("key", key)
 
 
-def coded(encoder: Encoder, batch: pa.RecordBatch, most: int = 1 << 24) -> Iterator[tuple]:
+def coded(encoder: Encoder, batch: pa.RecordBatch, most: int = 1 << 23) -> Iterator[tuple]:
     """Ids and decoded bytes of a batch, in runs of about ``most`` bytes of text."""
     tokens = pa.array(encoder.merges.tokens, pa.binary())
     width = np.fromiter(map(len, encoder.merges.tokens), np.int64, len(tokens))
