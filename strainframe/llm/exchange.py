@@ -1,8 +1,7 @@
 """Asking questions about keys between chunks of documents and buckets of keys.
 
-Documents are dealt once, by hash, to chunks of a few megabytes of text, kept
-in a table that is bucketed by chunk, so that later steps meet a chunk's
-documents without another shuffle.  A chunk asks about each of its distinct
+Documents are dealt once to chunks of a few megabytes of text, kept in a table that is bucketed by chunk, so that later steps meet a chunk's documents
+without a shuffle.  A chunk asks about each of its distinct
 keys once (so a key of a third of all rows costs a bucket one entry for each
 chunk), many keys to a row; buckets answer in the same order.
 """
@@ -10,26 +9,51 @@ chunk), many keys to a row; buckets answer in the same order.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .units import text_bytes
+
 ASK = "bucket int, chunk int, keys binary, extra binary"
 REPLY = "chunk int, level int, bucket int, answer binary"
 
 
-def chunked(df: DataFrame, key: str, text: str, carry: list[str] | None = None, chunk_bytes: int = 8 << 20, least: int = 24) -> tuple[DataFrame, int]:
-    """A table (chunk, doc_id, text, further columns) bucketed by chunk, and the number of chunks."""
+def chunked(df: DataFrame, key: str, text: str, carry: list[str] | None = None, chunk_bytes: int = 8 << 20) -> tuple[DataFrame, int]:
+    """A table (chunk, doc_id, text, further columns c_0, c_1, ...) bucketed by chunk, and the number of chunks.
+
+    A chunk is a run of documents of one input partition with about
+    ``chunk_bytes`` of text (a longer document is a chunk of its own), so
+    making the table moves nothing between executors.
+    """
     spark = df.sparkSession
-    size = df.agg(F.sum(F.octet_length(F.col(text))).alias("n")).first()["n"] or 0
-    chunks = max(least, -(-size // chunk_bytes))
     rows = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), *(F.col(c).alias(f"c_{i}") for i, c in enumerate(carry or [])))
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
-    name, buckets = f"chunks_{uuid.uuid4().hex}", min(chunks, 50_000)
-    rows.repartition(buckets, "chunk").write.format("parquet").option("compression", "zstd").bucketBy(buckets, "chunk").saveAsTable(name)
-    return spark.table(name), chunks
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, held = TaskContext.get().partitionId() << 12, 0
+        for batch in batches:
+            _, docs = text_bytes(batch.column(1))
+            a = 0
+            while a < len(batch):
+                b = max(a + 1, int(np.searchsorted(docs, docs[a] + chunk_bytes - held, side="right")) - 1)
+                b = min(b, len(batch))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(b - a, chunk, np.int32)), *(c.slice(a, b - a) for c in batch.columns)], names=["chunk", *batch.schema.names])
+                held += int(docs[b] - docs[a])
+                if held >= chunk_bytes or b < len(batch):
+                    chunk, held = chunk + 1, 0
+                a = b
+
+    schema = ", ".join(["chunk int", *(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)])
+    buckets = min(50_000, max(24, 2 * rows.rdd.getNumPartitions()))
+    name = f"chunks_{uuid.uuid4().hex}"
+    rows.mapInArrow(deal, schema).write.format("parquet").option("compression", "zstd").bucketBy(buckets, "chunk").saveAsTable(name)
+    table = spark.table(name)
+    return table, table.agg(F.count_distinct("chunk").alias("n")).first()["n"]
 
 
 def in_order(table: pa.Table) -> pa.Table:
@@ -71,3 +95,24 @@ def answered(table: pa.Table, level: int, kind: np.dtype | type) -> np.ndarray:
     own = table.filter(pc.equal(table["level"], level)).sort_by("bucket")
     parts = column_of(own, "answer", kind)
     return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+
+def packed(*columns: np.ndarray) -> bytes:
+    """Arrays as bytes: the first bytes of all items, then the second ones, and so on, which compresses small numbers well."""
+    out = [np.array([len(columns)] + [x for c in columns for x in (len(c), c.dtype.num)], np.int64).tobytes()]
+    out += [np.ascontiguousarray(c.view(np.uint8).reshape(len(c), c.itemsize).T).tobytes() for c in columns if len(c)]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
+
+
+def unpacked(data: bytes) -> list[np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    n = int(raw[:8].view(np.int64)[0])
+    head, at, out = raw[8 : 8 + 16 * n].view(np.int64), 8 + 16 * n, []
+    for i in range(n):
+        size, kind = int(head[2 * i]), _KINDS[int(head[2 * i + 1])]
+        out.append(np.ascontiguousarray(raw[at : at + size * kind.itemsize].reshape(kind.itemsize, size).T).reshape(-1).view(kind) if size else np.zeros(0, kind))
+        at += size * kind.itemsize
+    return out
+
+
+_KINDS = {np.dtype(k).num: np.dtype(k) for k in (np.uint8, np.uint16, np.uint32, np.uint64, np.int32, np.int64, np.float64)}

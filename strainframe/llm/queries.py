@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, langid, packing, quality, substrings, tiff, warc
+from . import ann, bpe, katz, langid, packing, quality, substrings, tiff, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +52,13 @@ def op7_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op3_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document under a backoff model of word pairs."""
+    held_out = remainder("doc_id", 7) == 2
+    found = katz.score_texts(documents(spark, sf_dir), "doc_id", "text", learn=~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every fiftieth, by int8 tiles and exact rescoring."""
     return ann.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding", every=50, k=5)
@@ -76,5 +83,5 @@ def op8_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_tiff_pages, op2_ecoc_language_id, op4_block_matrix_join, op5_warc_segments, op6_level_doubling, op7_subword_quality, op8_bounded_packing, op9_bpe_lexicon)}
+QUERIES = {f.__name__: f for f in (op1_tiff_pages, op2_ecoc_language_id, op3_katz_backoff, op4_block_matrix_join, op5_warc_segments, op6_level_doubling, op7_subword_quality, op8_bounded_packing, op9_bpe_lexicon)}
 ORACLES: dict[str, str] = {}
