@@ -17,6 +17,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from .bpe import byte_letters
 from .shared import stored
-from .units import SPACE, encode, slices, text_bytes
+from .units import LOWER, SPACE, encode, slices, text_bytes
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
@@ -40,43 +42,105 @@ def tokenizer_at(path: str) -> Tokenizer:
     return t
 
 
+#: Byte classes for cutting units: white space, letters, digits, other printable ASCII; the rest is never cut at.
+_SPACE, _LETTER, _DIGIT, _SIGN, _REST = range(5)
+_CLASS = np.full(256, _REST, np.uint8)
+_CLASS[SPACE] = _SPACE
+_CLASS[33:127] = _SIGN
+_CLASS[48:58] = _DIGIT
+_CLASS[65:91] = _CLASS[97:123] = _LETTER
+_CLASS[ord("'")] = _REST
+#: Second bytes of the letters U+00C0 to U+00FF, and of the capitals among them.
+_LATIN, _CAPITAL = np.zeros(256, bool), np.zeros(256, bool)
+_LATIN[0x80:0xC0] = _CAPITAL[0x80:0x9F] = True
+_LATIN[[0x97, 0xB7]] = _CAPITAL[[0x97]] = False
+
+
 class WordTokenizer:
-    """Ids by a tokenizer that ends a word at any white space.
+    """Ids by a lower-casing tokenizer that ends a word at any white space, a sign or a digit.
 
-    Such a tokenizer treats each white-space separated unit by itself, so a
-    distinct unit is encoded once for a batch and a frequent one once for a
-    task.  Units are cut only at ASCII white space; other white space inside a
-    unit is left to the tokenizer.
+    Texts are cut into units wherever the tokenizer surely starts a new word:
+    at ASCII white space, between letters (ASCII or Latin-1), digits and ASCII
+    signs.  A unit of one such kind is one word for the merge table; any other
+    (apostrophes, further alphabets, combining marks) is left to the whole
+    tokenizer.  Either is encoded once for a run of texts, or for a task.
     """
 
-    def __init__(self, path: str, remember: int = 300_000):
+    def __init__(self, path: str, remember: int = 150_000):
         self.tokenizer, self.remember = tokenizer_at(path), remember
+        self.model = self.tokenizer.model
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letters = byte_letters()
         self.memory: dict[bytes, tuple[int, ...]] = {}
 
+    def word(self, unit: bytes) -> tuple[int, ...]:
+        """The ids of a unit of one kind, straight from the merge table."""
+        return tuple(t.id for t in self.model.tokenize(unit.decode() if unit.isascii() else "".join(self.letters[b] for b in unit)))
+
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        data, docs = text_bytes(column)
-        inside = ~SPACE[data]
+        raw, docs = text_bytes(column)
+        data, kind = LOWER[raw], _CLASS[raw]
+        latin = np.flatnonzero((raw[:-1] == 0xC3) & _LATIN[raw[1:]]) if len(raw) else np.zeros(0, np.int64)
+        kind[latin] = kind[latin + 1] = _LETTER
+        capital = latin[_CAPITAL[raw[latin + 1]]] + 1
+        data[capital] += 32
+        inside = kind != _SPACE
         begins = inside.copy()
-        begins[1:] &= ~inside[:-1]
+        if len(raw):
+            before, after = kind[:-1], kind[1:]
+            changed = (before != after) | (after == _DIGIT)
+            begins[1:] &= (before == _SPACE) | (changed & (before != _REST) & (after != _REST))
         heads = docs[:-1][docs[:-1] < docs[1:]]
         begins[heads] = inside[heads]
         starts = np.flatnonzero(begins)
-        at = np.append(np.cumsum(inside)[starts] - 1, int(inside.sum()))
+        at = np.append(np.cumsum(inside, dtype=np.int32)[starts] - 1, int(inside.sum()))
         codes, distinct = encode(slices(data[inside], at))
-        first = np.searchsorted(starts, docs)
-        units = distinct.to_pylist()
-        lacking = [u for u in units if u not in self.memory]
-        own = dict(zip(lacking, (tuple(e.ids) for e in self.tokenizer.encode_batch_fast([u.decode() for u in lacking], add_special_tokens=False)), strict=True))
-        if len(self.memory) < self.remember:
-            self.memory.update(own)
-        ids = [own[u] if u in own else self.memory[u] for u in units]
+        # The first place of each distinct unit tells its kind.
+        where = np.zeros(len(distinct), np.int64)
+        where[codes[::-1]] = np.arange(len(codes))[::-1]
+        own = kind[inside]
+        plain = np.ones(len(at), bool)
+        rest = np.flatnonzero(own == _REST)
+        plain[np.searchsorted(at, rest, side="right") - 1] = False
+        units, plain = distinct.to_pylist(), plain[where].tolist()
+        memory, ids, odd = self.memory, [], []
+        for i, u in enumerate(units):
+            got = memory.get(u)
+            if got is None:
+                if not plain[i]:
+                    odd.append(i)
+                    got = ()
+                else:
+                    got = self.word(u)
+                    if len(memory) < self.remember:
+                        memory[u] = got
+            ids.append(got)
+        if odd:
+            for i, e in zip(odd, self.tokenizer.encode_batch([units[i].decode() for i in odd], add_special_tokens=False), strict=True):
+                ids[i] = tuple(e.ids)
         length = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.int32, int(length.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(length.sum()))
         source = np.cumsum(length) - length
         each = length[codes]
         end = np.cumsum(each)
         place = np.repeat(source[codes] - (end - each), each) + np.arange(int(end[-1]) if len(end) else 0)
-        return flat[place], np.concatenate([[0], end])[first]
+        out, bounds = flat[place], np.concatenate([[0], end])[np.searchsorted(starts, docs)]
+        return self._with_special(raw, docs, out, bounds)
+
+    def _with_special(self, raw: np.ndarray, docs: np.ndarray, out: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Texts that hold a special token's string are encoded whole."""
+        whole, everything = {}, raw.tobytes()
+        for mark in self.special:
+            at = everything.find(mark)
+            while at >= 0:
+                d = int(np.searchsorted(docs, at, side="right")) - 1
+                if at + len(mark) <= docs[d + 1]:
+                    whole[d] = np.asarray(self.tokenizer.encode(everything[docs[d] : docs[d + 1]].decode(), add_special_tokens=False).ids, np.int32)
+                at = everything.find(mark, at + 1)
+        if not whole:
+            return out, bounds
+        parts = [whole.get(d, out[bounds[d] : bounds[d + 1]]) for d in range(len(docs) - 1)]
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
 
 
 class Packer:
