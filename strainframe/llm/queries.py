@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, katz, langid, packing, quality, substrings, tiff, warc
+from . import ann, bpe, jaccard, katz, langid, packing, quality, substrings, tiff, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,5 +83,10 @@ def op8_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_tiff_pages, op2_ecoc_language_id, op3_katz_backoff, op4_block_matrix_join, op5_warc_segments, op6_level_doubling, op7_subword_quality, op8_bounded_packing, op9_bpe_lexicon)}
+def op10_metric_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of four-word shingles are 85 % alike."""
+    return jaccard.similar_components(documents(spark, sf_dir), "doc_id", "text", words=4, least=85)
+
+
+QUERIES = {f.__name__: f for f in (op1_tiff_pages, op2_ecoc_language_id, op3_katz_backoff, op4_block_matrix_join, op5_warc_segments, op6_level_doubling, op7_subword_quality, op8_bounded_packing, op9_bpe_lexicon, op10_metric_jaccard)}
 ORACLES: dict[str, str] = {}
