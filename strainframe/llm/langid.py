@@ -123,8 +123,8 @@ def fit(docs: DataFrame, key: str, text: str, lang: str, learn: Column, per_lang
     return train([r["t"] for r in rows], [r["l"] for r in rows])
 
 
-def identified(docs: DataFrame, text: str, model: Model, least_gap: float = 0.05) -> DataFrame:
-    """``docs`` with the columns lang_pred, score and ambiguous (a struct's fields, spread)."""
+def identified(docs: DataFrame, text: str, model: Model, least_gap: float = 0.05, into: str | None = None) -> DataFrame:
+    """``docs`` with lang_pred, score and ambiguous, as columns or as fields of a struct named ``into``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
@@ -134,4 +134,5 @@ def identified(docs: DataFrame, text: str, model: Model, least_gap: float = 0.05
         names, score, unsure = shared.value.predict(pa.array(texts, pa.large_string(), from_pandas=True), least_gap)
         return pd.DataFrame({"lang_pred": names, "score": score, "ambiguous": unsure})
 
-    return docs.withColumn("_found", predict(F.col(text))).select(*docs.columns, "_found.*")
+    found = docs.withColumn(into or "_found", predict(F.col(text)))
+    return found if into else found.select(*docs.columns, "_found.*")

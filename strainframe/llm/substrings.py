@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .exchange import ASK, REPLY, answered, asks, chunked, column_of, in_order, replies
@@ -150,8 +151,11 @@ def joined_words(column: pa.ChunkedArray, keep: np.ndarray, first: np.ndarray) -
     return pa.array([raw[at[a] : at[b] - 1].decode() if b > a else "" for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.string())
 
 
-def without_repeats(df: DataFrame, key: str, text: str, window: int = 35, first: int = 16, carry: list[str] | None = None) -> DataFrame:
-    """(key, text of the kept words, n_words, n_removed, carried columns), one row for each row of ``df``."""
+def without_repeats(df: DataFrame, key: str, text: str, window: int = 35, first: int = 16, carry: list[str] | None = None, keep_clean: bool = False) -> DataFrame:
+    """(key, text of the kept words, n_words, n_removed, carried columns), one row for each row of ``df``.
+
+    With ``keep_clean``, texts that lose no word stay as they are, white space included.
+    """
     carry = carry or []
     docs, chunks = chunked(df, key, text, carry)
     buckets = max(12, chunks // 4)
@@ -171,7 +175,10 @@ def without_repeats(df: DataFrame, key: str, text: str, window: int = 35, first:
             w.settle(level, answered(told, level, np.uint8))
         gone = w.covered()
         counts = np.concatenate([[0], np.cumsum(gone)])[w.first]
-        out = docs.drop_columns(["chunk", "text"]).append_column("text", joined_words(docs["text"], ~gone, w.first))
+        text = joined_words(docs["text"], ~gone, w.first)
+        if keep_clean:
+            text = pc.if_else(pa.array(np.diff(counts) == 0), docs["text"].combine_chunks().cast(pa.string()), text)
+        out = docs.drop_columns(["chunk", "text"]).append_column("text", text)
         return out.append_column("n_words", pa.array(np.diff(w.first))).append_column("n_removed", pa.array(np.diff(counts)))
 
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if f.name not in ("chunk", "text")]
