@@ -3,6 +3,8 @@ ingestion bounds, canonical sample intervals, and the older year-based interval.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,11 @@ from . import vocabulary as V
 from .scalars import one_of, text
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def bounds_start(t: Column) -> Column:
     """First day of ``YYYY``, ``YYYY-MM`` or a day; null if it is none."""
     return F.when(t.rlike(r"^\d{4}$"), F.try_to_date(F.concat(t, F.lit("-01-01")), "yyyy-MM-dd")).when(t.rlike(r"^\d{4}-\d{2}$"), F.try_to_date(F.concat(t, F.lit("-01")), "yyyy-MM-dd")).when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(t, "yyyy-MM-dd"))
@@ -54,32 +61,50 @@ def canonical(raw: Column, start: Column | None = None, end: Column | None = Non
     """
     none = F.lit(None)
     s, e, p = (x if x is not None else none.cast(k) for x, k in ((start, "date"), (end, "date"), (precision, "string")))
-    t = text(raw)
-    raw_start, raw_end, raw_precision = ingest(raw)
-    given = s.isNotNull() | e.isNotNull()
-    first, last = F.when(given, s).otherwise(raw_start), F.when(given, e).otherwise(raw_end)
-    kind = F.when(given, F.coalesce(p, F.when(s == e, "day").otherwise("interval"))).otherwise(raw_precision)
-    fits = (
-        F.when(kind == "day", first == last)
-        .when(kind == "month", (first == F.trunc(first, "month")) & (last == F.last_day(first)))
-        .when(kind == "year", (first == F.trunc(first, "year")) & (last == F.make_date(F.year(first), F.lit(12), F.lit(31))))
-        .when(kind == "interval", first <= last)
-        .otherwise(F.lit(False))
-    )
-    bad = ~F.coalesce(fits & (first <= last), F.lit(False))
-    state = F.when(p.isin("missing", "invalid"), p).when(~given & one_of(t, V.NO_DATE), "missing").when(bad, "invalid").when(first > F.lit(today).cast("date"), "future").otherwise("valid")
-    usable = state.isin("valid", "future")
-    low, high = F.when(usable, decimal_year(first)), F.when(usable, decimal_year(last))
-    return F.struct(
-        state.alias("status"),
-        F.when(state != "valid", F.concat(state, F.lit("_collection_date"))).alias("reason"),
-        F.when(usable, first).alias("start"),
-        F.when(usable, last).alias("end"),
-        F.when(usable, kind).otherwise(state).alias("precision"),
-        low.alias("year_min"),
-        high.alias("year_max"),
-        ((low + high) / 2).alias("midpoint"),
-    )
+
+    def bounds(t: Column) -> Column:
+        raw_start, raw_end, raw_precision = ingest(t)
+        return F.struct(t.alias("t"), s.alias("s"), e.alias("e"), p.alias("p"), raw_start.alias("rs"), raw_end.alias("re"), raw_precision.alias("rp"))
+
+    def choose(x: Column) -> Column:
+        given = x["s"].isNotNull() | x["e"].isNotNull()
+        kind = F.when(given, F.coalesce(x["p"], F.when(x["s"] == x["e"], "day").otherwise("interval"))).otherwise(x["rp"])
+        blank = ~given & one_of(x["t"], V.NO_DATE)
+        return F.struct(F.when(given, x["s"]).otherwise(x["rs"]).alias("first"), F.when(given, x["e"]).otherwise(x["re"]).alias("last"), kind.alias("kind"), x["p"].alias("p"), blank.alias("blank"))
+
+    def judge(x: Column) -> Column:
+        first, last, kind = x["first"], x["last"], x["kind"]
+        fits = (
+            F.when(kind == "day", first == last)
+            .when(kind == "month", (first == F.trunc(first, "month")) & (last == F.last_day(first)))
+            .when(kind == "year", (first == F.trunc(first, "year")) & (last == F.make_date(F.year(first), F.lit(12), F.lit(31))))
+            .when(kind == "interval", first <= last)
+            .otherwise(F.lit(False))
+        )
+        bad = ~F.coalesce(fits & (first <= last), F.lit(False))
+        state = F.when(x["p"].isin("missing", "invalid"), x["p"]).when(x["blank"], "missing").when(bad, "invalid").when(first > F.lit(today).cast("date"), "future").otherwise("valid")
+        return F.struct(state.alias("state"), first.alias("first"), last.alias("last"), kind.alias("kind"))
+
+    def measure(x: Column) -> Column:
+        usable = x["state"].isin("valid", "future")
+        return F.struct(x["state"].alias("state"), usable.alias("usable"), x["first"].alias("first"), x["last"].alias("last"), x["kind"].alias("kind"), F.when(usable, decimal_year(x["first"])).alias("low"), F.when(usable, decimal_year(x["last"])).alias("high"))
+
+    def answer(x: Column) -> Column:
+        return F.struct(
+            x["state"].alias("status"),
+            F.when(x["state"] != "valid", F.concat(x["state"], F.lit("_collection_date"))).alias("reason"),
+            F.when(x["usable"], x["first"]).alias("start"),
+            F.when(x["usable"], x["last"]).alias("end"),
+            F.when(x["usable"], x["kind"]).otherwise(x["state"]).alias("precision"),
+            x["low"].alias("year_min"),
+            x["high"].alias("year_max"),
+            ((x["low"] + x["high"]) / 2).alias("midpoint"),
+        )
+
+    found = let(text(raw), bounds)
+    for step in (choose, judge, measure, answer):
+        found = let(found, step)
+    return found
 
 
 def legacy_year(raw: Column, today: str, allow_future: bool = False) -> Column:
@@ -105,11 +130,15 @@ def clock_bounds(raw: Column, today: str) -> Column:
         .when((t == "") | t.rlike(r"^\d{4}(-\d{2}(-\d{2})?)?$"), t)
         .otherwise("unsupported")
     )
-    c = canonical(calendar, today=today)
     ahead = low > decimal_year(F.lit(today).cast("date"))
-    status = F.when(numeric, F.when(~good, "invalid").when(ahead, "future").otherwise("valid")).otherwise(c["status"])
-    usable = status.isin("valid", "future")
-    return F.struct(status.alias("status"), F.when(usable, F.when(numeric, low).otherwise(c["year_min"])).alias("year_min"), F.when(usable, F.when(numeric, high).otherwise(c["year_max"])).alias("year_max"), F.when(t.rlike(number), "numeric").when(t.rlike(pair), "interval").otherwise(c["precision"]).alias("precision"))
+
+    def answer(c: Column) -> Column:
+        status = F.when(numeric, F.when(~good, "invalid").when(ahead, "future").otherwise("valid")).otherwise(c["status"])
+        usable = status.isin("valid", "future")
+        kind = F.when(t.rlike(number), "numeric").when(t.rlike(pair), "interval").otherwise(c["precision"])
+        return F.struct(status.alias("status"), F.when(usable, F.when(numeric, low).otherwise(c["year_min"])).alias("year_min"), F.when(usable, F.when(numeric, high).otherwise(c["year_max"])).alias("year_max"), kind.alias("precision"))
+
+    return let(canonical(calendar, today=today), answer)
 
 
 def clock_text(raw: Column) -> Column:

@@ -1,6 +1,6 @@
 """All registered queries of the package."""
 
-from . import q_aggregates, q_pairs
+from . import q_aggregates, q_identity, q_pairs
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "q_aggregates", "q_pairs"]
+__all__ = ["ORACLES", "QUERIES", "q_aggregates", "q_identity", "q_pairs"]
