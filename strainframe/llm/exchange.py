@@ -70,7 +70,7 @@ def asks(chunk: int, keys: np.ndarray, extra: np.ndarray, buckets: int) -> pa.Ta
     """One row for each bucket in which the sorted distinct keys fall."""
     at = bucket_of(keys, buckets)
     which, start = np.unique(at, return_index=True)
-    end = np.append(start[1:], len(keys))
+    end = np.append(start, len(keys))[1:]
     return pa.table({
         "bucket": pa.array(which, pa.int32()),
         "chunk": pa.array(np.full(len(which), chunk, np.int32)),

@@ -158,7 +158,7 @@ class Pairs:
         self.order = np.argsort(bucket, kind="stable")  # pairs of a context stay together
         self.bucket = bucket[self.order]
         self.which, self.start = np.unique(self.bucket, return_index=True)
-        self.end = np.append(self.start[1:], len(self.bucket))
+        self.end = np.append(self.start, len(self.bucket))[1:]
 
 
 def heads(values: np.ndarray) -> np.ndarray:

@@ -92,13 +92,13 @@ def lzw_encode(data: bytes) -> bytes:
         if size == 4094:
             put(256)
             table, width, size = {bytes([x]): x for x in range(256)}, 9, 258
-        elif size in (511, 1023, 2047):
+        elif size in (512, 1024, 2048):
             width += 1
         prefix = bytes([b])
     if prefix:
         put(table[prefix])
         size += 1
-        if size in (511, 1023, 2047):
+        if size in (512, 1024, 2048):
             width += 1
     put(257)
     if held:
