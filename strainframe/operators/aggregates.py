@@ -163,10 +163,15 @@ def assembly_summary(contigs: DataFrame) -> DataFrame:
     return run.groupBy("sample_id").agg(F.count("*").alias("contigs"), F.max("_total").alias("total"), F.max(F.when(F.col("_run") * 2 >= F.col("_total"), F.col("length"))).alias("n50"))
 
 
+def pearson(x: str, y: str) -> Column:
+    """Correlation; null where either side is constant."""
+    return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
+
+
 def regression(points: DataFrame, group: str, x: str = "x", y: str = "y") -> DataFrame:
     """Ordinary least squares for each group: at least three points on three distinct x; a constant y has slope 0 and no r."""
     n, distinct = F.count("*"), F.count_distinct(x)
-    agg = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(group).agg(n.alias("n"), distinct.alias("n_x"), F.regr_slope(y, x).alias("b"), F.regr_intercept(y, x).alias("a"), F.avg(y).alias("centre"), F.avg(x).alias("reference"), F.corr(x, y).alias("r"), F.stddev_pop(y).alias("sd"))
+    agg = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(group).agg(n.alias("n"), distinct.alias("n_x"), F.regr_slope(y, x).alias("b"), F.regr_intercept(y, x).alias("a"), F.avg(y).alias("centre"), F.avg(x).alias("reference"), pearson(x, y).alias("r"), F.stddev_pop(y).alias("sd"))
     ok = (F.col("n") >= 3) & (F.col("n_x") >= 3)
     flat = F.col("sd") == 0
     r = F.when(ok & ~flat, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("r"))))
