@@ -18,6 +18,7 @@ is predicted, and with none ``und``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -27,7 +28,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .units import byte_grams, sums, text_bytes
+from .units import byte_grams, runs, sums, text_bytes
 
 BITS, GRAM = 15, 4
 _LETTER = regex.compile(r"\p{L}")
@@ -62,13 +63,16 @@ class Model:
     trust: np.ndarray  # how much each bit's loss counts
 
     def predict(self, column: pa.Array, least_gap: float) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Language, score, and whether the runner-up is close, for each text."""
+        """Language, score, and whether the runner-up is close, for each text, a few megabytes of text at a time."""
+        found = [self._predict(part, least_gap) for part in parts(column)]
+        names, score, close = zip(*found, strict=True) if found else ((), (), ())
+        return [x for part in names for x in part], np.concatenate(score) if found else np.zeros(0), np.concatenate(close) if found else np.zeros(0, bool)
+
+    def _predict(self, column: pa.Array, least_gap: float) -> tuple[list[str], np.ndarray, np.ndarray]:
         n = len(column)
         if not self.languages:
             return ["und"] * n, np.zeros(n), np.ones(n, bool)
-        buckets, first = byte_grams(column, GRAM, BITS, lower=True)
-        size = np.maximum(np.diff(first), 1)
-        margins = np.stack([sums(w[buckets], first) / size for w in self.weights], axis=1) * self.scale
+        margins = bit_margins(self.weights, column) * self.scale
         loss = np.stack([(np.logaddexp(0, -margins * word) * self.trust).sum(axis=1) for word in self.code], axis=1)
         likely = np.exp(loss.min(axis=1, keepdims=True) - loss)
         likely /= likely.sum(axis=1, keepdims=True)
@@ -80,10 +84,22 @@ class Model:
         return [self.languages[b] if ok else "und" for b, ok in zip(best, letters, strict=True)], score, (gap < least_gap) | ~letters
 
 
+def parts(column: pa.Array) -> Iterator[pa.Array]:
+    """The column in slices of a few megabytes of text."""
+    for a, b in runs(text_bytes(column)[1]):
+        yield column.slice(a, b - a)
+
+
+def bit_margins(weights: np.ndarray, column: pa.Array) -> np.ndarray:
+    """The mean weight of each text's buckets, for each bit."""
+    buckets, first = byte_grams(column, GRAM, BITS, lower=True)
+    size = np.maximum(np.diff(first), 1)
+    return np.stack([sums(w[buckets], first) / size for w in weights], axis=1)
+
+
 def has_letter(column: pa.Array) -> np.ndarray:
     data, docs = text_bytes(column)
-    out = sums(_ASCII_LETTER[data].astype(np.float64), docs) > 0
-    wide = sums((data >= 128).astype(np.float64), docs) > 0
+    out, wide = (np.diff(np.concatenate([[0], np.cumsum(x, dtype=np.int32)])[docs]) > 0 for x in (_ASCII_LETTER[data], data >= 128))
     for i in np.flatnonzero(~out & wide):
         out[i] = _LETTER.search(data[docs[i] : docs[i + 1]].tobytes().decode()) is not None
     return out
@@ -92,12 +108,13 @@ def has_letter(column: pa.Array) -> np.ndarray:
 def train(texts: list[str | None], langs: list[str]) -> Model:
     languages = sorted(set(langs))
     code = codewords(len(languages))
-    buckets, first = byte_grams(pa.array(texts, pa.large_string()), GRAM, BITS, lower=True)
     label = np.searchsorted(np.array(languages), langs) if languages else np.zeros(0, int)
-    counts = np.zeros((len(languages), 1 << BITS))
-    each = np.repeat(label, np.diff(first))
-    for k in range(len(languages)):
-        counts[k] = np.bincount(buckets[each == k], minlength=1 << BITS)
+    column, counts, at = pa.array(texts, pa.large_string()), np.zeros((len(languages), 1 << BITS)), 0
+    for part in parts(column):
+        buckets, first = byte_grams(part, GRAM, BITS, lower=True)
+        each = np.repeat(label[at : at + len(part)], np.diff(first)).astype(np.int64)
+        counts += np.bincount((each << BITS) | buckets, minlength=counts.size).reshape(counts.shape)
+        at += len(part)
     # Every language weighs alike, however much text it has.
     share = (counts + 0.1) / (counts + 0.1).sum(axis=1, keepdims=True) if len(languages) else counts
     weights = []
@@ -105,7 +122,7 @@ def train(texts: list[str | None], langs: list[str]) -> Model:
         ones, others = share[bit > 0], share[bit < 0]
         weights.append(np.clip(np.log(ones.mean(axis=0)) - np.log(others.mean(axis=0)), -6, 6) if len(ones) and len(others) else np.zeros(1 << BITS))
     weights = np.array(weights) if weights else np.zeros((0, 1 << BITS))
-    margins = np.stack([sums(w[buckets], first) / np.maximum(np.diff(first), 1) for w in weights], axis=1) if len(weights) and len(texts) else np.zeros((1, len(weights)))
+    margins = np.concatenate([bit_margins(weights, part) for part in parts(column)]) if len(weights) and len(texts) else np.zeros((1, len(weights)))
     truth = code[label] if len(texts) and len(languages) else np.ones_like(margins)
     scale = 4 / np.maximum(np.abs(margins).mean(axis=0), 1e-9)
     right = (np.sign(margins) == truth).mean(axis=0)

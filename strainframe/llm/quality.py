@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .units import byte_grams, pair_hash, sums, word_hashes
+from .units import byte_grams, pair_hash, runs, sums, text_bytes, word_hashes
 
 WORD_BITS, PAIR_BITS, GRAM_BITS, GRAM = 17, 17, 16, 4
 _SIZES = (1 << WORD_BITS, 1 << PAIR_BITS, 1 << GRAM_BITS)
@@ -49,6 +49,10 @@ class Model:
     bias: float
 
     def score(self, column: pa.Array) -> np.ndarray:
+        """Probability of label 1 of each text, a few megabytes of text at a time."""
+        return np.concatenate([self._score(column.slice(a, b - a)) for a, b in runs(text_bytes(column)[1])]) if len(column) else np.zeros(0)
+
+    def _score(self, column: pa.Array) -> np.ndarray:
         logit = np.full(len(column), self.bias)
         for table, (buckets, first) in zip(self.tables, features(column), strict=True):
             logit += sums(table[buckets], first) / np.maximum(np.diff(first), 1)

@@ -224,7 +224,7 @@ def test_language_id(spark):
     rows = [(i, " ".join(rng.choice(tongues[k]) for _ in range(12)), k if i % 7 else None, "c", 0.0) for i, k in enumerate(list(tongues) * 40)]
     rows += [(900, None, "aa", None, None), (901, "", "bb", None, None), (902, "12 34 !!", "aa", None, None), (None, "brum brix obbo", None, None, None)]
     df = spark.createDataFrame(rows, SCHEMA)
-    model = langid.fit(df, "doc_id", "text", "lang", learn=df["doc_id"] % 3 != 1)
+    model = langid.fit(df, "doc_id", "text", "lang", learn=df["doc_id"] % 4 != 1)
     got = {r.doc_id: r for r in langid.identified(df.select("doc_id", "text"), "text", model).collect()}
     assert all(got[i].lang_pred == list(tongues)[i % 3] and 0 <= got[i].score <= 1 for i in range(120))
     assert [got[i].lang_pred for i in (900, 901, 902)] == ["und"] * 3 and got[902].score == 0
