@@ -4,7 +4,7 @@ The distance 1 - J is a metric, but nearly all pairs of documents lie at
 distance 1, so pivots alone cannot tell them apart.  Documents therefore meet
 first in blocks: two sets that link must share one of the first shingles of a
 common order (very frequent ones last), so no link is lost.  Inside a block
-the distance is bounded from below by the L1 distance of 32 counts of hashed
+the distance is bounded from below by the L1 distance of 128 counts of hashed
 shingles, itself a metric:
 
 * a block of a few documents joins directly;
@@ -16,8 +16,9 @@ shingles, itself a metric:
   distance to it, then what is not yet in one component with its nearest
   untested partners, more of them each time, until none is untested.
 
-Candidates are verified on whole sets.  Pairs already in one component need no
-test, which keeps large groups of near copies linear.
+Candidates are verified on whole sets, a few for each document at a time, and
+linked ones become components.  Pairs already in one component need no test,
+which keeps groups of near copies linear.
 
 Defined cases: a document without words has no shingles and links with nothing;
 one with fewer words than a shingle has its whole sequence as one; equal word
@@ -33,7 +34,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .exchange import asks, chunked, column_of, packed, unpacked
@@ -41,10 +42,10 @@ from .shared import buckets_for, stored
 from .substrings import window_hashes
 from .units import mix, word_hashes
 
-CLASSES = 32
-LEAF = 8
+CLASSES = 128
+LEAF = 24
 REGION = 256
-PIVOTS = 8
+PIVOTS = 64
 
 PAIR = "a long, a_chunk int, b long, b_chunk int"
 
@@ -68,8 +69,7 @@ class Rule:
 
     def widest(self, n: np.ndarray) -> int:
         """The largest symmetric difference of linked sets of at most these sizes."""
-        top = int(n.max())
-        return 2 * top - 2 * -(-self.least * 2 * top // (self.per + self.least)) + top * (self.per - self.least) // self.per + 2
+        return 2 * int(n.max()) * (self.per - self.least) // (self.per + self.least)
 
 
 def shingle_sets(docs: pa.Table, rule: Rule) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -85,15 +85,24 @@ def shingle_sets(docs: pa.Table, rule: Rule) -> Iterator[tuple[np.ndarray, np.nd
             yield words[a:b], np.zeros(0, np.uint64)
 
 
-def describe(rule: Rule):
-    """(chunk, doc_id, node, n_shingles) of each document; node names its word sequence."""
+DESCRIBED = "chunk int, doc_id long, node binary, n_shingles long, bucket int, keys binary, extra binary"
+
+
+def describe(rule: Rule, buckets: int):
+    """Two kinds of rows: each document's (chunk, doc_id, node, n_shingles), node naming its word sequence; and, by
+    bucket, the chunk's shingles that at least two of its documents have, with their number."""
 
     def run(key: tuple, docs: pa.Table) -> pa.Table:
-        node, n = [], []
+        node, n, sets = [], [], []
         for words, grams in shingle_sets(docs, rule):
             node.append(xxhash.xxh3_128_digest(words.tobytes()) if len(words) else None)
             n.append(len(grams))
-        return pa.table({"chunk": docs["chunk"], "doc_id": docs["doc_id"], "node": pa.array(node, pa.binary()), "n_shingles": pa.array(n, pa.int64())})
+            sets.append(grams)
+        grams, count = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        common = asks(key[0].as_py(), grams[count > 1], count[count > 1].astype(np.uint32), buckets)
+        k, m = len(docs), len(common)
+        own = pa.table({"chunk": docs["chunk"].cast(pa.int32()), "doc_id": docs["doc_id"].cast(pa.int64()), "node": pa.array(node, pa.binary()), "n_shingles": pa.array(n, pa.int64()), "bucket": pa.nulls(k, pa.int32()), "keys": pa.nulls(k, pa.binary()), "extra": pa.nulls(k, pa.binary())})
+        return pa.concat_tables([own, pa.table({"chunk": common["chunk"], "doc_id": pa.nulls(m, pa.int64()), "node": pa.nulls(m, pa.binary()), "n_shingles": pa.nulls(m, pa.int64()), "bucket": common["bucket"], "keys": common["keys"], "extra": common["extra"]})])
 
     return run
 
@@ -107,17 +116,6 @@ def only(docs: pa.Table, ids: pa.ChunkedArray) -> pa.Table:
     return own.take(pa.array(np.flatnonzero(np.append(True, names[1:] != names[:-1])) if len(names) else [], pa.int64()))
 
 
-def count_common(rule: Rule, buckets: int):
-    """Shingles of at least two documents of the chunk, with their number."""
-
-    def run(key: tuple, docs: pa.Table, chosen: pa.Table) -> pa.Table:
-        sets = [g for _, g in shingle_sets(only(docs, chosen["doc_id"]), rule)]
-        grams, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        return asks(key[0].as_py(), grams[n > 1], n[n > 1].astype(np.uint32), buckets)
-
-    return run
-
-
 def very_common(least: int):
     def run(table: pa.Table) -> pa.Table:
         grams, place = np.unique(np.concatenate(column_of(table, "keys", np.uint64)), return_inverse=True)
@@ -150,7 +148,7 @@ def post(rule: Rule, buckets: int, common: np.ndarray):
         names, start = np.unique(bucket[order], return_index=True)
         ids, size, counts = own["doc_id"].to_numpy().astype(np.int64), np.array(size, np.uint32), np.array(counts, np.uint8)
         blobs = []
-        for a, b in zip(start, np.append(start[1:], len(order)), strict=True):
+        for a, b in zip(start, np.append(start, len(order))[1:], strict=True):
             some = order[a:b]
             docs_here, place = np.unique(which[some], return_inverse=True)
             blobs.append(packed(grams[some], place.astype(np.uint32), ids[docs_here], np.full(len(docs_here), key[0].as_py(), np.int32), size[docs_here], counts[docs_here].reshape(-1)))
@@ -173,10 +171,17 @@ class Block:
 
     def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """A lower bound of the symmetric differences of i and j."""
-        return np.abs(self.counts[i].astype(np.int16) - self.counts[j]).sum(axis=1, dtype=np.int64)
+        out = np.empty(len(i), np.int64)
+        for k in range(0, len(i), 20_000):
+            x, y = self.counts[i[k : k + 20_000]], self.counts[j[k : k + 20_000]]
+            out[k : k + 20_000] = (np.maximum(x, y) - np.minimum(x, y)).sum(axis=1, dtype=np.int64)
+        return out
 
     def feasible(self, rule: Rule, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        return rule.feasible(self.sizes[i], self.sizes[j], self.apart(i, j))
+        # Sizes are compared first; they settle most pairs at less cost.
+        ok = rule.feasible(self.sizes[i], self.sizes[j], np.zeros(len(i), np.int64))
+        ok[ok] = rule.feasible(self.sizes[i[ok]], self.sizes[j[ok]], self.apart(i[ok], j[ok]))
+        return ok
 
     def blob(self) -> bytes:
         return packed(self.ids, self.chunks, self.sizes.astype(np.uint32), self.counts.reshape(-1))
@@ -214,7 +219,7 @@ def regions(block: Block, rule: Rule) -> Iterator[Block]:
         distance = [part.apart(every, np.zeros(len(part), np.int64))]
         while len(pivots) < PIVOTS:
             nearest = np.min(distance, axis=0)
-            if nearest.max() == 0:
+            if nearest.max() <= rule.widest(part.sizes):
                 break
             pivots.append(int(nearest.argmax()))
             distance.append(part.apart(every, np.full(len(part), pivots[-1])))
@@ -229,6 +234,25 @@ def regions(block: Block, rule: Rule) -> Iterator[Block]:
             yield part
 
 
+def feasible_parts(block: Block, rule: Rule) -> Iterator[Block]:
+    """A region's parts that feasible pairs hold together; a region too large to look at every pair stays whole."""
+    if len(block) > REGION:
+        yield block
+        return
+    i, j = direct(block, rule)
+    home = np.arange(len(block))
+    while True:
+        low = np.minimum(home[i], home[j])
+        before = home.copy()
+        np.minimum.at(home, i, low)
+        np.minimum.at(home, j, low)
+        home = home[home]
+        if (home == before).all():
+            break
+    for name in np.unique(home[i]):
+        yield block.take(np.flatnonzero(home == name))
+
+
 def ordered(block: Block) -> Block:
     """By distance to the pivot (the document of the smallest id), which comes first."""
     pivot = int(block.ids.argmin())
@@ -262,7 +286,7 @@ def meet(rule: Rule):
             members = doc[a : a + k]
             if (mark := members.tobytes()) not in seen:
                 seen.add(mark)
-                large += [ordered(r) for r in regions(everything.take(members), rule)]
+                large += [ordered(part) for r in regions(everything.take(members), rule) for part in feasible_parts(r, rule)]
         rows = pairs_table(everything, np.concatenate(first) if first else np.zeros(0, np.int64), np.concatenate(second) if second else np.zeros(0, np.int64), rule)
         small = [r for r in large if len(r) <= LEAF]
         tables = [rows] + [pairs_table(r, *np.triu_indices(len(r), 1), rule) for r in small]
@@ -367,6 +391,14 @@ def verify(rule: Rule):
     return run
 
 
+def across(pairs: DataFrame, label: DataFrame | None) -> DataFrame:
+    """The pairs whose documents are not yet in one component."""
+    if label is None:
+        return pairs
+    a, b = label.select(F.col("id").alias("a"), F.col("component").alias("_x")), label.select(F.col("id").alias("b"), F.col("component").alias("_y"))
+    return pairs.join(a, "a", "left").join(b, "b", "left").where(F.coalesce("_x", "a") != F.coalesce("_y", "b")).drop("_x", "_y")
+
+
 def links_of(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
     """Those of the candidate pairs that link, on whole sets."""
     wanted = pairs.select("a", "a_chunk", "b_chunk").distinct().withColumnRenamed("a_chunk", "chunk")
@@ -396,38 +428,53 @@ def similar_components(df: DataFrame, key: str, text: str, words: int = 4, least
     rule = Rule(words, least, per)
     table, chunks = chunked(df.withColumn("_key", F.col(key).cast("long")), "_key", text)
     docs = table.select("chunk", "doc_id", "text")
-    described = stored(docs.groupBy("chunk").applyInArrow(describe(rule), "chunk int, doc_id long, node binary, n_shingles long"), "described")
+    # Asked by a sixteenth as many buckets as there are chunks; the posts' buckets follow from the number of shingles.
+    everything = stored(docs.groupBy("chunk").applyInArrow(describe(rule, buckets_for(chunks, 16)), DESCRIBED), "described")
+    described = everything.where("bucket is null").select("chunk", "doc_id", "node", "n_shingles")
     # Equal word sequences are one node, named by its smallest id.
     nodes = described.where("node is not null and doc_id is not null").groupBy("node").agg(F.min(F.struct("doc_id", "chunk")).alias("least")).select("node", "least.doc_id", "least.chunk")
     nodes = stored(nodes, "nodes")
     chosen = nodes.select("chunk", "doc_id")
     facts = described.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("grams"), F.count("*").alias("n")).first()
-    buckets = buckets_for(int(facts["grams"] * (per - least) / per), 700_000)
+    buckets = buckets_for(int(facts["grams"] * (per - least) / per), 1_500_000)
     # Shingles of a thousandth of all documents come last in the order; there are at most a thousand times as many as a mean document has.
-    frequent = max(24, facts["n"] // 1000)
-    counted = docs.groupBy("chunk").cogroup(chosen.groupBy("chunk")).applyInArrow(count_common(rule, buckets), "bucket int, chunk int, keys binary, extra binary")
-    common = counted.groupBy("bucket").applyInArrow(very_common(frequent), "gram long").collect()
+    counted = everything.where("bucket is not null").select("bucket", "chunk", "keys", "extra")
+    common = counted.groupBy("bucket").applyInArrow(very_common(max(24, facts["n"] // 1000)), "gram long").collect()
     common = np.sort(np.array([r["gram"] for r in common], np.int64).view(np.uint64))
     posted = docs.groupBy("chunk").cogroup(chosen.groupBy("chunk")).applyInArrow(post(rule, buckets, common), "bucket int, blob binary")
     met = stored(posted.groupBy("bucket").applyInArrow(meet(rule), MET), "met")
     regions_ = stored(met.where("region is not null").select("region", "blob").dropDuplicates(["region"]), "regions")
-    pairs = met.where("region is null").select("a", "a_chunk", "b", "b_chunk").unionByName(regions_.select("blob").mapInArrow(star(rule), PAIR)).distinct()
-    tested, links, most = [stored(pairs, "pairs")], [], 16
+    member = stored(regions_.mapInArrow(_members, "region long, id long"), "members")
+    pairs = stored(met.where("region is null").select("a", "a_chunk", "b", "b_chunk").unionByName(regions_.select("blob").mapInArrow(star(rule), PAIR)).distinct(), "pairs")
+    label = None
+    links: list[DataFrame] = []
+    tested: list[DataFrame] = []
+    most = 1
     while True:
-        links.append(stored(links_of(docs, tested[-1], rule), "links"))
-        label = components(reduce(DataFrame.unionByName, links))
-        member = regions_.select("region", "blob").mapInArrow(_members, "region long, id long")
-        labels = member.join(label, "id").select("region", "id", "component")
-        more = stored(regions_.groupBy("region").cogroup(labels.groupBy("region")).applyInArrow(remaining(rule, most), PAIR).distinct(), "more")
-        cut = more.where("a is null").limit(1).count()
-        fresh = stored(reduce(lambda x, done: x.join(done.select("a", "b"), ["a", "b"], "left_anti"), tested, more.where("a is not null")).select("a", "a_chunk", "b", "b_chunk"), "pairs")
-        if not fresh.limit(1).count():
-            if not cut:
-                break
-            most *= 16
+        # Of the untested pairs between different components, each document takes its ``most`` smallest partners.
+        open_ = reduce(lambda x, done: x.join(done.select("a", "b"), ["a", "b"], "left_anti"), tested, across(pairs, label))
+        chosen_pairs = stored(open_.withColumn("_i", F.row_number().over(Window.partitionBy("b").orderBy("a"))).where(F.col("_i") <= most).drop("_i").select("a", "a_chunk", "b", "b_chunk"), "chosen")
+        if chosen_pairs.limit(1).count():
+            tested.append(chosen_pairs)
+            links.append(stored(links_of(docs, chosen_pairs, rule), "links"))
+            label = components(reduce(DataFrame.unionByName, links))
+            most *= 8
             continue
-        tested.append(fresh)
-        most *= 4
+        # What small blocks and stars gave is settled; now regions that still hold several components.
+        named = member.join(label, "id", "left").select("region", "id", F.coalesce("component", "id").alias("component")) if label is not None else member.select("region", "id", F.col("id").alias("component"))
+        mixed = named.groupBy("region").agg(F.count_distinct("component").alias("n")).where("n > 1").select("region")
+        held, labels = regions_.join(mixed, "region"), named.join(mixed, "region", "left_semi")
+        more = stored(held.groupBy("region").cogroup(labels.groupBy("region")).applyInArrow(remaining(rule, most), PAIR).distinct(), "more")
+        cut = more.where("a is null").limit(1).count()
+        fresh = reduce(lambda x, done: x.join(done.select("a", "b"), ["a", "b"], "left_anti"), tested, more.where("a is not null"))
+        fresh = stored(fresh.select("a", "a_chunk", "b", "b_chunk"), "pairs")
+        if fresh.limit(1).count():
+            pairs = fresh
+        elif not cut:
+            break
+        most *= 8
+    if label is None:
+        label = nodes.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("component"))
     named = nodes.select("node", "doc_id").join(label, nodes["doc_id"] == label["id"], "left").select("node", F.coalesce("component", "doc_id").alias("component_id"))
     return described.join(named, "node", "left").select(F.col("doc_id").alias(key), "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
