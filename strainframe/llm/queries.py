@@ -89,4 +89,22 @@ def op10_metric_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_tiff_pages, op2_ecoc_language_id, op3_katz_backoff, op4_block_matrix_join, op5_warc_segments, op6_level_doubling, op7_subword_quality, op8_bounded_packing, op9_bpe_lexicon, op10_metric_jaccard)}
-ORACLES: dict[str, str] = {}
+#: DuckDB SQL for those that SQL can express; the others are tested against brute force, the libraries or held-out rows.
+ORACLES: dict[str, str] = {
+    "op6_level_doubling": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') ws FROM documents),
+        h AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 34], ' ')) k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) i FROM w)),
+        r AS (SELECT k FROM h GROUP BY k HAVING count(*) > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) pos FROM h WHERE k IN (SELECT k FROM r)),
+        u AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) pos FROM w),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) t, count(*) n FROM u ANTI JOIN gone USING (doc_id, pos) GROUP BY 1)
+        SELECT w.doc_id, len(ws)::BIGINT n_words, (len(ws) - coalesce(n, 0))::BIGINT n_removed, sha256(coalesce(t, '')) kept_sha256 FROM w LEFT JOIN kept USING (doc_id)""",
+    "op10_metric_jaccard": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') ws FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') g FROM (SELECT doc_id, ws, unnest(CASE WHEN len(ws) >= 4 THEN range(1, len(ws) - 2) WHEN len(ws) > 0 THEN [1] ELSE [] END) i FROM w)),
+        n AS (SELECT doc_id, count(*) c FROM s GROUP BY 1),
+        b AS (SELECT x.doc_id x, y.doc_id y, count(*) common FROM s x JOIN s y USING (g) GROUP BY 1, 2),
+        e AS (SELECT x, y FROM b JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * common >= 85 * (p.c + q.c - common)),
+        r AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
+        SELECT w.doc_id, coalesce(c, 0) n_shingles, coalesce(m, w.doc_id) component_id FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x, min(y) m FROM r GROUP BY 1) k ON k.x = w.doc_id""",
+}
