@@ -59,14 +59,34 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(logit, -700, 700)))
 
 
-def train(texts: list[str | None], labels: np.ndarray, dim: int = 8, epochs: int = 4, batch: int = 64, rate: float = 0.5, seed: int = 7) -> Model:
+def counted(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each kind: offsets of the texts, their distinct buckets, and each bucket's share of the text's features.
+
+    Texts are taken a few megabytes at a time, so only distinct buckets are ever held for all of them.
+    """
+    held: list[list[tuple]] = [[], [], []]
+    for a, b in runs(text_bytes(column)[1], 1 << 20):
+        for kind, (buckets, first) in enumerate(features(column.slice(a, b - a))):
+            n = np.diff(first)
+            key, times = np.unique(np.repeat(np.arange(b - a), n) << 32 | buckets, return_counts=True)
+            doc = key >> 32
+            held[kind].append((np.bincount(doc, minlength=b - a), (key & 0xFFFFFFFF).astype(np.int32), (times / n[doc]).astype(np.float32)))
+    out = []
+    for parts in held:
+        counts, spots, weights = (np.concatenate(x) for x in zip(*parts, strict=True))
+        parts.clear()
+        out.append((np.concatenate([[0], np.cumsum(counts)]), spots, weights))
+    return out
+
+
+def train(texts: list[str | None] | pa.Array, labels: np.ndarray, dim: int = 8, epochs: int = 4, batch: int = 64, rate: float = 0.5, seed: int = 7) -> Model:
     """Fit by stochastic gradient descent on the softmax loss."""
     share = float(labels.mean()) if len(labels) else 0.5
     if share in (0.0, 1.0) or not len(labels):
         share = min(max(share, 1e-6), 1 - 1e-6)
         return Model([np.zeros(n) for n in _SIZES], float(np.log(share / (1 - share))))
     rng = np.random.default_rng(seed)
-    kinds = features(pa.array(texts, pa.large_string()))
+    kinds = counted(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
     vectors = [rng.normal(0, 1 / dim, (n, dim)).astype(np.float32) for n in _SIZES]
     squares = [np.full(n, 1e-6, np.float32) for n in _SIZES]
     out, out_squares = rng.normal(0, 1 / dim, (dim, 2)), np.full((dim, 2), 1e-6)
@@ -76,14 +96,11 @@ def train(texts: list[str | None], labels: np.ndarray, dim: int = 8, epochs: int
         for i in range(0, len(order), batch):
             rows = order[i : i + batch]
             hidden, used = np.zeros((len(rows), dim)), []
-            for (buckets, first), table in zip(kinds, vectors, strict=True):
+            for (first, spots, weights), table in zip(kinds, vectors, strict=True):
                 count = first[rows + 1] - first[rows]
-                which = np.repeat(np.arange(len(rows)), count)
-                spot = buckets[np.repeat(first[rows] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))]
-                # Equal buckets of a document are summed first.
-                key, times = np.unique(which.astype(np.int64) << 32 | spot, return_counts=True)
-                doc, spot = key >> 32, key & 0xFFFFFFFF
-                weight = times / count[doc]
+                doc = np.repeat(np.arange(len(rows)), count)
+                at = np.repeat(first[rows] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+                spot, weight = spots[at], weights[at]
                 gathered = table[spot] * weight[:, None]
                 hidden += np.stack([np.bincount(doc, gathered[:, d], len(rows)) for d in range(dim)], axis=1)
                 used.append((doc, spot, weight))
@@ -113,7 +130,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, mos
         some = known.where(F.col("_label") == value).orderBy(F.xxhash64(F.col("_key")), "_key").limit(per_class if value == 0 else most - per_class).select("_key", "_label")
         chosen = some if chosen is None else chosen.unionByName(some)
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key").orderBy("_key", "_text").limit(2 * most).collect()
-    return train([r["_text"] for r in rows], np.array([r["_label"] for r in rows], np.int64))
+    texts, truth = pa.array([r["_text"] for r in rows], pa.large_string()), np.array([r["_label"] for r in rows], np.int64)
+    del rows
+    return train(texts, truth)
 
 
 def scored(docs: DataFrame, text: str, model: Model, threshold: float = 0.3, score: str = "score", predicted: str = "predicted") -> DataFrame:
