@@ -220,10 +220,23 @@ def greedy_cohorts(samples: DataFrame, pairs: DataFrame) -> DataFrame:
     return joined.groupBy("k").applyInPandas(run, f"sample_id {dict(samples.dtypes)['sample_id']}, cohort bigint")
 
 
+def tiled(rows: DataFrame, block: int = 256) -> DataFrame:
+    """Every two rows, as structs ``p`` and ``q`` with p.sample_id < q.sample_id.
+
+    Rows are dealt to tiles of about ``block``; tiles meet by an equi-join on both numbers, not by a nested loop.
+    """
+    tiles = max(1, -(-rows.count() // block))
+    dealt = rows.select(F.struct(*rows.columns).alias("r"), F.pmod(F.xxhash64("sample_id"), F.lit(tiles)).cast("int").alias("t"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))
+    p = dealt.select(F.col("r").alias("p"), F.col("t").alias("i"), every.alias("j"))
+    q = dealt.select(F.col("r").alias("q"), F.col("t").alias("j"), every.alias("i"))
+    return p.join(q, ["i", "j"]).where("p.sample_id < q.sample_id").select("p", "q")
+
+
 def snp_pairs(sequences: DataFrame) -> DataFrame:
     """(a, b, snps, callable, proportion) of all pairs of equally long sequences (sample_id, seq), by bit masks of 32 bases.
 
-    The masks are made once for each sequence, in the JVM; a pair then takes a few bit operations for each word.
+    The masks are made once for each sequence, in the JVM; a pair then takes a few bit operations for each word, tile by tile.
     """
     width = 32
     masks = sequences.select("sample_id", F.sequence(F.lit(1), F.length("seq"), F.lit(width)).alias("at"), F.upper("seq").alias("seq"))
@@ -233,8 +246,7 @@ def snp_pairs(sequences: DataFrame) -> DataFrame:
         return F.transform("at", word)
 
     coded = masks.select("sample_id", bits("ACGT").alias("valid"), bits("CT").alias("low"), bits("GT").alias("high"))
-    p, q = coded.alias("p"), coded.alias("q")
-    joined = p.join(q, F.col("p.sample_id") < F.col("q.sample_id"))
+    joined = tiled(coded)
     index = F.sequence(F.lit(0), F.size(F.col("p.valid")) - 1)
     both = lambda i: F.col("p.valid")[i].bitwiseAND(F.col("q.valid")[i])
     differ = lambda i: both(i).bitwiseAND(F.col("p.low")[i].bitwiseXOR(F.col("q.low")[i]).bitwiseOR(F.col("p.high")[i].bitwiseXOR(F.col("q.high")[i])))

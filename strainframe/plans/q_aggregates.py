@@ -12,7 +12,7 @@ from ..operators import aggregates as A
 from ..operators import pairs as P
 from . import q_pairs as Q
 from .registry import query
-from .views import TODAY, view
+from .views import TODAY, sequences, view
 
 R9 = lambda c: F.round(F.col(c) if isinstance(c, str) else c, 9)
 
@@ -156,7 +156,7 @@ def a21_assembly_n50(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""WITH u AS (SELECT unnest(range(1, length(seq) + 1)) pos, seq FROM @sequences), c AS (SELECT pos, bool_and(substr(seq, pos, 1) IN ('A','C','G','T')) complete, count(DISTINCT substr(seq, pos, 1)) letters FROM u GROUP BY 1) SELECT pos, complete, letters FROM c""")
 def a22_complete_sites(spark: SparkSession, sf: str) -> DataFrame:
-    bases = view(spark, sf, "sequences").select(F.posexplode(F.split("seq", "")).alias("pos", "base"))
+    bases = sequences(spark, sf).select(F.posexplode(F.split("seq", "")).alias("pos", "base"))
     return bases.groupBy((F.col("pos") + 1).cast("bigint").alias("pos")).agg(F.bool_and(F.col("base").isin("A", "C", "G", "T")).alias("complete"), F.count_distinct("base").alias("letters"))
 
 

@@ -10,7 +10,7 @@ from ..functions import scalars as S
 from ..operators import identity as I
 from .q_aggregates import rounded
 from .registry import query
-from .views import TODAY, view
+from .views import TODAY, sequences, view
 
 c = F.col
 
@@ -141,7 +141,7 @@ def f27_f30_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""WITH t AS (SELECT a.sample_id a, b.sample_id b, unnest(range(1, 65)) i, a.seq x, b.seq y FROM @sequences a JOIN @sequences b ON a.sample_id + 1 = b.sample_id) SELECT a, b, sum(CASE WHEN x[i] <> 'N' AND y[i] <> 'N' THEN 1 ELSE 0 END)::BIGINT sites, sum(CASE WHEN x[i] <> 'N' AND y[i] <> 'N' AND x[i] <> y[i] THEN 1 ELSE 0 END)::BIGINT snps FROM t GROUP BY 1, 2""")
 def f31_sequence_stats(spark: SparkSession, sf: str) -> DataFrame:
-    s = view(spark, sf, "sequences")
+    s = sequences(spark, sf)
     x, y = s.alias("x"), s.alias("y")
     return x.join(y, c("x.sample_id") + 1 == c("y.sample_id")).select(c("x.sample_id").alias("a"), c("y.sample_id").alias("b"), S.called_bases(c("x.seq"), c("y.seq")).cast("bigint").alias("sites"), S.base_differences(c("x.seq"), c("y.seq")).cast("bigint").alias("snps"))
 

@@ -14,7 +14,7 @@ from ..operators import trees as T
 from . import q_trees as Q
 from .q_aggregates import points, rounded
 from .registry import query
-from .views import view
+from .views import sequences, view
 
 c = F.col
 
@@ -88,7 +88,7 @@ def a23_strict_mask(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ordered(spark: SparkSession, sf: str) -> DataFrame:
-    return M.ordered_mask(view(spark, sf, "sequences").select((c("sample_id") % 3).alias("alignment"), c("sample_id").alias("ordinal"), "seq"))
+    return M.ordered_mask(sequences(spark, sf).select((c("sample_id") % 3).alias("alignment"), c("sample_id").alias("ordinal"), "seq"))
 
 
 @query()

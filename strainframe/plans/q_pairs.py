@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import pairs as P
 from .registry import query
-from .views import LOCI, OVERLAP, view
+from .views import LOCI, OVERLAP, sequences, view
 
 R9 = lambda c: F.round(c, 9)
 
@@ -127,14 +127,14 @@ SNP = """u AS (SELECT a.sample_id a, b.sample_id b, unnest(range(1, length(a.seq
 
 @query(f"WITH {SNP} SELECT a, b, snps, callable, round(snps::DOUBLE / nullif(callable, 0), 9) proportion FROM sn")
 def j04_snp_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return P.snp_pairs(view(spark, sf, "sequences")).withColumn("proportion", R9(F.col("proportion")))
+    return P.snp_pairs(sequences(spark, sf)).withColumn("proportion", R9(F.col("proportion")))
 
 
 @query(f"""WITH {SNP}, bw AS (SELECT a x, b y, snps, callable FROM sn UNION ALL SELECT b, a, snps, callable FROM sn),
  r AS (SELECT x query_id, y context_id, snps, callable, row_number() OVER (PARTITION BY x ORDER BY snps, callable DESC, y) i FROM bw WHERE x % 10 = 0 AND y % 10 <> 0)
  SELECT query_id, context_id, snps, callable, round(snps::DOUBLE / nullif(callable, 0), 9) proportion FROM r WHERE i = 1""")
 def j05_nearest_single(spark: SparkSession, sf: str) -> DataFrame:
-    return P.nearest_single(P.snp_pairs(view(spark, sf, "sequences")), view(spark, sf, "samples")).withColumn("proportion", R9(F.col("proportion")))
+    return P.nearest_single(P.snp_pairs(sequences(spark, sf)), view(spark, sf, "samples")).withColumn("proportion", R9(F.col("proportion")))
 
 
 @query()

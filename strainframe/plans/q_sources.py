@@ -14,7 +14,7 @@ from ..sources.shared import checkpoint_folder
 from ..streaming import capture
 from .q_aggregates import rounded
 from .registry import query
-from .views import view
+from .views import sequences, view
 
 c = F.col
 
@@ -93,7 +93,7 @@ def s08_locus_catalogue(spark: SparkSession, sf: str) -> DataFrame:
 def s19_s20_fasta(spark: SparkSession, sf: str) -> DataFrame:
     """Sequences written as FASTA text and read back."""
     at = place(spark, "fasta")
-    s = view(spark, sf, "sequences")
+    s = sequences(spark, sf)
     s.select(F.concat(F.lit(">c"), (c("sample_id") % 5).cast("string"), F.lit(" note\n"), F.substring("seq", 1, 40), F.lit("\n"), F.substring("seq", 41, 24)).alias("value")).write.text(at)
     return readers.fasta(spark, at).groupBy("name").agg(F.count("*").alias("records"), F.sum(F.length("sequence")).alias("total"))
 

@@ -15,7 +15,7 @@ from ..operators import trees as T
 from . import q_pairs as Q
 from .q_aggregates import points, rounded
 from .registry import query
-from .views import OVERLAP, view
+from .views import OVERLAP, sequences, view
 
 c = F.col
 
@@ -75,10 +75,10 @@ def c03_single_linkage(spark: SparkSession, sf: str) -> DataFrame:
     """Clusters of sequences linked by at most 25 SNPs: each link is a shared alias."""
     from ..operators.identity import connected
 
-    near = P.snp_pairs(view(spark, sf, "sequences")).where("callable > 0 and snps <= 25")
+    near = P.snp_pairs(sequences(spark, sf)).where("callable > 0 and snps <= 25")
     name = F.concat_ws("-", "a", "b")
     links = near.select(c("a").alias("id"), name.alias("alias")).unionByName(near.select(c("b").alias("id"), name.alias("alias")))
-    alone = view(spark, sf, "sequences").select(c("sample_id").alias("id"), c("sample_id").cast("string").alias("alias"))
+    alone = sequences(spark, sf).select(c("sample_id").alias("id"), c("sample_id").cast("string").alias("alias"))
     return connected(links.unionByName(alone))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TODAY = "2001-12-31"
 LOCI = 25
@@ -87,6 +88,13 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(VIEWS[name].format(**tables))
 
 
+def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sequence of every supplier; the view of that name, from which the DuckDB texts start, ends at id 150."""
+    digest = lambda n: F.md5((F.col("s_suppkey") % n).cast("string").cast("binary"))
+    seq = F.translate(F.concat(digest(40), digest(7)), "0123456789abcdef", "ACGTACGTACGTACGN")
+    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("sample_id"), seq.alias("seq"))
+
+
 def with_views(*names: str) -> str:
     """A WITH clause for DuckDB with the views named."""
     tables = {t: t for t in TABLES} | {"props_k": "json_extract_string(props, '$.k')"}
