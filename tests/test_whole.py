@@ -71,3 +71,23 @@ def test_sites_of_all_sequences(spark, wide):
     assert sorted(got(spark, "a22_complete_sites", wide)) == [(i, "N" not in x, len(set(x))) for i, x in enumerate(columns, 1)]
     masks = {(a, p): any(sequence(i)[p - 1] == "N" for i in range(a, SUPPLIERS, 3)) for a in range(3) for p in range(1, 65)}
     assert {r[:2]: r[2] for r in got(spark, "a23_strict_mask", wide)} == masks
+
+
+def test_all_identities(spark, tmp_path):
+    """800 records in units of up to six, most of them beyond id 300."""
+    rows = [(i, i // 100, float(i * 7919 % 1000)) for i in range(800)]
+    spark.createDataFrame(rows, "c_custkey bigint, c_nationkey bigint, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    sample = {i: i % 400 for i, _, _ in rows}
+    run = {i: i % 37 * 1000 + n for i, n, _ in rows}
+    links = [(a, b) for a, b in combinations(sample, 2) if sample[a] == sample[b] or run[a] == run[b]]
+    unit = smallest(sample, links)
+    assert dict(got(spark, "t11_connected_units", tmp_path)) == unit
+    country = {i: None if i % 6 == 0 else n % 9 for i, n, _ in rows}
+    want = {}
+    for u in set(unit.values()):
+        own = [i for i in unit if unit[i] == u]
+        names = {country[i] for i in own} - {None}
+        best = max(own, key=lambda i: (rows[i][2], -i))
+        reason = "conflicting_samples" if len({sample[i] for i in own}) > 1 else "duplicate" if len(own) > 1 else "retained"
+        want[u] = (len(own), best, len(names), len(names) > 1, reason)
+    assert {r[0]: r[1:] for r in got(spark, "a12_unit_summary", tmp_path)} == want
