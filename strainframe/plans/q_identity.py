@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import scalars as S
 from ..operators import identity as I
+from ..operators import pairs as P
 from .q_aggregates import rounded
 from .registry import query
 from .views import TODAY, sequences, view
@@ -41,9 +42,8 @@ def f05_typing_scope(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""WITH s AS (SELECT sample_id, CASE WHEN scheme <> 'unknown' THEN scheme || '|' || version END scope, database_sha256 sha FROM @samples WHERE sample_id <= 60) SELECT a.sample_id a, b.sample_id b, a.scope IS NOT DISTINCT FROM b.scope AND NOT (a.sha <> '' AND b.sha <> '' AND a.sha <> b.sha) compatible FROM s a JOIN s b ON a.sample_id < b.sample_id""")
 def f06_compatible_typing(spark: SparkSession, sf: str) -> DataFrame:
-    s = view(spark, sf, "samples").where("sample_id <= 60").select("sample_id", S.typing_scope(c("scheme"), c("version"), F.lit("")).alias("scope"), "database_sha256")
-    x, y = s.alias("x"), s.alias("y")
-    return x.join(y, c("x.sample_id") < c("y.sample_id")).select(c("x.sample_id").alias("a"), c("y.sample_id").alias("b"), S.compatible_typing(c("x.scope"), c("y.scope"), c("x.database_sha256"), c("y.database_sha256")).alias("compatible"))
+    s = view(spark, sf, "samples").select("sample_id", S.typing_scope(c("scheme"), c("version"), F.lit("")).alias("scope"), "database_sha256")
+    return P.tiled(s).select(c("p.sample_id").alias("a"), c("q.sample_id").alias("b"), S.compatible_typing(c("p.scope"), c("q.scope"), c("p.database_sha256"), c("q.database_sha256")).alias("compatible"))
 
 
 @query("""WITH p AS (SELECT sample_id, lineage, sample_id % 6 <> 5 AND sample_id % 8 = 0 bad, [x for x in string_split(lineage, '_') if regexp_full_match(x, '[0-9]+')] n FROM @samples)
@@ -57,9 +57,8 @@ def f07_f08_lineage_codes(spark: SparkSession, sf: str) -> DataFrame:
  k AS (SELECT a.sample_id a, b.sample_id b, a.n x, b.n y, least(len(a.n), len(b.n)) m, coalesce(list_min([i for i in range(1, 6) if i > least(len(a.n), len(b.n)) OR a.n[i] <> b.n[i]]) - 1, 5) d FROM p a JOIN p b ON a.sample_id < b.sample_id)
  SELECT a, b, CASE WHEN m < 3 THEN 'Unresolved LIN3 prefix' WHEN x[1:3] = y[1:3] THEN 'Same LIN3 prefix' ELSE 'Different LIN3 prefixes' END relation, CASE WHEN m = 0 THEN 'Not assessed' WHEN d = m THEN '≥' || d ELSE d::VARCHAR END AS depth FROM k""")
 def f28_prefix_relation(spark: SparkSession, sf: str) -> DataFrame:
-    s = view(spark, sf, "samples").where("sample_id <= 50").select("sample_id", S.lineage_components(c("lineage")).alias("n"))
-    x, y = s.alias("x"), s.alias("y")
-    return x.join(y, c("x.sample_id") < c("y.sample_id")).select(c("x.sample_id").alias("a"), c("y.sample_id").alias("b"), S.prefix_relation(c("x.n"), c("y.n"), 3).alias("relation"), S.prefix_depth(c("x.n"), c("y.n")).alias("depth"))
+    s = view(spark, sf, "samples").select("sample_id", S.lineage_components(c("lineage")).alias("n"))
+    return P.tiled(s).select(c("p.sample_id").alias("a"), c("q.sample_id").alias("b"), S.prefix_relation(c("p.n"), c("q.n"), 3).alias("relation"), S.prefix_depth(c("p.n"), c("q.n")).alias("depth"))
 
 
 @query("""SELECT sample_id, CASE WHEN scheme <> 'unknown' AND sample_id % 5 <> 1 AND sample_id % 3 <> 2 THEN scheme || '|' || version || '|' || sample_id END AS "key" FROM @samples""")
@@ -167,7 +166,7 @@ def j08_focal_resolution(spark: SparkSession, sf: str) -> DataFrame:
     cust = spark.read.parquet(f"{sf}/customer.parquet").select(c("c_custkey").alias("source_id"))
     focal = s.where("role = 'input'").select("sample_id", (k % 101).alias("accession"), F.when(k % 3 == 0, k % 5).alias("direct_id"))
     links = s.where("sample_id % 4 = 0").select("sample_id", (k + 1).alias("source_id")).unionByName(s.where("sample_id % 8 = 0").select("sample_id", (k + 2).alias("source_id")))
-    return I.resolve_focal(focal, links, cust.where("source_id < 150").select((c("source_id") % 97).alias("accession"), "source_id"), cust)
+    return I.resolve_focal(focal, links, cust.select((c("source_id") % 97).alias("accession"), "source_id"), cust)
 
 
 @query("""WITH w AS (SELECT DISTINCT sample_accession AS alias FROM @identities WHERE id % 5 = 0 UNION SELECT 'SAMN999999'), k AS (SELECT w.alias, count(DISTINCT id) n, min(id) id FROM w LEFT JOIN @identities i ON i.sample_accession = w.alias AND i.id % 2 = 0 GROUP BY 1) SELECT alias, n candidates, CASE n WHEN 1 THEN 'found' WHEN 0 THEN 'missing' ELSE 'ambiguous' END status, CASE WHEN n = 1 THEN id END candidate FROM k""")
@@ -217,7 +216,7 @@ DNA = "translate(md5(locus || allele), '0123456789abcdef', 'ACGTACGTACGTACGN')"
 @query(f"""WITH k AS (SELECT sample_id, locus, allele, {DNA} dna FROM @calls WHERE sample_id <= 40), u AS (SELECT a.sample_id a, b.sample_id b, a.locus, a.dna x, b.dna y, unnest(range(1, 33)) i FROM k a JOIN k b ON a.locus = b.locus AND a.sample_id < b.sample_id)
  SELECT a, b, count(DISTINCT locus) loci, 0::BIGINT missing_loci, sum(CASE WHEN x[i] <> 'N' AND y[i] <> 'N' THEN 1 ELSE 0 END)::BIGINT sites, sum(CASE WHEN x[i] <> 'N' AND y[i] <> 'N' AND x[i] <> y[i] THEN 1 ELSE 0 END)::BIGINT snps, round(sum(CASE WHEN x[i] <> 'N' AND y[i] <> 'N' AND x[i] <> y[i] THEN 1 ELSE 0 END)::DOUBLE / sum(CASE WHEN x[i] <> 'N' AND y[i] <> 'N' THEN 1 ELSE 0 END), 9) distance FROM u GROUP BY 1, 2""")
 def j15_direct_dna(spark: SparkSession, sf: str) -> DataFrame:
-    calls = view(spark, sf, "calls").where("sample_id <= 40")
+    calls = view(spark, sf, "calls")
     alleles = calls.select("locus", "allele").distinct().withColumn("dna", F.translate(F.md5(F.concat("locus", "allele")), "0123456789abcdef", "ACGTACGTACGTACGN"))
     return rounded(I.dna_distances(calls, I.allele_pair_stats(alleles)), "distance")
 

@@ -195,7 +195,7 @@ def u06_merged_datasets(spark: SparkSession, sf: str) -> DataFrame:
 def u01_captured_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Records captured from a stream of files, batch by batch."""
     source, target, state = place(spark, "in"), place(spark, "captured"), place(spark, "state")
-    spark.read.parquet(f"{sf}/events.parquet").where("event_id < 200").select("event_id", "event_type").repartition(3).write.json(source)
+    spark.read.parquet(f"{sf}/events.parquet").select("event_id", "event_type").repartition(3).write.json(source)
     capture.captured(capture.stream_of(spark, source, "event_id bigint, event_type string"), target, state)
     return spark.read.parquet(target).select("event_id", "event_type")
 

@@ -3,11 +3,35 @@
 import hashlib
 from itertools import combinations
 
+import duckdb
 import pytest
 
 from strainframe.plans import catalogue
 
+from .test_queries import TABLES, rows
+
 SUPPLIERS = 171
+#: What limits the SQL of a query, and the scale factor on which the query is held against the SQL without that.
+LIMITED = {
+    "f06_compatible_typing": (" WHERE sample_id <= 60", "", "0.01"),
+    "f28_prefix_relation": (" WHERE sample_id <= 50", "", "0.01"),
+    "j15_direct_dna": (" WHERE sample_id <= 40", "", "0.01"),
+    "a36_fixed_panel": (" WHERE sample_id <= 60", "", "0.01"),
+    "j08_focal_resolution": (" AND c_custkey < 150", "", "0.01"),
+    "u01_captured_stream": (" WHERE event_id < 200", "", "0.01"),
+}
+
+
+@pytest.mark.parametrize("name", sorted(LIMITED))
+def test_beyond_the_sql(spark, name):
+    limit, instead, scale = LIMITED[name]
+    at, duck = f"/root/testdata/sf{scale}", duckdb.connect()
+    for t in TABLES:
+        duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '{at}/{t}.parquet'")
+    assert catalogue.ORACLES[name].count(limit) == 1
+    want = rows(duck.execute(catalogue.ORACLES[name].replace(limit, instead)).fetchdf())
+    assert rows(catalogue.QUERIES[name](spark, at).toPandas()) == want
+    assert want != rows(duck.execute(catalogue.ORACLES[name]).fetchdf())
 
 
 @pytest.fixture(scope="module")
