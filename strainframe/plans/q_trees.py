@@ -290,7 +290,7 @@ EDGES = "e AS (SELECT n_name source, p_brand target, count(*) n FROM supplier JO
 
 def edges(spark: SparkSession, sf: str) -> DataFrame:
     t = {n: spark.read.parquet(f"{sf}/{n}.parquet") for n in ("supplier", "nation", "region", "lineitem", "part")}
-    sold = t["lineitem"].where("l_orderkey % 97 = 0").join(t["part"], c("p_partkey") == c("l_partkey")).join(t["supplier"], c("s_suppkey") == c("l_suppkey")).join(t["nation"], c("s_nationkey") == c("n_nationkey"))
+    sold = t["lineitem"].join(t["part"], c("p_partkey") == c("l_partkey")).join(t["supplier"], c("s_suppkey") == c("l_suppkey")).join(t["nation"], c("s_nationkey") == c("n_nationkey"))
     return sold.groupBy(c("n_name").alias("source"), c("p_brand").alias("target")).agg(F.count("*").alias("n")).unionByName(t["nation"].join(t["region"], c("n_regionkey") == c("r_regionkey")).select(c("n_name").alias("source"), c("r_name").alias("target"), F.lit(1).cast("bigint").alias("n")))
 
 

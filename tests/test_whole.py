@@ -18,6 +18,9 @@ LIMITED = {
     "j15_direct_dna": (" WHERE sample_id <= 40", "", "0.01"),
     "a36_fixed_panel": (" WHERE sample_id <= 60", "", "0.01"),
     "j08_focal_resolution": (" AND c_custkey < 150", "", "0.01"),
+    "t15_degrees": (" WHERE l_orderkey % 97 = 0", "", "0.01"),
+    "t21_ego_network": (" WHERE l_orderkey % 97 = 0", "", "0.01"),
+    "f23_period_comparison": (" WHERE id % 50 = 0", "", "0.01"),
     "u01_captured_stream": (" WHERE event_id < 200", "", "0.01"),
 }
 
