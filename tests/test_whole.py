@@ -21,6 +21,7 @@ LIMITED = {
     "t15_degrees": (" WHERE l_orderkey % 97 = 0", "", "0.01"),
     "t21_ego_network": (" WHERE l_orderkey % 97 = 0", "", "0.01"),
     "f23_period_comparison": (" WHERE id % 50 = 0", "", "0.01"),
+    "a24_binned_profile": ("range(0, 12)", "range(0, (SELECT max(end_at) // 500 + 1 FROM windows))", "0.1"),
     "u01_captured_stream": (" WHERE event_id < 200", "", "0.01"),
 }
 
@@ -118,3 +119,14 @@ def test_all_identities(spark, tmp_path):
         reason = "conflicting_samples" if len({sample[i] for i in own}) > 1 else "duplicate" if len(own) > 1 else "retained"
         want[u] = (len(own), best, len(names), len(names) > 1, reason)
     assert {r[0]: r[1:] for r in got(spark, "a12_unit_summary", tmp_path)} == want
+
+
+def test_all_bins_of_branches(spark, tmp_path):
+    """Intervals that begin at part keys up to 4,970, one for each supplier."""
+    spark.range(72).selectExpr("id l_suppkey", "id * 70 l_partkey", "cast(id % 50 + 1 as double) l_quantity", "id l_orderkey").write.parquet(f"{tmp_path}/lineitem.parquet")
+    want = {}
+    for i in range(72):
+        for b in {i * 70 // 100, (i * 70 + i % 50) // 100}:
+            want[b] = want.get(b, 0) + 1
+    assert max(want) > 20
+    assert sorted(got(spark, "j17_bin_branches", tmp_path)) == [(b, n, n) for b, n in sorted(want.items())]
