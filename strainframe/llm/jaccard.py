@@ -7,37 +7,46 @@ common order (very frequent ones last), so no link is lost.  Inside a block
 the distance is bounded from below by the L1 distance of 128 counts of hashed
 shingles, itself a metric:
 
-* a block of a few documents joins directly;
+* a block of a few documents joins directly, and its pairs are verified on
+  whole sets;
 * a larger one chooses pivots far apart, deals its documents to Voronoi
   regions, replicates those within the triangle-inequality window of a border,
-  and each region joins recursively;
-* a region that no longer shrinks (near copies of one text) is joined in
-  rounds: first all with its pivot and with their neighbours in the order of
-  distance to it, then what is not yet in one component with its nearest
-  untested partners, more of them each time, until none is untested.
-
-Candidates are verified on whole sets, a few for each document at a time, and
-linked ones become components.  Pairs already in one component need no test,
-which keeps groups of near copies linear.
+  and each region joins recursively until it no longer shrinks.
+
+Regions that share documents, and documents that share a very frequent
+shingle, form clumps: mostly near copies of one text, and any number of them.
+A clump gets one more pivot, the shingles of most of its documents (or, where
+they have none in common, the empty set).  With the exact symmetric
+differences Dx, Dy from that pivot, |x - y| = |Dx| + |Dy| - 2 |Dx & Dy|, so x
+and y link if and only if w(x) + w(y) <= 2 (per + least) |Dx & Dy| for
+w(x) = (per + least) |Dx| - (per - least) |x|.  One document of least w so
+links all that lie in its window, without looking at pairs.  What is left
+meets the clump's documents in tiles of bounded size, by an index over
+differences, where it first chooses pivots of its own.  A tile gives no more
+links than it has documents.
+
+Pairs already in one component need no test, so groups of near copies cost in
+proportion to their size.
 
 Defined cases: a document without words has no shingles and links with nothing;
 one with fewer words than a shingle has its whole sequence as one; equal word
-sequences link; rows of one id count as linked; a null id gets its group's
-component, or null; texts are taken whole; an empty table gives an empty table.
+sequences link; rows of one id count as linked, whatever their texts; a null id
+gets its group's component, or null; texts are taken whole; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .exchange import asks, chunked, column_of, packed, unpacked
+from .exchange import ROW_BITS, asks, chunked, column_of, frugal, in_order, packed, rows_of, unpacked
 from .shared import buckets_for, stored
 from .substrings import window_hashes
 from .units import mix, word_hashes
@@ -46,8 +55,10 @@ CLASSES = 128
 LEAF = 24
 REGION = 256
 PIVOTS = 64
+#: Documents of a clump that vote on its pivot, and documents on either side of a tile.
+VOTERS, TILE = 32, 2048
 
-PAIR = "a long, a_chunk int, b long, b_chunk int"
+PAIR = "a long, b long"
 
 
 class Rule:
@@ -71,6 +82,14 @@ class Rule:
         """The largest symmetric difference of linked sets of at most these sizes."""
         return 2 * int(n.max()) * (self.per - self.least) // (self.per + self.least)
 
+    def weight(self, n: np.ndarray, apart: np.ndarray) -> np.ndarray:
+        """w of sets of sizes n that differ from a pivot by ``apart``: two link if their weights' sum is at most ``reach`` times the common part of their differences."""
+        return (self.per + self.least) * apart - (self.per - self.least) * n
+
+    @property
+    def reach(self) -> int:
+        return 2 * (self.per + self.least)
+
 
 def shingle_sets(docs: pa.Table, rule: Rule) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each document its word hashes and its sorted distinct shingle hashes."""
@@ -85,15 +104,15 @@ def shingle_sets(docs: pa.Table, rule: Rule) -> Iterator[tuple[np.ndarray, np.nd
             yield words[a:b], np.zeros(0, np.uint64)
 
 
-DESCRIBED = "chunk int, doc_id long, node binary, n_shingles long, bucket int, keys binary, extra binary"
+DESCRIBED = "row long, doc_id long, node binary, n_shingles long, bucket int, chunk long, keys binary, extra binary"
 
 
 def describe(rule: Rule, buckets: int):
-    """Two kinds of rows: each document's (chunk, doc_id, node, n_shingles), node naming its word sequence; and, by
+    """Two kinds of rows: each document's (row, doc_id, node, n_shingles), node naming its word sequence; and, by
     bucket, the chunk's shingles that at least two of its documents have, with their number."""
 
     def run(key: tuple, docs: pa.Table) -> pa.Table:
-        node, n, sets = [], [], []
+        docs, node, n, sets = in_order(docs), [], [], []
         for words, grams in shingle_sets(docs, rule):
             node.append(xxhash.xxh3_128_digest(words.tobytes()) if len(words) else None)
             n.append(len(grams))
@@ -101,19 +120,17 @@ def describe(rule: Rule, buckets: int):
         grams, count = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         common = asks(key[0].as_py(), grams[count > 1], count[count > 1].astype(np.uint32), buckets)
         k, m = len(docs), len(common)
-        own = pa.table({"chunk": docs["chunk"].cast(pa.int32()), "doc_id": docs["doc_id"].cast(pa.int64()), "node": pa.array(node, pa.binary()), "n_shingles": pa.array(n, pa.int64()), "bucket": pa.nulls(k, pa.int32()), "keys": pa.nulls(k, pa.binary()), "extra": pa.nulls(k, pa.binary())})
-        return pa.concat_tables([own, pa.table({"chunk": common["chunk"], "doc_id": pa.nulls(m, pa.int64()), "node": pa.nulls(m, pa.binary()), "n_shingles": pa.nulls(m, pa.int64()), "bucket": common["bucket"], "keys": common["keys"], "extra": common["extra"]})])
+        rows = pa.array(rows_of(key[0].as_py(), np.arange(k)))
+        own = pa.table({"row": rows, "doc_id": docs["doc_id"].cast(pa.int64()), "node": pa.array(node, pa.binary()), "n_shingles": pa.array(n, pa.int64()), "bucket": pa.nulls(k, pa.int32()), "chunk": pa.nulls(k, pa.int64()), "keys": pa.nulls(k, pa.binary()), "extra": pa.nulls(k, pa.binary())})
+        asked = pa.table({"row": pa.nulls(m, pa.int64()), "doc_id": pa.nulls(m, pa.int64()), "node": pa.nulls(m, pa.binary()), "n_shingles": pa.nulls(m, pa.int64()), "bucket": common["bucket"], "chunk": common["chunk"], "keys": common["keys"], "extra": common["extra"]})
+        return pa.concat_tables([own, asked])
 
     return run
 
 
-def only(docs: pa.Table, ids: pa.ChunkedArray) -> pa.Table:
-    """One row for each document of ``ids`` (the first by text, if an id has several)."""
-    import pyarrow.compute as pc
-
-    own = docs.filter(pc.is_in(docs["doc_id"], value_set=ids.combine_chunks())).sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    names = own["doc_id"].to_numpy()
-    return own.take(pa.array(np.flatnonzero(np.append(True, names[1:] != names[:-1])) if len(names) else [], pa.int64()))
+def picked(key: tuple, docs: pa.Table, rows: np.ndarray) -> pa.Table:
+    """The chunk's documents of these rows, in their order."""
+    return in_order(docs).take(pa.array(rows - rows_of(key[0].as_py(), np.zeros(1, np.int64))))
 
 
 def very_common(least: int):
@@ -125,49 +142,88 @@ def very_common(least: int):
     return run
 
 
+POSTED = "bucket int, blob binary, gram long, a long, b long"
+
+
+def posted_rows(bucket: list, blob: list, gram: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Table:
+    """Posts; edges between documents of one clump; and, where gram is given, a document that has this very frequent shingle."""
+    n, m, k = len(bucket), len(a), len(gram)
+    pad = lambda before, values, after: pa.concat_arrays([pa.nulls(before, values.type), values, pa.nulls(after, values.type)])
+    return pa.table({
+        "bucket": pad(0, pa.array(bucket, pa.int32()), m), "blob": pad(0, pa.array(blob, pa.binary()), m),
+        "gram": pad(n, pa.array(gram.view(np.int64), pa.int64()), m - k), "a": pad(n, pa.array(a, pa.int64()), 0), "b": pad(n, pa.array(b, pa.int64()), 0),
+    })
+
+
+def joined_by(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
+    """The smallest place that edges left-right connect with each of n places."""
+    home = np.arange(n)
+    while True:
+        low = np.minimum(home[left], home[right])
+        before = home.copy()
+        np.minimum.at(home, left, low)
+        np.minimum.at(home, right, low)
+        home = home[home]
+        if (home == before).all():
+            return home
+
+
 def post(rule: Rule, buckets: int, common: np.ndarray):
-    """The first shingles of each document in the common order, with its size and counts."""
+    """The first shingles of each document in the common order, with its size and counts.
+
+    Very frequent ones are not posted: documents that must look at them go to one clump.
+    """
 
     def run(key: tuple, docs: pa.Table, chosen: pa.Table) -> pa.Table:
-        own = only(docs, chosen["doc_id"])
-        grams, which, size, counts = [], [], [], []
-        for i, (_, g) in enumerate(shingle_sets(own, rule)):
+        names = chosen["row"].to_numpy()
+        grams, which, size, counts, hot, hot_of = [], [], [], [], [], []
+        for i, (_, g) in enumerate(shingle_sets(picked(key, docs, names), rule)):
             size.append(len(g))
             counts.append(np.minimum(np.bincount((g & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES), 255))
-            if len(g):
-                late = common[np.minimum(np.searchsorted(common, g), len(common) - 1)] == g if len(common) else np.zeros(len(g), bool)
-                # The order is by mixed hash, so that a document's first shingles are a random part of it.
-                g = g[np.lexsort((mix(g), late))][: rule.prefix(len(g))]
-                grams.append(g)
-                which.append(np.full(len(g), i))
-        if not grams:
-            return pa.table({"bucket": pa.array([], pa.int32()), "blob": pa.array([], pa.binary())})
-        grams, which = np.concatenate(grams), np.concatenate(which)
+            late = common[np.minimum(np.searchsorted(common, g), len(common) - 1)] == g if len(common) else np.zeros(len(g), bool)
+            # The order is by mixed hash, so that a document's first shingles are a random part of it.
+            order = np.lexsort((mix(g), late))[: rule.prefix(len(g))]
+            g, late = g[order], late[order]
+            grams.append(g[~late])
+            which.append(np.full(len(grams[-1]), i))
+            hot.append(g[late])
+            hot_of.append(np.full(len(hot[-1]), i))
+        none = np.zeros(0, np.int64)
+        if not len(names):
+            return posted_rows([], [], none, none, none)
+        grams, which, hot, hot_of = (np.concatenate(x) for x in (grams, which, hot, hot_of))
         bucket = ((mix(grams) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        names, start = np.unique(bucket[order], return_index=True)
-        ids, size, counts = own["doc_id"].to_numpy().astype(np.int64), np.array(size, np.uint32), np.array(counts, np.uint8)
+        kinds, start = np.unique(bucket[order], return_index=True)
+        size, counts = np.array(size, np.uint32), np.array(counts, np.uint8)
         blobs = []
         for a, b in zip(start, np.append(start, len(order))[1:], strict=True):
             some = order[a:b]
             docs_here, place = np.unique(which[some], return_inverse=True)
-            blobs.append(packed(grams[some], place.astype(np.uint32), ids[docs_here], np.full(len(docs_here), key[0].as_py(), np.int32), size[docs_here], counts[docs_here].reshape(-1)))
-        return pa.table({"bucket": pa.array(names, pa.int32()), "blob": pa.array(blobs, pa.binary())})
+            blobs.append(packed(grams[some], place.astype(np.uint32), names[docs_here], size[docs_here], counts[docs_here].reshape(-1)))
+        # Documents and very frequent shingles of this chunk that hang together are named by their first document.
+        shingles, place = np.unique(hot, return_inverse=True)
+        home = joined_by(place, len(shingles) + hot_of, len(shingles) + len(names))
+        first = np.full(len(home), len(home))
+        np.minimum.at(first, home[len(shingles) :], np.arange(len(names)))
+        edge_docs = np.unique(hot_of)
+        heads = names[first[home[np.concatenate([np.arange(len(shingles)), len(shingles) + edge_docs])]]] if len(hot) else none
+        return posted_rows(kinds.tolist(), blobs, shingles if len(hot) else none, heads, np.concatenate([heads[: len(shingles)], names[edge_docs]]))
 
     return run
 
 
 class Block:
-    """Documents that may link: ids, chunks, sizes and counts."""
+    """Documents that may link: names, sizes and counts."""
 
-    def __init__(self, ids: np.ndarray, chunks: np.ndarray, sizes: np.ndarray, counts: np.ndarray):
-        self.ids, self.chunks, self.sizes, self.counts = ids, chunks, sizes.astype(np.int64), counts
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray, counts: np.ndarray):
+        self.ids, self.sizes, self.counts = ids, sizes.astype(np.int64), counts
 
     def __len__(self) -> int:
         return len(self.ids)
 
     def take(self, at: np.ndarray) -> Block:
-        return Block(self.ids[at], self.chunks[at], self.sizes[at], self.counts[at])
+        return Block(self.ids[at], self.sizes[at], self.counts[at])
 
     def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """A lower bound of the symmetric differences of i and j."""
@@ -183,14 +239,6 @@ class Block:
         ok[ok] = rule.feasible(self.sizes[i[ok]], self.sizes[j[ok]], self.apart(i[ok], j[ok]))
         return ok
 
-    def blob(self) -> bytes:
-        return packed(self.ids, self.chunks, self.sizes.astype(np.uint32), self.counts.reshape(-1))
-
-    @classmethod
-    def of(cls, blob: bytes) -> Block:
-        ids, chunks, sizes, counts = unpacked(blob)
-        return cls(ids, chunks, sizes, counts.reshape(-1, CLASSES))
-
 
 def direct(block: Block, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     i, j = np.triu_indices(len(block), 1)
@@ -240,146 +288,274 @@ def feasible_parts(block: Block, rule: Rule) -> Iterator[Block]:
         yield block
         return
     i, j = direct(block, rule)
-    home = np.arange(len(block))
-    while True:
-        low = np.minimum(home[i], home[j])
-        before = home.copy()
-        np.minimum.at(home, i, low)
-        np.minimum.at(home, j, low)
-        home = home[home]
-        if (home == before).all():
-            break
+    home = joined_by(i, j, len(block))
     for name in np.unique(home[i]):
         yield block.take(np.flatnonzero(home == name))
 
 
-def ordered(block: Block) -> Block:
-    """By distance to the pivot (the document of the smallest id), which comes first."""
-    pivot = int(block.ids.argmin())
-    delta = block.apart(np.arange(len(block)), np.full(len(block), pivot))
-    delta[pivot] = -1
-    return block.take(np.lexsort((block.ids, delta)))
+MET = "a long, b long, clump boolean"
 
 
 def meet(rule: Rule):
-    """Candidate pairs of a bucket's small blocks, and its larger regions."""
+    """Candidate pairs of a bucket's small blocks, and edges that hold its larger regions together."""
 
     def run(table: pa.Table) -> pa.Table:
-        parts = [unpacked(x) for x in table["blob"].to_pylist()]
+        parts = [unpacked(x.as_buffer()) for x in table["blob"]]
         off = np.cumsum([0] + [len(p[2]) for p in parts[:-1]])
         gram = np.concatenate([p[0] for p in parts])
         doc = np.concatenate([p[1].astype(np.int64) + o for p, o in zip(parts, off, strict=True)])
-        everything = Block(*(np.concatenate([p[k] for p in parts]) for k in (2, 3, 4)), np.concatenate([p[5] for p in parts]).reshape(-1, CLASSES))
+        everything = Block(*(np.concatenate([p[k] for p in parts]) for k in (2, 3)), np.concatenate([p[4] for p in parts]).reshape(-1, CLASSES))
+        del parts
         order = np.lexsort((everything.ids[doc], gram))
         gram, doc = gram[order], doc[order]
         start = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
         size = np.diff(np.append(start, len(gram)))
-        first, second, large = [], [], []
+        first, second = [], []
         # Blocks of one size are joined directly together.
         for k in range(2, LEAF + 1):
             own = start[size == k]
             for i, j in zip(*np.triu_indices(k, 1), strict=True):
                 first.append(doc[own + i])
                 second.append(doc[own + j])
+        pairs = [pairs_of(everything, np.concatenate(first), np.concatenate(second), rule)]
+        edges = [np.zeros((0, 2), np.int64)]
         seen: set[bytes] = set()
         for a, k in zip(start[size > LEAF], size[size > LEAF], strict=True):
             members = doc[a : a + k]
-            if (mark := members.tobytes()) not in seen:
-                seen.add(mark)
-                large += [ordered(part) for r in regions(everything.take(members), rule) for part in feasible_parts(r, rule)]
-        rows = pairs_table(everything, np.concatenate(first) if first else np.zeros(0, np.int64), np.concatenate(second) if second else np.zeros(0, np.int64), rule)
-        small = [r for r in large if len(r) <= LEAF]
-        tables = [rows] + [pairs_table(r, *np.triu_indices(len(r), 1), rule) for r in small]
-        large = [r for r in large if len(r) > LEAF]
-        tables.append(pa.table({"a": pa.nulls(len(large), pa.int64()), "a_chunk": pa.nulls(len(large), pa.int32()), "b": pa.nulls(len(large), pa.int64()), "b_chunk": pa.nulls(len(large), pa.int32()), "region": pa.array([xxhash.xxh3_64_intdigest(r.ids.tobytes()) >> 1 for r in large], pa.int64()), "blob": pa.array([r.blob() for r in large], pa.binary())}))
-        return pa.concat_tables(tables)
+            if (mark := xxhash.xxh3_128_digest(members.tobytes())) in seen:
+                continue
+            seen.add(mark)
+            for region in regions(everything.take(members), rule):
+                for part in feasible_parts(region, rule):
+                    if len(part) <= LEAF:
+                        pairs.append(pairs_of(part, *np.triu_indices(len(part), 1), rule))
+                    else:
+                        edges.append(np.stack([np.full(len(part), part.ids.min()), part.ids], axis=1))
+        pairs, edges = (np.unique(np.concatenate(x), axis=0) for x in (pairs, edges))
+        rows = np.concatenate([pairs, edges])
+        return pa.table({"a": pa.array(rows[:, 0]), "b": pa.array(rows[:, 1]), "clump": pa.array(np.arange(len(rows)) >= len(pairs))})
 
     return run
 
 
-def pairs_table(block: Block, i: np.ndarray, j: np.ndarray, rule: Rule) -> pa.Table:
-    ok = block.feasible(rule, i, j) if len(i) else np.zeros(0, bool)
-    i, j = i[ok], j[ok]
-    swap = block.ids[i] > block.ids[j]
-    i, j = np.where(swap, j, i), np.where(swap, i, j)
-    if len(i):
-        _, keep = np.unique(np.stack([block.ids[i], block.ids[j]], axis=1), axis=0, return_index=True)
-        i, j = i[keep], j[keep]
-    n = len(i)
-    return pa.table({"a": pa.array(block.ids[i], pa.int64()), "a_chunk": pa.array(block.chunks[i], pa.int32()), "b": pa.array(block.ids[j], pa.int64()), "b_chunk": pa.array(block.chunks[j], pa.int32()), "region": pa.nulls(n, pa.int64()), "blob": pa.nulls(n, pa.binary())})
+def pairs_of(block: Block, i: np.ndarray, j: np.ndarray, rule: Rule) -> np.ndarray:
+    """The feasible ones among the pairs, smaller names first."""
+    if not len(i):
+        return np.zeros((0, 2), np.int64)
+    ok = block.feasible(rule, i, j)
+    x, y = block.ids[i[ok]], block.ids[j[ok]]
+    return np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)
 
 
-MET = PAIR + ", region long, blob binary"
+def ballots(rule: Rule):
+    """The sets of a chunk's voters."""
 
+    def run(key: tuple, docs: pa.Table, told: pa.Table) -> pa.Table:
+        sets = [g.tobytes() for _, g in shingle_sets(picked(key, docs, told["id"].to_numpy()), rule)]
+        return pa.table({"clump": told["clump"].cast(pa.int64()), "grams": pa.array(sets, pa.binary())})
 
-def star(rule: Rule):
-    """First round of a region: everyone with the pivot and with the next two in order."""
+    return run
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for blob in batch.column(0):
-                block = Block.of(blob.as_py())
-                n, every = len(block), np.arange(len(block))
-                i = np.concatenate([np.zeros(n - 1, np.int64), every[:-1], every[:-2]])
-                j = np.concatenate([every[1:], every[1:], every[2:]])
-                yield from pairs_table(block, i, j, rule).drop_columns(["region", "blob"]).combine_chunks().to_batches()
 
-    return run
+def vote(table: pa.Table) -> pa.Table:
+    """The shingles that most voters of a clump have."""
+    grams, n = np.unique(np.concatenate(column_of(table, "grams", np.uint64)), return_counts=True)
+    return pa.table({"clump": table["clump"][:1].cast(pa.int64()), "pivot": pa.array([grams[2 * n > len(table)].tobytes()], pa.binary())})
 
 
-def remaining(rule: Rule, most: int):
-    """Later rounds: pairs of different components, each document outside the largest with its nearest ``most``.
+DIFFERENCE = "clump long, id long, n long, w long, difference binary"
 
-    A row with null ids says that some document has more partners than that.
-    """
 
-    def run(key: tuple, held: pa.Table, labels: pa.Table) -> pa.Table:
-        block = Block.of(held["blob"][0].as_py())
-        n = len(block)
-        label = block.ids.copy()
-        if len(labels):
-            names, comps = labels["id"].to_numpy(), labels["component"].to_numpy()
-            order = np.argsort(names)
-            spot = np.minimum(np.searchsorted(names[order], block.ids), len(names) - 1)
-            hit = names[order][spot] == block.ids
-            label[hit] = comps[order][spot[hit]]
-        kinds, place, count = np.unique(label, return_inverse=True, return_counts=True)
-        out = []
-        if len(kinds) > 1:
-            for y in np.flatnonzero(place != count.argmax()):
-                other = np.flatnonzero(label != label[y])
-                at = np.full(len(other), y)
-                apart = block.apart(at, other)
-                ok = rule.feasible(block.sizes[at], block.sizes[other], apart)
-                other, apart = other[ok], apart[ok]
-                near = other[np.lexsort((block.ids[other], apart))]
-                if len(near) > most:
-                    out.append(pa.table({"a": pa.nulls(1, pa.int64()), "a_chunk": pa.nulls(1, pa.int32()), "b": pa.nulls(1, pa.int64()), "b_chunk": pa.nulls(1, pa.int32())}))
-                out.append(pairs_table(block, np.full(len(near[:most]), y), near[:most], rule).drop_columns(["region", "blob"]))
-        empty = pairs_table(block, np.zeros(0, np.int64), np.zeros(0, np.int64), rule).drop_columns(["region", "blob"])
-        return pa.concat_tables([empty, *out])
+def differences(rule: Rule):
+    """What each document of a clump and its pivot do not have in common, and its weight."""
+
+    def run(key: tuple, docs: pa.Table, told: pa.Table) -> pa.Table:
+        own, given = told.filter(pc.is_valid(told["id"])), told.filter(pc.is_valid(told["pivot"]))
+        pivots = dict(zip(given["clump"].to_pylist(), column_of(given, "pivot", np.uint64), strict=True))
+        n, w, apart = [], [], []
+        for clump, (_, g) in zip(own["clump"].to_pylist(), shingle_sets(picked(key, docs, own["id"].to_numpy()), rule), strict=True):
+            d = np.setxor1d(g, pivots[clump], assume_unique=True)
+            n.append(len(g))
+            w.append(int(rule.weight(len(g), len(d))))
+            apart.append(d.tobytes())
+        return pa.table({"clump": own["clump"].cast(pa.int64()), "id": own["id"].cast(pa.int64()), "n": pa.array(n, pa.int64()), "w": pa.array(w, pa.int64()), "difference": pa.array(apart, pa.binary())})
 
     return run
 
 
+class Tile:
+    """Some documents of a clump by their differences from its pivot: links between those not yet in one component."""
+
+    def __init__(self, rule: Rule, ids: np.ndarray, sizes: np.ndarray, w: np.ndarray, parts: list[np.ndarray], home: np.ndarray, asks: np.ndarray):
+        self.rule, self.ids, self.sizes, self.w, self.home, self.asks = rule, ids, sizes, w, home, asks
+        self.length = np.fromiter(map(len, parts), np.int64, len(parts))
+        self.first = np.concatenate([[0], np.cumsum(self.length)])
+        self.doc = np.repeat(np.arange(len(parts)), self.length)
+        names, self.code, self.often = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.uint64), return_inverse=True, return_counts=True)
+        self.width = len(names) + 1
+        self.found: list[np.ndarray] = []
+
+    def link(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Join the components of linked documents; only links that do so are kept."""
+        kinds, place = np.unique(self.home, return_inverse=True)
+        parent = np.arange(len(kinds))
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        keep = []
+        for k, (x, y) in enumerate(zip(place[i].tolist(), place[j].tolist(), strict=True)):
+            x, y = root(x), root(y)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                keep.append(k)
+        if keep:
+            self.found.append(np.stack([self.ids[i[keep]], self.ids[j[keep]]], axis=1))
+            top = np.array([root(x) for x in range(len(kinds))])
+            self.home = kinds[top[place]]
+
+    def pivots(self, rest: np.ndarray) -> None:
+        """Documents outside, by pivots of their own, as long as one links some."""
+        while len(rest) > 2:
+            here = np.zeros(len(self.ids), bool)
+            here[rest] = True
+            entries = np.flatnonzero(here[self.doc])
+            most = np.bincount(self.code[entries], minlength=self.width) * 2 > len(rest)
+            if not most.any():
+                return
+            common = np.bincount(self.doc[entries], most[self.code[entries]], len(self.ids))[rest].astype(np.int64)
+            w = self.rule.weight(self.sizes[rest], self.length[rest] + int(most.sum()) - 2 * common)
+            centre = int(w.argmin())
+            near = w + w[centre] <= 0
+            near[centre] = False
+            if not near.any():
+                return
+            self.link(np.full(int(near.sum()), rest[centre]), rest[near])
+            near[centre] = True
+            rest = rest[~near]
+
+    def verified(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether pairs link, by the common part of their differences."""
+        if not hasattr(self, "entry"):
+            self.entry = np.sort(self.doc * self.width + self.code)
+        n = self.length[i]
+        at = np.repeat(self.first[i] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        want = np.repeat(j * self.width, n) + self.code[at]
+        hit = self.entry[np.minimum(np.searchsorted(self.entry, want), len(self.entry) - 1)] == want
+        both = np.bincount(np.repeat(np.arange(len(i)), n), hit, len(i)).astype(np.int64)
+        return self.w[i] + self.w[j] <= self.rule.reach * both
+
+    def test(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Verify pairs of different components, a few million differences at a time."""
+        ok = self.rule.per * np.minimum(self.sizes[i], self.sizes[j]) >= self.rule.least * np.maximum(self.sizes[i], self.sizes[j])
+        i, j = i[ok], j[ok]
+        while len(i):
+            apart = self.home[i] != self.home[j]
+            i, j = i[apart], j[apart]
+            n = max(1, int(np.searchsorted(np.cumsum(self.length[i]), 1 << 21)))
+            if len(i):
+                good = self.verified(i[:n], j[:n])
+                self.link(i[:n][good], j[:n][good])
+            i, j = i[n:], j[n:]
+
+    def join(self) -> None:
+        """All pairs of an asking document and one of another component that share one of the rarest differences of both."""
+        if not self.asks.any():
+            return
+        reach, low = self.rule.reach, int(self.w.min())
+        # Two can link only if they share this many differences at least, hence one of the others.
+        need = np.maximum(1, -(-(self.w + np.where(self.asks, low, int(self.w[self.asks].min()))) // reach))
+        rank = np.empty(self.width - 1, np.int64)
+        rank[np.argsort(self.often, kind="stable")] = np.arange(self.width - 1)
+        order = np.lexsort((rank[self.code], self.doc))
+        place = np.arange(len(order)) - np.repeat(self.first[:-1], self.length)
+        keep = order[place < (self.length - need + 1)[self.doc[order]]]
+        code, doc = self.code[keep], self.doc[keep]
+        order = np.lexsort((self.home[doc], self.often[code], code))
+        code, doc = code[order], doc[order]
+        begin = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
+        size = np.diff(np.append(begin, len(code)))
+        # Short lists first: they settle much for little.
+        entry = np.concatenate([np.arange(b, b + s) for b, s in sorted(zip(begin.tolist(), size.tolist(), strict=True), key=lambda x: x[1]) if s > 1] or [np.zeros(0, np.int64)])
+        end = np.repeat(begin + size, size)
+        # Each entry meets those of other components behind it in its list.
+        run = np.append(True, (code[1:] != code[:-1]) | (self.home[doc[1:]] != self.home[doc[:-1]])) if len(code) else np.zeros(0, bool)
+        runs_ = np.append(np.flatnonzero(run), len(code))
+        after = runs_[np.cumsum(run)] if len(code) else np.zeros(0, np.int64)
+        many = (end - after)[entry]
+        entry, many = entry[many > 0], many[many > 0]
+        total = np.cumsum(many)
+        a = 0
+        while a < len(entry):
+            b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + (1 << 20), side="right")))
+            some, n = entry[a:b], many[a:b]
+            i = np.repeat(doc[some], n)
+            j = doc[np.repeat(after[some] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+            good = (self.asks[i] | self.asks[j]) & (self.home[i] != self.home[j])
+            pair, often = np.unique(np.minimum(i, j)[good] * len(self.ids) + np.maximum(i, j)[good], return_counts=True)
+            pair = pair[np.argsort(-often, kind="stable")]
+            self.test(pair // len(self.ids), pair % len(self.ids))
+            a = b
+
+
+def match(rule: Rule):
+    """Links of one tile: between the documents that ask (outside the pivot's window) and all others in it."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, asks_, out = (table[c].to_numpy(zero_copy_only=False) for c in ("id", "asks", "outside"))
+        order = np.lexsort((~asks_, ids))
+        order = order[np.append(True, ids[order][1:] != ids[order][:-1])]
+        table, ids, asks_, out = table.take(pa.array(order)), ids[order], asks_[order], out[order]
+        home = np.where(out, np.arange(len(ids)), len(ids))
+        tile = Tile(rule, ids, table["n"].to_numpy(), table["w"].to_numpy(), column_of(table, "difference", np.uint64), home, asks_)
+        tile.pivots(np.flatnonzero(out))
+        tile.join()
+        links = np.concatenate([np.zeros((0, 2), np.int64), *tile.found])
+        return pa.table({"a": pa.array(links[:, 0]), "b": pa.array(links[:, 1])})
+
+    return run
+
+
+def clump_links(docs: DataFrame, edges: DataFrame, rule: Rule) -> DataFrame:
+    """Links that hold the components of each clump together."""
+    member = stored(components(edges).select("id", F.col("component").alias("clump"), F.shiftright("id", ROW_BITS).alias("chunk")), "members")
+    by_chunk = docs.groupBy("chunk")
+    voters = member.withColumn("_i", F.row_number().over(Window.partitionBy("clump").orderBy(F.xxhash64("id"), "id"))).where(F.col("_i") <= VOTERS).drop("_i")
+    sets = by_chunk.cogroup(voters.groupBy("chunk")).applyInArrow(frugal(ballots(rule), True), "clump long, grams binary")
+    pivots = stored(sets.groupBy("clump").applyInArrow(vote, "clump long, pivot binary"), "pivots")
+    told = member.withColumn("pivot", F.lit(None).cast("binary")).unionByName(member.select("chunk", "clump").distinct().join(pivots, "clump").select(F.lit(None).cast("long").alias("id"), "clump", "chunk", "pivot"))
+    apart = stored(by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(frugal(differences(rule), True), DIFFERENCE), "differences")
+    centre = apart.groupBy("clump").agg(F.min(F.struct("w", "id")).alias("centre")).select("clump", F.col("centre.w").alias("cw"), F.col("centre.id").alias("cid"))
+    seen = stored(apart.join(centre, "clump").withColumn("outside", (F.col("id") != F.col("cid")) & (F.col("w") + F.col("cw") > 0)), "seen")
+    star = seen.where("not outside and id != cid").select(F.col("cid").alias("a"), F.col("id").alias("b"))
+    # Tiles hold a bounded number of documents and bytes on either side.
+    parts = lambda flag: F.ceil(F.greatest(F.sum(F.when(flag, 1).otherwise(0)) / TILE, F.sum(F.when(flag, F.octet_length("difference")).otherwise(0)) / (16 << 20)))
+    counts = seen.groupBy("clump").agg(parts(F.lit(True)).cast("int").alias("across"), parts(F.col("outside")).cast("int").alias("down"), F.max("outside").alias("some")).where("some").withColumns({"across": F.greatest(F.lit(1), "across"), "down": F.greatest(F.lit(1), "down")}).drop("some")
+    held = seen.join(counts, "clump").select("clump", "id", "n", "w", "difference", "outside", "across", "down")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = held.withColumn("x", F.pmod(F.xxhash64("id"), F.col("across")).cast("int")).withColumn("y", spread("down")).withColumn("asks", F.lit(False))
+    rows = held.where("outside").withColumn("y", F.pmod(F.xxhash64("id", F.lit(1)), F.col("down")).cast("int")).withColumn("x", spread("across")).withColumn("asks", F.lit(True))
+    tiles = columns.unionByName(rows).drop("across", "down")
+    return stored(star.unionByName(tiles.groupBy("clump", "x", "y").applyInArrow(match(rule), PAIR)), "clump-links")
+
+
 def bring(key: tuple, docs: pa.Table, wanted: pa.Table) -> pa.Table:
     """The texts of the chunk's documents for the chunks that want them."""
-    own = only(docs, wanted["a"])
-    at = np.searchsorted(own["doc_id"].to_numpy(), wanted["a"].to_numpy())
-    return pa.table({"chunk": wanted["b_chunk"], "a": wanted["a"], "b": pa.nulls(len(wanted), pa.int64()), "text": own["text"].cast(pa.string()).take(pa.array(at))})
+    rows, place = np.unique(wanted["a"].to_numpy(), return_inverse=True)
+    own = picked(key, docs, rows)
+    return pa.table({"chunk": wanted["to"], "a": wanted["a"], "b": pa.nulls(len(wanted), pa.int64()), "text": own["text"].cast(pa.string()).take(pa.array(place))})
 
 
 def verify(rule: Rule):
     """Links among the pairs whose second document lies in the chunk."""
 
     def run(key: tuple, docs: pa.Table, told: pa.Table) -> pa.Table:
-        import pyarrow.compute as pc
-
         pairs, texts = told.filter(pc.is_valid(told["b"])), told.filter(pc.is_null(told["b"]))
-        names = texts["a"].to_numpy()
-        given = {int(k): g for k, (_, g) in zip(names, shingle_sets(texts, rule), strict=True)}
-        own = only(docs, pairs["b"])
-        found = {int(k): g for k, (_, g) in zip(own["doc_id"].to_numpy(), shingle_sets(own, rule), strict=True)}
+        given = {int(k): g for k, (_, g) in zip(texts["a"].to_numpy(), shingle_sets(texts, rule), strict=True)}
+        rows = np.unique(pairs["b"].to_numpy())
+        found = {int(k): g for k, (_, g) in zip(rows, shingle_sets(picked(key, docs, rows), rule), strict=True)}
         out = []
         for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist(), strict=True):
             x, y = given[a], found[b]
@@ -401,10 +577,11 @@ def across(pairs: DataFrame, label: DataFrame | None) -> DataFrame:
 
 def links_of(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
     """Those of the candidate pairs that link, on whole sets."""
-    wanted = pairs.select("a", "a_chunk", "b_chunk").distinct().withColumnRenamed("a_chunk", "chunk")
-    texts = docs.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(bring, "chunk int, a long, b long, text string")
-    told = texts.unionByName(pairs.select(F.col("b_chunk").alias("chunk"), "a", "b", F.lit(None).cast("string").alias("text")))
-    return docs.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(verify(rule), "a long, b long")
+    placed = pairs.select("a", "b", F.shiftright("a", ROW_BITS).alias("chunk"), F.shiftright("b", ROW_BITS).alias("to"))
+    wanted = placed.select("a", "chunk", "to").distinct()
+    texts = docs.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(frugal(bring, True), "chunk long, a long, b long, text string")
+    told = texts.unionByName(placed.select(F.col("to").alias("chunk"), "a", "b", F.lit(None).cast("string").alias("text")))
+    return docs.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(frugal(verify(rule), True), PAIR)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -423,64 +600,56 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
+def extended(label: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after further links, found on components alone."""
+    name = lambda c: F.coalesce(f"_{c}", c)
+    ends = {c: label.select(F.col("id").alias(c), F.col("component").alias(f"_{c}")) for c in ("a", "b")}
+    between = links.join(ends["a"], "a", "left").join(ends["b"], "b", "left").select(name("a").alias("a"), name("b").alias("b"))
+    top = components(between)
+    known = label.join(top.select(F.col("id").alias("component"), F.col("component").alias("_top")), "component", "left").select("id", F.coalesce("_top", "component").alias("component"))
+    return stored(known.unionByName(top.join(label, "id", "left_anti")), "labels")
+
+
 def similar_components(df: DataFrame, key: str, text: str, words: int = 4, least: int = 85, per: int = 100) -> DataFrame:
     """(key, n_shingles, component_id), one row for each row of ``df``."""
     rule = Rule(words, least, per)
-    table, chunks = chunked(df.withColumn("_key", F.col(key).cast("long")), "_key", text)
-    docs = table.select("chunk", "doc_id", "text")
+    table = chunked(df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")), "id", "text")
+    docs = table.table.select("chunk", "doc_id", "text")
     # Asked by a sixteenth as many buckets as there are chunks; the posts' buckets follow from the number of shingles.
-    everything = stored(docs.groupBy("chunk").applyInArrow(describe(rule, buckets_for(chunks, 16)), DESCRIBED), "described")
-    described = everything.where("bucket is null").select("chunk", "doc_id", "node", "n_shingles")
-    # Equal word sequences are one node, named by its smallest id.
-    nodes = described.where("node is not null and doc_id is not null").groupBy("node").agg(F.min(F.struct("doc_id", "chunk")).alias("least")).select("node", "least.doc_id", "least.chunk")
-    nodes = stored(nodes, "nodes")
-    chosen = nodes.select("chunk", "doc_id")
+    everything = stored(docs.groupBy("chunk").applyInArrow(frugal(describe(rule, buckets_for(table.n, 16)), False), DESCRIBED), "described")
+    described = everything.where("bucket is null").select("row", "doc_id", "node", "n_shingles")
+    # Equal word sequences are one node, named by the first row that has it.
+    nodes = stored(described.where("node is not null").groupBy("node").agg(F.min("row").alias("id"), F.min("doc_id").alias("least")), "nodes")
     facts = described.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("grams"), F.count("*").alias("n")).first()
     buckets = buckets_for(int(facts["grams"] * (per - least) / per), 1_500_000)
     # Shingles of a thousandth of all documents come last in the order; there are at most a thousand times as many as a mean document has.
     counted = everything.where("bucket is not null").select("bucket", "chunk", "keys", "extra")
-    common = counted.groupBy("bucket").applyInArrow(very_common(max(24, facts["n"] // 1000)), "gram long").collect()
+    common = counted.groupBy("bucket").applyInArrow(very_common(max(REGION, facts["n"] // 1000)), "gram long").collect()
     common = np.sort(np.array([r["gram"] for r in common], np.int64).view(np.uint64))
-    posted = docs.groupBy("chunk").cogroup(chosen.groupBy("chunk")).applyInArrow(post(rule, buckets, common), "bucket int, blob binary")
-    met = stored(posted.groupBy("bucket").applyInArrow(meet(rule), MET), "met")
-    regions_ = stored(met.where("region is not null").select("region", "blob").dropDuplicates(["region"]), "regions")
-    member = stored(regions_.mapInArrow(_members, "region long, id long"), "members")
-    pairs = stored(met.where("region is null").select("a", "a_chunk", "b", "b_chunk").unionByName(regions_.select("blob").mapInArrow(star(rule), PAIR)).distinct(), "pairs")
-    label = None
-    links: list[DataFrame] = []
-    tested: list[DataFrame] = []
-    most = 1
+    chosen = nodes.select(F.shiftright("id", ROW_BITS).alias("chunk"), F.col("id").alias("row"))
+    posted = stored(docs.groupBy("chunk").cogroup(chosen.groupBy("chunk")).applyInArrow(frugal(post(rule, buckets, common), True), POSTED), "posted")
+    met = stored(posted.where("blob is not null").select("bucket", "blob").groupBy("bucket").applyInArrow(meet(rule), MET), "met")
+    # Documents with a very frequent shingle hang together by the first of them.
+    frequent = posted.where("gram is not null").select("gram", "a")
+    heads = frequent.join(frequent.groupBy("gram").agg(F.min("a").alias("b")), "gram").select("a", "b")
+    edges = posted.where("blob is null and gram is null").select("a", "b").unionByName(heads).unionByName(met.where("clump").select("a", "b"))
+    # Texts of one id count as linked.
+    ids = described.where("doc_id is not null and node is not null").select("doc_id", "node").join(nodes.select("node", "id"), "node").select("doc_id", F.col("id").alias("b"))
+    several = ids.join(ids.groupBy("doc_id").agg(F.min("b").alias("a"), F.max("b").alias("_b")).where("a != _b"), "doc_id").select("a", "b")
+    label = components(clump_links(docs, edges, rule).unionByName(several))
+    pairs, tested, most = met.where("not clump").select("a", "b").distinct(), None, 4
     while True:
         # Of the untested pairs between different components, each document takes its ``most`` smallest partners.
-        open_ = reduce(lambda x, done: x.join(done.select("a", "b"), ["a", "b"], "left_anti"), tested, across(pairs, label))
-        chosen_pairs = stored(open_.withColumn("_i", F.row_number().over(Window.partitionBy("b").orderBy("a"))).where(F.col("_i") <= most).drop("_i").select("a", "a_chunk", "b", "b_chunk"), "chosen")
-        if chosen_pairs.limit(1).count():
-            tested.append(chosen_pairs)
-            links.append(stored(links_of(docs, chosen_pairs, rule), "links"))
-            label = components(reduce(DataFrame.unionByName, links))
-            most *= 8
-            continue
-        # What small blocks and stars gave is settled; now regions that still hold several components.
-        named = member.join(label, "id", "left").select("region", "id", F.coalesce("component", "id").alias("component")) if label is not None else member.select("region", "id", F.col("id").alias("component"))
-        mixed = named.groupBy("region").agg(F.count_distinct("component").alias("n")).where("n > 1").select("region")
-        held, labels = regions_.join(mixed, "region"), named.join(mixed, "region", "left_semi")
-        more = stored(held.groupBy("region").cogroup(labels.groupBy("region")).applyInArrow(remaining(rule, most), PAIR).distinct(), "more")
-        cut = more.where("a is null").limit(1).count()
-        fresh = reduce(lambda x, done: x.join(done.select("a", "b"), ["a", "b"], "left_anti"), tested, more.where("a is not null"))
-        fresh = stored(fresh.select("a", "a_chunk", "b", "b_chunk"), "pairs")
-        if fresh.limit(1).count():
-            pairs = fresh
-        elif not cut:
+        open_ = across(pairs, label)
+        if tested is not None:
+            open_ = open_.join(tested, ["a", "b"], "left_anti")
+        now = stored(open_.withColumn("_i", F.row_number().over(Window.partitionBy("b").orderBy("a"))).where(F.col("_i") <= most).select("a", "b"), "chosen")
+        if not now.limit(1).count():
             break
-        most *= 8
-    if label is None:
-        label = nodes.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("component"))
-    named = nodes.select("node", "doc_id").join(label, nodes["doc_id"] == label["id"], "left").select("node", F.coalesce("component", "doc_id").alias("component_id"))
-    return described.join(named, "node", "left").select(F.col("doc_id").alias(key), "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-
-
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for region, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            ids = unpacked(blob)[0]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), region)), pa.array(ids)], names=["region", "id"])
+        tested = now if tested is None else tested.unionByName(now)
+        label, most = extended(label, stored(links_of(docs, now, rule), "links")), 16 * most
+    named = nodes.join(label, "id", "left").select("node", "least", F.coalesce("component", "id").alias("component"))
+    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    out = stored(described.join(named.join(smallest, "component").select("node", "component_id"), "node", "left").select(F.col("doc_id").alias(key), "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")), "similar")
+    table.drop()
+    return out

@@ -29,13 +29,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .exchange import ASK, asks, chunked, column_of, packed, unpacked
+from .exchange import ASK, asks, chunked, column_of, frugal, packed, unpacked
 from .shared import buckets_for, stored
 from .units import mix, word_hashes
 
 END = np.uint64(0xE17D0F7E37)
 START = np.uint64(2**63 - 1)
-TOLD = "kind string, chunk int, level int, bucket int, answer binary, stats array<bigint>"
+TOLD = "kind string, chunk long, level int, bucket int, answer binary, stats array<bigint>"
 PER_BUCKET = 1_500_000
 
 
@@ -129,7 +129,7 @@ def told_singles(tokens: Tokens, told: pa.Table) -> tuple[np.ndarray, np.ndarray
         ids.append((np.uint64(bucket) << np.uint64(32)) | place.astype(np.uint64))
         counts.append(count)
     if not ids:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     ids, counts = np.concatenate(ids), np.concatenate(counts)
     if len(ids) != len(tokens.keys):
         raise ValueError("answers and tokens differ in number")
@@ -151,7 +151,7 @@ class Pairs:
         self.tokens = Tokens(docs)
         self.ids, self.counts = told_singles(self.tokens, told)
         context, word, self.count, self.place = self.tokens.pairs()
-        ids, counts = np.append(self.ids, START), np.append(self.counts, np.uint32(min(starts, 2**32 - 1)))
+        ids, counts = np.append(self.ids, START), np.append(self.counts, np.uint64(starts))
         self.context, self.context_count = ids[context], counts[context]
         self.word, self.word_count = ids[word], counts[word]
         bucket, self.spread = dealt(self.context, self.context_count, self.word, share, buckets)
@@ -182,7 +182,7 @@ def tell_singles(k: int):
         distinct, place = np.unique(np.concatenate(parts), return_inverse=True)
         total = np.bincount(place, np.concatenate(extra), len(distinct)).astype(np.int64)
         bucket, cuts = table["bucket"][0].as_py(), np.cumsum([len(p) for p in parts])[:-1]
-        rows = [("reply", chunk, 1, bucket, packed(own.astype(np.uint32), np.minimum(total[own], 2**32 - 1).astype(np.uint32)), None) for chunk, own in zip(table["chunk"].to_pylist(), np.split(place, cuts), strict=True)]
+        rows = [("reply", chunk, 1, bucket, packed(own.astype(np.uint32), total[own].astype(np.uint64)), None) for chunk, own in zip(table["chunk"].to_pylist(), np.split(place, cuts), strict=True)]
         seen = total[total > 0]
         stats = [int(seen.sum()), len(seen), *(int((seen == r).sum()) for r in range(1, k + 2))]
         rows.append(("single", -1, 1, bucket, packed(distinct[total > 0], seen), stats))
@@ -192,7 +192,7 @@ def tell_singles(k: int):
 
 
 def told_table(rows: list[tuple]) -> pa.Table:
-    kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
+    kinds = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
     return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["kind", "chunk", "level", "bucket", "answer", "stats"])
 
 
@@ -206,7 +206,7 @@ def ask_pairs(starts: int, share: float, buckets: int):
             head = heads(context)
             keys.append(packed(context[head], np.diff(np.append(head, len(own))).astype(np.uint32), p.word[own], p.word_count[own], p.count[own], p.spread[own][head].astype(np.uint8)))
         n = len(keys)
-        return pa.table({"bucket": pa.array(p.which, pa.int32()), "chunk": pa.array([key[0].as_py()] * n, pa.int32()), "keys": pa.array(keys, pa.binary()), "extra": pa.array([b""] * n, pa.binary())})
+        return pa.table({"bucket": pa.array(p.which, pa.int32()), "chunk": pa.array([key[0].as_py()] * n, pa.int64()), "keys": pa.array(keys, pa.binary()), "extra": pa.array([b""] * n, pa.binary())})
 
     return ask
 
@@ -315,9 +315,10 @@ def score_chunk(starts: int, share: float, buckets: int, singles: Singles, disco
 
 def score_texts(df: DataFrame, key: str, text: str, learn: Column, k: int = 5, chunk_bytes: int = 16 << 20) -> DataFrame:
     """(key, n_tokens, n_known, train_tokens, base_score, score) for each row; ``learn`` says which rows train."""
-    docs, chunks = chunked(df.withColumn("_learn", F.coalesce(learn, F.lit(False))), key, text, ["_learn"], chunk_bytes)
+    table = chunked(df.select(F.col(key).alias("id"), F.col(text).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn")), "id", "text", ["learn"], chunk_bytes)
+    docs, chunks = table.table, table.n
     single_buckets = buckets_for(chunks * 500_000, PER_BUCKET)
-    told = stored(docs.groupBy("chunk").applyInArrow(ask_singles(single_buckets), ASK).groupBy("bucket").applyInArrow(tell_singles(k), TOLD), "singles", "kind")
+    told = stored(docs.groupBy("chunk").applyInArrow(frugal(ask_singles(single_buckets), False), ASK).groupBy("bucket").applyInArrow(tell_singles(k), TOLD), "singles", "kind")
     stats = told.where("kind = 'single'").select(F.posexplode("stats").alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n")).collect()
     by = {r["i"]: r["n"] for r in stats}
     singles = Singles.of(by.get(0, 0), by.get(1, 0), np.array([by.get(2 + r, 0) for r in range(k + 1)]))
@@ -325,7 +326,7 @@ def score_texts(df: DataFrame, key: str, text: str, learn: Column, k: int = 5, c
     pair_buckets = buckets_for(2 * singles.total // 3 + chunks, PER_BUCKET)
     share = max(1.0, singles.total / (2 * pair_buckets))
     replies = told.where("kind = 'reply'").select("chunk", "level", "bucket", "answer")
-    asked = docs.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(ask_pairs(starts, share, pair_buckets), ASK)
+    asked = docs.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(frugal(ask_pairs(starts, share, pair_buckets), True), ASK)
     more = stored(asked.groupBy("bucket").applyInArrow(tell_pairs(k, singles), TOLD), "pairs", "kind")
     stats = more.where("kind = 'pair'").select(F.posexplode("stats").alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n")).collect()
     by = {r["i"]: r["n"] for r in stats}
@@ -338,5 +339,7 @@ def score_texts(df: DataFrame, key: str, text: str, learn: Column, k: int = 5, c
             spread[name] = spread.get(name, 0) + fact
     replies = replies.unionByName(more.where("kind = 'reply'").select("chunk", "level", "bucket", "answer"))
     kind = dict(docs.dtypes)["doc_id"]
-    out = docs.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(score_chunk(starts, share, pair_buckets, singles, discount, spread), f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    return out.withColumnRenamed("doc_id", key)
+    out = docs.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(frugal(score_chunk(starts, share, pair_buckets, singles, discount, spread), True), f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    out = stored(out.withColumnRenamed("doc_id", key), "scores")
+    table.drop()
+    return out

@@ -1,23 +1,30 @@
 """Tables that cut lineage: written below the folder that the cluster shares.
 
 The folder is the one named by ``spark.checkpoint.dir``.  Only where that is
-unset (tests, one machine) a temporary folder of this process takes its place.
+unset and the master is local (tests, one machine) a temporary folder of this
+process takes its place; a cluster without the setting is an error.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: list[tempfile.TemporaryDirectory] = []
+#: What has been written so far: ("folder" or "table", name).
+_MADE: list[tuple[str, str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not _OWN:
         _OWN.append(tempfile.TemporaryDirectory(prefix="strainframe-"))
     return f"file://{_OWN[0].name}"
@@ -29,9 +36,33 @@ def stored(df: DataFrame, label: str, partition_by: str | None = None) -> DataFr
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    _MADE.append(("folder", path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def noted(table: str) -> None:
+    """Remember a table for ``scratch`` to drop."""
+    _MADE.append(("table", table))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Drop what is written inside, but for the last thing, on leaving: lazy results must have been written by then."""
+    begin = len(_MADE)
+    yield
+    for kind, name in _MADE[begin:-1]:
+        discard(spark, kind, name)
+    del _MADE[begin:-1]
+
+
+def discard(spark: SparkSession, kind: str, name: str) -> None:
+    if kind == "table":
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def buckets_for(n: int, per_bucket: int, least: int = 12) -> int:
     """As many buckets as keep each near ``per_bucket`` items."""
     return max(least, -(-n // per_bucket))

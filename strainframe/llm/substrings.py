@@ -1,17 +1,19 @@
 """Exact removal of word windows that occur more than once, by level-wise doubling.
 
-Windows are judged at growing lengths, each about twice the last: 18 words,
-then 35, by default.  At every length but the last, a full window stands for
-the smallest hash among the shorter windows inside it; equal full windows have
-the same one, so a full window whose smallest short hash stands at one place
-in the corpus only cannot repeat and goes no further.  At the full length all
-windows that are left are counted by hash, and words under repeated ones are
-removed.
+Windows are judged at growing lengths, each about twice the last: 9 words, 18,
+then 35, by default.  At the first length every window of a text long enough
+is asked about.  A window goes to the next length only if both its ends, the
+windows of the last length at its begin and at its end, were repeated; this
+ends at the full length, or where no candidate survives.  Words under repeated
+full windows are removed.
+
+Short windows meet by hashes of 64 bits, which can only keep a candidate too
+many; full ones are judged by 128 bits.
 
 Defined cases: a null text has no words; a text shorter than a window is never
 cut (but its words are joined by single spaces like any other's); repeated
 rows are copies of each other; texts are taken whole; an empty table gives an
-empty table.  Two different windows meet by chance with probability 2**-64.
+empty table; carried columns may have any names, those of the results too.
 """
 
 from __future__ import annotations
@@ -21,12 +23,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .exchange import ASK, REPLY, answered, asks, chunked, column_of, in_order, replies
+from .exchange import ASK, REPLY, answered, asks, chunked, frugal, column_of, in_order, replies
 from .shared import stored
-from .units import SPACE, pair_hash, text_bytes, word_hashes
-
-_TOP = np.uint64(2**64 - 1)
-
+from .units import SPACE, mix, pair_hash, text_bytes, word_hashes
 
 def lengths_to(window: int, first: int) -> list[int]:
     """The lengths judged: halves of the window down to about ``first``."""
@@ -48,14 +47,22 @@ def window_hashes(words: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-def slide(values: np.ndarray, width: int, op: np.ufunc) -> np.ndarray:
-    """op over each ``width`` neighbours; one result for each full neighbourhood."""
-    size = 1
-    while size * 2 <= width:
-        values = op(values[: len(values) - size], values[size:])
-        size *= 2
-    rest = width - size
-    return op(values[: len(values) - rest], values[rest:]) if rest else values
+def wide_hashes(words: np.ndarray, length: int, at: np.ndarray) -> np.ndarray:
+    """128-bit hashes, as two words, of the windows that begin at these places."""
+    other = mix(words + np.uint64(0x2545F4914F6CDD1D))
+    return np.stack([window_hashes(words, length)[at], window_hashes(other, length)[at]], axis=1)
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys of one or two words, the place of each key among them, and their numbers."""
+    if keys.ndim == 1:
+        return np.unique(keys, return_inverse=True, return_counts=True)
+    order = np.lexsort((keys[:, 1], keys[:, 0]))
+    own = keys[order]
+    fresh = np.append(True, (own[1:] != own[:-1]).any(axis=1)) if len(own) else np.zeros(0, bool)
+    place = np.empty(len(own), np.int64)
+    place[order] = np.cumsum(fresh) - 1
+    return own[fresh], place, np.bincount(place, minlength=int(fresh.sum()))
 
 
 class Windows:
@@ -64,44 +71,39 @@ class Windows:
     def __init__(self, column: pa.ChunkedArray, window: int, first: int):
         self.lengths, self.window = lengths_to(window, first), window
         self.words, self.first = word_hashes(column)
-        n = max(0, len(self.words) - window + 1)
-        self.open = np.zeros(n, bool)
-        room = np.diff(self.first) - window + 1
-        for a, k in zip(self.first[:-1][room > 0], room[room > 0], strict=True):
-            self.open[a : a + k] = True
+        size = np.diff(self.first)
+        self.end = np.repeat(self.first[1:], size)
+        place = np.arange(len(self.words))
+        self.open = np.repeat(size >= window, size) & (place + self.lengths[0] <= self.end)
 
     def questions(self, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct keys, whether each stands at several places here, and each open window's key."""
-        length = self.lengths[level]
-        if not self.open.any():
-            return np.zeros(0, np.uint64), np.zeros(0, np.uint8), np.zeros(0, np.uint64)
-        short = window_hashes(self.words, length)
+        """Distinct keys, whether each stands at several places here, and the place of each open window's key among them."""
+        length, at = self.lengths[level], np.flatnonzero(self.open)
         if length == self.window:
-            own = short[self.open]
-            keys, n = np.unique(own, return_counts=True)
-            return keys, (n > 1).astype(np.uint8), own
-        width = self.window - length + 1
-        least = slide(short, width, np.minimum)
-        shown = np.where(self.open, least, np.uint64(0))
-        # A short window counts if it is the smallest of some open window that holds it.
-        pad = np.zeros(width - 1, np.uint64)
-        anchor = slide(np.concatenate([pad, shown, pad]), width, np.maximum) == short
-        keys, n = np.unique(short[anchor], return_counts=True)
-        return keys, (n > 1).astype(np.uint8), least[self.open]
+            own = wide_hashes(self.words, length, at) if len(at) else np.zeros((0, 2), np.uint64)
+        else:
+            own = window_hashes(self.words, length)[at] if len(at) else np.zeros(0, np.uint64)
+        keys, place, n = distinct(own)
+        return keys, (n > 1).astype(np.uint8), place
 
     def settle(self, level: int, repeated: np.ndarray) -> None:
-        keys, _, own = self.questions(level)
+        """Keep repeated windows; those of the next length begin where both ends are kept."""
+        keys, _, place = self.questions(level)
         if len(keys) != len(repeated):
             raise ValueError(f"{len(repeated)} answers for {len(keys)} keys")
-        if len(keys):
-            self.open[self.open] = repeated[np.searchsorted(keys, own)] > 0
+        self.open[self.open] = repeated[place] > 0
+        if level + 1 < len(self.lengths):
+            further = self.lengths[level + 1] - self.lengths[level]
+            both = np.zeros_like(self.open)
+            both[: len(both) - further] = self.open[: len(both) - further] & self.open[further:]
+            self.open = both & (np.arange(len(both)) + self.lengths[level + 1] <= self.end)
 
     def covered(self) -> np.ndarray:
         """The words under windows that are still open."""
         edge = np.zeros(len(self.words) + 1, np.int32)
         at = np.flatnonzero(self.open)
-        np.add.at(edge, at, 1)
-        np.subtract.at(edge, at + self.window, 1)
+        edge[at] += 1
+        edge[at + self.window] -= 1
         return np.cumsum(edge[:-1]) > 0
 
 
@@ -119,14 +121,14 @@ def asking(level: int, window: int, first: int, buckets: int):
     return lambda key, docs, told: ask(key, docs, told)
 
 
-def judging(level: int):
+def judging(level: int, wide: bool):
     def judge(table: pa.Table) -> pa.Table:
         parts, several = column_of(table, "keys", np.uint64), column_of(table, "extra", np.uint8)
         keys = np.concatenate(parts)
-        distinct, place, n = np.unique(keys, return_inverse=True, return_counts=True)
-        flag = (n > 1) | (np.bincount(place, np.concatenate(several), len(distinct)) > 0)
+        _, place, n = distinct(keys.reshape(-1, 2) if wide else keys)
+        flag = (n > 1) | (np.bincount(place, np.concatenate(several), len(n)) > 0)
         answer = flag[place].astype(np.uint8)
-        return replies(table, level, np.split(answer, np.cumsum([len(p) for p in parts])[:-1]))
+        return replies(table, level, np.split(answer, np.cumsum([len(x) for x in several])[:-1]))
 
     return judge
 
@@ -151,21 +153,22 @@ def joined_words(column: pa.ChunkedArray, keep: np.ndarray, first: np.ndarray) -
     return pa.array([raw[at[a] : at[b] - 1].decode() if b > a else "" for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.string())
 
 
-def without_repeats(df: DataFrame, key: str, text: str, window: int = 35, first: int = 16, carry: list[str] | None = None, keep_clean: bool = False) -> DataFrame:
-    """(key, text of the kept words, n_words, n_removed, carried columns), one row for each row of ``df``.
+def without_repeats(df: DataFrame, key: str, text: str, window: int = 35, first: int = 9, carry: list[str] | None = None, keep_clean: bool = False, counts: tuple[str, str] = ("n_words", "n_removed")) -> DataFrame:
+    """(key, text of the kept words, numbers of words and of removed ones, carried columns), one row for each row of ``df``.
 
-    With ``keep_clean``, texts that lose no word stay as they are, white space included.
+    With ``keep_clean``, texts that lose no word stay as they are, white space
+    included.  ``counts`` names the two numbers.
     """
     carry = carry or []
-    docs, chunks = chunked(df, key, text, carry)
-    buckets = max(12, chunks // 4)
-    slim = docs.select("chunk", "doc_id", "text")
-    told = None
-    for level in range(len(lengths_to(window, first))):
-        ask = asking(level, window, first, buckets)
+    table = chunked(df, key, text, carry)
+    docs, slim = table.table, table.table.select("chunk", "doc_id", "text")
+    buckets = max(12, table.n // 2)
+    lengths, told = lengths_to(window, first), None
+    for level in range(len(lengths)):
+        ask = frugal(asking(level, window, first, buckets), level > 0)
         grouped = slim.groupBy("chunk")
         asked = grouped.applyInArrow(ask, ASK) if told is None else grouped.cogroup(told.groupBy("chunk")).applyInArrow(ask, ASK)
-        answers = stored(asked.groupBy("bucket").applyInArrow(judging(level), REPLY), "answers")
+        answers = stored(asked.groupBy("bucket").applyInArrow(judging(level, level + 1 == len(lengths)), REPLY), "answers")
         told = answers if told is None else told.unionByName(answers)
 
     def finish(_: tuple, docs: pa.Table, told: pa.Table) -> pa.Table:
@@ -174,13 +177,16 @@ def without_repeats(df: DataFrame, key: str, text: str, window: int = 35, first:
         for level in range(len(w.lengths)):
             w.settle(level, answered(told, level, np.uint8))
         gone = w.covered()
-        counts = np.concatenate([[0], np.cumsum(gone)])[w.first]
+        removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[w.first])
+        n, size = np.diff(w.first), len(docs)
         text = joined_words(docs["text"], ~gone, w.first)
+        del w, gone
         if keep_clean:
-            text = pc.if_else(pa.array(np.diff(counts) == 0), docs["text"].combine_chunks().cast(pa.string()), text)
-        out = docs.drop_columns(["chunk", "text"]).append_column("text", text)
-        return out.append_column("n_words", pa.array(np.diff(w.first))).append_column("n_removed", pa.array(np.diff(counts)))
+            text = pc.if_else(pa.array(removed == 0), docs["text"].combine_chunks().cast(pa.string()), text)
+        out = docs.drop_columns(["chunk", "text"])
+        return out.append_column("text", text).append_column("n_words", pa.array(n)).append_column("n_removed", pa.array(removed)) if size else out
 
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if f.name not in ("chunk", "text")]
-    out = docs.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(finish, ", ".join([*fields, "text string, n_words long, n_removed long"]))
-    return out.withColumnsRenamed({"doc_id": key, "text": text} | {f"c_{i}": c for i, c in enumerate(carry)})
+    out = docs.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(frugal(finish, True), ", ".join([*fields, "text string, n_words long, n_removed long"]))
+    names = {"doc_id": key, "text": text, "n_words": counts[0], "n_removed": counts[1]} | {f"c_{i}": c for i, c in enumerate(carry)}
+    return out.toDF(*(names[c] for c in out.columns))
