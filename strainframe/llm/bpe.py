@@ -32,6 +32,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import stored
 from .units import SPACE, encode, slices, text_bytes
 
 #: Fixed value: the pre-tokeniser's pattern.
@@ -299,17 +300,38 @@ def unit_counts(df: DataFrame, text: str, special: list[bytes]) -> DataFrame:
     return df.select(text).mapInArrow(run, "unit binary, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
 
+#: Folders of lexicons that executors may still fetch; they go when the driver ends.
+_FOLDERS: list[tempfile.TemporaryDirectory] = []
+
+
+def frequent_units(counts: DataFrame, size: int) -> list[bytes]:
+    """At most ``size`` units, those of the largest counts; a histogram tells the least count first, so little more than them is sent."""
+    # Counts up to 1,024 have a step each, larger ones 64 steps for each doubling.
+    step = F.when(F.col("n") <= 1024, F.col("n")).otherwise(F.lit(1024) + F.floor((F.log2("n") - 10) * 64) + 1).cast("long")
+    taken, least, room = 0, None, size
+    for row in counts.groupBy(step.alias("step")).agg(F.count("*").alias("units")).orderBy(F.desc("step")).collect():
+        least, room = row["step"], size - taken
+        taken += row["units"]
+        if taken > size:
+            break
+    if least is None:
+        return []
+    above = counts.where(step > least).select("unit").collect()
+    # The last step may hold more than there is room for; the lexicon is a cache, so any of them will do.
+    return [bytes(r["unit"]) for r in above + counts.where(step == least).select("unit").limit(room).collect()]
+
+
 def build_lexicon(df: DataFrame, text: str, tokenizer: str, size: int = 131_072, longest: int = 48) -> str:
     """Compile the ``size`` most frequent units into a file that every executor gets; returns its name there."""
     m = merges(tokenizer)
     special = [s.encode() for s in m.special]
-    top = unit_counts(df, text, special).where(F.length("unit") <= longest).orderBy(F.desc("n"), "unit").limit(size).collect()
-    units = sorted(bytes(r["unit"]) for r in top)
-    folder = tempfile.mkdtemp(prefix="lexicon-")
+    units = sorted(frequent_units(stored(unit_counts(df, text, special).where(F.length("unit") <= longest), "units"), size))
+    folder = tempfile.TemporaryDirectory(prefix="lexicon-")
+    _FOLDERS.append(folder)
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     ids, at = m.encode_many([u.decode() for u in units])
-    Lexicon.write(f"{folder}/{name}", units, np.split(ids, at[1:-1]) if units else [])
-    df.sparkSession.sparkContext.addFile(f"{folder}/{name}")
+    Lexicon.write(f"{folder.name}/{name}", units, np.split(ids, at[1:-1]) if units else [])
+    df.sparkSession.sparkContext.addFile(f"{folder.name}/{name}")
     return name
 
 

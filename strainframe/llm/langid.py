@@ -13,7 +13,8 @@ languages into two sides); with more it is the best of many random codes.
 Defined cases: a null text, or one without any letter, is ``und`` with score
 0; a text too short for one run of bytes is decoded from zero margins; texts
 are taken whole whatever their length; with a single learned language that one
-is predicted, and with none ``und``.
+is predicted, and with none ``und``; repeated ids are learned from once for
+each language; columns of the input may have any names.
 """
 
 from __future__ import annotations
@@ -24,10 +25,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import stored, unused
 from .units import byte_grams, runs, sums, text_bytes
 
 BITS, GRAM = 15, 4
@@ -105,39 +108,91 @@ def has_letter(column: pa.Array) -> np.ndarray:
     return out
 
 
-def train(texts: list[str | None], langs: list[str]) -> Model:
-    languages = sorted(set(langs))
-    code = codewords(len(languages))
-    label = np.searchsorted(np.array(languages), langs) if languages else np.zeros(0, int)
-    column, counts, at = pa.array(texts, pa.large_string()), np.zeros((len(languages), 1 << BITS)), 0
+def counts_of(column: pa.Array) -> np.ndarray:
+    """How often each bucket occurs in all texts together."""
+    out = np.zeros(1 << BITS, np.int64)
     for part in parts(column):
-        buckets, first = byte_grams(part, GRAM, BITS, lower=True)
-        each = np.repeat(label[at : at + len(part)], np.diff(first)).astype(np.int64)
-        counts += np.bincount((each << BITS) | buckets, minlength=counts.size).reshape(counts.shape)
-        at += len(part)
+        out += np.bincount(byte_grams(part, GRAM, BITS, lower=True)[0], minlength=1 << BITS)
+    return out
+
+
+def coded(languages: list[str], counts: np.ndarray) -> Model:
+    """Codewords and bit classifiers from each language's bucket counts; margins are not yet scaled."""
+    code = codewords(len(languages))
     # Every language weighs alike, however much text it has.
     share = (counts + 0.1) / (counts + 0.1).sum(axis=1, keepdims=True) if len(languages) else counts
     weights = []
     for bit in code.T:
         ones, others = share[bit > 0], share[bit < 0]
         weights.append(np.clip(np.log(ones.mean(axis=0)) - np.log(others.mean(axis=0)), -6, 6) if len(ones) and len(others) else np.zeros(1 << BITS))
-    weights = np.array(weights) if weights else np.zeros((0, 1 << BITS))
-    margins = np.concatenate([bit_margins(weights, part) for part in parts(column)]) if len(weights) and len(texts) else np.zeros((1, len(weights)))
-    truth = code[label] if len(texts) and len(languages) else np.ones_like(margins)
-    scale = 4 / np.maximum(np.abs(margins).mean(axis=0), 1e-9)
-    right = (np.sign(margins) == truth).mean(axis=0)
-    return Model(languages, code, weights, scale, np.maximum(2 * right - 1, 0.05))
+    bits = code.shape[1]
+    return Model(languages, code, np.array(weights) if languages else np.zeros((0, 1 << BITS)), np.ones(bits), np.ones(bits))
+
+
+def tested(model: Model, column: pa.Array, langs: list[str]) -> np.ndarray:
+    """For each bit the sums of the margins' sizes and of right signs, and the number of texts."""
+    label = np.searchsorted(np.array(model.languages), langs)
+    out, at = np.zeros((3, model.code.shape[1])), 0
+    for part in parts(column):
+        margins = bit_margins(model.weights, part)
+        right = np.sign(margins) == model.code[label[at : at + len(part)]]
+        out += np.stack([np.abs(margins).sum(axis=0), right.sum(axis=0), np.full(right.shape[1], len(part))])
+        at += len(part)
+    return out
+
+
+def scaled(model: Model, told: np.ndarray) -> Model:
+    """Margins of mean size 4, and the trust that each bit earned."""
+    size, right, n = told
+    model.scale = 4 / np.maximum(size / np.maximum(n, 1), 1e-9)
+    model.trust = np.maximum(2 * right / np.maximum(n, 1) - 1, 0.05)
+    return model
+
+
+def train(texts: list[str | None], langs: list[str]) -> Model:
+    """Fit on texts in memory."""
+    languages, column, own = sorted(set(langs)), pa.array(texts, pa.large_string()), np.array(langs, object)
+    counts = np.array([counts_of(column.filter(pa.array(own == name))) for name in languages]) if languages else np.zeros((0, 1 << BITS))
+    model = coded(languages, counts)
+    return scaled(model, tested(model, column, langs)) if languages else model
 
 
 def fit(docs: DataFrame, key: str, text: str, lang: str, learn: Column, per_language: int = 1500) -> Model:
-    """Learn from at most ``per_language`` labelled rows of each language, those of the smallest hashes of their key."""
-    known = docs.where(learn & F.col(lang).isNotNull() & F.col(key).isNotNull())
-    names = [r[0] for r in known.select(lang).distinct().collect()]
-    rows: list = []
-    for name in sorted(names):
-        keys = known.where(F.col(lang) == name).select(F.col(key).alias("_key")).distinct().orderBy(F.xxhash64("_key"), "_key").limit(per_language)
-        rows += known.where(F.col(lang) == name).join(F.broadcast(keys), F.col(key) == F.col("_key"), "left_semi").select(F.col(key).alias("k"), F.col(text).alias("t")).orderBy("k", "t").limit(2 * per_language).select("t", F.lit(name).alias("l")).collect()
-    return train([r["t"] for r in rows], [r["l"] for r in rows])
+    """Learn from at most ``per_language`` keys of each language, those of the smallest hashes (of several texts of a key the first).
+
+    One scan ranks keys, one fetches their texts; counting is done by the
+    executors, so no text comes to the driver.
+    """
+    known = docs.where(learn & F.col(lang).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    order = Window.partitionBy("lang").orderBy("hash", "key")
+    keys = known.select("key", "lang", F.xxhash64("key").alias("hash")).distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language).select("key", "lang")
+    sample = stored(known.join(keys, ["key", "lang"], "left_semi").groupBy("key", "lang").agg(F.min("text").alias("text")), "languages").select("lang", "text")
+
+    def counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        for batch in batches:
+            names = batch.column(0).dictionary_encode()
+            for i, name in enumerate(names.dictionary.to_pylist()):
+                held[name] = held.get(name, 0) + counts_of(batch.column(1).filter(pc.equal(names.indices, i)))
+        for name, counts in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([counts.tobytes()], pa.binary())], names=["lang", "counts"])
+
+    counts: dict[str, np.ndarray] = {}
+    for name, raw in sample.coalesce(32).mapInArrow(counting, "lang string, counts binary").toLocalIterator():
+        counts[name] = counts.get(name, 0) + np.frombuffer(raw, np.int64)
+    languages = sorted(counts)
+    model = coded(languages, np.array([counts[x] for x in languages]) if languages else np.zeros((0, 1 << BITS)))
+    if not languages:
+        return model
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def testing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = tested(shared.value, batch.column(1), batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array([told.tobytes()], pa.binary())], names=["told"])
+
+    rows = sample.coalesce(32).mapInArrow(testing, "told binary").collect()
+    return scaled(model, sum(np.frombuffer(r["told"]).reshape(3, -1) for r in rows))
 
 
 def identified(docs: DataFrame, text: str, model: Model, least_gap: float = 0.05, into: str | None = None) -> DataFrame:
@@ -151,5 +206,6 @@ def identified(docs: DataFrame, text: str, model: Model, least_gap: float = 0.05
         names, score, unsure = shared.value.predict(pa.array(texts, pa.large_string(), from_pandas=True), least_gap)
         return pd.DataFrame({"lang_pred": names, "score": score, "ambiguous": unsure})
 
-    found = docs.withColumn(into or "_found", predict(F.col(text)))
-    return found if into else found.select(*docs.columns, "_found.*")
+    name = into or unused(docs, "found")
+    found = docs.withColumn(name, predict(F.col(text)))
+    return found if into else found.select(*docs.columns, f"{name}.*")

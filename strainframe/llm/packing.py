@@ -8,8 +8,9 @@ by the same rule, until one group is left, so no task ever holds more than
 ``fan_in * open_windows`` windows.
 
 Defined cases: a null text is the empty text, whose document is the end id
-alone; a text of any length is cut into as many pieces as it needs; repeated
-rows are packed as often as they occur; an empty table gives an empty table.
+alone; a null id stays null; a text of any length is cut into as many pieces as
+it needs; repeated rows are packed as often as they occur; an empty table gives
+an empty table.
 """
 
 from __future__ import annotations
@@ -207,7 +208,7 @@ def merger(capacity: int, open_windows: int, depth: int, final: bool):
         group = key[0].as_py()
         packer = Packer(capacity, open_windows, (depth << 26) + group)
         # Largest pieces first; ties by document and place, so a rerun packs alike.
-        for r in sorted(table.to_pylist(), key=lambda r: (-r["length"], r["doc_id"], r["start"])):
+        for r in sorted(table.to_pylist(), key=lambda r: (-r["length"], r["doc_id"] is None, r["doc_id"] or 0, r["start"], r["ids"])):
             packer.add(r["doc_id"], r["start"], np.frombuffer(r["ids"], "<u4").astype(np.int32), r["doc_tokens"])
         if final:
             # The open windows become one stream again: all but the last are cut full.

@@ -12,7 +12,7 @@ output's weights.
 
 Defined cases: a null or empty text, or one without any feature, gets the
 model's bias score; texts are scored whole whatever their length; labels that
-are null or other than 0 and 1 are not learned from; without labels of both
+are null, other than 0 and 1 or differ for one key are not learned from; without labels of both
 kinds the score is the share of label 1 (0.5 without labels).
 """
 
@@ -129,8 +129,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, mos
     for value in (0, 1):
         some = known.where(F.col("_label") == value).orderBy(F.xxhash64(F.col("_key")), "_key").limit(per_class if value == 0 else most - per_class).select("_key", "_label")
         chosen = some if chosen is None else chosen.unionByName(some)
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key").orderBy("_key", "_text").limit(2 * most).collect()
-    texts, truth = pa.array([r["_text"] for r in rows], pa.large_string()), np.array([r["_label"] for r in rows], np.int64)
+    # Of several texts of one key the first, so rows are bounded by ``most``.
+    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key").groupBy("_key", "_label").agg(F.min("_text").alias("_text")).orderBy("_key").toArrow()
+    texts, truth = rows["_text"].combine_chunks().cast(pa.large_string()), rows["_label"].to_numpy().astype(np.int64)
     del rows
     return train(texts, truth)
 

@@ -67,15 +67,8 @@ def op4_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC archives with segments and revisits, read back and put together."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    name = lambda c: F.split(c, ":")[2].cast("long")
-    records = warc.archived(pages, "page_id", "url", "html").select(
-        name(F.col("record_id")).alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest", "record_type", name(F.col("refers_to")).alias("refers_to")
-    )
-    # A revisit stores no payload; its size is that of the response it refers to.
-    originals = records.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("original_bytes")).dropDuplicates(["refers_to"])
-    revisits = records.where("record_type = 'revisit'").drop("payload_bytes").join(originals, "refers_to", "left").withColumnRenamed("original_bytes", "payload_bytes")
-    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-    return records.where("record_type = 'response'").select(columns).unionByName(revisits.select(columns))
+    found = warc.catalogued(warc.archived(pages, "page_id", "url", "html"))
+    return found.select(F.col("row").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
 
 def op8_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,6 +63,14 @@ def discard(spark: SparkSession, kind: str, name: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def buckets_for(n: int, per_bucket: int, least: int = 12) -> int:
     """As many buckets as keep each near ``per_bucket`` items."""
     return max(least, -(-n // per_bucket))

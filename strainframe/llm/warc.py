@@ -9,7 +9,8 @@ verifies numbers and total length, and decodes chunked transfer framing.
 Defined cases: a null payload is the empty payload; records of which a segment
 is missing, doubled or of the wrong total length, and bodies with broken chunk
 framing, give a row with ``error`` set and a null payload; repeated page ids
-give a record each; an empty table gives an empty table.
+give a record each; a row without an id is a response of its own; an empty
+table gives an empty table; further columns do not matter.
 """
 
 from __future__ import annotations
@@ -214,17 +215,41 @@ def _payloads(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(_PAYLOAD_TYPES)], names=_PAYLOAD_NAMES)
 
 
+#: Parts over which the rows of one payload are spread when they learn of its first row.
+SALTS = 16
+
+
+def salted(df: DataFrame) -> DataFrame:
+    """Each row once for every part."""
+    return df.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+
+
 def with_originals(pages: DataFrame, key: str, payload: str, least_bytes: int = 0) -> DataFrame:
     """Each row with ``refers_to``: the smallest key among equal payloads of at least ``least_bytes``, null for that row itself."""
     body = F.coalesce(F.col(payload), F.lit(""))
-    rows = pages.withColumn("_digest", F.sha1(body)).withColumn("_bytes", F.octet_length(body))
+    rows = pages.withColumn("_digest", F.sha1(body)).withColumn("_bytes", F.octet_length(body)).withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)))
     same = rows.where(F.col("_bytes") >= least_bytes).groupBy("_digest").agg(F.min(key).alias("_least"), F.count("*").alias("_n")).where("_n > 1").select("_digest", "_least")
-    found = rows.join(same, "_digest", "left")
-    return found.withColumn("refers_to", F.when(F.col("_least") < F.col(key), F.col("_least"))).drop("_digest", "_bytes", "_least")
+    found = rows.join(salted(same), ["_digest", "_salt"], "left")
+    return found.withColumn("refers_to", F.when(F.col("_least") < F.col(key), F.col("_least"))).drop("_digest", "_bytes", "_least", "_salt")
 
 
 def archived(pages: DataFrame, key: str, target: str, payload: str, least_bytes: int = 0, **form: int) -> DataFrame:
     """Write all rows as archives in the shared folder, read them back and put segments together."""
-    marked = with_originals(pages.select(key, target, payload), key, payload, least_bytes)
-    rows = marked.select(F.col(key).alias("name"), F.col(target).alias("target"), F.encode(F.coalesce(F.col(payload), F.lit("")), "UTF-8").alias("payload"), "refers_to")
+    picked = pages.select(F.col(key).alias("name"), F.col(target).alias("target"), F.col(payload).alias("body"))
+    marked = with_originals(picked, "name", "body", least_bytes)
+    rows = marked.select("name", "target", F.encode(F.coalesce(F.col("body"), F.lit("")), "UTF-8").alias("payload"), "refers_to")
     return reassembled(read_records(stored(archives(rows, **form), "warc")))
+
+
+def catalogued(records: DataFrame) -> DataFrame:
+    """Reassembled records without their payloads: row (the key in the identifier, null if it had none), payload_bytes, payload_digest, record_type, refers_to, error.
+
+    The archives are read once.  A revisit stores no payload; its size is that of the response it refers to.
+    """
+    name = lambda c: F.when(F.length(F.split(c, ":")[2]) > 0, F.split(c, ":")[2])
+    told = records.select(name("record_id").alias("row"), F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest", "record_type", name("refers_to").alias("refers_to"), "error")
+    told = stored(told, "records")
+    sizes = told.where("record_type = 'response' and row is not null").groupBy("row", "payload_digest").agg(F.max("payload_bytes").alias("_bytes")).withColumnRenamed("row", "refers_to")
+    revisits = told.where("record_type = 'revisit'").withColumn("_salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)))
+    found = revisits.join(salted(sizes.join(revisits.select("refers_to").distinct(), "refers_to", "left_semi")), ["refers_to", "payload_digest", "_salt"], "left")
+    return told.where("record_type = 'response'").unionByName(found.select(*(c for c in told.columns if c != "payload_bytes"), F.col("_bytes").alias("payload_bytes")))

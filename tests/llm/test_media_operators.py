@@ -1,19 +1,23 @@
 """Tokens, media, archives and vectors against the libraries, round trips and brute force."""
 
+import base64
+import hashlib
 import random
 import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
 import public_tokenizers
-from strainframe.llm import ann, bpe, packing, tiff, warc
+from strainframe.llm import ann, bpe, packing, queries, tiff, warc
 from strainframe.llm.shared import stored
 
 BYTE, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
+SF = "/root/testdata/sf0.001"
 PIECES = ["a", "b", "T", "É", "é", "aaaa", "'", "'s", "'LL", "1", "22", "½", ",", "!!", "<|endoftext|>", "<|ENDOFTEXT|>", "—", "́", "İ", "中", "한", "😀", " ", " ", "\n", "\t", "\x0b", "\x1c", "\x00", "\x85", "\xa0", "　", "_", "Ω", "'ve", "the", "ing", "×"]
 
 
@@ -192,10 +196,186 @@ def test_nearest_vectors(spark):
 
 def test_error_bounds_hold():
     rng = np.random.default_rng(4)
-    x = rng.normal(size=(200, 24)) * 10.0 ** rng.integers(-3, 4, (200, 1))
-    unit, codes, scale, error = ann.quantise(x)
-    near = (codes.astype(float) @ codes.T) * scale[:, None] * scale[None, :]
-    assert (np.abs(near - unit @ unit.T) <= error[:, None] + error[None, :] + error[:, None] * error[None, :] + 1e-9).all()
+    # More than 1,040 components of the largest code: float32 sums alone would not be exact.
+    for x in (rng.normal(size=(200, 24)) * 10.0 ** rng.integers(-3, 4, (200, 1)), rng.choice([-1.0, 1.0], (40, 3001))):
+        block = ann.Block.coded(np.arange(len(x)), x)
+        exact = block.codes.astype(np.int64) @ block.codes.astype(np.int64).T
+        assert (ann.products(block.codes, block.codes) == exact).all()
+        near = exact * block.scales[:, None] * block.scales[None, :]
+        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+        e = block.errors
+        assert (np.abs(near - unit @ unit.T) <= e[:, None] + e[None, :] + e[:, None] * e[None, :] + 1e-9).all()
+
+
+def test_a_vector_that_most_rows_share(spark):
+    rows = [(i, [1.0, 2.0, 3.0] if i % 3 else [float(i), 1.0, -1.0]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = ann.nearest(df, "vec_id", "embedding", every=50, k=5, query_block=4, candidate_block=16).collect()
+    for q in (50, 100, 200):
+        assert [r.vec_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)] == [i for i in range(400) if i % 3 and i != q][:5]
+
+
+def nearest_by_hand(table, every, k):
+    rows = {}
+    for key, v in zip(table["vec_id"].to_pylist(), table["embedding"].to_pylist()):
+        if key is not None and v and None not in v and np.isfinite(v).all() and any(v):
+            rows[key] = np.array(v, np.float64)
+    ids = np.array(sorted(rows))
+    u = np.stack([rows[i] / np.linalg.norm(rows[i]) for i in ids])
+    for q in ids[ids % every == 0]:
+        score = u @ u[list(ids).index(q)]
+        score[ids == q] = -9
+        order = np.lexsort((ids, -np.round(score, 12)))[:k]
+        yield from ((int(q), r + 1, int(ids[i]), score[i]) for r, i in enumerate(order))
+
+
+def test_nearest_query_on_its_table(spark):
+    want = list(nearest_by_hand(pq.read_table(f"{SF}/embeddings.parquet"), 50, 5))
+    got = {(r.query_id, r["rank"]): r for r in queries.op4_block_matrix_join(spark, SF).collect()}
+    assert len(got) == len(want)
+    for q, rank, v, score in want:
+        assert got[q, rank].vec_id == v and abs(got[q, rank].score - score) < 1e-12
+
+
+def test_tiff_query_on_its_table(spark):
+    rows = pq.read_table(f"{SF}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    got = {r.doc_id: r for r in queries.op1_tiff_pages(spark, SF).collect()}
+    forms = set()
+    for r in rows:
+        raw = (r["text"] or "").encode()
+        size = max(1, -(-len(raw) // 192)) * 192
+        payload = raw.ljust(size)
+        g = got[r["doc_id"]]
+        media = tiff.text_media(raw, 256)
+        forms.add(zlib.crc32(raw) % 16)
+        assert (g.n_bytes, g.payload_bytes, g.payload_sha256, g.tail_crc32) == (len(raw), size, hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]))
+        assert (g.media_bytes, g.media_sha256) == (len(media), hashlib.sha256(media).hexdigest())
+        values = np.frombuffer(payload, np.uint8).astype(float)
+        pages, mean, spread, kinds = g.feature.split("/")
+        assert int(pages) == -(-size // (192 * 256)) and int(kinds) == len(set(payload))
+        assert abs(float(mean) - values.mean()) < 1e-5 and abs(float(spread) - values.std()) < 1e-5
+    assert {0, 1, 2, 3, 4} <= forms
+
+
+def test_media_digest_of_odd_files(spark):
+    good = tiff.write_tiff(raw_pages())
+    loop = bytearray(good)
+    last = struct.unpack_from("<I", good, 4)[0]
+    while True:
+        (count,) = struct.unpack_from("<H", good, last)
+        link = last + 2 + 12 * count
+        (after,) = struct.unpack_from("<I", good, link)
+        if not after:
+            break
+        last = after
+    struct.pack_into("<I", loop, link, struct.unpack_from("<I", good, 4)[0])
+    rows = [(1, good), (1, good), (2, None), (3, b"no"), (4, bytes(loop)), (4, bytes(loop)), (None, good)]
+    df = spark.createDataFrame(rows, "doc_id long, media binary").coalesce(1)
+    got = tiff.media_digest(df, "doc_id", "media", keep=[]).collect()
+    assert sorted((str(r.doc_id), r.payload_bytes) for r in got if r.payload_bytes) == [("1", 7000 + 1 + 33 * 130)] * 2 + [("None", 7000 + 1 + 33 * 130)]
+    assert sorted(r.doc_id for r in got if r.payload_bytes is None) == [2, 3, 4, 4]
+
+
+def one_page(order, bits, samples, height, width, strips, predictor=1, planes=1, fill=1, compression=1):
+    """A file of one page from ready strips, in either byte order."""
+    out, spots = bytearray((b"II*\0" if order == "<" else b"MM\0*") + b"\0\0\0\0"), []
+    for x in strips:
+        spots.append(len(out))
+        out += x + b"\0" * (len(x) % 2)
+    arrays = []
+    for values in (spots, [len(x) for x in strips], [bits] * samples):
+        arrays.append(len(out))
+        out += struct.pack(f"{order}{len(values)}I", *values)
+    place = lambda values, at: values[0] if len(values) == 1 else at
+    tags = [(256, width, 1), (257, height, 1), (258, place([bits] * samples, arrays[2]), samples), (259, compression, 1), (266, fill, 1), (273, place(spots, arrays[0]), len(spots)), (277, samples, 1), (278, height, 1), (279, place([len(x) for x in strips], arrays[1]), len(strips)), (284, planes, 1), (317, predictor, 1)]
+    struct.pack_into(order + "I", out, 4, len(out))
+    out += struct.pack(order + "H", len(tags))
+    for tag, value, n in tags:
+        out += struct.pack(order + "HHII", tag, 4, n, value)
+    return bytes(out + b"\0\0\0\0")
+
+
+@pytest.mark.parametrize("order", ["<", ">"])
+def test_tiff_depths_planes_and_bit_order(order):
+    rng = np.random.default_rng(5)
+    wide = rng.integers(0, 65536, (5, 7, 3)).astype("u2")
+    own = wide.astype(order + "u2")
+    plain = one_page(order, 16, 3, 5, 7, [own.tobytes()])
+    differences = wide.copy()
+    differences[:, 1:] -= wide[:, :-1]
+    differenced = one_page(order, 16, 3, 5, 7, [differences.astype(order + "u2").tobytes()], predictor=2)
+    planar = one_page(order, 16, 3, 5, 7, [own[:, :, i].tobytes() for i in range(3)], planes=2)
+    for data in (plain, differenced, planar):
+        assert [p[7] for p in tiff.pages_of(data)] == [wide.astype("<u2").tobytes()]
+    bits = rng.integers(0, 2, (4, 11)).astype(np.uint8)
+    packed = np.packbits(bits, axis=1)
+    assert next(tiff.pages_of(one_page(order, 1, 1, 4, 11, [packed.tobytes()])))[7] == bits.tobytes()
+    mirrored = np.packbits(np.unpackbits(packed, axis=1).reshape(4, -1, 8)[:, :, ::-1].reshape(4, -1), axis=1)
+    assert next(tiff.pages_of(one_page(order, 1, 1, 4, 11, [mirrored.tobytes()], fill=2)))[7] == bits.tobytes()
+    # Floating-point differencing: bytes of equal rank together, highest first, then differenced.
+    real = rng.normal(size=(3, 6)).astype("<f4")
+    ranks = real.view(np.uint8).reshape(3, 6, 4)[:, :, ::-1].transpose(0, 2, 1).reshape(3, 24)
+    coded = ranks.copy()
+    coded[:, 1:] -= ranks[:, :-1]
+    assert next(tiff.pages_of(one_page(order, 32, 1, 3, 6, [coded.tobytes()], predictor=3)))[7] == real.tobytes()
+
+
+def test_warc_query_with_awkward_rows(spark, tmp_path):
+    folder = f"file://{tmp_path}"
+    bodies = ["", "x", "x", None, "y" * 40_000, "x", "y" * 40_000, "é"]
+    rows = [(i, f"u{i}", b, None, "o") for i, b in enumerate(bodies)] + [(None, None, "x", None, "o"), (2, "again", "x", None, "o"), (None, None, "alone", None, None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string, refers_to string, row string").repartition(3).write.parquet(f"{folder}/pages.parquet")
+    got = [tuple(r) for r in queries.op5_warc_segments(spark, folder).collect()]
+    first = {}
+    for i, b in enumerate(bodies):
+        first.setdefault(b or "", i)
+    want = []
+    for key, _, body, *_ in rows:
+        raw = (body or "").encode()
+        digest = base64.b32encode(hashlib.sha1(raw).digest()).decode()
+        revisit = key is not None and first[body or ""] < key
+        want.append((key, len(raw), digest, "revisit" if revisit else "response", first[body or ""] if revisit else None))
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_warc_query_on_its_table(spark):
+    rows = pq.read_table(f"{SF}/pages.parquet").to_pylist()
+    first = {}
+    for r in sorted(rows, key=lambda r: r["page_id"]):
+        first.setdefault(r["html"] or "", r["page_id"])
+    got = {r.page_id: tuple(r) for r in queries.op5_warc_segments(spark, SF).collect()}
+    for r in rows:
+        raw = (r["html"] or "").encode()
+        head = first[r["html"] or ""]
+        assert got[r["page_id"]] == (r["page_id"], len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), *(("response", None) if head == r["page_id"] else ("revisit", head)))
+
+
+def test_bpe_query_equals_the_library(spark):
+    t = Tokenizer.from_file(BYTE)
+    t.no_truncation()
+    t.no_padding()
+    got = {r.doc_id: r for r in queries.op9_bpe_lexicon(spark, SF).collect()}
+    for r in pq.read_table(f"{SF}/documents.parquet", columns=["doc_id", "text"]).to_pylist():
+        ids = t.encode(r["text"] or "", add_special_tokens=False).ids
+        g = got[r["doc_id"]]
+        assert (g.n_tokens, g.ids_sha256, g.decoded_sha256) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(t.decode(ids, skip_special_tokens=False).encode()).hexdigest())
+
+
+def test_frequent_units_are_the_largest(spark):
+    counts = [(bytes([i]), n) for i, n in enumerate([5, 3000, 3, 3, 1_000_000, 2, 3, 1500])]
+    df = spark.createDataFrame(counts, "unit binary, n long")
+    for size in range(1, 9):
+        got = {n for u, n in counts if u in set(bpe.frequent_units(df, size))}
+        assert len(bpe.frequent_units(df, size)) == size
+        assert min(got) == sorted((n for _, n in counts), reverse=True)[size - 1]
+    assert bpe.frequent_units(df.where("n < 0"), 5) == []
+
+
+def test_packing_null_ids_of_equal_length(spark):
+    df = spark.createDataFrame([(None, "same words here"), (None, "same words here"), (5, "same words here"), (None, None)], "doc_id long, text string").repartition(4)
+    got = packing.pack(df, "doc_id", "text", WORDS, end_id=2, capacity=64).collect()
+    assert sorted(str(r.doc_id) for r in got) == ["5", "None", "None", "None"]
+    assert len({r.sequence_id for r in got}) == 1
 
 
 def test_empty_tables(spark):

@@ -3,7 +3,9 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -60,6 +62,51 @@ def test_stages(spark, tmp_path):
     assert all(total[r.doc_id] == r.doc_tokens for r in docs.collect())
 
 
+def test_stages_keep_clashing_columns_and_one_row_of_an_id(spark, tmp_path):
+    folder = f"file://{tmp_path}"
+    tables(spark, folder)
+    clashes = ["score", "accepted", "language", "n_words", "n_removed", "place", "chunk", "row", "node", "rows", "found", "component_id"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("*", *(F.concat(F.lit(f"{c} "), F.col("doc_id").cast("string")).alias(c) for c in clashes))
+    again = docs.where("doc_id = 6").withColumn("text", F.concat(F.lit("a "), F.col("text"), F.lit(" z")))
+    docs = docs.unionByName(again).unionByName(docs.where("doc_id = 8").withColumn("doc_id", F.lit(None).cast("long")))
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns and out.schema == docs.schema
+        out.write.parquet(f"{folder}/clash{i}")
+        docs = spark.read.parquet(f"{folder}/clash{i}")
+        rows = docs.collect()
+        for r in rows:
+            assert all(r[c] == f"{c} {r.doc_id if r.doc_id is not None else 8}" for c in clashes)
+        if i == 2:
+            (six,) = [r for r in rows if r.doc_id == 6]
+            assert six.text.startswith("a ")
+            assert len([r for r in rows if r.doc_id is None]) == 1
+
+
+def test_run_equals_its_stages(spark, tmp_path):
+    """What run() packs is what the stages keep: words by the classifiers, one text of each group, no repeated passage."""
+    import public_tokenizers
+    from strainframe.llm import packing
+
+    folder = f"file://{tmp_path}"
+    rows = tables(spark, folder)
+    got = {}
+    for r in corpus_pipeline.run(spark, folder).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    t = packing.tokenizer_at(public_tokenizers.path("word_bpe_49k.json"))
+    passage = " ".join(f"common{i}" for i in range(60))
+    assert set(got) == {i for i in range(160) if i % 8 != 3}
+    for key, pieces in got.items():
+        text = rows[key][1]
+        if passage in text:
+            text = " ".join(text.replace(passage, " ").split())
+        ids, at = [*t.encode(text, add_special_tokens=False).ids, 2], 0
+        for r in sorted(pieces, key=lambda r: r.start):
+            assert (r.start, r.ids_crc32, r.doc_tokens) == (at, zlib.crc32(np.array(ids[at : at + r.length], "<u4").tobytes()), len(ids))
+            at += r.length
+        assert at == len(ids)
+
+
 def test_empty_documents(spark, tmp_path):
     folder = f"file://{tmp_path}"
     spark.createDataFrame([], COLUMNS).write.parquet(f"{folder}/documents.parquet")

@@ -136,7 +136,7 @@ def test_voronoi_windows_lose_no_close_pair():
     rule = jaccard.Rule(4, 85)
     centres = rng.integers(0, 40, (30, jaccard.CLASSES))
     counts = np.clip(centres[rng.integers(0, 30, 900)] + rng.integers(0, 2, (900, jaccard.CLASSES)), 0, 255).astype(np.uint8)
-    block = jaccard.Block(np.arange(900), np.zeros(900, np.int32), counts.sum(axis=1), counts)
+    block = jaccard.Block(np.arange(900), counts.sum(axis=1), counts)
     i, j = np.triu_indices(900, 1)
     ok = block.feasible(rule, i, j)
     wanted = set(zip(i[ok].tolist(), j[ok].tolist()))
@@ -157,9 +157,24 @@ def katz_by_hand(rows, learn, k=5):
             for a, b in zip(["start", *[("w", x) for x in t]], t):
                 two[a][b] += 1
     total = sum(one.values())
-    singles = katz.Singles.of(total, len(one), np.array([sum(c == r for c in one.values()) for r in range(1, k + 2)]))
-    p1 = lambda w: float(singles.p(np.array([one[w]]))[0])
-    d = katz.discounts(np.array([sum(c == r for f in two.values() for c in f.values()) for r in range(1, k + 2)]))
+
+    def good_turing(counts):
+        """d(1) to d(k) as the formula says, or absolute discounting where it does not apply."""
+        n = [sum(c == r for c in counts) for r in range(1, k + 2)]
+        d = []
+        if all(n):
+            common = (k + 1) * n[k] / n[0]
+            d = [((r + 1) * n[r] / (r * n[r - 1]) - common) / (1 - common) for r in range(1, k + 1)] if common != 1 else []
+        if not d or not all(0 < x < 1 for x in d):
+            off = min(max(n[0] / (n[0] + 2 * n[1]) if n[0] else 0.5, 0.05), 0.95)
+            d = [(r - off) / r for r in range(1, k + 1)]
+        return d
+
+    d1 = good_turing(list(one.values()))
+    left = sum((1 - d1[c - 1]) * c for c in one.values() if c <= k)
+    whole = total if left > 0 else total + 1
+    p1 = lambda w: (d1[one[w] - 1] if one[w] <= k else 1.0) * one[w] / whole if one[w] else (left or 1.0) / whole
+    d = good_turing([c for f in two.values() for c in f.values()])
 
     def p2(a, w):
         seen = two.get(a)
@@ -201,6 +216,168 @@ def test_katz_without_training(spark):
     assert {(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.score) for r in got} == {(1, 3, 0, 0, 0.0), (2, 1, 0, 0, 0.0)}
 
 
+def test_counts_beyond_32_bits():
+    singles = katz.Singles.of(2**40, 3, np.array([1, 0, 0, 0, 0, 0]))
+    p = singles.p(np.array([2**39, 2**33 + 1], np.uint64))
+    assert np.allclose(p, [0.5, (2**33 + 1) / 2**40], rtol=1e-12)
+
+
+def test_jaccard_large_groups(spark, monkeypatch):
+    """Shingles of most documents, a hot group of near copies in tiles, copies of copies, and documents without an id."""
+    monkeypatch.setattr(jaccard, "REGION", 12)
+    monkeypatch.setattr(jaccard, "LEAF", 3)
+    monkeypatch.setattr(jaccard, "TILE", 16)
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(70)]
+    other = base[:55] + [f"o{i}" for i in range(15)]
+    rows = []
+    for j in range(120):
+        text = list(base if j % 3 else other)
+        for _ in range(rng.randint(0, 6)):
+            text[rng.randrange(70)] = f"n{rng.randrange(40)}"
+        rows.append((j, " ".join(text)))
+    rows += [(200 + j, f"solo{j} " * 3 + " ".join(base[: j % 9])) for j in range(30)]
+    rows += [(7, "two texts of one id are one document here"), (300, "two texts of one id are one document here"), (301, None), (302, " ")]
+    null = [(None, rows[11][1]), (None, "nobody else has this text at all")]
+    df = spark.createDataFrame([*rows, *null, *rows[:5]], "doc_id long, text string").repartition(6)
+    for words, least in ((3, 85), (4, 70)):
+        want = components_by_text(rows, words, least)
+        got = jaccard.similar_components(df, "doc_id", "text", words=words, least=least).collect()
+        assert len(got) == len(rows) + 7
+        assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == want
+        assert sorted(str(r.component_id) for r in got if r.doc_id is None) == sorted(["None", str(want[11])])
+
+
+def components_by_text(rows, n, least):
+    """As components_by_hand, but each row keeps its own set, and rows of one id are linked."""
+    sets, names = [], [r[0] for r in rows]
+    for _, text in rows:
+        w = words_of(text, lower=True)
+        sets.append({tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set()))
+    parent = {k: k for k in names}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if a and sets[j] and 100 * both >= least * (len(a) + len(sets[j]) - both):
+                x, y = find(names[i]), find(names[j])
+                parent[max(x, y)] = min(x, y)
+    return {k: find(k) for k in names}
+
+
+def test_tile_finds_all_links():
+    """Differences from any pivot give the links that whole sets give."""
+    rng = random.Random(3)
+    rule = jaccard.Rule(3, 80)
+    for pivot_size in (0, 30):
+        sets = []
+        for family in range(4):
+            base = rng.sample(range(1, 400), 40)
+            for _ in range(25):
+                x = set(base)
+                for _ in range(rng.randint(0, 12)):
+                    x.discard(rng.choice(base))
+                    x.add(rng.randrange(1, 4000))
+                sets.append(np.array(sorted(x), np.uint64))
+        pivot = np.array(sorted(set(sets[0].tolist()[:pivot_size])), np.uint64)
+        parts = [np.setxor1d(x, pivot) for x in sets]
+        n = np.array([len(x) for x in sets])
+        w = np.array([rule.weight(len(x), len(p)) for x, p in zip(sets, parts)])
+        tile = jaccard.Tile(rule, np.arange(len(sets)), n, w, parts, np.arange(len(sets)), np.ones(len(sets), bool))
+        tile.pivots(np.arange(len(sets)))
+        tile.join()
+        want = {k: v[1] for k, v in components_of_sets([set(x.tolist()) for x in sets], 80).items()}
+        got = {}
+        for i in range(len(sets)):
+            got.setdefault(int(tile.home[i]), []).append(i)
+        assert sorted(map(min, got.values())) == sorted(set(want.values()))
+        assert all(len({want[i] for i in own}) == 1 for own in got.values())
+        links = np.concatenate(tile.found)
+        assert len(links) < len(sets)
+        for a, b in links:
+            both = len(set(sets[a].tolist()) & set(sets[b].tolist()))
+            assert 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both)
+
+
+def components_of_sets(sets, least):
+    home = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if home[i] != home[j] and 100 * both >= least * (len(a) + len(sets[j]) - both):
+                low, high = sorted((home[i], home[j]))
+                home = [low if h == high else h for h in home]
+    return {i: (len(sets[i]), h) for i, h in enumerate(home)}
+
+
+def test_substrings_with_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "k l m n", 5, "w"), (2, "z k l m n", 6, None), (None, None, None, None)], "doc_id long, text string, n_words int, chunk string")
+    got = {r.doc_id: r for r in substrings.without_repeats(df, "doc_id", "text", window=3, first=2, carry=["n_words", "chunk"], counts=("words_", "removed_")).collect()}
+    assert [(got[k].text, got[k].n_words, got[k].chunk, got[k].words_, got[k].removed_) for k in (1, 2, None)] == [("", 5, "w", 4, 4), ("z", 6, None, 5, 4), ("", None, None, 0, 0)]
+
+
+def held_out_rows(name, column, modulus, rest):
+    import zlib
+
+    import pyarrow.parquet as pq
+
+    rows = pq.read_table(f"{SF}/{name}.parquet").to_pylist()
+    return {r["doc_id"]: r[column] for r in rows if r[column] is not None and zlib.crc32(str(r["doc_id"]).encode()) % modulus == rest}
+
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_language_query_on_held_out_rows(spark):
+    from strainframe.llm.queries import op2_ecoc_language_id
+
+    want = held_out_rows("documents", "lang", 3, 1)
+    got = {r.doc_id: r for r in op2_ecoc_language_id(spark, SF).collect()}
+    right = [got[k].lang_pred == lang for k, lang in want.items() if got[k].lang_pred != "und"]
+    assert len(right) > 200 and sum(right) / len(right) >= 0.97
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_quality_query_on_held_out_rows(spark):
+    from strainframe.llm.queries import op7_subword_quality
+
+    want = held_out_rows("labels", "quality", 5, 0)
+    got = {r.doc_id: r for r in op7_subword_quality(spark, SF).collect()}
+    scores = {v: [got[k].score for k, label in want.items() if label == v and k in got] for v in (0, 1)}
+    assert min(map(len, scores.values())) >= 5
+    pairs = [(a > b) + 0.5 * (a == b) for a in scores[1] for b in scores[0]]
+    assert sum(pairs) / len(pairs) >= 0.95
+    assert sum(got[k].predicted == v for k, v in want.items() if k in got) / len([k for k in want if k in got]) >= 0.9
+    assert all(r.predicted == (r.score >= 0.3) for r in got.values())
+
+
+def test_model_query_is_better_than_its_base(spark):
+    from strainframe.llm.queries import op3_katz_backoff
+
+    rows = [r for r in op3_katz_backoff(spark, SF).collect() if r.held_out]
+    assert sum(r.score for r in rows) > 0.8 * sum(r.base_score for r in rows)
+
+
+def test_classifiers_with_repeated_ids_and_long_texts(spark):
+    long = "the good word " * 200_000
+    rows = [(1, "aa bb", "x", None, None), (1, "cc dd", "x", None, None), (2, long, "y", None, None), (None, "no id", "x", None, None), (3, None, "y", None, None), (3, None, "y", None, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = langid.fit(df, "doc_id", "text", "lang", learn=df["doc_id"] > 0)
+    assert model.languages == ["x", "y"] and langid.identified(df, "text", model, into="chunk_").count() == 6
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (3, 1)], "doc_id long, quality int")
+    found = quality.scored(df, "text", quality.fit(df, labels, "doc_id", "text", "quality"), score="s", predicted="p").collect()
+    assert len(found) == 6 and all(0 <= r.s <= 1 for r in found)
+    scores = katz.score_texts(df, "doc_id", "text", learn=df["doc_id"] != 2).collect()
+    assert sorted(r.n_tokens for r in scores) == [1, 1, 3, 3, 3, 600_001]
+    kept = substrings.without_repeats(df.select("doc_id", "text"), "doc_id", "text").collect()
+    assert max(r.n_removed for r in kept) == 600_000
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert substrings.without_repeats(none, "doc_id", "text").count() == 0
