@@ -2,13 +2,13 @@
 
 The distance 1 - J is a metric, but nearly all pairs of documents lie at
 distance 1, so pivots alone cannot tell them apart.  Documents therefore meet
-first in blocks: two sets that link must share one of the first shingles of a
+first in blocks: two sets that link must share some of the first shingles of a
 common order (very frequent ones last), so no link is lost.  Inside a block
 the distance is bounded from below by the L1 distance of 128 counts of hashed
 shingles, itself a metric:
 
-* a block of a few documents joins directly, and its pairs are verified on
-  whole sets;
+* a block of a few documents joins directly; pairs that share as many first
+  shingles as linked ones must are verified on whole sets;
 * a larger one chooses pivots far apart, deals its documents to Voronoi
   regions, replicates those within the triangle-inequality window of a border,
   and each region joins recursively until it no longer shrinks.
@@ -56,7 +56,7 @@ LEAF = 24
 REGION = 256
 PIVOTS = 64
 #: Documents of a clump that vote on its pivot, and documents on either side of a tile.
-VOTERS, TILE = 32, 2048
+VOTERS, TILE = 32, 512
 
 PAIR = "a long, b long"
 
@@ -71,8 +71,13 @@ class Rule:
         """The smallest intersection with which sets of these sizes link."""
         return -(-self.least * (x + y) // (self.per + self.least))
 
+    def shared(self, n: np.ndarray | int) -> np.ndarray | int:
+        """How many of their first shingles two linked sets of this size or more share at least."""
+        return 1 + n // 100
+
     def prefix(self, n: int) -> int:
-        return n - -(-self.least * n // self.per) + 1
+        """So many first shingles that linked sets share ``shared`` of them."""
+        return n - -(-self.least * n // self.per) + self.shared(n)
 
     def feasible(self, n: np.ndarray, m: np.ndarray, apart: np.ndarray) -> np.ndarray:
         """Whether sets of sizes n and m can link, their symmetric difference being ``apart`` at least."""
@@ -293,7 +298,7 @@ def feasible_parts(block: Block, rule: Rule) -> Iterator[Block]:
         yield block.take(np.flatnonzero(home == name))
 
 
-MET = "a long, b long, clump boolean"
+MET = "a long, b long, clump boolean, shared long, need long"
 
 
 def meet(rule: Rule):
@@ -317,34 +322,41 @@ def meet(rule: Rule):
             for i, j in zip(*np.triu_indices(k, 1), strict=True):
                 first.append(doc[own + i])
                 second.append(doc[own + j])
-        pairs = [pairs_of(everything, np.concatenate(first), np.concatenate(second), rule)]
-        edges = [np.zeros((0, 2), np.int64)]
-        seen: set[bytes] = set()
+        # How many first shingles two documents share here; with those of other buckets it must reach what links need.
+        pairs, edges = [pairs_of(everything, np.concatenate(first), np.concatenate(second), rule)], [np.zeros((0, 2), np.int64)]
+        times = [np.ones(len(pairs[0]), np.int64)]
+        larger: dict[bytes, list] = {}
         for a, k in zip(start[size > LEAF], size[size > LEAF], strict=True):
             members = doc[a : a + k]
-            if (mark := xxhash.xxh3_128_digest(members.tobytes())) in seen:
-                continue
-            seen.add(mark)
+            larger.setdefault(xxhash.xxh3_128_digest(members.tobytes()), [members, 0])[1] += 1
+        for members, often in larger.values():
+            own = [np.zeros((0, 3), np.int64)]
             for region in regions(everything.take(members), rule):
                 for part in feasible_parts(region, rule):
                     if len(part) <= LEAF:
-                        pairs.append(pairs_of(part, *np.triu_indices(len(part), 1), rule))
+                        own.append(pairs_of(part, *np.triu_indices(len(part), 1), rule))
                     else:
+                        # Those that share this shingle so meet in their clump, and need no count.
                         edges.append(np.stack([np.full(len(part), part.ids.min()), part.ids], axis=1))
-        pairs, edges = (np.unique(np.concatenate(x), axis=0) for x in (pairs, edges))
-        rows = np.concatenate([pairs, edges])
-        return pa.table({"a": pa.array(rows[:, 0]), "b": pa.array(rows[:, 1]), "clump": pa.array(np.arange(len(rows)) >= len(pairs))})
+            pairs.append(np.unique(np.concatenate(own), axis=0))
+            times.append(np.full(len(pairs[-1]), often))
+        pairs, place = np.unique(np.concatenate(pairs), axis=0, return_inverse=True)
+        shared, edges = np.bincount(place.reshape(-1), np.concatenate(times), len(pairs)), np.unique(np.concatenate(edges), axis=0)
+        rows = np.concatenate([pairs, np.concatenate([edges, np.zeros((len(edges), 1), np.int64)], axis=1)])
+        shared = np.concatenate([shared.astype(np.int64), np.zeros(len(edges), np.int64)])
+        return pa.table({"a": pa.array(rows[:, 0]), "b": pa.array(rows[:, 1]), "clump": pa.array(np.arange(len(rows)) >= len(pairs)), "shared": pa.array(shared), "need": pa.array(rows[:, 2])})
 
     return run
 
 
 def pairs_of(block: Block, i: np.ndarray, j: np.ndarray, rule: Rule) -> np.ndarray:
-    """The feasible ones among the pairs, smaller names first."""
+    """The feasible ones among the pairs, smaller names first, with the number of first shingles they must share."""
     if not len(i):
-        return np.zeros((0, 2), np.int64)
+        return np.zeros((0, 3), np.int64)
     ok = block.feasible(rule, i, j)
-    x, y = block.ids[i[ok]], block.ids[j[ok]]
-    return np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)
+    i, j = i[ok], j[ok]
+    x, y = block.ids[i], block.ids[j]
+    return np.stack([np.minimum(x, y), np.maximum(x, y), rule.shared(np.minimum(block.sizes[i], block.sizes[j]))], axis=1)
 
 
 def ballots(rule: Rule):
@@ -637,7 +649,8 @@ def similar_components(df: DataFrame, key: str, text: str, words: int = 4, least
     ids = described.where("doc_id is not null and node is not null").select("doc_id", "node").join(nodes.select("node", "id"), "node").select("doc_id", F.col("id").alias("b"))
     several = ids.join(ids.groupBy("doc_id").agg(F.min("b").alias("a"), F.max("b").alias("_b")).where("a != _b"), "doc_id").select("a", "b")
     label = components(clump_links(docs, edges, rule).unionByName(several))
-    pairs, tested, most = met.where("not clump").select("a", "b").distinct(), None, 4
+    pairs = met.where("not clump").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("need").alias("need")).where("shared >= need").select("a", "b")
+    pairs, tested, most = stored(pairs, "pairs"), None, 4
     while True:
         # Of the untested pairs between different components, each document takes its ``most`` smallest partners.
         open_ = across(pairs, label)
