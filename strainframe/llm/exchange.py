@@ -28,7 +28,7 @@ REPLY = "chunk long, level int, bucket int, answer binary"
 #: Bits of a row's name: the input partition, the chunk within it, the row within that.
 PARTITION_BITS, RUN_BITS, ROW_BITS = 23, 20, 20
 #: A worker that holds more than this hands freed memory back to the system.
-KEPT_BYTES = 192 << 20
+KEPT_BYTES = 64 << 20
 
 
 

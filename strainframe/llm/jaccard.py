@@ -4,8 +4,9 @@ The distance 1 - J is a metric, but nearly all pairs of documents lie at
 distance 1, so pivots alone cannot tell them apart.  Documents therefore meet
 first in blocks: two sets that link must share some of the first shingles of a
 common order (very frequent ones last), so no link is lost.  Inside a block
-the distance is bounded from below by the L1 distance of 128 counts of hashed
-shingles, itself a metric:
+the distance is bounded from below by the L1 distance of counts of hashed
+shingles (128 kinds, for long documents an eighth to a quarter of their size),
+itself a metric:
 
 * a block of a few documents joins directly; pairs that share as many first
   shingles as linked ones must are verified on whole sets;
@@ -53,7 +54,8 @@ from .units import mix, word_hashes
 
 CLASSES = 128
 LEAF = 24
-REGION = 256
+#: A part of so many documents looks at all pairs that are not yet together; a shingle of so many is very frequent.
+REGION, FREQUENT = 4096, 1024
 PIVOTS = 64
 #: Documents of a clump that vote on its pivot, and documents on either side of a tile.
 VOTERS, TILE = 32, 512
@@ -147,15 +149,27 @@ def very_common(least: int):
     return run
 
 
+def tier_of(n: np.ndarray) -> np.ndarray:
+    """Binary logarithm of the kinds that a set of this size is counted in."""
+    return np.maximum(np.log2(CLASSES), np.ceil(np.log2(np.maximum(n, 1))) - 3).astype(np.int64)
+
+
+def sketch(grams: np.ndarray) -> np.ndarray:
+    kinds = 1 << int(tier_of(np.array([len(grams)]))[0])
+    return np.minimum(np.bincount((grams & np.uint64(kinds - 1)).astype(np.int64), minlength=kinds), 255).astype(np.uint8)
+
+
 POSTED = "bucket int, blob binary, gram long, a long, b long"
 
 
-def posted_rows(bucket: list, blob: list, gram: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Table:
-    """Posts; edges between documents of one clump; and, where gram is given, a document that has this very frequent shingle."""
-    n, m, k = len(bucket), len(a), len(gram)
+def posted_rows(bucket: np.ndarray, blob: list, gram: np.ndarray, a: np.ndarray, b: np.ndarray, buckets: int) -> pa.Table:
+    """Posts; then very frequent shingles, each with a document that has it; then edges between documents of one clump."""
+    n, m, k = len(blob), len(a), len(gram)
     pad = lambda before, values, after: pa.concat_arrays([pa.nulls(before, values.type), values, pa.nulls(after, values.type)])
+    # Edges of one shingle meet in one bucket; others are dealt evenly.
+    spread = np.concatenate([mix(gram), mix(a[k:].view(np.uint64))]) % np.uint64(buckets)
     return pa.table({
-        "bucket": pad(0, pa.array(bucket, pa.int32()), m), "blob": pad(0, pa.array(blob, pa.binary()), m),
+        "bucket": pa.array(np.concatenate([bucket, spread.astype(np.int64)]), pa.int32()), "blob": pad(0, pa.array(blob, pa.binary()), m),
         "gram": pad(n, pa.array(gram.view(np.int64), pa.int64()), m - k), "a": pad(n, pa.array(a, pa.int64()), 0), "b": pad(n, pa.array(b, pa.int64()), 0),
     })
 
@@ -184,7 +198,7 @@ def post(rule: Rule, buckets: int, common: np.ndarray):
         grams, which, size, counts, hot, hot_of = [], [], [], [], [], []
         for i, (_, g) in enumerate(shingle_sets(picked(key, docs, names), rule)):
             size.append(len(g))
-            counts.append(np.minimum(np.bincount((g & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES), 255))
+            counts.append(sketch(g))
             late = common[np.minimum(np.searchsorted(common, g), len(common) - 1)] == g if len(common) else np.zeros(len(g), bool)
             # The order is by mixed hash, so that a document's first shingles are a random part of it.
             order = np.lexsort((mix(g), late))[: rule.prefix(len(g))]
@@ -195,17 +209,18 @@ def post(rule: Rule, buckets: int, common: np.ndarray):
             hot_of.append(np.full(len(hot[-1]), i))
         none = np.zeros(0, np.int64)
         if not len(names):
-            return posted_rows([], [], none, none, none)
+            return posted_rows(none, [], none.view(np.uint64), none, none, buckets)
         grams, which, hot, hot_of = (np.concatenate(x) for x in (grams, which, hot, hot_of))
-        bucket = ((mix(grams) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        # The upper half of a shingle's hash tells its bucket, the lower names it there; shingles that meet by chance give candidates too many.
+        grams = mix(grams)
+        bucket, grams = ((grams >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64), grams.astype(np.uint32)
         order = np.argsort(bucket, kind="stable")
         kinds, start = np.unique(bucket[order], return_index=True)
-        size, counts = np.array(size, np.uint32), np.array(counts, np.uint8)
-        blobs = []
+        size, blobs = np.array(size, np.uint32), []
         for a, b in zip(start, np.append(start, len(order))[1:], strict=True):
             some = order[a:b]
             docs_here, place = np.unique(which[some], return_inverse=True)
-            blobs.append(packed(grams[some], place.astype(np.uint32), names[docs_here], size[docs_here], counts[docs_here].reshape(-1)))
+            blobs.append(packed(grams[some], place.astype(np.uint32), names[docs_here], size[docs_here], np.concatenate([counts[d] for d in docs_here])))
         # Documents and very frequent shingles of this chunk that hang together are named by their first document.
         shingles, place = np.unique(hot, return_inverse=True)
         home = joined_by(place, len(shingles) + hot_of, len(shingles) + len(names))
@@ -213,29 +228,56 @@ def post(rule: Rule, buckets: int, common: np.ndarray):
         np.minimum.at(first, home[len(shingles) :], np.arange(len(names)))
         edge_docs = np.unique(hot_of)
         heads = names[first[home[np.concatenate([np.arange(len(shingles)), len(shingles) + edge_docs])]]] if len(hot) else none
-        return posted_rows(kinds.tolist(), blobs, shingles if len(hot) else none, heads, np.concatenate([heads[: len(shingles)], names[edge_docs]]))
+        return posted_rows(kinds, blobs, shingles, heads, np.concatenate([heads[: len(shingles)], names[edge_docs]]), buckets)
 
     return run
 
 
 class Block:
-    """Documents that may link: names, sizes and counts."""
+    """Documents that may link: names, sizes and counts (after each other, as many as the sizes say)."""
 
     def __init__(self, ids: np.ndarray, sizes: np.ndarray, counts: np.ndarray):
         self.ids, self.sizes, self.counts = ids, sizes.astype(np.int64), counts
+        self.tier = tier_of(self.sizes)
+        self.first = np.concatenate([[0], np.cumsum(1 << self.tier)])
+        self.folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def __len__(self) -> int:
         return len(self.ids)
 
     def take(self, at: np.ndarray) -> Block:
-        return Block(self.ids[at], self.sizes[at], self.counts[at])
-
-    def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """A lower bound of the symmetric differences of i and j."""
+        n = np.int64(1) << self.tier[at]
+        spots = np.repeat(self.first[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return Block(self.ids[at], self.sizes[at], self.counts[spots])
+
+    def matrix(self, tier: int) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of 2**tier kinds, a row for each document that has as many, and each document's row.
+
+        The sum of two kinds' differences is at least the difference of their sums, so folded counts bound distances too.
+        """
+        if tier not in self.folded:
+            rows, place, parts = 0, np.full(len(self), -1), []
+            for own in np.unique(self.tier[self.tier >= tier]):
+                docs = np.flatnonzero(self.tier == own)
+                values = self.counts[self.first[docs][:, None] + np.arange(1 << own)].astype(np.uint16)
+                parts.append(values.reshape(len(docs), -1, 1 << tier).sum(axis=1, dtype=np.uint16))
+                place[docs] = rows + np.arange(len(docs))
+                rows += len(docs)
+            self.folded[tier] = np.concatenate(parts), place
+        return self.folded[tier]
+
+    def apart(self, i: np.ndarray, j: np.ndarray, tier: int | None = None) -> np.ndarray:
+        """A lower bound of the symmetric differences of i and j, by the kinds that both have or those of ``tier``."""
         out = np.empty(len(i), np.int64)
-        for k in range(0, len(i), 20_000):
-            x, y = self.counts[i[k : k + 20_000]], self.counts[j[k : k + 20_000]]
-            out[k : k + 20_000] = (np.maximum(x, y) - np.minimum(x, y)).sum(axis=1, dtype=np.int64)
+        both = np.minimum(self.tier[i], self.tier[j]) if tier is None else np.full(len(i), tier)
+        for t in np.unique(both):
+            own = np.flatnonzero(both == t)
+            counts, place = self.matrix(int(t))
+            step = max(1, (1 << 22) >> int(t))
+            for k in range(0, len(own), step):
+                some = own[k : k + step]
+                x, y = counts[place[i[some]]], counts[place[j[some]]]
+                out[some] = (np.maximum(x, y) - np.minimum(x, y)).sum(axis=1, dtype=np.int64)
         return out
 
     def feasible(self, rule: Rule, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -261,40 +303,65 @@ def by_size(block: Block, rule: Rule) -> Iterator[Block]:
             yield block.take(part)
 
 
+def by_kinds(block: Block, rule: Rule) -> Iterator[Block]:
+    """Parts of documents counted in nearly as many kinds; two that link share a part."""
+    kinds = np.unique(block.tier)
+    if len(kinds) == 1 or 2 * rule.least <= rule.per:
+        yield block
+        return
+    for t in kinds:
+        own = block.tier == t
+        # Linked sizes differ by less than a factor of two, so by one step at most.
+        below = (block.tier == t - 1) & (block.sizes * rule.per >= block.sizes[own].min() * rule.least)
+        yield block.take(np.flatnonzero(own | below))
+
+
 def regions(block: Block, rule: Rule) -> Iterator[Block]:
     """The block's Voronoi regions with their windows, recursively while they shrink."""
-    for part in by_size(block, rule):
-        if len(part) <= REGION:
-            yield part
-            continue
-        # Pivots far apart: each is the document farthest from those before.
-        pivots, every = [0], np.arange(len(part))
-        distance = [part.apart(every, np.zeros(len(part), np.int64))]
-        while len(pivots) < PIVOTS:
-            nearest = np.min(distance, axis=0)
-            if nearest.max() <= rule.widest(part.sizes):
-                break
-            pivots.append(int(nearest.argmax()))
-            distance.append(part.apart(every, np.full(len(part), pivots[-1])))
-        table = np.stack(distance)
-        # If x and y link, y is no farther from x's pivot than from its own by twice their distance.
-        inside = table <= table.min(axis=0) + 2 * rule.widest(part.sizes)
-        if len(pivots) > 1 and inside.sum(axis=1).max() <= 0.7 * len(part) and inside.sum() <= 2 * len(part):
-            for row in inside:
-                if row.sum() > 1:
-                    yield from regions(part.take(np.flatnonzero(row)), rule)
-        else:
-            yield part
+    for sized in by_size(block, rule):
+        for part in by_kinds(sized, rule):
+            yield from voronoi(part, rule)
+
+
+def voronoi(part: Block, rule: Rule) -> Iterator[Block]:
+    if len(part) <= LEAF * 4:
+        yield part
+        return
+    # Pivots far apart: each is the document farthest from those before.
+    pivots, every, tier = [0], np.arange(len(part)), int(part.tier.min())
+    distance = [part.apart(every, np.zeros(len(part), np.int64), tier)]
+    while len(pivots) < PIVOTS:
+        nearest = np.min(distance, axis=0)
+        if nearest.max() <= rule.widest(part.sizes):
+            break
+        pivots.append(int(nearest.argmax()))
+        distance.append(part.apart(every, np.full(len(part), pivots[-1]), tier))
+    table = np.stack(distance)
+    # If x and y link, y is no farther from x's pivot than from its own by twice their distance.
+    inside = table <= table.min(axis=0) + 2 * rule.widest(part.sizes)
+    if len(pivots) > 1 and inside.sum(axis=1).max() <= 0.7 * len(part) and inside.sum() <= 2 * len(part):
+        for row in inside:
+            if row.sum() > 1:
+                yield from regions(part.take(np.flatnonzero(row)), rule)
+    else:
+        yield part
 
 
 def feasible_parts(block: Block, rule: Rule) -> Iterator[Block]:
-    """A region's parts that feasible pairs hold together; a region too large to look at every pair stays whole."""
+    """A region's parts that feasible pairs hold together; a region too large to look at its pairs stays whole."""
     if len(block) > REGION:
         yield block
         return
-    i, j = direct(block, rule)
-    home = joined_by(i, j, len(block))
-    for name in np.unique(home[i]):
+    home = np.arange(len(block))
+    for i in range(len(block) - 1):
+        others = i + 1 + np.flatnonzero(home[i + 1 :] != home[i])
+        if len(others):
+            met = others[block.feasible(rule, np.full(len(others), i), others)]
+            if len(met):
+                kinds = np.unique(np.append(home[met], home[i]))
+                home[np.isin(home, kinds)] = kinds[0]
+    names, n = np.unique(home, return_counts=True)
+    for name in names[n > 1]:
         yield block.take(np.flatnonzero(home == name))
 
 
@@ -305,11 +372,27 @@ def meet(rule: Rule):
     """Candidate pairs of a bucket's small blocks, and edges that hold its larger regions together."""
 
     def run(table: pa.Table) -> pa.Table:
+        posts = table.filter(pc.is_valid(table["blob"]))
+        found = met_in(posts) if len(posts) else [np.zeros((0, 3), np.int64), np.zeros(0, np.int64), np.zeros((0, 2), np.int64)]
+        pairs, shared, edges = found
+        # Documents with a very frequent shingle hang together by the first of them.
+        given = table.filter(pc.is_null(table["blob"]))
+        plain, frequent = given.filter(pc.is_null(given["gram"])), given.filter(pc.is_valid(given["gram"]))
+        gram, a = frequent["gram"].to_numpy(), frequent["a"].to_numpy()
+        order = np.lexsort((a, gram))
+        head = np.flatnonzero(np.append(True, gram[order][1:] != gram[order][:-1])) if len(gram) else np.zeros(0, np.int64)
+        first = np.repeat(a[order][head], np.diff(np.append(head, len(gram))))
+        edges = np.unique(np.concatenate([edges, np.stack([first, a[order]], axis=1), np.stack([plain["a"].to_numpy(), plain["b"].to_numpy()], axis=1)]), axis=0)
+        rows = np.concatenate([pairs, np.concatenate([edges, np.zeros((len(edges), 1), np.int64)], axis=1)])
+        shared = np.concatenate([shared.astype(np.int64), np.zeros(len(edges), np.int64)])
+        return pa.table({"a": pa.array(rows[:, 0]), "b": pa.array(rows[:, 1]), "clump": pa.array(np.arange(len(rows)) >= len(pairs)), "shared": pa.array(shared), "need": pa.array(rows[:, 2])})
+
+    def met_in(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         parts = [unpacked(x.as_buffer()) for x in table["blob"]]
         off = np.cumsum([0] + [len(p[2]) for p in parts[:-1]])
         gram = np.concatenate([p[0] for p in parts])
         doc = np.concatenate([p[1].astype(np.int64) + o for p, o in zip(parts, off, strict=True)])
-        everything = Block(*(np.concatenate([p[k] for p in parts]) for k in (2, 3)), np.concatenate([p[4] for p in parts]).reshape(-1, CLASSES))
+        everything = Block(*(np.concatenate([p[k] for p in parts]) for k in (2, 3)), np.concatenate([p[4] for p in parts]))
         del parts
         order = np.lexsort((everything.ids[doc], gram))
         gram, doc = gram[order], doc[order]
@@ -323,7 +406,7 @@ def meet(rule: Rule):
                 first.append(doc[own + i])
                 second.append(doc[own + j])
         # How many first shingles two documents share here; with those of other buckets it must reach what links need.
-        pairs, edges = [pairs_of(everything, np.concatenate(first), np.concatenate(second), rule)], [np.zeros((0, 2), np.int64)]
+        pairs, edges = [pairs_of(everything, np.concatenate(first), np.concatenate(second), rule) if first else np.zeros((0, 3), np.int64)], [np.zeros((0, 2), np.int64)]
         times = [np.ones(len(pairs[0]), np.int64)]
         larger: dict[bytes, list] = {}
         for a, k in zip(start[size > LEAF], size[size > LEAF], strict=True):
@@ -341,10 +424,7 @@ def meet(rule: Rule):
             pairs.append(np.unique(np.concatenate(own), axis=0))
             times.append(np.full(len(pairs[-1]), often))
         pairs, place = np.unique(np.concatenate(pairs), axis=0, return_inverse=True)
-        shared, edges = np.bincount(place.reshape(-1), np.concatenate(times), len(pairs)), np.unique(np.concatenate(edges), axis=0)
-        rows = np.concatenate([pairs, np.concatenate([edges, np.zeros((len(edges), 1), np.int64)], axis=1)])
-        shared = np.concatenate([shared.astype(np.int64), np.zeros(len(edges), np.int64)])
-        return pa.table({"a": pa.array(rows[:, 0]), "b": pa.array(rows[:, 1]), "clump": pa.array(np.arange(len(rows)) >= len(pairs)), "shared": pa.array(shared), "need": pa.array(rows[:, 2])})
+        return pairs, np.bincount(place.reshape(-1), np.concatenate(times), len(pairs)), np.concatenate(edges)
 
     return run
 
@@ -540,11 +620,12 @@ def clump_links(docs: DataFrame, edges: DataFrame, rule: Rule) -> DataFrame:
     told = member.withColumn("pivot", F.lit(None).cast("binary")).unionByName(member.select("chunk", "clump").distinct().join(pivots, "clump").select(F.lit(None).cast("long").alias("id"), "clump", "chunk", "pivot"))
     apart = stored(by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(frugal(differences(rule), True), DIFFERENCE), "differences")
     centre = apart.groupBy("clump").agg(F.min(F.struct("w", "id")).alias("centre")).select("clump", F.col("centre.w").alias("cw"), F.col("centre.id").alias("cid"))
-    seen = stored(apart.join(centre, "clump").withColumn("outside", (F.col("id") != F.col("cid")) & (F.col("w") + F.col("cw") > 0)), "seen")
+    seen = apart.join(centre, "clump").withColumn("outside", (F.col("id") != F.col("cid")) & (F.col("w") + F.col("cw") > 0))
     star = seen.where("not outside and id != cid").select(F.col("cid").alias("a"), F.col("id").alias("b"))
     # Tiles hold a bounded number of documents and bytes on either side.
     parts = lambda flag: F.ceil(F.greatest(F.sum(F.when(flag, 1).otherwise(0)) / TILE, F.sum(F.when(flag, F.octet_length("difference")).otherwise(0)) / (16 << 20)))
     counts = seen.groupBy("clump").agg(parts(F.lit(True)).cast("int").alias("across"), parts(F.col("outside")).cast("int").alias("down"), F.max("outside").alias("some")).where("some").withColumns({"across": F.greatest(F.lit(1), "across"), "down": F.greatest(F.lit(1), "down")}).drop("some")
+    counts = stored(counts, "tiles")
     held = seen.join(counts, "clump").select("clump", "id", "n", "w", "difference", "outside", "across", "down")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     columns = held.withColumn("x", F.pmod(F.xxhash64("id"), F.col("across")).cast("int")).withColumn("y", spread("down")).withColumn("asks", F.lit(False))
@@ -636,15 +717,12 @@ def similar_components(df: DataFrame, key: str, text: str, words: int = 4, least
     buckets = buckets_for(int(facts["grams"] * (per - least) / per), 1_500_000)
     # Shingles of a thousandth of all documents come last in the order; there are at most a thousand times as many as a mean document has.
     counted = everything.where("bucket is not null").select("bucket", "chunk", "keys", "extra")
-    common = counted.groupBy("bucket").applyInArrow(very_common(max(REGION, facts["n"] // 1000)), "gram long").collect()
+    common = counted.groupBy("bucket").applyInArrow(very_common(max(FREQUENT, facts["n"] // 1000)), "gram long").collect()
     common = np.sort(np.array([r["gram"] for r in common], np.int64).view(np.uint64))
     chosen = nodes.select(F.shiftright("id", ROW_BITS).alias("chunk"), F.col("id").alias("row"))
-    posted = stored(docs.groupBy("chunk").cogroup(chosen.groupBy("chunk")).applyInArrow(frugal(post(rule, buckets, common), True), POSTED), "posted")
-    met = stored(posted.where("blob is not null").select("bucket", "blob").groupBy("bucket").applyInArrow(meet(rule), MET), "met")
-    # Documents with a very frequent shingle hang together by the first of them.
-    frequent = posted.where("gram is not null").select("gram", "a")
-    heads = frequent.join(frequent.groupBy("gram").agg(F.min("a").alias("b")), "gram").select("a", "b")
-    edges = posted.where("blob is null and gram is null").select("a", "b").unionByName(heads).unionByName(met.where("clump").select("a", "b"))
+    posted = docs.groupBy("chunk").cogroup(chosen.groupBy("chunk")).applyInArrow(frugal(post(rule, buckets, common), True), POSTED)
+    met = stored(posted.groupBy("bucket").applyInArrow(meet(rule), MET), "met")
+    edges = met.where("clump").select("a", "b")
     # Texts of one id count as linked.
     ids = described.where("doc_id is not null and node is not null").select("doc_id", "node").join(nodes.select("node", "id"), "node").select("doc_id", F.col("id").alias("b"))
     several = ids.join(ids.groupBy("doc_id").agg(F.min("b").alias("a"), F.max("b").alias("_b")).where("a != _b"), "doc_id").select("a", "b")

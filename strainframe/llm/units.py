@@ -123,7 +123,7 @@ def word_hashes(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> tupl
     """
     data, docs = text_bytes(column)
     hashes, counts = [], []
-    for a, b in runs(docs):
+    for a, b in runs(docs, 1 << 20):
         part, own = data[docs[a] : docs[b]], docs[a : b + 1] - docs[a]
         if lower:
             part = LOWER[part]
@@ -152,7 +152,7 @@ def byte_grams(column: pa.Array | pa.ChunkedArray, n: int, bits: int, lower: boo
     """The bucket of every run of n bytes of every text (white space folded to one kind of byte), and the offsets of the texts."""
     data, docs = text_bytes(column)
     out, counts = [], []
-    for a, b in runs(docs):
+    for a, b in runs(docs, 1 << 20):
         part, own = data[docs[a] : docs[b]], docs[a : b + 1] - docs[a]
         if lower:
             part = LOWER[part]

@@ -131,12 +131,13 @@ def test_jaccard_regions_and_rounds(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
 
 
-def test_voronoi_windows_lose_no_close_pair():
+def test_voronoi_windows_lose_no_close_pair(monkeypatch):
     rng = np.random.default_rng(1)
     rule = jaccard.Rule(4, 85)
     centres = rng.integers(0, 40, (30, jaccard.CLASSES))
     counts = np.clip(centres[rng.integers(0, 30, 900)] + rng.integers(0, 2, (900, jaccard.CLASSES)), 0, 255).astype(np.uint8)
-    block = jaccard.Block(np.arange(900), counts.sum(axis=1), counts)
+    monkeypatch.setattr(jaccard, "tier_of", lambda n: np.full(len(n), 7))
+    block = jaccard.Block(np.arange(900), counts.sum(axis=1), counts.reshape(-1))
     i, j = np.triu_indices(900, 1)
     ok = block.feasible(rule, i, j)
     wanted = set(zip(i[ok].tolist(), j[ok].tolist()))
@@ -148,6 +149,26 @@ def test_voronoi_windows_lose_no_close_pair():
     assert wanted == kept
 
 
+def test_counts_of_long_documents_bound_differences():
+    """Documents counted in different numbers of kinds: bounds hold, and parts lose no feasible pair."""
+    rng = np.random.default_rng(2)
+    rule = jaccard.Rule(4, 80)
+    base = rng.integers(0, 2**63, 6000).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[:n], rng.integers(0, 2**63, m).astype(np.uint64)])) for n, m in zip(rng.integers(900, 6000, 150), rng.integers(0, 300, 150))]
+    block = jaccard.Block(np.arange(150), np.array([len(x) for x in sets]), np.concatenate([jaccard.sketch(x) for x in sets]))
+    i, j = np.triu_indices(150, 1)
+    true = np.array([len(np.setxor1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i, j)])
+    assert (block.apart(i, j) <= true).all() and len(np.unique(block.tier)) > 2
+    linked = {(a, b) for a, b, d in zip(i.tolist(), j.tolist(), true) if 100 * (block.sizes[a] + block.sizes[b] - d) >= 80 * (block.sizes[a] + block.sizes[b] + d)}
+    assert len(linked) > 100
+    kept = set()
+    for r in jaccard.regions(block, rule):
+        for part in jaccard.feasible_parts(r, rule):
+            own = sorted(part.ids.tolist())
+            kept |= {(a, b) for a in own for b in own if a < b}
+    assert linked <= kept
+
+
 def katz_by_hand(rows, learn, k=5):
     texts = {key: [*words_of(t, lower=True), None] for key, t in rows}
     one, two = Counter(), defaultdict(Counter)
@@ -226,6 +247,7 @@ def test_jaccard_large_groups(spark, monkeypatch):
     """Shingles of most documents, a hot group of near copies in tiles, copies of copies, and documents without an id."""
     monkeypatch.setattr(jaccard, "REGION", 12)
     monkeypatch.setattr(jaccard, "LEAF", 3)
+    monkeypatch.setattr(jaccard, "FREQUENT", 12)
     monkeypatch.setattr(jaccard, "TILE", 16)
     rng = random.Random(9)
     base = [f"b{i}" for i in range(70)]
