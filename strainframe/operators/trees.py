@@ -16,18 +16,20 @@ from pyspark.sql import functions as F
 from ..sources.shared import checkpointed
 
 
-def root_to_tip(nodes: DataFrame, deepest: int = 10_000) -> DataFrame:
+def root_to_tip(nodes: DataFrame) -> DataFrame:
     """(node, depth, distance) of every node, by doubling: each round adds the way of the ancestor reached so far.
 
-    A tree of depth d takes about log2(d) rounds.
+    A tree of depth d takes about log2(d) rounds; a chain that never ends (a
+    loop, which is no tree) is an error.
     """
     step = nodes.select("node", F.col("parent").alias("up"), F.when(F.col("parent").isNull(), 0.0).otherwise(F.col("length")).alias("distance"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("bigint").alias("depth"))
-    step = checkpointed(step)
-    for _ in range(max(1, deepest.bit_length())):
-        if not step.where("up is not null").limit(1).count():
-            break
+    step, reach, total = checkpointed(step), 1, None
+    while step.where("up is not null").limit(1).count():
+        total = step.count() if total is None else total
+        if reach > total:
+            raise ValueError("the parents of some nodes form a loop")
         above = step.select(F.col("node").alias("up"), F.col("up").alias("next"), F.col("distance").alias("more"), F.col("depth").alias("further"))
-        step = checkpointed(step.join(above, "up", "left").select("node", F.col("next").alias("up"), (F.col("distance") + F.coalesce("more", F.lit(0.0))).alias("distance"), (F.col("depth") + F.coalesce("further", F.lit(0))).alias("depth")))
+        step, reach = checkpointed(step.join(above, "up", "left").select("node", F.col("next").alias("up"), (F.col("distance") + F.coalesce("more", F.lit(0.0))).alias("distance"), (F.col("depth") + F.coalesce("further", F.lit(0))).alias("depth"))), 2 * reach
     return step.select("node", "depth", "distance")
 
 
@@ -87,10 +89,25 @@ def splits(nodes: DataFrame, least: int = 2, anchors: DataFrame | None = None) -
     return both.select("tree", F.concat_ws("|", smaller).alias("split")).distinct()
 
 
+def clades(nodes: DataFrame) -> DataFrame:
+    """(tips, mark_sum, mark_xor) of every inner node of one tree: the number of tips below it, and two fingerprints of their set.
+
+    Fingerprints add up below a node in any order, so no list of tips is ever
+    gathered; two different sets meet with a probability of about 2**-127.
+    """
+    inner = nodes.where("parent is not null").select(F.col("parent").alias("node")).distinct()
+    tips = nodes.select("node").join(inner, "node", "left_anti")
+    marks = tips.select("node", F.xxhash64("node").cast("decimal(38,0)").alias("one"), F.xxhash64(F.lit("tip"), "node").alias("two"))
+    return ancestors(nodes).join(marks, "node").where("steps > 0").groupBy("ancestor").agg(F.count("*").alias("tips"), F.sum("one").alias("mark_sum"), F.bit_xor("two").alias("mark_xor")).drop("ancestor").distinct()
+
+
 def same_topology(a: DataFrame, b: DataFrame) -> DataFrame:
-    """One row: splits of either tree only, and of both."""
-    x, y = a.select("split").withColumn("x", F.lit(1)), b.select("split").withColumn("y", F.lit(1))
-    return x.join(y, "split", "full_outer").agg(F.count_if(F.col("y").isNull()).alias("first_only"), F.count_if(F.col("x").isNull()).alias("second_only"), F.count_if(F.col("x").isNotNull() & F.col("y").isNotNull()).alias("both"))
+    """One row: clades (sets of tips below an inner node) of either rooted tree only, and of both.
+
+    Trees of one shape that differ in their root alone differ here.
+    """
+    x, y = clades(a).withColumn("x", F.lit(1)), clades(b).withColumn("y", F.lit(1))
+    return x.join(y, ["tips", "mark_sum", "mark_xor"], "full_outer").agg(F.count_if(F.col("y").isNull()).alias("first_only"), F.count_if(F.col("x").isNull()).alias("second_only"), F.count_if(F.col("x").isNotNull() & F.col("y").isNotNull()).alias("both"))
 
 
 # One tree in one task ----------------------------------------------------------------------------------

@@ -160,7 +160,7 @@ def a22_complete_sites(spark: SparkSession, sf: str) -> DataFrame:
     return bases.groupBy((F.col("pos") + 1).cast("bigint").alias("pos")).agg(F.bool_and(F.col("base").isin("A", "C", "G", "T")).alias("complete"), F.count_distinct("base").alias("letters"))
 
 
-@query("""WITH b AS (SELECT record, start_at, end_at FROM @windows), bins AS (SELECT k AS bin, k * 500 lo, (k + 1) * 500 hi FROM range(0, 12) t(k)) SELECT bin::BIGINT bin, record, count(*) windows, sum(least(end_at, hi) - greatest(start_at, lo))::BIGINT covered FROM b JOIN bins ON start_at < hi AND end_at > lo GROUP BY 1, 2""")
+@query("""WITH b AS (SELECT record, start_at, end_at FROM @windows), bins AS (SELECT k AS bin, k * 500 lo, (k + 1) * 500 hi FROM range(0, (SELECT max(end_at) // 500 + 1 FROM @windows)) t(k)) SELECT bin::BIGINT bin, record, count(*) windows, sum(least(end_at, hi) - greatest(start_at, lo))::BIGINT covered FROM b JOIN bins ON start_at < hi AND end_at > lo GROUP BY 1, 2""")
 def a24_binned_profile(spark: SparkSession, sf: str) -> DataFrame:
     """Each window is dealt to the bins it touches; no range join is needed."""
     w = view(spark, sf, "windows").select("record", "start_at", "end_at", F.explode(F.sequence(F.floor(F.col("start_at") / 500), F.floor((F.col("end_at") - 1) / 500))).alias("bin"))
@@ -230,7 +230,7 @@ def j16_interval_overlap(spark: SparkSession, sf: str) -> DataFrame:
     return A.overlapping(a, b, 256)
 
 
-@query("""WITH bins AS (SELECT k AS bin FROM range(0, 20) t(k)) SELECT bin::BIGINT bin, count(DISTINCT node) branches, count(*) intervals FROM @intervals JOIN bins ON start_at < (bin + 1) * 100 AND end_at > bin * 100 GROUP BY 1""")
+@query("""WITH bins AS (SELECT k AS bin FROM range(0, (SELECT max(end_at)::BIGINT // 100 + 1 FROM @intervals)) t(k)) SELECT bin::BIGINT bin, count(DISTINCT node) branches, count(*) intervals FROM @intervals JOIN bins ON start_at < (bin + 1) * 100 AND end_at > bin * 100 GROUP BY 1""")
 def j17_bin_branches(spark: SparkSession, sf: str) -> DataFrame:
     binned = view(spark, sf, "intervals").select("node", F.explode(F.sequence(F.floor(F.col("start_at") / 100), F.floor((F.col("end_at") - 1) / 100))).alias("bin"))
     return binned.groupBy("bin").agg(F.count_distinct("node").alias("branches"), F.count("*").alias("intervals"))
@@ -274,7 +274,7 @@ def a35_locus_universe(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "samples").select("sample_id", "version").join(view(spark, sf, "calls"), "sample_id").groupBy("version").agg(F.count_distinct("locus").alias("loci"), F.min("locus").alias("first_locus"), F.count_distinct("sample_id").alias("samples"))
 
 
-@query("""WITH n AS (SELECT count(DISTINCT sample_id) n FROM @dense_calls), panel AS (SELECT locus FROM @dense_calls, n GROUP BY locus, n HAVING count(*) = n), k AS (SELECT * FROM @dense_calls JOIN panel USING (locus) WHERE sample_id <= 60)
+@query("""WITH n AS (SELECT count(DISTINCT sample_id) n FROM @dense_calls), panel AS (SELECT locus FROM @dense_calls, n GROUP BY locus, n HAVING count(*) = n), k AS (SELECT * FROM @dense_calls JOIN panel USING (locus))
  SELECT a.sample_id a, b.sample_id b, round(avg(CASE WHEN a.allele <> b.allele THEN 1.0::DOUBLE ELSE 0 END), 9) fraction FROM k a JOIN k b ON a.locus = b.locus AND a.sample_id < b.sample_id GROUP BY 1, 2""")
 def a36_fixed_panel(spark: SparkSession, sf: str) -> DataFrame:
     """Mismatch fractions over the loci that every sample has."""

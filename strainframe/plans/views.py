@@ -61,7 +61,7 @@ VIEWS = {
         UNION ALL SELECT concat('s', cast(s_suppkey AS string)), concat('n', cast(s_nationkey AS string)), cast(s_suppkey % 7 AS double) + 0.5, s_suppkey FROM {supplier}""",
     # Short sequences of equal length.
     "sequences": """
-        SELECT s_suppkey AS sample_id, translate(concat(md5(cast(s_suppkey % 40 AS string)), md5(cast(s_suppkey % 7 AS string))), '0123456789abcdef', 'ACGTACGTACGTACGN') AS seq FROM {supplier} WHERE s_suppkey <= 150""",
+        SELECT s_suppkey AS sample_id, translate(concat(md5(cast(s_suppkey % 40 AS string)), md5(cast(s_suppkey % 7 AS string))), '0123456789abcdef', 'ACGTACGTACGTACGN') AS seq FROM {supplier}""",
     # Half-open intervals on records.
     "intervals": """
         SELECT l_suppkey % 5 AS record, l_suppkey AS node, min(l_partkey) AS start_at, min(l_partkey) + cast(max(l_quantity) AS bigint) AS end_at FROM {lineitem} GROUP BY l_suppkey, l_orderkey % 3""",
@@ -89,10 +89,8 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sequence of every supplier; the view of that name, from which the DuckDB texts start, ends at id 150."""
-    digest = lambda n: F.md5((F.col("s_suppkey") % n).cast("string").cast("binary"))
-    seq = F.translate(F.concat(digest(40), digest(7)), "0123456789abcdef", "ACGTACGTACGTACGN")
-    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("sample_id"), seq.alias("seq"))
+    """The sequence of every supplier."""
+    return view(spark, sf_dir, "sequences")
 
 
 def with_views(*names: str) -> str:

@@ -135,3 +135,30 @@ def test_selection_does_not_depend_on_order(spark):
     again = L.diverse(pool.orderBy("sample_id", ascending=False), pool.where("sample_id = 0"), pairs.orderBy("b", ascending=False), 4, 73, runs=5)
     rows = lambda df: sorted(map(tuple, df.collect()))
     assert rows(first) == rows(again) and len(rows(first)) == 20
+
+
+def edges(spark, rows):
+    return spark.createDataFrame(rows, "node string, parent string, length double")
+
+
+def test_rooted_topologies_differ_by_their_root(spark):
+    from strainframe.operators import trees as T
+
+    # (((a,b),c),d) and ((a,b),(c,d)): one unrooted tree, two roots.
+    one = edges(spark, [("r", None, None), ("x", "r", 1.0), ("d", "r", 1.0), ("y", "x", 1.0), ("c", "x", 1.0), ("a", "y", 1.0), ("b", "y", 1.0)])
+    two = edges(spark, [("R", None, None), ("p", "R", 1.0), ("q", "R", 1.0), ("a", "p", 1.0), ("b", "p", 1.0), ("c", "q", 1.0), ("d", "q", 1.0)])
+    assert tuple(T.same_topology(one, two).first()) == (1, 1, 2)
+    again = edges(spark, [("m", None, None), ("d", "m", 2.0), ("n", "m", 2.0), ("c", "n", 2.0), ("o", "n", 2.0), ("b", "o", 2.0), ("a", "o", 2.0)])
+    assert tuple(T.same_topology(one, again).first()) == (0, 0, 3)
+
+
+def test_distances_of_a_deep_tree(spark):
+    """A chain deeper than 2**14 nodes is followed to its end, and a loop is an error."""
+    from strainframe.operators import trees as T
+
+    n = 17_000
+    chain = spark.range(n).selectExpr("concat('n', id) node", "if(id = 0, null, concat('n', id - 1)) parent", "1.0D length")
+    far = {r.node: (r.depth, r.distance) for r in T.root_to_tip(chain).where("node in ('n0', 'n9', 'n16999')").collect()}
+    assert far == {"n0": (0, 0.0), "n9": (9, 9.0), "n16999": (n - 1, n - 1.0)}
+    with pytest.raises(ValueError):
+        T.root_to_tip(edges(spark, [("a", "b", 1.0), ("b", "a", 1.0), ("r", None, None)]))
