@@ -27,25 +27,30 @@ def complete_linkage(matrix: np.ndarray, threshold: float) -> list[list[int]]:
     """Groups all of whose members lie within ``threshold`` of each other.
 
     The nearest two groups merge, the first in row order among equals, and the
-    merged group keeps the lower place.  A missing distance never merges.
+    merged group keeps the lower place.  A missing distance never merges.  Each
+    place remembers its nearest later place, so a merger looks again only at
+    the places that had lost theirs.
     """
-    groups = [[i] for i in range(len(matrix))]
+    n = len(matrix)
     apart = np.where(np.isnan(matrix), np.inf, matrix).astype(float)
-    np.fill_diagonal(apart, np.inf)
-    alive = np.ones(len(matrix), bool)
-    while alive.sum() > 1:
-        rows = np.flatnonzero(alive)
-        part = apart[np.ix_(rows, rows)]
-        at = int(part.argmin())
-        i, j = sorted((rows[at // len(rows)], rows[at % len(rows)]))
-        if not apart[i, j] <= threshold:
-            break
-        groups[i] = sorted(groups[i] + groups[j])
-        alive[j] = False
-        apart[i] = np.maximum(apart[i], apart[j])
-        apart[:, i] = apart[i]
-        apart[i, i] = np.inf
-    return sorted(groups[i] for i in np.flatnonzero(alive))
+    apart[np.tril_indices(n)] = np.inf
+    target = apart.argmin(axis=1) if n else np.zeros(0, int)
+    least = apart[np.arange(n), target]
+    place = np.arange(n)
+    while n and least.min() <= threshold:
+        i = int(least.argmin())
+        j = int(target[i])
+        place[place == j] = i
+        # Distances to the merged group: those between i and j stand in column j.
+        apart[:i, i] = np.maximum(apart[:i, i], apart[:i, j])
+        apart[i, i + 1 : j] = np.maximum(apart[i, i + 1 : j], apart[i + 1 : j, j])
+        apart[i, j + 1 :] = np.maximum(apart[i, j + 1 :], apart[j, j + 1 :])
+        apart[:, j] = apart[j] = np.inf
+        stale = np.flatnonzero((target == i) | (target == j))
+        stale = np.union1d(stale, [i, j])
+        target[stale] = apart[stale].argmin(axis=1)
+        least[stale] = apart[stale, target[stale]]
+    return [np.flatnonzero(place == i).tolist() for i in np.unique(place)]
 
 
 def ordination(matrix: np.ndarray, axes: int = 2) -> tuple[np.ndarray, np.ndarray, bool]:
@@ -135,24 +140,25 @@ def neighbour_joining(names: list, matrix: np.ndarray) -> list[tuple[str, str |
 
 
 def path_distances(rows: list[tuple[str, str | None, float]], tips: list[str]) -> np.ndarray:
-    """Distances between tips along the tree, negative lengths as 0."""
-    up = {n: (p, max(0.0, x)) for n, p, x in rows}
-
-    def path(tip: str) -> dict[str, float]:
-        out, at, node = {}, 0.0, tip
-        while node is not None:
-            out[node] = at
-            parent, length = up[node]
-            at, node = at + length, parent
-        return out
+    """Distances between tips along the tree, negative lengths as 0.
 
-    paths = [path(t) for t in tips]
-    out = np.zeros((len(tips), len(tips)))
-    for i, a in enumerate(paths):
-        for j in range(i):
-            b = paths[j]
-            out[i, j] = out[j, i] = min(a[n] + b[n] for n in a if n in b)
-    return out
+    From the root down, a node is as far from every node before it as its parent is, plus its own edge.
+    """
+    below: dict = {}
+    for node, parent, length in rows:
+        below.setdefault(parent, []).append((node, max(0.0, length)))
+    out = np.zeros((len(rows), len(rows)))
+    place: dict[str, int] = {}
+    open_ = [(node, None, 0.0) for node, _ in below.get(None, [])]
+    while open_:
+        node, parent, length = open_.pop()
+        at = place[node] = len(place)
+        if parent is not None:
+            out[at, :at] = out[place[parent], :at] + length
+            out[:at, at] = out[at, :at]
+        open_ += [(child, node, x) for child, x in below.get(node, [])]
+    at = [place[t] for t in tips]
+    return out[np.ix_(at, at)]
 
 
 def _id(pairs: DataFrame) -> str:
@@ -213,40 +219,57 @@ def tree_ordination(pairs: DataFrame) -> DataFrame:
 
 
 def bootstrap(calls: DataFrame, threshold: float, overlap: float, replicates: int, seed: int = 5) -> DataFrame:
-    """(replicate, sample_id, cluster): loci drawn with replacement; a replicate in which any pair lacks overlap is left out.
+    """(group, replicate, sample_id, cluster): loci drawn with replacement; a replicate in which any pair lacks overlap is left out.
 
-    ``calls`` hold one cohort (sample_id, locus, allele); replicates run in parallel, each in one task.
+    ``calls`` are (group, sample_id, locus, allele) of cohorts; each replicate of each cohort is a task of its own.
     """
-    table = calls.where("allele is not null").groupBy("sample_id").agg(F.map_from_entries(F.collect_list(F.struct("locus", "allele"))).alias("calls"))
+    table = calls.where("allele is not null").groupBy("group", "sample_id").agg(F.map_from_entries(F.collect_list(F.struct("locus", "allele"))).alias("calls"))
     each = table.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        number = int(rows["replicate"].iloc[0])
+        group, number = rows["group"].iloc[0], int(rows["replicate"].iloc[0])
         rows = rows.sort_values("sample_id")
         loci = sorted({k for m in rows["calls"] for k in m})
-        codes = {}
-        matrix = np.array([[codes.setdefault((k, m[k]), len(codes) + 1) if k in m else 0 for k in loci] for m in rows["calls"]])
         drawn = np.bincount(np.random.default_rng([seed, number]).integers(0, len(loci), len(loci)), minlength=len(loci))
-        both = (matrix[:, None, :] > 0) & (matrix[None, :, :] > 0)
-        shared = (both * drawn).sum(axis=2)
-        differ = ((both & (matrix[:, None, :] != matrix[None, :, :])) * drawn).sum(axis=2)
-        columns = ["replicate", "sample_id", "cluster"]
+        n = len(rows)
+        shared, differ = np.zeros((n, n), np.int32), np.zeros((n, n), np.int32)
+        for locus, times in zip(loci, drawn.tolist(), strict=True):
+            if times:
+                codes: dict = {}
+                cell = np.array([codes.setdefault(m[locus], len(codes) + 1) if locus in m else 0 for m in rows["calls"]])
+                both = (cell[:, None] > 0) & (cell[None, :] > 0)
+                shared += times * both
+                differ += times * (both & (cell[:, None] != cell[None, :]))
+        columns = ["group", "replicate", "sample_id", "cluster"]
         if (shared < overlap * len(loci)).any():
             return pd.DataFrame([], columns=columns)
         names = rows["sample_id"].tolist()
-        return pd.DataFrame([(number, names[i], names[g[0]]) for g in complete_linkage(differ / np.maximum(shared, 1), threshold) for i in g], columns=columns)
+        return pd.DataFrame([(group, number, names[i], names[g[0]]) for g in complete_linkage(differ / np.maximum(shared, 1), threshold) for i in g], columns=columns)
 
-    kind = dict(calls.dtypes)["sample_id"]
-    return each.groupBy("replicate").applyInPandas(run, f"replicate int, sample_id {kind}, cluster {kind}")
+    kinds = dict(calls.dtypes)
+    return each.groupBy("group", "replicate").applyInPandas(run, f"group {kinds['group']}, replicate int, sample_id {kinds['sample_id']}, cluster {kinds['sample_id']}")
 
 
 def bootstrap_support(groups: DataFrame, replicates: DataFrame) -> DataFrame:
-    """(cluster, members, valid, support): the smallest share of valid replicates in which any two members stay together."""
-    valid = replicates.agg(F.count_distinct("replicate").alias("valid"))  # one row
-    a, b = groups.alias("a"), groups.alias("b")
-    pairs = a.join(b, (F.col("a.cluster") == F.col("b.cluster")) & (F.col("a.sample_id") < F.col("b.sample_id"))).select(F.col("a.cluster").alias("home"), F.col("a.sample_id").alias("p"), F.col("b.sample_id").alias("q"))
-    x, y = replicates.alias("x"), replicates.alias("y")
-    together = x.join(y, (F.col("x.replicate") == F.col("y.replicate")) & (F.col("x.cluster") == F.col("y.cluster")) & (F.col("x.sample_id") < F.col("y.sample_id"))).groupBy(F.col("x.sample_id").alias("p"), F.col("y.sample_id").alias("q")).agg(F.count("*").alias("n"))
-    least = pairs.join(together, ["p", "q"], "left").groupBy("home").agg(F.min(F.coalesce("n", F.lit(0))).alias("n"))
-    size = groups.groupBy("cluster").agg(F.count("*").alias("members"))
-    return size.join(least, size["cluster"] == least["home"], "left").join(F.broadcast(valid)).select("cluster", "members", "valid", F.when((F.col("members") > 1) & (F.col("valid") > 0), F.col("n") / F.col("valid")).alias("support"))
+    """(group, cluster, members, valid, support): the smallest share of valid replicates in which any two members stay together.
+
+    ``groups`` are (group, sample_id, cluster); one task for each cohort holds how often its samples stay together.
+    """
+
+    def run(own: pd.DataFrame, drawn: pd.DataFrame) -> pd.DataFrame:
+        names = sorted(own["sample_id"])
+        together, valid = np.zeros((len(names), len(names)), np.int32), 0
+        for _, one in drawn.groupby("replicate"):
+            label = one.set_index("sample_id")["cluster"].reindex(names).to_numpy()
+            together += label[:, None] == label[None, :]
+            valid += 1
+        place = pd.Series(range(len(names)), index=names)
+        out = []
+        for cluster, members in own.groupby("cluster")["sample_id"]:
+            at = place[members].to_numpy()
+            support = float(together[np.ix_(at, at)].min()) / valid if len(at) > 1 and valid else None
+            out.append((own["group"].iloc[0], cluster, len(at), valid, support))
+        return pd.DataFrame(out, columns=["group", "cluster", "members", "valid", "support"])
+
+    kinds = dict(groups.dtypes)
+    return groups.select("group", "sample_id", "cluster").groupBy("group").cogroup(replicates.groupBy("group")).applyInPandas(run, f"group {kinds['group']}, cluster {kinds['cluster']}, members bigint, valid bigint, support double")

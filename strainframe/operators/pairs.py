@@ -6,6 +6,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -199,27 +201,62 @@ def packed_pairs(calls: DataFrame, overlap: float, n_loci: int, block: int = 512
     return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(compare, f"a {kind}, b {kind}, diff bigint, shared bigint, distance double")
 
 
+def first_fit(samples: list, pairs: list[tuple]) -> dict:
+    """Number of each sample's cohort: in order of id, the first one all of whose members it can be compared with, or a new one.
+
+    Each comparable pair is looked at once: a sample fits where it meets as many members as the cohort has.
+    """
+    smaller: dict = {}
+    for a, b in pairs:
+        smaller.setdefault(max(a, b), set()).add(min(a, b))
+    home: dict = {}
+    sizes: list[int] = []
+    for s in sorted(samples):
+        met = Counter(home[m] for m in smaller.get(s, ()))
+        at = min((k for k, n in met.items() if n == sizes[k]), default=len(sizes))
+        if at == len(sizes):
+            sizes.append(0)
+        sizes[at] += 1
+        home[s] = at
+    return home
+
+
 def greedy_cohorts(samples: DataFrame, pairs: DataFrame) -> DataFrame:
     """(sample_id, cohort): in order of id, each sample joins the first cohort all of whose members it can be compared with."""
     joined = samples.select(F.lit(1).alias("k"), F.col("sample_id"), F.lit(None).cast(dict(pairs.dtypes)["b"]).alias("other")).unionByName(pairs.select(F.lit(1).alias("k"), F.col("a").alias("sample_id"), F.col("b").alias("other")))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        near: dict = {}
-        for a, b in rows.loc[rows["other"].notna(), ["sample_id", "other"]].itertuples(index=False, name=None):
-            near.setdefault(a, set()).add(int(b))
-            near.setdefault(int(b), set()).add(a)
-        cohorts: list[list] = []
-        for s in sorted(rows.loc[rows["other"].isna(), "sample_id"]):
-            home = next((c for c in cohorts if all(m in near.get(s, ()) for m in c)), None)
-            if home is None:
-                cohorts.append([s])
-            else:
-                home.append(s)
-        return pd.DataFrame([(m, i) for i, c in enumerate(cohorts, 1) for m in c], columns=["sample_id", "cohort"])
+        real = rows["other"].notna()
+        home = first_fit(rows.loc[~real, "sample_id"].tolist(), list(zip(rows.loc[real, "sample_id"], rows.loc[real, "other"].astype(rows["sample_id"].dtype), strict=True)))
+        return pd.DataFrame([(m, k + 1) for m, k in home.items()], columns=["sample_id", "cohort"])
 
     return joined.groupBy("k").applyInPandas(run, f"sample_id {dict(samples.dtypes)['sample_id']}, cohort bigint")
 
 
+def cohort_pairs(profiles: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(group, a, b, distance): the pairs inside greedy cohorts, in which every two samples are comparable.
+
+    Samples of different scopes are never comparable, so cohorts form scope by
+    scope, one task each; a cohort is named by its smallest member.  A sample
+    alone in its cohort has no pair.
+    """
+    block = F.concat_ws("|", "species_key", "scope", "loci_key")
+    keyed = pairs.select("a", "b", "distance").join(profiles.select(F.col("sample_id").alias("a"), block.alias("block")), "a")
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        home = first_fit(list(set(rows["a"]) | set(rows["b"])), list(zip(rows["a"], rows["b"], strict=True)))
+        name: dict = {}
+        for s, k in home.items():  # in order of id
+            name.setdefault(k, s)
+        a, b = rows["a"].map(home), rows["b"].map(home)
+        inside = rows.loc[a == b, ["a", "b", "distance"]]
+        inside.insert(0, "group", a[a == b].map(name))
+        return inside
+
+    kind = dict(pairs.dtypes)["a"]
+    return keyed.groupBy("block").applyInPandas(run, f"group {kind}, a {kind}, b {kind}, distance double")
+
+
 def tiled(rows: DataFrame, block: int = 256) -> DataFrame:
     """Every two rows, as structs ``p`` and ``q`` with p.sample_id < q.sample_id.
 

@@ -349,49 +349,42 @@ def degrees(edges: DataFrame) -> DataFrame:
     return both.withColumn("degree", F.col("in_degree") + F.col("out_degree")).withColumn("source_share", F.col("out_degree") / F.col("degree"))
 
 
+def levels(adjacent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Steps from each node (row) to each other (column), -1 where there is no way, and the number of shortest ways."""
+    n = len(adjacent)
+    depth, ways = np.where(np.eye(n, dtype=bool), 0, -1), np.eye(n)
+    step = adjacent.astype(float)
+    at = 0
+    while (depth == at).any():
+        found = np.where(depth == at, ways, 0.0) @ step
+        new = (found > 0) & (depth < 0)
+        at += 1
+        depth[new], ways[new] = at, found[new]
+    return depth, ways
+
+
 def centrality(edges: DataFrame) -> DataFrame:
-    """(node, betweenness, closeness): directed unnormalised betweenness by Brandes, and 1 / sum of undirected distances.
+    """(node, betweenness, closeness): directed unnormalised betweenness, and 1 / sum of undirected distances (null for a lone node).
 
-    The network of states is small (states, not samples); it is handled in one task.
+    The network of states is small (states, not samples); it is handled in one
+    task, all sources together: a level outwards is one product of matrices,
+    and so is a level back, which hands shares of ways to the level before.
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        names = sorted(set(rows["source"]) | set(rows["target"]))
-        out: dict[str, set[str]] = {v: set() for v in names}
-        near: dict[str, set[str]] = {v: set() for v in names}
-        for a, b in rows[["source", "target"]].itertuples(index=False, name=None):
-            if a != b:
-                out[a].add(b)
-                near[a].add(b)
-                near[b].add(a)
-        between = dict.fromkeys(names, 0.0)
-        for s in names:
-            order, paths, depth, before = [s], {s: 1}, {s: 0}, {v: [] for v in names}
-            for v in order:
-                for w in sorted(out[v]):
-                    if w not in depth:
-                        depth[w], paths[w] = depth[v] + 1, 0
-                        order.append(w)
-                    if depth[w] == depth[v] + 1:
-                        paths[w] += paths[v]
-                        before[w].append(v)
-            share = dict.fromkeys(order, 0.0)
-            for w in reversed(order):
-                for v in before[w]:
-                    share[v] += paths[v] / paths[w] * (1 + share[w])
-                if w != s:
-                    between[w] += share[w]
-        close = {}
-        for s in names:
-            depth, order = {s: 0}, [s]
-            for v in order:
-                for w in near[v]:
-                    if w not in depth:
-                        depth[w] = depth[v] + 1
-                        order.append(w)
-            total = sum(depth.values())
-            close[s] = 1 / total if total else None
-        return pd.DataFrame([(v, between[v], close[v]) for v in names], columns=["node", "betweenness", "closeness"])
+        names, codes = np.unique(rows[["source", "target"]].to_numpy(str), return_inverse=True)
+        source, target = codes.reshape(-1, 2).T
+        adjacent = np.zeros((len(names), len(names)), bool)
+        adjacent[source, target] = True
+        np.fill_diagonal(adjacent, False)
+        depth, ways = levels(adjacent)
+        share = np.zeros(ways.shape)
+        for at in range(depth.max(), 0, -1):
+            beyond = np.where(depth == at, (1 + share) / np.maximum(ways, 1), 0.0)
+            share += np.where(depth == at - 1, ways * (beyond @ adjacent.T.astype(float)), 0.0)
+        np.fill_diagonal(share, 0.0)
+        total = np.maximum(levels(adjacent | adjacent.T)[0], 0).sum(axis=1)
+        return pd.DataFrame({"node": names, "betweenness": share.sum(axis=0), "closeness": [1 / t if t else None for t in total.tolist()]})
 
     return edges.withColumn("k", F.lit(1)).groupBy("k").applyInPandas(run, "node string, betweenness double, closeness double")
 

@@ -111,7 +111,8 @@ def t14_network(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def t20_group_calibration(spark: SparkSession, sf: str) -> DataFrame:
     """Rates of each cohort's best-rooted tree as changes a year over 25 loci, and two threshold scenarios."""
-    roots = T.clock_roots(Q.clocks(spark, sf), Q.tip_years(spark, sf)).where("status = 'rooted'")
+    t = Q.clocks(spark, sf)
+    roots = T.clock_roots(t, Q.tip_years(spark, sf, t)).where("status = 'rooted'")
     rate = c("slope") * 25
     return roots.select("tree", rate.alias("rate"), "r2", *((2 * rate * h).alias(f"changes_{h}_years") for h in (5, 10)))
 

@@ -12,6 +12,7 @@ from ..operators import pairs as P
 from ..operators import partitions as B
 from ..operators import selection as L
 from ..operators import trees as T
+from ..sources.shared import checkpointed
 from . import q_pairs as Q
 from .q_aggregates import points, rounded
 from .registry import query
@@ -21,9 +22,9 @@ c = F.col
 
 
 def cohort(spark: SparkSession, sf: str) -> DataFrame:
-    """Pairs of cohorts of at most 15 samples in which every pair is comparable."""
-    found = P.comparable_pairs(Q.one_scope(spark, sf), view(spark, sf, "dense_calls"), OVERLAP)
-    return found.where("a % 7 = b % 7").select((c("a") % 7).alias("group"), "a", "b", "distance")
+    """Pairs of the greedy cohorts of all samples in the scopes they declare."""
+    profiles = Q.own_scopes(spark, sf)
+    return P.cohort_pairs(profiles, P.comparable_pairs(profiles, view(spark, sf, "dense_calls"), OVERLAP))
 
 
 def tree(spark: SparkSession, sf: str) -> DataFrame:
@@ -60,9 +61,10 @@ def c06_tree_ordination(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def c07_bootstrap_support(spark: SparkSession, sf: str) -> DataFrame:
-    calls = view(spark, sf, "dense_calls").where("sample_id % 7 = 1")
-    groups = C.clustered(cohort(spark, sf).where("group = 1"), [0.8])
-    return C.bootstrap_support(groups.select("sample_id", "cluster"), C.bootstrap(calls, 0.8, OVERLAP, 30))
+    """Support of the clusters of every cohort, 30 replicates each."""
+    groups = checkpointed(C.clustered(cohort(spark, sf), [0.8]).select("group", "sample_id", "cluster"))
+    calls = view(spark, sf, "dense_calls").join(groups.select("group", "sample_id"), "sample_id")
+    return C.bootstrap_support(groups, C.bootstrap(calls.select("group", "sample_id", "locus", "allele"), 0.8, OVERLAP, 30))
 
 
 @query()
@@ -165,42 +167,51 @@ def t05_rerooted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clocks(spark: SparkSession, sf: str) -> DataFrame:
-    """Guide trees of the cohorts as node tables, with each sample's mean date."""
-    t = C.guide_tree(cohort(spark, sf)).select(c("group").alias("tree"), F.concat_ws(":", c("group").cast("string"), "node").alias("node"), F.when(c("parent").isNotNull(), F.concat_ws(":", c("group").cast("string"), "parent")).alias("parent"), F.greatest("length", F.lit(0.0)).alias("length"))
-    return t
+    """Guide trees of the cohorts as node tables, computed once."""
+    name = lambda n: F.concat_ws(":", c("group").cast("string"), n)
+    return checkpointed(C.guide_tree(cohort(spark, sf)).select(c("group").alias("tree"), name("node").alias("node"), F.when(c("parent").isNotNull(), name("parent")).alias("parent"), F.greatest("length", F.lit(0.0)).alias("length")))
 
 
-def tip_years(spark: SparkSession, sf: str) -> DataFrame:
-    return points(spark, sf).groupBy("sample_id").agg(F.avg("x").alias("year")).select(F.concat_ws(":", (c("sample_id") % 7).cast("string"), c("sample_id").cast("string")).alias("node"), "year")
+def tip_years(spark: SparkSession, sf: str, nodes: DataFrame) -> DataFrame:
+    """(node, year): mean date of each tip's sample."""
+    tips = nodes.select("node", F.regexp_extract("node", ":([0-9]+)$", 1).alias("tip")).where("tip != ''").select("node", c("tip").cast("bigint").alias("sample_id"))
+    return tips.join(points(spark, sf).groupBy("sample_id").agg(F.avg("x").alias("year")), "sample_id").select("node", "year")
 
 
 @query()
 def t09_clock_root(spark: SparkSession, sf: str) -> DataFrame:
-    return T.clock_roots(clocks(spark, sf), tip_years(spark, sf))
+    t = clocks(spark, sf)
+    return T.clock_roots(t, tip_years(spark, sf, t))
 
 
 @query()
 def t19_root_comparison(spark: SparkSession, sf: str) -> DataFrame:
     """Fit of the tree as rooted against that of its best root."""
     t = clocks(spark, sf)
-    ways = T.root_to_tip(t).join(tip_years(spark, sf), "node").join(t.select("node", "tree"), "node")
+    years = tip_years(spark, sf, t)
+    ways = T.root_to_tip(t).join(years, "node").join(t.select("node", "tree"), "node")
     base = A.regression(ways.select("tree", c("year").alias("x"), c("distance").alias("y")), "tree").select("tree", c("slope").alias("base_slope"), c("r2").alias("base_r2"))
-    return T.clock_roots(t, tip_years(spark, sf)).join(base, "tree").select("tree", "status", "slope", "r2", "base_slope", "base_r2")
+    return T.clock_roots(t, years).join(base, "tree").select("tree", "status", "slope", "r2", "base_slope", "base_r2")
 
 
 @query()
 def c08_date_permutation(spark: SparkSession, sf: str) -> DataFrame:
-    """Best-root fits with the tips' dates dealt anew, each in a task of its own, and the p-value."""
-    t, years = clocks(spark, sf).where("tree = 1"), tip_years(spark, sf).where("node like '1:%'")
-    order = Window.partitionBy("run").orderBy
-    runs = years.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(20))))
-    place = runs.withColumn("i", F.row_number().over(order("node")))
-    dealt = runs.select("run", "year", F.when(c("run") == 0, c("node")).otherwise(L.drawn(3, c("run"), c("node"))).alias("o")).withColumn("i", F.row_number().over(order("o"))).select("run", "i", "year")
-    given = place.select("run", "i", "node").join(dealt, ["run", "i"]).select(F.concat_ws("#", c("run").cast("string"), "node").alias("node"), "year")
-    copies = t.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(20)))).select(c("run").alias("tree"), F.concat_ws("#", c("run").cast("string"), "node").alias("node"), F.when(c("parent").isNotNull(), F.concat_ws("#", c("run").cast("string"), "parent")).alias("parent"), "length")
-    fits = T.clock_roots(copies, given).select("tree", "r2")
-    observed = fits.where("tree = 0").select(c("r2").alias("observed"))
-    return fits.where("tree > 0").join(F.broadcast(observed)).groupBy("observed").agg(F.count("*").alias("n"), F.count_if(c("r2") >= c("observed")).alias("exceed")).withColumn("p", (1 + c("exceed")) / (1 + c("n")))
+    """Best-root fits of every cohort's tree with its tips' dates dealt anew, each in a task of its own, and the p-value."""
+    t = clocks(spark, sf)
+    years = tip_years(spark, sf, t).join(t.select("tree", "node"), "node")
+    order = Window.partitionBy("tree", "run").orderBy
+    every = F.explode(F.sequence(F.lit(0), F.lit(20)))
+    runs = years.withColumn("run", every)
+    place = runs.select("tree", "run", "node", F.row_number().over(order("node")).alias("i"))
+    dealt = runs.select("tree", "run", "year", F.when(c("run") == 0, c("node")).otherwise(L.drawn(3, c("run"), c("node"))).alias("o")).select("tree", "run", F.row_number().over(order("o")).alias("i"), "year")
+    copy = lambda n: F.concat_ws("#", c("run").cast("string"), n)
+    given = place.join(dealt, ["tree", "run", "i"]).select(copy("node").alias("node"), "year")
+    copies = t.withColumn("run", every).select(copy(c("tree").cast("string")).alias("tree"), copy("node").alias("node"), F.when(c("parent").isNotNull(), copy("parent")).alias("parent"), "length")
+    parts = F.split("tree", "#")
+    fits = T.clock_roots(copies, given).select(parts[0].cast("int").alias("run"), parts[1].cast("bigint").alias("tree"), "r2")
+    observed = fits.where("run = 0").select("tree", c("r2").alias("observed"))
+    counted = observed.join(fits.where("run > 0 and r2 is not null"), "tree", "left").groupBy("tree", "observed").agg(F.count("r2").alias("n"), F.count_if(c("r2") >= c("observed")).alias("exceed"))
+    return counted.withColumn("p", F.when(c("observed").isNotNull(), (1 + c("exceed")) / (1 + c("n"))))
 
 
 @query("""WITH d AS (SELECT 'n' || s_nationkey node, count(DISTINCT s_suppkey % 2) k, min(s_suppkey % 2) v FROM supplier GROUP BY 1) SELECT node clade, v AS year FROM d WHERE k = 1""")

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from strainframe.operators import cohorts as C
+from strainframe.operators import pairs as P
 from strainframe.operators import selection as L
 from strainframe.operators import trees as T
 from strainframe.sources import newick
@@ -162,3 +163,55 @@ def test_distances_of_a_deep_tree(spark):
     assert far == {"n0": (0, 0.0), "n9": (9, 9.0), "n16999": (n - 1, n - 1.0)}
     with pytest.raises(ValueError):
         T.root_to_tip(edges(spark, [("a", "b", 1.0), ("b", "a", 1.0), ("r", None, None)]))
+
+
+def test_linkage_equals_plain_merging():
+    rng = np.random.default_rng(4)
+    for n in range(1, 14):
+        m = np.triu(rng.integers(0, 6, (n, n)) / 5, 1)
+        m[rng.random((n, n)) < 0.1] = np.nan
+        m = np.triu(m, 1) + np.triu(m, 1).T
+        for threshold in (0.0, 0.4, 1.0):
+            groups = [[i] for i in range(n)]
+            while True:
+                far = [(max(np.inf if np.isnan(m[x, y]) else m[x, y] for x in a for y in b), i, j) for i, a in enumerate(groups) for j, b in enumerate(groups) if i < j]
+                if not far or min(far)[0] > threshold:
+                    break
+                _, i, j = min(far)
+                groups[i] = sorted(groups[i] + groups.pop(j))
+            assert C.complete_linkage(m, threshold) == sorted(groups)
+
+
+def test_cohorts_hold_comparable_pairs_only_and_first_fit(spark):
+    rng = np.random.default_rng(8)
+    scope = {i: "xyz"[i % 3] for i in range(40)}
+    linked = sorted({(i, j) for i in range(40) for j in range(i + 1, 40) if scope[i] == scope[j] and rng.random() < 0.7})
+    cohorts: list[list[int]] = []
+    for s in range(40):
+        home = next((k for k in cohorts if all((m, s) in linked for m in k)), None)
+        cohorts.append([s]) if home is None else home.append(s)
+    want = {(k[0], a, b) for k in cohorts for a in k for b in k if a < b}
+    profiles = spark.createDataFrame([(i, "sp", x, "loci") for i, x in scope.items()], "sample_id long, species_key string, scope string, loci_key string")
+    pairs = spark.createDataFrame([(a, b, 0.5) for a, b in linked], "a long, b long, distance double")
+    got = P.cohort_pairs(profiles, pairs).collect()
+    assert {(r.group, r.a, r.b) for r in got} == want and len(got) == len(want)
+    flat = {r.sample_id: r.cohort for r in P.greedy_cohorts(profiles.select("sample_id"), pairs).collect()}
+    assert flat == {m: i for i, k in enumerate(cohorts, 1) for m in k}
+    assert P.cohort_pairs(profiles, pairs.limit(0)).collect() == []
+
+
+def test_bootstrap_of_each_cohort(spark):
+    rows = [(g, 10 * g + i, f"l{k}", str(i // 2)) for g in (1, 2) for i in range(4) for k in range(5)]
+    calls = spark.createDataFrame(rows, "group long, sample_id long, locus string, allele string")
+    groups = spark.createDataFrame([(g, 10 * g + i, 10 * g + i // 2 * 2) for g in (1, 2) for i in range(4)], "group long, sample_id long, cluster long")
+    got = C.bootstrap_support(groups, C.bootstrap(calls, 0.2, 0.5, 6)).collect()
+    assert sorted(tuple(r) for r in got) == [(g, 10 * g + k, 2, 6, 1.0) for g in (1, 2) for k in (0, 2)]
+    none = C.bootstrap_support(groups, C.bootstrap(calls.where("not (locus != 'l1' and sample_id = 11)"), 0.2, 0.9, 6)).collect()
+    assert {(r.group, r.valid, r.support) for r in none} == {(1, 0, None), (2, 6, 1.0)}
+
+
+def test_centrality_counts_shortest_ways(spark):
+    edges = [("a", "b"), ("a", "c"), ("b", "d"), ("c", "d"), ("d", "e"), ("e", "e"), ("f", "f")]
+    got = {r.node: (r.betweenness, r.closeness) for r in T.centrality(spark.createDataFrame(edges, "source string, target string")).collect()}
+    assert got["b"][0] == got["c"][0] == 1.0 and got["d"][0] == 3.0 and got["a"][0] == got["e"][0] == 0.0
+    assert got["d"][1] == 1 / 5 and got["a"][1] == 1 / 7 and got["f"] == (0.0, None)
