@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, jaccard, katz, langid, packing, quality, substrings, tiff, warc
+from . import alignment, ann, bpe, jaccard, katz, langid, packing, quality, substrings, tiff, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +81,12 @@ def op10_metric_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(documents(spark, sf_dir), "doc_id", "text", words=4, least=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_tiff_pages, op2_ecoc_language_id, op3_katz_backoff, op4_block_matrix_join, op5_warc_segments, op6_level_doubling, op7_subword_quality, op8_bounded_packing, op9_bpe_lexicon, op10_metric_jaccard)}
+def op11_interval_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned over the bytes of every document."""
+    return alignment.aligned_digests(documents(spark, sf_dir), "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_tiff_pages, op2_ecoc_language_id, op3_katz_backoff, op4_block_matrix_join, op5_warc_segments, op6_level_doubling, op7_subword_quality, op8_bounded_packing, op9_bpe_lexicon, op10_metric_jaccard, op11_interval_alignment)}
 #: DuckDB SQL for those that SQL can express; the others are tested against brute force, the libraries or held-out rows.
 ORACLES: dict[str, str] = {
     "op6_level_doubling": r"""
