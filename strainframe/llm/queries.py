@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, ann, bpe, jaccard, katz, langid, packing, quality, substrings, tiff, warc
+from . import alignment, ann, bpe, jaccard, katz, langid, packing, quality, quantiser, substrings, tiff, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +86,15 @@ def op11_interval_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned_digests(documents(spark, sf_dir), "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_tiff_pages, op2_ecoc_language_id, op3_katz_backoff, op4_block_matrix_join, op5_warc_segments, op6_level_doubling, op7_subword_quality, op8_bounded_packing, op9_bpe_lexicon, op10_metric_jaccard, op11_interval_alignment)}
+def op12_filtering_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as sixteen codes each, from codebooks refined by filtering Lloyd rounds."""
+    forest = quantiser.planted(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding", "label")
+    books = quantiser.fitted(forest)
+    found = quantiser.label_errors(quantiser.coded(forest, books))
+    return found.select(F.col("key").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_tiff_pages, op2_ecoc_language_id, op3_katz_backoff, op4_block_matrix_join, op5_warc_segments, op6_level_doubling, op7_subword_quality, op8_bounded_packing, op9_bpe_lexicon, op10_metric_jaccard, op11_interval_alignment, op12_filtering_codes)}
 #: DuckDB SQL for those that SQL can express; the others are tested against brute force, the libraries or held-out rows.
 ORACLES: dict[str, str] = {
     "op6_level_doubling": r"""
