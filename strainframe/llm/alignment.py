@@ -40,7 +40,7 @@ from .shared import stored
 from .units import encode, runs, slices, text_bytes
 
 #: Bytes of text that are aligned at once; a longer text is taken by itself.
-STEP = 4 << 20
+STEP = 2 << 20
 
 
 def ragged(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
