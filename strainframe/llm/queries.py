@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, ann, bpe, jaccard, katz, langid, packing, quality, quantiser, substrings, tiff, warc
+from . import alignment, ann, bpe, jaccard, katz, langid, packing, quality, quantiser, substrings, tiff, toxicity, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +94,15 @@ def op12_filtering_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_tiff_pages, op2_ecoc_language_id, op3_katz_backoff, op4_block_matrix_join, op5_warc_segments, op6_level_doubling, op7_subword_quality, op8_bounded_packing, op9_bpe_lexicon, op10_metric_jaccard, op11_interval_alignment, op12_filtering_codes)}
+def op13_ratio_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of every document by character n-grams scaled by log-count ratios."""
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels.where(remainder("doc_id", 3) != 1), "doc_id", "text", "toxic")
+    found = toxicity.scored(docs.select("doc_id", "text"), "text", model)
+    return found.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
+QUERIES = {f.__name__: f for f in (op1_tiff_pages, op2_ecoc_language_id, op3_katz_backoff, op4_block_matrix_join, op5_warc_segments, op6_level_doubling, op7_subword_quality, op8_bounded_packing, op9_bpe_lexicon, op10_metric_jaccard, op11_interval_alignment, op12_filtering_codes, op13_ratio_toxicity)}
 #: DuckDB SQL for those that SQL can express; the others are tested against brute force, the libraries or held-out rows.
 ORACLES: dict[str, str] = {
     "op6_level_doubling": r"""
