@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import discard, noted
+from .shared import discard, noted, shared_folder
 from .units import text_bytes
 
 ASK = "bucket int, chunk long, keys binary, extra binary"
@@ -65,12 +65,13 @@ def frugal(work: Callable[..., pa.Table], cogrouped: bool) -> Callable[..., pa.T
 class Chunks:
     """A table (chunk, doc_id, text, further columns c_0, c_1, ...) bucketed by chunk, and the number of chunks."""
 
-    def __init__(self, table: DataFrame, name: str, n: int):
-        self.table, self.name, self.n = table, name, n
+    def __init__(self, table: DataFrame, name: str, place: str, n: int):
+        self.table, self.name, self.place, self.n = table, name, place, n
 
     def drop(self) -> None:
         """Drop the table, once nothing reads it any more."""
         discard(self.table.sparkSession, "table", self.name)
+        discard(self.table.sparkSession, "folder", self.place)
 
 
 def chunked(df: DataFrame, key: str, text: str, carry: list[str] | None = None, chunk_bytes: int = 8 << 20) -> Chunks:
@@ -110,15 +111,16 @@ def chunked(df: DataFrame, key: str, text: str, carry: list[str] | None = None,
             give_back()
 
     schema = ", ".join(["chunk long", *(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)])
-    buckets = max(24, 2 * rows.rdd.getNumPartitions())
-    if buckets > int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000")):
-        spark.conf.set("spark.sql.sources.bucketing.maxBuckets", str(buckets))
+    buckets = min(max(24, 2 * rows.rdd.getNumPartitions()), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000")))
     name = f"chunks_{uuid.uuid4().hex}"
+    # Only bucketed tables keep their partitioning, but the table's files lie in the shared folder, not in the warehouse.
+    place = f"{shared_folder(spark)}/{name}"
+    noted("table", name)
+    noted("folder", place)
     # Files are read whole, a bucket at a time, so small row groups cost nothing and keep the writer small.
-    rows.mapInArrow(deal, schema).write.format("parquet").option("compression", "zstd").option("parquet.block.size", 8 << 20).bucketBy(buckets, "chunk").saveAsTable(name)
-    noted(name)
+    rows.mapInArrow(deal, schema).write.format("parquet").option("path", place).option("compression", "zstd").option("parquet.block.size", 8 << 20).bucketBy(buckets, "chunk").saveAsTable(name)
     table = spark.table(name)
-    return Chunks(table, name, table.agg(F.count_distinct("chunk").alias("n")).first()["n"])
+    return Chunks(table, name, place, table.agg(F.count_distinct("chunk").alias("n")).first()["n"])
 
 
 def in_order(table: pa.Table) -> pa.Table:

@@ -160,13 +160,19 @@ def train(texts: list[str | None], langs: list[str]) -> Model:
 def fit(docs: DataFrame, key: str, text: str, lang: str, learn: Column, per_language: int = 1500) -> Model:
     """Learn from at most ``per_language`` keys of each language, those of the smallest hashes (of several texts of a key the first).
 
-    One scan ranks keys, one fetches their texts; counting is done by the
-    executors, so no text comes to the driver.  Keys are broadcast: 1,500 for
-    each language.
+    One scan counts keys, one ranks those of the smallest hashes, one fetches
+    their texts; counting is done by the executors, so no text comes to the
+    driver.  Keys are broadcast: 1,500 for each language.
     """
     known = docs.where(learn & F.col(lang).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    named = known.select("key", "lang", F.xxhash64("key").alias("hash"))
+    # A share of the hashes that holds twice as many keys as are taken, by an estimate of each language's keys, so
+    # that no language's keys all meet in one task; where fewer were held than are taken, all are.
+    sizes = named.groupBy("lang").agg(F.approx_count_distinct("key", 0.02).alias("n"))
+    least = F.lit(float(-(1 << 63))) + F.lit(float(1 << 64)) * F.least(F.lit(1.0), F.lit(2.0 * per_language + 200) / F.greatest(F.col("n"), F.lit(1)))
+    few = named.join(F.broadcast(sizes.select("lang", least.alias("below"))), "lang").where(F.col("hash") <= F.col("below")).select("key", "lang", "hash").distinct()
     order = Window.partitionBy("lang").orderBy("hash", "key")
-    keys = known.select("key", "lang", F.xxhash64("key").alias("hash")).distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language).select("key", "lang")
+    keys = few.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language).select("key", "lang")
     sample = stored(known.join(F.broadcast(keys), ["key", "lang"], "left_semi").groupBy("key", "lang").agg(F.min("text").alias("text")), "languages").select("lang", "text")
 
     def counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

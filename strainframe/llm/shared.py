@@ -15,7 +15,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: list[tempfile.TemporaryDirectory] = []
-#: What has been written so far: ("folder" or "table", name).
+#: What has been written or begun so far: ("folder" or "table", name).
 _MADE: list[tuple[str, str]] = []
 
 
@@ -34,25 +34,33 @@ def stored(df: DataFrame, label: str, partition_by: str | None = None) -> DataFr
     """Write ``df`` as Parquet in the shared folder and read it again."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    noted("folder", path)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    _MADE.append(("folder", path))
     return spark.read.schema(df.schema).parquet(path)
 
 
-def noted(table: str) -> None:
-    """Remember a table for ``scratch`` to drop."""
-    _MADE.append(("table", table))
+def noted(kind: str, name: str) -> None:
+    """Remember a folder or table that is about to be written, for ``scratch`` to drop."""
+    _MADE.append((kind, name))
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Drop what is written inside, but for the last thing, on leaving: lazy results must have been written by then."""
+    """Drop what is written inside, but for the last thing, on leaving: lazy results must have been written by then.
+
+    Where the work fails, all that it wrote goes.
+    """
     begin = len(_MADE)
-    yield
-    for kind, name in _MADE[begin:-1]:
-        discard(spark, kind, name)
-    del _MADE[begin:-1]
+    kept = 0
+    try:
+        yield
+        kept = 1
+    finally:
+        gone = _MADE[begin : len(_MADE) - kept]
+        del _MADE[begin : len(_MADE) - kept]
+        for kind, name in gone:
+            discard(spark, kind, name)
 
 
 def discard(spark: SparkSession, kind: str, name: str) -> None:

@@ -135,3 +135,39 @@ def test_registered_queries_follow_their_contracts(spark):
         if "held_out" in df.columns:
             modulus, rest = {2: (3, 1), 3: (7, 2), 7: (5, 0)}[number]
             assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % modulus == rest) for r in rows)
+
+
+def test_failed_work_leaves_nothing_behind(spark):
+    import os
+
+    from strainframe.llm import exchange, shared
+
+    folder = shared.shared_folder(spark).removeprefix("file://")
+    df = spark.range(20).selectExpr("id doc_id", "cast(id as string) text")
+    before = set(os.listdir(folder))
+    try:
+        with shared.scratch(spark):
+            table = exchange.chunked(df, "doc_id", "text")
+            assert os.path.isdir(table.place.removeprefix("file://")) and table.table.count() == 20
+            shared.stored(df, "one")
+            raise KeyError
+    except KeyError:
+        pass
+    assert set(os.listdir(folder)) == before and not any(t.name == table.name for t in spark.catalog.listTables())
+    with shared.scratch(spark):
+        table = exchange.chunked(df, "doc_id", "text")
+        kept = shared.stored(table.table.select("doc_id"), "kept")
+    assert kept.count() == 20 and len(set(os.listdir(folder)) - before) == 1
+
+
+def test_sample_of_a_language_with_many_keys(spark):
+    from pyspark.sql import functions as F
+
+    from strainframe.llm import langid
+
+    df = spark.range(30_000).select(F.col("id").alias("k"), F.when(F.col("id") % 10 == 0, "b").otherwise("a").alias("l"), F.concat(F.lit("t"), (F.col("id") % 9).cast("string"), F.lit(" some text")).alias("t"))
+    df = df.unionByName(df.where("l = 'b'"))
+    model = langid.fit(df, "k", "t", "l", learn=F.lit(True), per_language=1200)
+    first = {lang: [r.k for r in df.where(F.col("l") == lang).select("k", F.xxhash64("k").alias("h")).distinct().orderBy("h", "k").limit(1200).collect()] for lang in "ab"}
+    same = langid.fit(df.where(F.col("k").isin(first["a"] + first["b"])), "k", "t", "l", learn=F.lit(True), per_language=1200)
+    assert (model.weights == same.weights).all() and (model.trust == same.trust).all()
