@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranks import running
+
 
 def geography_cube(samples: DataFrame) -> DataFrame:
     """Numbers of samples by role, country, region and city; blanks count as Unknown."""
@@ -112,13 +114,13 @@ def screen(pairs: DataFrame, value: str, least_z: float, least_ratio: float) ->
 def false_discovery(tests: DataFrame, p: str = "p") -> DataFrame:
     """``tests`` with Benjamini-Hochberg q; null p stays null.
 
-    Ranks come from counts of equal p-values, so only distinct ones are sorted in one place.
+    Ranks come from counts of equal p-values, and both running totals from ranges of them.
     """
     levels = tests.where(F.col(p).isNotNull()).groupBy(p).agg(F.count("*").alias("_n"))
     total = levels.agg(F.sum("_n").alias("_total"))  # one row
-    upto = levels.withColumn("_rank", F.sum("_n").over(Window.orderBy(p))).join(F.broadcast(total))
-    q = F.least(F.lit(1.0), F.min(F.col(p) * F.col("_total") / F.col("_rank")).over(Window.orderBy(F.desc(p))))
-    return tests.join(upto.select(F.col(p).alias("_p"), q.alias("q")), F.col(p) == F.col("_p"), "left").drop("_p")
+    upto = running(levels, [p], "_rank", total="_n").join(F.broadcast(total))
+    q = running(upto, [F.desc(p)], "_least", least=F.col(p) * F.col("_total") / F.col("_rank"))
+    return tests.join(q.select(F.col(p).alias("_p"), F.least(F.lit(1.0), "_least").alias("q")), F.col(p) == F.col("_p"), "left").drop("_p")
 
 
 def merged_intervals(rows: DataFrame, record: str, start: str, end: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranks import running
+
 
 def temporal_verdict(requested: Column, successful: Column, rate: Column, p: Column, threshold: float) -> Column:
     """not_assessed without complete randomisations, else whether the rate is positive and the fit beats them."""
@@ -23,5 +25,5 @@ def interval_widths(rows: DataFrame) -> DataFrame:
     """
     counts = rows.groupBy("width").agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n").alias("nodes"), F.max("width").alias("widest"))  # one row
-    run = counts.withColumn("upto", F.sum("n").over(Window.orderBy("width"))).join(F.broadcast(total))
+    run = running(counts, ["width"], "upto", total="n").join(F.broadcast(total))
     return run.where(F.col("upto") > F.floor(F.col("nodes") / 2)).groupBy("widest", "nodes").agg(F.min("width").alias("middle")).select("middle", "widest", "nodes")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ranks import numbered
+
 # Fixed value: identifiers that are safe in file names.
 SAFE = "^[A-Za-z0-9][A-Za-z0-9._-]*$"
 
@@ -17,11 +19,7 @@ def coded(calls: DataFrame, order: list[str]) -> tuple[DataFrame, DataFrame]:
     """
     place = F.struct(*order)
     first = calls.where("allele is not null").groupBy("allele").agg(F.min(place).alias("_first"))
-    # Ranges in order, then each range's numbers after those of the ranges before it.
-    ranged = first.repartitionByRange("_first").sortWithinPartitions("_first").withColumn("_part", F.spark_partition_id())
-    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")
-    vocabulary = ranged.withColumn("_i", F.row_number().over(Window.partitionBy("_part").orderBy("_first"))).join(F.broadcast(before), "_part").select((F.col("_i") + F.col("_before")).alias("code"), "allele")
+    vocabulary = numbered(first, ["_first"], "code").select("code", "allele")
     codes = calls.join(vocabulary, "allele", "left").select(*(c for c in calls.columns if c != "allele"), F.coalesce("code", F.lit(0)).alias("code"))
     return vocabulary, codes
 

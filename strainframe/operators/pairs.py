@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import compatible_typing
+from .ranks import numbered
 
 REASONS = ["different_species", "profile_unavailable", "incompatible_or_unversioned_scheme", "incompatible_locus_set", "insufficient_called_overlap"]
 
@@ -127,7 +128,8 @@ def neighbours_to_boundary(pairs: DataFrame, samples: DataFrame, k: int) -> Data
 def round_robin(neighbours: DataFrame) -> DataFrame:
     """The neighbours in turn, first of every query, then second of every query; each once, with how often it is named."""
     first = neighbours.groupBy("context_id").agg(F.min(F.struct("rank", "query_id")).alias("f"), F.count("*").alias("reasons"))
-    return first.select("context_id", F.row_number().over(Window.orderBy("f.rank", "f.query_id")).cast("bigint").alias("position"), "reasons")
+    # A rank of a query names one sample at most, so the order is total.
+    return numbered(first.select("context_id", "reasons", "f.rank", "f.query_id"), ["rank", "query_id"]).select("context_id", "position", "reasons")
 
 
 def requested_pairs(requested: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranks import numbered
+
 
 def blocks(rows: DataFrame, key: list[Column], missing: list[tuple[str, Column]]) -> tuple[DataFrame, DataFrame]:
     """(members, left out): records by block; context stays only where an input is.
@@ -33,8 +35,8 @@ def namespaces(rows: DataFrame) -> DataFrame:
 def display_groups(rows: DataFrame, kind: str, key: Column, most: int) -> DataFrame:
     """(kind, label, inputs, context, shown): groups by a key with an unassigned bucket; the largest ``most`` and all with inputs are shown."""
     g = rows.groupBy(F.coalesce(key, F.lit("unassigned")).alias("label")).agg(F.count_if(F.col("role") == "input").alias("inputs"), F.count_if(F.col("role") == "context").alias("context"))
-    place = F.row_number().over(Window.orderBy(F.desc(F.col("inputs") + F.col("context")), "label"))
-    return g.select(F.lit(kind).alias("kind"), "label", "inputs", "context", ((place <= most) | (F.col("inputs") > 0)).alias("shown"))
+    placed = numbered(g.withColumn("_size", -(F.col("inputs") + F.col("context"))), ["_size", "label"], "_place")
+    return placed.select(F.lit(kind).alias("kind"), "label", "inputs", "context", ((F.col("_place") <= most) | (F.col("inputs") > 0)).alias("shown"))
 
 
 def refused(rows: DataFrame, group: str, most: int) -> DataFrame:

@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranks import numbered
+
 
 def drawn(seed: int, *keys: Column) -> Column:
     """A reproducible random order."""
@@ -34,7 +36,7 @@ def quotas(cells: DataFrame, mandatory: DataFrame, size: int, seed: int) -> Data
     """Cells that get one place: of those with someone not mandatory, as many as min(places left, a quarter of the size), in random order."""
     open_cells = cells.join(mandatory.select("sample_id").distinct(), "sample_id", "left_anti").select("cell").distinct()
     held = mandatory.select("sample_id").distinct().agg(F.count("*").alias("held"))  # one row
-    ranked = open_cells.withColumn("place", F.row_number().over(Window.orderBy(drawn(seed, F.col("cell")), "cell")))
+    ranked = numbered(open_cells.withColumn("_drawn", drawn(seed, F.col("cell"))), ["_drawn", "cell"], "place")
     return ranked.join(F.broadcast(held)).where((F.col("place") <= F.greatest(F.lit(0), F.lit(size) - F.col("held"))) & (F.col("place") <= -(-size // 4))).select("cell", F.col("place").cast("bigint").alias("place"))
 
 
@@ -95,7 +97,7 @@ def all_inputs(pool: DataFrame, mandatory: DataFrame, size: int) -> DataFrame:
     """Every input, every mandatory neighbour, then context in order of id up to ``size``; inputs and neighbours may go beyond it."""
     ranked = pool.join(mandatory.select("sample_id", F.lit(True).alias("_need")).distinct(), "sample_id", "left").withColumn("reason", F.when(F.col("role") == "input", "input").when(F.col("_need"), "mandatory_neighbour").otherwise("fill"))
     grade = F.when(F.col("reason") == "input", 0).when(F.col("reason") == "mandatory_neighbour", 1).otherwise(2)
-    placed = ranked.withColumn("position", F.row_number().over(Window.orderBy(grade, "sample_id")))
+    placed = numbered(ranked.withColumn("_grade", grade), ["_grade", "sample_id"])
     return placed.where((F.col("reason") != "fill") | (F.col("position") <= size)).select("sample_id", "reason", F.col("position").cast("bigint").alias("position"))
 
 
