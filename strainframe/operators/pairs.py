@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections import Counter
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import compatible_typing
 from .ranks import numbered
+from .tiles import TILE, pair_counts, tiled_profiles
 
 REASONS = ["different_species", "profile_unavailable", "incompatible_or_unversioned_scheme", "incompatible_locus_set", "insufficient_called_overlap"]
 
@@ -39,13 +39,11 @@ def with_calls(profiles: DataFrame, calls: DataFrame) -> DataFrame:
 def shared_calls(profiles: DataFrame, calls: DataFrame) -> DataFrame:
     """(a, b, shared, diff) of all pairs a < b that can be compared and share a called locus.
 
-    The join is by scope and locus, so only comparable samples meet.
+    Only samples of one scope meet, as tiles of coded profiles.
     """
     block = F.concat_ws("|", "species_key", "scope", "loci_key")
-    keyed = calls.where("allele is not null").join(profiles.where("scope is not null").select("sample_id", block.alias("block"), F.lower(F.coalesce("database_sha256", F.lit(""))).alias("sha")), "sample_id")
-    a, b = keyed.alias("a"), keyed.alias("b")
-    meet = (F.col("a.block") == F.col("b.block")) & (F.col("a.locus") == F.col("b.locus")) & (F.col("a.sample_id") < F.col("b.sample_id")) & ((F.col("a.sha") == "") | (F.col("b.sha") == "") | (F.col("a.sha") == F.col("b.sha")))
-    return a.join(b, meet).groupBy(F.col("a.sample_id").alias("a"), F.col("b.sample_id").alias("b")).agg(F.count("*").alias("shared"), F.sum((F.col("a.allele") != F.col("b.allele")).cast("bigint")).alias("diff"))
+    keyed = profiles.where("scope is not null").select("sample_id", block.alias("block"), F.lower(F.coalesce(F.col("database_sha256"), F.lit(""))).alias("sha"))
+    return pair_counts(tiled_profiles(keyed, calls)).select("a", "b", "shared", "diff")
 
 
 def comparable_pairs(profiles: DataFrame, calls: DataFrame, overlap: float) -> DataFrame:
@@ -160,47 +158,11 @@ def pair_violations(pairs: DataFrame, overlap: float) -> DataFrame:
 # Packed kernel ----------------------------------------------------------------------------------------
 
 
-def packed_pairs(calls: DataFrame, overlap: float, n_loci: int, block: int = 512) -> DataFrame:
-    """The comparable pairs of one scope by matrix blocks: (a, b, diff, shared, distance).
-
-    Profiles become rows of codes, ``block`` of them to a tile; tiles meet in
-    pairs i <= j by an equi-join on the block number, and numpy compares a tile
-    pair at once.  Codes are opaque; 0 is no call.
-    """
-    coded = calls.where("allele is not null").select("sample_id", F.col("locus"), F.xxhash64("allele").alias("code"))
-    ids = coded.select("sample_id").distinct()
-    n = ids.count()
-    blocks = max(1, -(-n // block))
-    ids = ids.withColumn("tile", F.pmod(F.xxhash64("sample_id"), F.lit(blocks)).cast("int"))
-    tiles = coded.join(ids, "sample_id").groupBy("tile", "sample_id").agg(F.map_from_entries(F.collect_list(F.struct("locus", "code"))).alias("codes"))
-    left = tiles.select(F.col("tile").alias("i"), "sample_id", "codes", F.explode(F.sequence(F.col("tile"), F.lit(blocks - 1))).alias("j"))
-    right = tiles.select(F.col("tile").alias("j"), F.col("sample_id").alias("sample_id"), F.col("codes").alias("codes"), F.explode(F.sequence(F.lit(0), F.col("tile"))).alias("i"))
-
-    def compare(key: tuple, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        loci = sorted({k for m in [*x["codes"], *y["codes"]] for k in m})
-        place = {k: i for i, k in enumerate(loci)}
-
-        def matrix(frame: pd.DataFrame) -> np.ndarray:
-            out = np.zeros((len(frame), len(loci)), np.int64)
-            for r, m in enumerate(frame["codes"]):
-                for k, v in m.items():
-                    out[r, place[k]] = v
-            return out
-
-        a, b, p, q = matrix(x), matrix(y), x["sample_id"].to_numpy(), y["sample_id"].to_numpy()
-        rows = []
-        for r in range(len(a)):
-            both = (a[r] != 0) & (b != 0)
-            shared = both.sum(axis=1)
-            diff = (both & (a[r] != b)).sum(axis=1)
-            ok = (shared >= overlap * n_loci) & (shared > 0) & ((p[r] < q) if key[0] == key[1] else np.full(len(q), True))
-            rows.append(pd.DataFrame({"a": np.minimum(p[r], q[ok]), "b": np.maximum(p[r], q[ok]), "diff": diff[ok], "shared": shared[ok]}))
-        out = pd.concat(rows) if rows else pd.DataFrame({"a": [], "b": [], "diff": [], "shared": []})
-        out["distance"] = out["diff"] / out["shared"]
-        return out
-
-    kind = dict(calls.dtypes)["sample_id"]
-    return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(compare, f"a {kind}, b {kind}, diff bigint, shared bigint, distance double")
+def packed_pairs(calls: DataFrame, overlap: float, n_loci: int, block: int = TILE) -> DataFrame:
+    """The comparable pairs of one scope: (a, b, diff, shared, distance)."""
+    one = calls.select("sample_id").distinct().select("sample_id", F.lit("").alias("block"), F.lit("").alias("sha"))
+    found = pair_counts(tiled_profiles(one, calls, block))
+    return found.where(F.col("shared") >= overlap * n_loci).select("a", "b", "diff", "shared", (F.col("diff") / F.col("shared")).alias("distance"))
 
 
 def first_fit(samples: list, pairs: list[tuple]) -> dict:
