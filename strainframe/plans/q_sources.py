@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import validate as X
-from ..sources import bundle, newick, readers
-from ..sources.shared import checkpoint_folder
+from ..sources import bundle, files, newick, readers, stages
+from ..sources.shared import checkpoint_folder, checkpointed
 from ..streaming import capture
 from .q_aggregates import rounded
 from .registry import query
@@ -32,11 +32,59 @@ def s01_k01_bundle(spark: SparkSession, sf: str) -> DataFrame:
     return bundle.read_bundle(spark, at)["samples"].select("sample_id", "role", "st")
 
 
-@query("SELECT name AS \"table\", n FROM (SELECT 'samples' AS name, count(*) n FROM @samples UNION ALL SELECT 'calls', count(*) FROM @calls)")
+@query("""SELECT problem, count(*) * CASE WHEN problem = 'repeated' THEN 2 ELSE 1 END n FROM (SELECT unnest(CASE s_suppkey % 10 WHEN 1 THEN ['digest_differs'] WHEN 2 THEN ['size_differs'] WHEN 3 THEN ['repeated'] WHEN 4 THEN ['escapes', 'unlisted'] WHEN 5 THEN ['not_relative', 'unlisted'] WHEN 6 THEN ['missing'] WHEN 7 THEN ['unlisted'] WHEN 8 THEN ['no_digest'] ELSE [NULL] END) problem FROM supplier) GROUP BY problem""")
 def s02_artifact_check(spark: SparkSession, sf: str) -> DataFrame:
-    at = place(spark, "bundle")
-    bundle.write_bundle({"samples": view(spark, sf, "samples"), "calls": view(spark, sf, "calls")}, at)
-    return spark.read.json(spark.read.text(f"{at}/_manifest.txt").rdd.map(lambda r: r[0])).select(F.explode(F.array(F.struct(F.lit("samples").alias("table"), c("tables.samples.rows").alias("n")), F.struct(F.lit("calls").alias("table"), c("tables.calls.rows").alias("n")))).alias("t")).select("t.*")
+    """A file for each supplier; most are changed after the manifest was made, or their entries are."""
+    at, k = place(spark, "artifacts"), c("s_suppkey")
+    rows = spark.read.parquet(f"{sf}/supplier.parquet").select(k, (k % 10).alias("kind"), F.concat(F.lit("d"), (k % 7).cast("string"), F.lit("/"), k.cast("string"), F.lit(".txt")).alias("path"), F.encode(F.concat("s_name", F.lit("-"), k.cast("string")), "UTF-8").alias("content"))
+    manifest = checkpointed(files.put_all(rows.where("kind != 6"), at)).join(rows.select("path", "kind"), "path", "right")
+    absent = F.sha2("path", 256)
+    manifest = manifest.withColumn("sha256", F.when(c("kind") == 6, absent).when(c("kind") == 8, "none").otherwise(c("sha256"))).withColumn("bytes", F.coalesce("bytes", F.lit(3)))
+    changed = F.when(c("kind") == 4, F.concat(F.lit("../"), c("path"))).when(c("kind") == 5, F.concat(F.lit("/"), c("path"))).otherwise(c("path"))
+    entries = manifest.where("kind != 7").withColumn("path", changed).withColumn("copy", F.explode(F.when(c("kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+    flipped = F.when(c("kind") == 1, F.encode(F.concat(F.reverse(F.decode("content", "UTF-8"))), "UTF-8")).otherwise(F.encode(F.lit("x"), "UTF-8"))
+    checkpointed(files.put_all(rows.where("kind in (1, 2)").withColumn("content", flipped), at))
+    return files.checked(spark, at, entries.select("path", "bytes", "sha256")).groupBy("problem").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT 'good' AS stage, 'complete' status, count(*) AS "rows", 0 AS damaged FROM @samples UNION ALL SELECT 'broken', 'failed', NULL, 0 UNION ALL SELECT 'unsound', 'failed', NULL, 0 UNION ALL SELECT 'resumed', 'complete', count(*), 0 FROM @samples UNION ALL SELECT 'damaged', 'complete', count(*), 1 FROM @samples""")
+def k10_stage_publish(spark: SparkSession, sf: str) -> DataFrame:
+    """Stages that succeed, fail, do not pass their check, were killed before they were published, and are damaged afterwards."""
+    at = place(spark, "stages")
+    samples = view(spark, sf, "samples").select("sample_id", "role")
+
+    def broken() -> dict[str, DataFrame]:
+        return {"samples": samples.withColumn("x", F.raise_error(F.lit("no such tool")))}
+
+    records = {"good": stages.publish(at, "good", lambda: {"samples": samples}), "broken": stages.publish(at, "broken", broken)}
+    records["unsound"] = stages.publish(at, "unsound", lambda: {"samples": samples}, lambda t: t["samples"].agg(F.count("*").alias("n")).select(F.lit("too_many").alias("problem"), "n"))
+    stages.staged(at, "resumed", {"samples": samples})  # what a run leaves that is killed before it publishes
+    records["resumed"] = stages.publish(at, "resumed", lambda: {"samples": samples})
+    again = stages.publish(at, "good", broken)
+    records["damaged"] = stages.publish(at, "damaged", lambda: {"samples": samples})
+    files.put(f"{at}/damaged-{records['damaged']['attempt']}", "extra.txt", b"x")
+    out = None
+    for name, record in records.items():
+        whole = record["status"] == "complete" and (name != "good" or again == record)
+        damaged = stages.damage(spark, at, record).count() if whole else 0
+        rows = stages.stage_tables(spark, at, name)["samples"].agg(F.count("*").alias("rows")) if whole else spark.range(1).select(F.lit(None).cast("bigint").alias("rows"))
+        one = rows.select(F.lit(name).alias("stage"), F.lit(record["status"]).alias("status"), "rows", F.lit(damaged).alias("damaged"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("""SELECT problem, n FROM (SELECT CASE s_suppkey % 8 WHEN 1 THEN 'sample_without_tip' WHEN 3 THEN 'metadata_differs' WHEN 5 THEN 'callable_sites_differ' WHEN 6 THEN 'metadata_missing' END problem, count(*) n FROM supplier GROUP BY 1 UNION ALL SELECT 'repeated_tip', count(*) FROM supplier WHERE s_suppkey % 8 = 2 UNION ALL SELECT 'tip_without_sample', count(*) FROM supplier WHERE s_suppkey % 8 = 4) WHERE problem IS NOT NULL AND n > 0""")
+def v07_tree_result(spark: SparkSession, sf: str) -> DataFrame:
+    """A tree stage whose tips, metadata and callable sites are wrong for most samples."""
+    k = c("sample_id") % 8
+    samples = view(spark, sf, "samples").select("sample_id", "country", F.col("st"))
+    alignment = sequences(spark, sf)
+    tips = samples.where(k != 1).select(F.explode(F.when(k == 2, F.array(F.lit("a"), F.lit("b"))).when(k == 4, F.array(F.lit("a"), F.lit("x"))).otherwise(F.array(F.lit("a")))).alias("v"), "sample_id")
+    tips = tips.select(F.concat(c("v"), c("sample_id").cast("string")).alias("node"), F.lit("root").alias("parent"), F.when(c("v") == "x", -1 - c("sample_id")).otherwise(c("sample_id")).alias("sample_id"))
+    root = spark.range(1).select(F.lit("root").alias("node"), F.lit(None).cast("string").alias("parent"), F.lit(None).cast("bigint").alias("sample_id"))
+    sites = alignment.select("sample_id", F.length(F.regexp_replace("seq", "N", "")).alias("callable"))
+    claimed = samples.where(k != 6).withColumn("country", F.when(k == 3, F.concat("country", F.lit("?"))).otherwise(c("country"))).join(sites, "sample_id").withColumn("callable", c("callable") + F.when(k == 5, 1).otherwise(0))
+    return stages.tree_result_problems(root.unionByName(tips), samples, alignment, claimed)
 
 
 @query("""SELECT sample_id::VARCHAR sample_id, locus, CASE WHEN sample_id % 9 = 0 AND allele::INT % 2 = 0 THEN NULL WHEN allele::INT % 6 = 0 THEN NULL ELSE allele END allele, CASE WHEN sample_id % 9 = 0 AND allele::INT % 2 = 0 THEN CASE WHEN allele::INT % 6 = 0 THEN 'called' ELSE 'ambiguous' END WHEN allele::INT % 6 = 0 THEN 'missing' ELSE 'called' END status FROM @calls""".replace("CASE WHEN sample_id % 9 = 0 AND allele::INT % 2 = 0 THEN NULL WHEN allele::INT % 6 = 0 THEN NULL ELSE allele END", "CASE WHEN sample_id % 9 = 0 AND allele::INT % 2 = 0 THEN CASE WHEN allele::INT % 6 = 0 THEN '77' END WHEN allele::INT % 6 = 0 THEN NULL ELSE allele END"))
