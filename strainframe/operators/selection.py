@@ -5,12 +5,12 @@ Random choices are orders by ``md5(seed|id)``, so they do not depend on partitio
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import checkpoint_folder, checkpointed
 from .ranks import numbered
 
 
@@ -47,44 +47,91 @@ def representatives(cells: DataFrame, mandatory: DataFrame, places: DataFrame, s
     return first.select("cell", "place", F.col("m.sample_id").alias("sample_id"))
 
 
-def diverse(pool: DataFrame, chosen: DataFrame, pairs: DataFrame, size: int, seed: int, runs: int = 1) -> DataFrame:
-    """(run, sample_id, position, reason): chosen ones first, then again and again the sample farthest from all chosen ones.
+def neighbours(pairs: DataFrame) -> DataFrame:
+    """Each pair from either side as (x, y, distance), written in the order of x so that a round reads little more than the rows it asks for."""
+    spark = pairs.sparkSession
+    ways = [pairs.select(F.col(p).alias("x"), F.col(q).alias("y"), F.col("distance").cast("double").alias("distance")) for p, q in (("a", "b"), ("b", "a"))]
+    at = f"{checkpoint_folder(spark)}/neighbours-{uuid.uuid4().hex}"
+    ways[0].unionByName(ways[1]).where("distance is not null").repartitionByRange("x").sortWithinPartitions("x").write.parquet(at)
+    return spark.read.parquet(at)
 
-    Equals are settled by random order; when none is comparable, a random one follows.  Each run is one task over its
-    pool, whose size the caller bounds.
+
+def farthest_first(pool: DataFrame, chosen: DataFrame, near: DataFrame, size: int, seeds: dict[int, int], every: int = 4) -> DataFrame:
+    """(run, sample_id, position, reason): what fills each run up to ``size``, one sample of every run in each round.
+
+    ``chosen`` are (run, sample_id, position, reason), ``seeds`` each run's
+    seed, ``near`` as ``neighbours`` gives it.  A round is one distributed
+    maximum of the distance to the nearest chosen sample, ties by random
+    order; where none is comparable, a random one follows.  The driver sees
+    one row for each run and round; distances stay in a table, which is
+    checkpointed every few rounds.
+    """
+    spark, kind = pool.sparkSession, dict(pool.dtypes)["sample_id"]
+    runs = spark.createDataFrame(list(seeds.items()), "run int, seed int")
+    # One row for each run.
+    left = pool.select("sample_id").distinct().join(F.broadcast(runs)).join(chosen.select("run", "sample_id"), ["run", "sample_id"], "left_anti")
+    left = left.select("run", "sample_id", F.md5(F.concat_ws("|", F.col("seed").cast("string"), F.col("sample_id").cast("string"))).alias("drawn"))
+    nearest = chosen.select("run", F.col("sample_id").alias("x")).join(near, "x").groupBy("run", F.col("y").alias("sample_id")).agg(F.min("distance").alias("least"))
+    state = checkpointed(left.join(nearest, ["run", "sample_id"], "left"))
+    held = {r["run"]: r["n"] for r in chosen.groupBy("run").agg(F.count("*").alias("n")).collect()}
+    held = {run: held.get(run, 0) for run in seeds}
+    picked: list[tuple] = []
+    rounds = 0
+    while any(n < size for n in held.values()):
+        open_ = [run for run, n in held.items() if n < size]
+        best = F.min(F.struct(F.when(F.col("least").isNull(), 1).otherwise(0).alias("none"), (-F.coalesce("least", F.lit(0.0))).alias("far"), "drawn", "sample_id"))
+        found = state.where(F.col("run").isin(open_)).groupBy("run").agg(best.alias("b")).collect()
+        for run in set(open_) - {r["run"] for r in found}:
+            held[run] = size  # the pool is used up
+        if not found:
+            continue
+        now = []
+        for r in found:
+            held[r["run"]] += 1
+            now.append((r["run"], r["b"]["sample_id"], held[r["run"]], "background" if r["b"]["none"] else "diversity"))
+        picked += now
+        ids = spark.createDataFrame([x[:2] for x in now], f"run int, x {kind}")
+        told = near.where(F.col("x").isin([x[1] for x in now])).join(F.broadcast(ids), "x").select("run", F.col("y").alias("sample_id"), F.col("distance").alias("_d"))
+        taken = F.broadcast(ids.withColumnRenamed("x", "sample_id"))
+        state = state.join(taken, ["run", "sample_id"], "left_anti").join(told, ["run", "sample_id"], "left").select("run", "sample_id", "drawn", F.least("least", "_d").alias("least"))
+        rounds += 1
+        if rounds % every == 0:
+            state = checkpointed(state)
+    return spark.createDataFrame(picked, f"run int, sample_id {kind}, position int, reason string")
+
+
+def with_mandatory(mandatory: DataFrame, runs: list[int]) -> DataFrame:
+    """(run, sample_id, position, reason) of what every run holds."""
+    placed = numbered(mandatory.select("sample_id").distinct(), ["sample_id"])
+    return placed.select(F.explode(F.array(*map(F.lit, runs))).alias("run"), "sample_id", F.col("position").cast("int").alias("position"), F.lit("mandatory").alias("reason"))
+
+
+def quota_draws(cells: DataFrame, mandatory: DataFrame, size: int, seed: int, seeds: dict[int, int]) -> DataFrame:
+    """(run, cell, place, sample_id): one random sample of each quota cell, drawn anew for every run; cells and their places are the same for all runs."""
+    places = quotas(cells, mandatory, size, seed)
+    runs = cells.sparkSession.createDataFrame(list(seeds.items()), "run int, seed int")
+    free = cells.join(mandatory.select("sample_id").distinct(), "sample_id", "left_anti").join(places, "cell").join(F.broadcast(runs))
+    order = F.md5(F.concat_ws("|", F.col("seed").cast("string"), F.col("sample_id").cast("string")))
+    first = free.groupBy("run", "cell", "place").agg(F.min(F.struct(order.alias("o"), "sample_id")).alias("m"))
+    return first.select("run", "cell", "place", F.col("m.sample_id").alias("sample_id"))
+
+
+def diverse(pool: DataFrame, chosen: DataFrame, pairs: DataFrame, size: int, seed: int, runs: int = 1, cells: DataFrame | None = None) -> DataFrame:
+    """(run, sample_id, position, reason): chosen ones first, then one of each quota cell, then again and again the sample farthest from all chosen ones.
+
+    Rows do not depend on partitions: equals are settled by ``md5(seed|id)``.
     """
-    kind = dict(pool.dtypes)["sample_id"]
-    every = pool.select("sample_id").join(chosen.select("sample_id", F.lit(True).alias("chosen")).distinct(), "sample_id", "left")
-    nodes = every.select("sample_id", F.lit(None).cast(kind).alias("other"), F.lit(None).cast("double").alias("distance"), F.coalesce("chosen", F.lit(False)).alias("chosen"))
-    edges = pairs.select(F.col("a").alias("sample_id"), F.col("b").alias("other"), F.col("distance").cast("double").alias("distance"), F.lit(False).alias("chosen"))
-    each = nodes.unionByName(edges).withColumn("run", F.explode(F.sequence(F.lit(1), F.lit(runs))))
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        number = int(rows["run"].iloc[0])
-        order = lambda s: hashlib.md5(f"{seed + number}|{s}".encode()).hexdigest()
-        members = rows[rows["other"].isna()]
-        near: dict = {}
-        for a, b, d in rows.loc[rows["other"].notna(), ["sample_id", "other", "distance"]].itertuples(index=False, name=None):
-            near.setdefault(a, {})[int(b)] = d
-            near.setdefault(int(b), {})[a] = d
-        picked = sorted(members.loc[members["chosen"], "sample_id"])
-        out = [(number, s, i, "mandatory") for i, s in enumerate(picked, 1)]
-        left = set(members["sample_id"]) - set(picked)
-        least: dict = {}
-        for s in picked:
-            for o, d in near.get(s, {}).items():
-                least[o] = min(d, least.get(o, d))
-        while left and len(out) < size:
-            scored = [(least[s], s) for s in left if s in least]
-            top = max(x for x, _ in scored) if scored else None
-            best = min((s for x, s in scored if x == top), key=order) if scored else min(left, key=order)
-            out.append((number, best, len(out) + 1, "diversity" if scored else "background"))
-            left.discard(best)
-            for o, d in near.get(best, {}).items():
-                least[o] = min(d, least.get(o, d))
-        return pd.DataFrame(out, columns=["run", "sample_id", "position", "reason"])
-
-    return each.groupBy("run").applyInPandas(run, f"run int, sample_id {kind}, position int, reason string")
+    return drawn_sets(pool, chosen, neighbours(pairs), size, seed, {r: seed + r for r in range(1, runs + 1)}, cells)
+
+
+def drawn_sets(pool: DataFrame, chosen: DataFrame, near: DataFrame, size: int, seed: int, seeds: dict[int, int], cells: DataFrame | None) -> DataFrame:
+    held = with_mandatory(chosen, list(seeds))
+    if cells is not None:
+        base = chosen.select("sample_id").distinct().count()
+        drawn_ = quota_draws(cells, chosen, size, seed, seeds)
+        held = held.unionByName(drawn_.select("run", "sample_id", (F.col("place") + base).cast("int").alias("position"), F.lit("quota").alias("reason")))
+    held = checkpointed(held)
+    return held.unionByName(farthest_first(pool, held, near, size, seeds))
 
 
 def ensemble(runs: DataFrame) -> DataFrame:
@@ -93,6 +140,50 @@ def ensemble(runs: DataFrame) -> DataFrame:
     return listed.withColumn("duplicate_of", F.when(F.min("run").over(Window.partitionBy("digest")) < F.col("run"), F.min("run").over(Window.partitionBy("digest"))))
 
 
+def distinct_sets(pool: DataFrame, chosen: DataFrame, pairs: DataFrame, size: int, reserve: int, seed: int, runs: int, cells: DataFrame | None = None, attempts: int = 32) -> tuple[DataFrame, DataFrame]:
+    """(members, audit) of ``runs`` sets that differ where the pool allows it.
+
+    ``size`` grows to the chosen ones and ``reserve`` further places.  Sets
+    equal to an earlier one are drawn again with another seed, up to
+    ``attempts`` times, all of a round together.  ``members`` are (run,
+    sample_id, position, reason), ``audit`` (run, seed, attempts, size,
+    duplicate_of, status).  The driver holds a digest for each run.
+    """
+    spark = pool.sparkSession
+    needed, available = chosen.select("sample_id").distinct().count(), pool.select("sample_id").distinct().count()
+    effective = max(size, needed + reserve)
+    fixed = needed >= effective or available <= effective
+    near = neighbours(pairs)
+    seen: dict[str, int] = {}
+    kept, told, open_ = None, {}, list(range(1, runs + 1))
+    for attempt in range(1 if fixed else attempts):
+        seeds = {r: seed + r + attempt * runs for r in open_}
+        sets = checkpointed(drawn_sets(pool, chosen, near, effective, seed, seeds, cells))
+        again = []
+        for r in sorted(ensemble(sets).collect(), key=lambda r: r["run"]):
+            first = seen.setdefault(r["digest"], r["run"])
+            told[r["run"]] = (r["run"], seeds[r["run"]], attempt + 1, r["size"], None if first == r["run"] else first)
+            if first != r["run"]:
+                again.append(r["run"])
+        last = attempt + 1 == (1 if fixed else attempts)
+        done = [r for r in open_ if last or r not in again]
+        part = sets.where(F.col("run").isin(done)) if done else None
+        kept = part if kept is None else kept if part is None else kept.unionByName(part)
+        open_ = again
+        if not open_:
+            break
+    status = lambda duplicate: "no_choices" if fixed else "no_distinct_set_found" if duplicate else "distinct"
+    audit = spark.createDataFrame([(*told[r], status(told[r][4])) for r in sorted(told)], "run int, seed int, attempts int, size long, duplicate_of int, status string")
+    return kept, audit
+
+
+def budget(pool: DataFrame, chosen: DataFrame, size: int, reserve: int) -> DataFrame:
+    """(requested, effective, mandatory, overrun, available): the arithmetic of a selection's size."""
+    counts = lambda df, name: df.select("sample_id").distinct().agg(F.count("*").alias(name))  # noqa: E731  one row each
+    both = counts(chosen, "mandatory").join(F.broadcast(counts(pool, "available")))
+    return both.select(F.lit(size).cast("bigint").alias("requested"), F.greatest(F.lit(size), F.col("mandatory") + reserve).alias("effective"), "mandatory", F.greatest(F.lit(0), F.col("mandatory") - size).alias("overrun"), "available")
+
+
 def all_inputs(pool: DataFrame, mandatory: DataFrame, size: int) -> DataFrame:
     """Every input, every mandatory neighbour, then context in order of id up to ``size``; inputs and neighbours may go beyond it."""
     ranked = pool.join(mandatory.select("sample_id", F.lit(True).alias("_need")).distinct(), "sample_id", "left").withColumn("reason", F.when(F.col("role") == "input", "input").when(F.col("_need"), "mandatory_neighbour").otherwise("fill"))

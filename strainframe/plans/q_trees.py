@@ -420,12 +420,23 @@ def l04_representatives(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def l05_diverse_fill(spark: SparkSession, sf: str) -> DataFrame:
-    return L.diverse(view(spark, sf, "samples"), mandatory(spark, sf), Q.pairs(spark, sf), 60, 5)
+    """Mandatory samples, one of each quota cell, then the farthest ones."""
+    samples = view(spark, sf, "samples")
+    return L.diverse(samples, mandatory(spark, sf), Q.pairs(spark, sf), 60, 5, cells=L.strata(samples, [c("st"), c("region")]))
+
+
+@query(f"WITH {PLACES}, r AS (SELECT unnest([1, 2, 3])::INT AS run) SELECT run, cell, place, arg_min(sample_id, md5((7 + run) || '|' || sample_id)) sample_id FROM cells JOIN places USING (cell) CROSS JOIN r WHERE sample_id NOT IN (SELECT sample_id FROM held) GROUP BY 1, 2, 3")
+def l05_quota_draws(spark: SparkSession, sf: str) -> DataFrame:
+    """One sample of each quota cell, drawn anew for each of three runs."""
+    s = view(spark, sf, "samples")
+    return L.quota_draws(L.strata(s, [c("st"), c("region")]), s.where("role = 'input'"), 40, 5, {r: 7 + r for r in (1, 2, 3)})
 
 
 @query()
 def l06_ensemble(spark: SparkSession, sf: str) -> DataFrame:
-    return L.ensemble(L.diverse(view(spark, sf, "samples"), mandatory(spark, sf), Q.pairs(spark, sf), 60, 5, runs=3))
+    """Three sets that differ, with their seeds and attempts."""
+    samples = view(spark, sf, "samples")
+    return L.distinct_sets(samples, mandatory(spark, sf), Q.pairs(spark, sf), 20, 2, 5, 3, L.strata(samples, [c("st"), c("region")]))[1]
 
 
 NEED = Q.BOTH + """, rk AS (SELECT x query_id, y context_id, diff, row_number() OVER (PARTITION BY x ORDER BY diff, y) i FROM bw WHERE x % 10 = 0 AND y % 10 <> 0), cu AS (SELECT query_id, max(diff) b FROM rk WHERE i <= 3 GROUP BY 1), need AS (SELECT DISTINCT context_id sample_id FROM rk JOIN cu USING (query_id) WHERE diff <= b)"""
@@ -436,6 +447,42 @@ def l02_mandatory(spark: SparkSession, sf: str) -> DataFrame:
     return mandatory(spark, sf)
 
 
+@query(f"""WITH {NEED}, m AS (SELECT count(*) mandatory FROM need), n AS (SELECT count(*) available FROM @samples)
+ SELECT 20 AS requested, greatest(20, mandatory + 4) AS effective, mandatory, greatest(0, mandatory - 20) AS overrun, available FROM m, n""")
+def l06_budget(spark: SparkSession, sf: str) -> DataFrame:
+    return L.budget(view(spark, sf, "samples"), mandatory(spark, sf), 20, 4)
+
+
+@query("""WITH i AS (SELECT count(*) n FROM @samples WHERE role = 'input'), p AS (SELECT count(*) n FROM samples), e AS (SELECT least(p.n, i.n + 3) AS size FROM i, p)
+ SELECT 'members' AS "table", 3 * size AS "rows", 3 AS runs FROM e UNION ALL SELECT 'audit', 3, 3 UNION ALL SELECT 'overlap', 3, 3""")
+def k05_selection_bundle(spark: SparkSession, sf: str) -> DataFrame:
+    """Three sets of all inputs and three more samples, their audit and overlaps published as one stage and read back."""
+    from ..sources import stages
+    from .q_sources import place
+
+    samples = view(spark, sf, "samples")
+    at, inputs = place(spark, "selection"), samples.where("role = 'input'")
+
+    def work() -> dict[str, DataFrame]:
+        members, audit = L.distinct_sets(samples, inputs, Q.pairs(spark, sf), 0, 3, 5, 3)
+        return {"members": members, "audit": audit, "overlap": A.selection_overlap(members.select("run", "sample_id"))}
+
+    def check(tables: dict[str, DataFrame]) -> DataFrame:
+        # Every run holds each input once.
+        per = tables["members"].join(inputs.select("sample_id"), "sample_id", "left_semi").groupBy("run").agg(F.count("*").alias("have"), F.count_distinct("sample_id").alias("different"))
+        want = inputs.agg(F.count("*").alias("want"))  # one row
+        return per.join(F.broadcast(want)).where("have != want or different != want").select(F.lit("inputs_missing").alias("problem"), F.col("have").alias("n"))
+
+    stages.publish(at, "selection", work, check)
+    tables, out = stages.stage_tables(spark, at, "selection"), None
+    for name, df in tables.items():
+        run = "run" if "run" in df.columns else "run_a"
+        runs = 3 if name == "overlap" else df.select(run).distinct().count()
+        one = df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows", F.lit(runs).alias("runs"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query(f"""WITH {NEED}, k AS (SELECT s.sample_id, CASE WHEN role = 'input' THEN 'input' WHEN need.sample_id IS NOT NULL THEN 'mandatory_neighbour' ELSE 'fill' END reason FROM @samples s LEFT JOIN need ON need.sample_id = s.sample_id), p AS (SELECT *, row_number() OVER (ORDER BY CASE reason WHEN 'input' THEN 0 WHEN 'mandatory_neighbour' THEN 1 ELSE 2 END, sample_id) AS position FROM k) SELECT sample_id, reason, position FROM p WHERE reason <> 'fill' OR position <= 55""")
 def l07_all_inputs(spark: SparkSession, sf: str) -> DataFrame:
     return L.all_inputs(view(spark, sf, "samples").select("sample_id", "role"), mandatory(spark, sf), 55)
