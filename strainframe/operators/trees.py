@@ -6,11 +6,12 @@ one task for each tree.
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import checkpointed
@@ -257,60 +258,136 @@ def clock_roots(nodes: DataFrame, dates: DataFrame) -> DataFrame:
     return joined.groupBy("tree").applyInPandas(run, f"tree {dict(nodes.dtypes)['tree']}, status string, reason string, child string, from_parent double, edge_length double, mse double, slope double, r2 double")
 
 
-def parsimony(tree: Tree, observed: dict[str, str]) -> tuple[int, dict[str, list[str]], dict[tuple[str, str], tuple[int, int]]]:
-    """Fewest changes of state; the states each node has in some best history; and for each ordered pair of states the
-    fewest and most changes over all best histories.  Tips without a state are wildcards."""
-    states = sorted(set(observed.values()))
-    k, n = len(states), len(tree.names)
-    if not k:
-        return 0, {}, {}
-    place, big = {s: i for i, s in enumerate(states)}, 1 << 28
-    cost = np.zeros((n, k), np.int64)
-    low, high = np.zeros((n, k, k, k), np.int64), np.zeros((n, k, k, k), np.int64)
-    moves: dict[int, np.ndarray] = {}
-    for i in range(n - 1, -1, -1):
-        if not tree.children[i]:
-            state = observed.get(tree.names[i])
+class Histories:
+    """The histories of fewest changes of state on one tree; tips without a state are wildcards.
+
+    ``allowed[node]`` are the states of a node in some best history, and
+    ``moves[child][s, t]`` says whether state t may follow s of its parent.
+    """
+
+    def __init__(self, tree: Tree, observed: dict[str, str]):
+        self.tree, self.states = tree, sorted(set(observed.values()))
+        k, n = len(self.states), len(tree.names)
+        place, big = {s: i for i, s in enumerate(self.states)}, 1 << 28
+        self.fixed = [place.get(observed.get(name)) if not tree.children[i] else None for i, name in enumerate(tree.names)]
+        # Nodes in an order in which a child with more nodes below it is met later, so its sums are done first.
+        size = np.ones(n, np.int64)
+        for i in range(n - 1, 0, -1):
+            size[tree.parent[i]] += size[i]
+        self.order, stack = [], [0]
+        while stack:
+            i = stack.pop()
+            self.order.append(i)
+            stack += sorted(tree.children[i], key=lambda c: -size[c])
+        self.optimum, self.allowed, self.moves = 0, {}, {}
+        if not k:
+            return
+        cost = np.zeros((n, k), np.int64)
+        for i, state in enumerate(self.fixed):
             if state is not None:
                 cost[i] = big
-                cost[i, place[state]] = 0
-            continue
-        for c in tree.children[i]:
-            step = cost[c][None, :] + (1 - np.eye(k, dtype=np.int64))  # from a state here to a state there
+                cost[i, state] = 0
+        change = 1 - np.eye(k, dtype=np.int64)
+        for c in reversed(self.order[1:]):
+            step = cost[c][None, :] + change  # from a state here to a state there
             best = step.min(axis=1)
-            cost[i] += best
-            good = step == best[:, None]
-            moves[c] = good
+            self.moves[c] = step == best[:, None]
+            cost[tree.parent[c]] += best
+        self.optimum = int(cost[0].min())
+        self.allowed[0] = cost[0] == self.optimum
+        for c in self.order[1:]:
+            self.allowed[c] = self.moves[c][self.allowed[tree.parent[c]]].any(axis=0)
+
+    def ranges(self, directed: bool = True) -> dict[tuple[str, str], tuple[int, int]]:
+        """For each pair of states the fewest and most changes over all best histories; pairs need not reach theirs together.
+
+        A node adds to its parent and is dropped as soon as it is done; as
+        larger subtrees come first, about log2(n) nodes are held at a time.
+        """
+        k, tree = len(self.states), self.tree
+        if not k:
+            return {}
+        cell = lambda s, t: (s, t) if directed or s < t else (t, s)
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {0: (np.zeros((k, k, k), np.int32), np.zeros((k, k, k), np.int32))}
+        for c in reversed(self.order[1:]):
+            p = tree.parent[c]
+            if p not in held:
+                held[p] = np.zeros((k, k, k), np.int32), np.zeros((k, k, k), np.int32)
+            low, high = held[p]
+            if not tree.children[c]:
+                if self.fixed[c] is not None:
+                    for s in range(k):
+                        if s != self.fixed[c]:
+                            low[s][cell(s, self.fixed[c])] += 1
+                            high[s][cell(s, self.fixed[c])] += 1
+                continue
+            own_low, own_high = held.pop(c)
             for s in range(k):
-                least, most = np.full((k, k), big), np.full((k, k), -1)
-                for t in np.flatnonzero(good[s]):
-                    extra = np.zeros((k, k), np.int64)
+                least = most = None
+                for t in np.flatnonzero(self.moves[c][s]):
+                    a, b = own_low[t], own_high[t]
                     if s != t:
-                        extra[s, t] = 1
-                    least, most = np.minimum(least, low[c, t] + extra), np.maximum(most, high[c, t] + extra)
-                low[i, s] += least
-                high[i, s] += most
-    top = int(cost[0].min())
-    roots = np.flatnonzero(cost[0] == top)
-    allowed = {0: set(roots.tolist())}
-    for i in range(n):
-        for c in tree.children[i]:
-            allowed[c] = {int(t) for s in allowed[i] for t in np.flatnonzero(moves[c][s])}
-    least, most = low[0][roots].min(axis=0), high[0][roots].max(axis=0)
-    ranges = {(states[s], states[t]): (int(least[s, t]), int(most[s, t])) for s in range(k) for t in range(k) if s != t and most[s, t] > 0}
-    return top, {tree.names[i]: [states[s] for s in sorted(a)] for i, a in allowed.items()}, ranges
-
-
-def reconstructed(nodes: DataFrame, states: DataFrame) -> DataFrame:
-    """(tree, kind, node, source, target, least, most): the optimum, each node's states, and ranges of changes; ``states`` are (node, state)."""
+                        a, b = a.copy(), b.copy()
+                        a[cell(s, t)] += 1
+                        b[cell(s, t)] += 1
+                    least = a if least is None else np.minimum(least, a)
+                    most = b if most is None else np.maximum(most, b)
+                low[s] += least
+                high[s] += most
+        low, high = held[0]
+        roots = np.flatnonzero(self.allowed[0])
+        low, high = low[roots].min(axis=0), high[roots].max(axis=0)
+        return {(self.states[s], self.states[t]): (int(low[s, t]), int(high[s, t])) for s in range(k) for t in range(k) if s != t and high[s, t] > 0}
+
+    def history(self, seed: int) -> dict[str, str]:
+        """One best history: a reproducible choice at each tie, by ``md5(seed|node|state)``, not a uniform sample of all."""
+        if not self.states:
+            return {}
+        tree = self.tree
+        pick = lambda i, options: min(np.flatnonzero(options).tolist(), key=lambda t: hashlib.md5(f"{seed}|{tree.names[i]}|{self.states[t]}".encode()).hexdigest())  # noqa: E731, S324
+        chosen = {0: pick(0, self.allowed[0])}
+        for c in self.order[1:]:
+            chosen[c] = pick(c, self.moves[c][chosen[tree.parent[c]]])
+        return {tree.names[i]: self.states[s] for i, s in chosen.items()}
+
+    def possible(self) -> tuple[set[tuple[str, str]], set[tuple[str, str]], int]:
+        """Pairs of states (in order of name) that some branch may change between, those of branches with a choice, and how many branches have one."""
+        every, unsure, branches = set(), set(), 0
+        for c in self.order[1:]:
+            options = np.argwhere(self.moves[c] & self.allowed[self.tree.parent[c]][:, None]) if self.states else []
+            pairs = {tuple(sorted((self.states[a], self.states[b]))) for a, b in options if a != b}
+            every |= pairs
+            if len(options) > 1:
+                branches += 1
+                unsure |= pairs
+        return every, unsure, branches
+
+
+def parsimony(tree: Tree, observed: dict[str, str]) -> tuple[int, dict[str, list[str]], dict[tuple[str, str], tuple[int, int]]]:
+    """Fewest changes of state; the states each node has in some best history; and for each ordered pair of states the
+    fewest and most changes over all best histories."""
+    found = Histories(tree, observed)
+    return found.optimum, {tree.names[i]: [found.states[s] for s in np.flatnonzero(a)] for i, a in found.allowed.items()}, found.ranges()
+
+
+def reconstructed(nodes: DataFrame, states: DataFrame, seed: int = 5) -> DataFrame:
+    """(tree, kind, node, source, target, least, most) of each tree's best histories; ``states`` are (node, state).
+
+    Kinds: the ``optimum``; for each ``node`` its possible states; ranges of
+    directed ``change``s and undirected ``exchange``s; and the branches of one
+    ``history``, from the parent's state to the node's.
+    """
     joined = nodes.select("tree", "node", "parent", "length").join(states.select("node", "state"), "node", "left")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         tree = Tree(list(rows[["node", "parent", "length"]].itertuples(index=False, name=None)))
-        top, allowed, ranges = parsimony(tree, {n: s for n, s in rows[["node", "state"]].itertuples(index=False, name=None) if pd.notna(s)})
-        out = [("optimum", None, None, None, top, top)]
-        out += [("node", name, None, "|".join(found), None, None) for name, found in allowed.items()]
-        out += [("change", None, a, b, lo, hi) for (a, b), (lo, hi) in ranges.items()]
+        found = Histories(tree, {n: s for n, s in rows[["node", "state"]].itertuples(index=False, name=None) if pd.notna(s)})
+        out = [("optimum", None, None, None, found.optimum, found.optimum)]
+        out += [("node", tree.names[i], None, "|".join(found.states[s] for s in np.flatnonzero(a)), None, None) for i, a in found.allowed.items()]
+        for kind, directed in (("change", True), ("exchange", False)):
+            out += [(kind, None, a, b, lo, hi) for (a, b), (lo, hi) in found.ranges(directed).items()]
+        one = found.history(seed)
+        out += [("history", tree.names[i], one[tree.names[tree.parent[i]]], one[tree.names[i]], None, None) for i in range(1, len(tree.names)) if one]
         frame = pd.DataFrame(out, columns=["kind", "node", "source", "target", "least", "most"])
         frame.insert(0, "tree", rows["tree"].iloc[0])
         return frame.astype({"least": "Int64", "most": "Int64"})
@@ -318,6 +395,120 @@ def reconstructed(nodes: DataFrame, states: DataFrame) -> DataFrame:
     return joined.groupBy("tree").applyInPandas(run, f"tree {dict(nodes.dtypes)['tree']}, kind string, node string, source string, target string, least bigint, most bigint")
 
 
+def jumps(nodes: DataFrame) -> DataFrame:
+    """(tree, node, k, ancestor, distance): the ancestor 2**k steps up from each node that has one, and how far it is.
+
+    Each round joins the table with itself one level down: n log2(depth) rows in all, whatever the shape of the tree.
+    """
+    step = checkpointed(nodes.where("parent is not null").select("tree", "node", F.lit(0).alias("k"), F.col("parent").alias("ancestor"), F.coalesce("length", F.lit(0.0)).alias("distance")))
+    every, k, total = [], 0, None
+    while step.limit(1).count():
+        total = nodes.count() if total is None else total
+        if 1 << k > total:
+            raise ValueError("the parents of some nodes form a loop")
+        every.append(step)
+        above = step.select("tree", F.col("node").alias("ancestor"), F.col("ancestor").alias("further"), F.col("distance").alias("more"))
+        k += 1
+        step = checkpointed(step.join(above, ["tree", "ancestor"]).select("tree", "node", F.lit(k).alias("k"), F.col("further").alias("ancestor"), (F.col("distance") + F.col("more")).alias("distance")))
+    return reduce(DataFrame.unionByName, every) if every else step
+
+
+def tip_distances(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``pairs`` (tree, a, b, ...) with their lowest common ``ancestor`` and the ``distance`` between them along the tree.
+
+    Both ends are lifted by powers of two, as many joins as a path has binary digits, twice.
+    """
+    up = jumps(nodes)
+    levels = [r["k"] for r in up.groupBy("k").count().orderBy("k").collect()]  # one row for each power of two
+    # Depths come from the same table: every node's steps to the root, highest power first.
+    at = nodes.select("tree", "node", F.col("node").alias("_at"), F.lit(0).cast("bigint").alias("_depth"), F.lit(0.0).alias("_far"))
+    level = {k: up.where(F.col("k") == k).select(F.col("tree").alias("_tree"), F.col("node").alias("_node"), F.col("ancestor").alias("_up"), F.col("distance").alias("_more")) for k in levels}
+    for k in reversed(levels):
+        at = at.join(level[k], (F.col("tree") == F.col("_tree")) & (F.col("_at") == F.col("_node")), "left").select("tree", "node", F.coalesce("_up", "_at").alias("_at"), (F.col("_depth") + F.when(F.col("_up").isNotNull(), 1 << k).otherwise(0)).alias("_depth"), (F.col("_far") + F.coalesce("_more", F.lit(0.0))).alias("_far"))
+    known = checkpointed(at.select("tree", "node", F.col("_depth").alias("depth"), F.col("_far").alias("far")))
+    side = lambda end: known.select("tree", *(F.col(c).alias(f"_{end}{c}") for c in ("node", "depth", "far")))
+    rows = pairs.join(side("a").withColumnRenamed("_anode", "a"), ["tree", "a"]).join(side("b").withColumnRenamed("_bnode", "b"), ["tree", "b"])
+    deeper = F.col("_adepth") >= F.col("_bdepth")
+    rows = rows.withColumn("_x", F.when(deeper, F.col("a")).otherwise(F.col("b"))).withColumn("_y", F.when(deeper, F.col("b")).otherwise(F.col("a"))).withColumn("_gap", F.abs(F.col("_adepth") - F.col("_bdepth")))
+
+    def lifted(rows: DataFrame, end: str, k: int) -> DataFrame:
+        own = level[k].select(F.col("_tree").alias("tree"), F.col("_node").alias(end), F.col("_up").alias(f"{end}_up"))
+        return rows.join(own, ["tree", end], "left")
+
+    for k in levels:
+        rows = lifted(rows, "_x", k)
+        rows = rows.withColumn("_x", F.when(F.col("_gap").bitwiseAND(1 << k) > 0, F.col("_x_up")).otherwise(F.col("_x"))).drop("_x_up")
+    rows = checkpointed(rows)
+    for k in reversed(levels):
+        rows = lifted(lifted(rows, "_x", k), "_y", k)
+        apart = (F.col("_x") != F.col("_y")) & F.coalesce(F.col("_x_up") != F.col("_y_up"), F.lit(False))
+        rows = rows.withColumn("_x", F.when(apart, F.col("_x_up")).otherwise(F.col("_x"))).withColumn("_y", F.when(apart, F.col("_y_up")).otherwise(F.col("_y"))).drop("_x_up", "_y_up")
+    if levels:
+        rows = lifted(rows, "_x", 0).withColumn("_x", F.when(F.col("_x") != F.col("_y"), F.col("_x_up")).otherwise(F.col("_x"))).drop("_x_up")
+    top = known.select("tree", F.col("node").alias("_x"), F.col("far").alias("_top"))
+    out = rows.join(top, ["tree", "_x"])
+    return out.select(*pairs.columns, F.col("_x").alias("ancestor"), (F.col("_afar") + F.col("_bfar") - 2 * F.col("_top")).alias("distance"))
+
+
+def rolling_folds(nodes: DataFrame, dates: DataFrame, folds: int) -> DataFrame:
+    """(tree, fold, year, train, test, status, slope, model_mae, mean_mae, last_mae): held-out errors of dates.
+
+    Fold i holds out the i-th latest calendar year of a tree and learns from
+    the years before it alone: the best root is searched anew, and held-out
+    tips are dated by their distance from it.  Baselines are the mean and the
+    latest date learned from.  ``dates`` are (tree, node, year as a number
+    with fraction); each fold of each tree is a task of its own.
+    """
+    years = dates.select("tree", F.floor("year").alias("y")).distinct()
+    latest = years.withColumn("fold", F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("y")))).where(F.col("fold") <= folds)
+    joined = nodes.select("tree", "node", "parent", "length").join(dates.select("tree", "node", "year"), ["tree", "node"], "left").join(latest, "tree")
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        fold, year = int(rows["fold"].iloc[0]), int(rows["y"].iloc[0])
+        tree = Tree(list(rows[["node", "parent", "length"]].itertuples(index=False, name=None)))
+        known = {n: t for n, t in rows[["node", "year"]].itertuples(index=False, name=None) if pd.notna(t)}
+        train, test = {n: t for n, t in known.items() if t < year}, {n: t for n, t in known.items() if year <= t < year + 1}
+        got = clock_root(tree, train)
+        out = {"status": got["status"] if got["status"] != "rooted" else "fitted", "slope": None, "model_mae": None, "mean_mae": None, "last_mae": None}
+        if train and test:
+            out["mean_mae"] = float(np.mean([abs(t - np.mean(list(train.values()))) for t in test.values()]))
+            out["last_mae"] = float(np.mean([abs(t - max(train.values())) for t in test.values()]))
+        if got["status"] == "rooted":
+            far = root_distances(best_rooted(tree, got))
+            x, y = np.array(list(train.values())), np.array([far[n] for n in train])
+            slope = got["slope"]
+            out["slope"] = slope
+            if slope > 0:
+                intercept = y.mean() - slope * x.mean()
+                out["model_mae"] = float(np.mean([abs((far[n] - intercept) / slope - t) for n, t in test.items()])) if test else None
+            else:
+                out["status"] = "no_positive_rate"
+        row = (rows["tree"].iloc[0], fold, year, len(train), len(test), out["status"], out["slope"], out["model_mae"], out["mean_mae"], out["last_mae"])
+        return pd.DataFrame([row], columns=["tree", "fold", "year", "train", "test", "status", "slope", "model_mae", "mean_mae", "last_mae"])
+
+    return joined.groupBy("tree", "fold").applyInPandas(run, f"tree {dict(nodes.dtypes)['tree']}, fold int, year int, train int, test int, status string, slope double, model_mae double, mean_mae double, last_mae double")
+
+
+def best_rooted(tree: Tree, got: dict) -> Tree:
+    """The tree with the root that ``clock_root`` found; on the joined edge of a root with two children its place is told from the other child."""
+    child, at = got["child"], got["from_parent"]
+    if tree.parent[child] == 0 and len(tree.children[0]) == 2:
+        other = next(c for c in tree.children[0] if c != child)
+        if at < tree.length[other]:
+            child, at = other, tree.length[other] - at
+        else:
+            at -= tree.length[other]
+    return Tree(rerooted(tree, child, at))
+
+
+def root_distances(tree: Tree) -> dict[str, float]:
+    """Each node's distance from the root."""
+    far = np.zeros(len(tree.names))
+    for i in range(1, len(tree.names)):
+        far[i] = far[tree.parent[i]] + tree.length[i]
+    return dict(zip(tree.names, far.tolist(), strict=True))
+
+
 # Networks ------------------------------------------------------------------------------------------------
 
 

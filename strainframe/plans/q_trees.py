@@ -261,11 +261,45 @@ def t13_alternative_roots(spark: SparkSession, sf: str) -> DataFrame:
         name = f"r{int(part['root'].iloc[0])}"
         at = own.names.index(name)
         moved = T.Tree(T.rerooted(own, at, own.length[at] / 2))
-        top, _, ranges = T.parsimony(moved, {n: x for n, x in part[["node", "state"]].itertuples(index=False, name=None) if pd.notna(x)})
-        return pd.DataFrame([(name, top, a, b, lo, hi) for (a, b), (lo, hi) in ranges.items()], columns=["root", "optimum", "source", "target", "least", "most"])
+        best = T.Histories(moved, {n: x for n, x in part[["node", "state"]].itertuples(index=False, name=None) if pd.notna(x)})
+        _, unsure, branches = best.possible()
+        rows = [(name, best.optimum, a, b, lo, hi, tuple(sorted((a, b))) in unsure, branches) for (a, b), (lo, hi) in best.ranges().items()]
+        return pd.DataFrame(rows, columns=["root", "optimum", "source", "target", "least", "most", "unsure", "branches"])
 
-    found = rows.groupBy("root").applyInPandas(run, "root string, optimum bigint, source string, target string, least bigint, most bigint")
-    return found.groupBy("source", "target").agg(F.count("*").alias("roots"), (F.count("*") / 5).alias("root_fraction"), F.min("least").alias("least"), F.max("most").alias("most"))
+    found = rows.groupBy("root").applyInPandas(run, "root string, optimum bigint, source string, target string, least bigint, most bigint, unsure boolean, branches bigint")
+    return found.groupBy("source", "target").agg(F.count("*").alias("roots"), (F.count("*") / 5).alias("root_fraction"), F.count_if("unsure").alias("ambiguous_roots"), F.max("branches").alias("ambiguous_branches"), F.min("least").alias("least"), F.max("most").alias("most"))
+
+
+@query()
+def t12_exchanges(spark: SparkSession, sf: str) -> DataFrame:
+    """Undirected ranges of changes between regions, and one history's changes in either direction."""
+    t = tree(spark, sf)
+    s = view(spark, sf, "samples").select("sample_id", c("region").alias("state"))
+    found = checkpointed(T.reconstructed(t, t.where("sample_id is not null").select("node", "sample_id").join(s, "sample_id").select("node", "state")))
+    pair = (F.least("source", "target").alias("source"), F.greatest("source", "target").alias("target"))
+    one = found.where("kind = 'history' and source != target").groupBy(*pair).agg(F.count("*").alias("changes"))
+    return found.where("kind = 'exchange'").select("source", "target", "least", "most").join(one, ["source", "target"], "left").withColumn("changes", F.coalesce("changes", F.lit(0)))
+
+
+@query("""WITH RECURSIVE up AS (SELECT node, node anc, 0::BIGINT steps, 0.0::DOUBLE far FROM @tree t0 UNION ALL SELECT up.node, t.parent, steps + 1, far + t.length FROM up JOIN @tree t ON t.node = up.anc WHERE t.parent IS NOT NULL),
+ p AS (SELECT 's' || x.s_suppkey a, 's' || y.s_suppkey b FROM supplier x JOIN supplier y ON y.s_suppkey IN (x.s_suppkey + 1, x.s_suppkey + 7, x.s_suppkey * 2)),
+ m AS (SELECT a, b, u.anc, u.steps, u.far + w.far distance FROM p JOIN up u ON u.node = a JOIN up w ON w.node = b AND w.anc = u.anc)
+ SELECT a, b, arg_min(anc, steps) ancestor, round(arg_min(distance, steps), 9) distance FROM m GROUP BY 1, 2""")
+def t02_tip_distances(spark: SparkSession, sf: str) -> DataFrame:
+    """Each supplier's tip and three others: their lowest common ancestor and the distance between them."""
+    ids = spark.read.parquet(f"{sf}/supplier.parquet").select("s_suppkey")
+    k = c("s_suppkey")
+    ask = ids.select(k, F.explode(F.array_distinct(F.array(k + 1, k + 7, k * 2))).alias("o"))
+    pairs = ask.join(ids.select(k.alias("o")), "o").select(F.lit("fixed").alias("tree"), F.concat(F.lit("s"), k.cast("string")).alias("a"), F.concat(F.lit("s"), c("o").cast("string")).alias("b"))
+    return rounded(T.tip_distances(tree(spark, sf), pairs).select("a", "b", "ancestor", "distance"), "distance")
+
+
+@query()
+def t20_rolling_folds(spark: SparkSession, sf: str) -> DataFrame:
+    """Held-out errors of every cohort's tree, its latest three years held out one at a time."""
+    t = clocks(spark, sf)
+    years = tip_years(spark, sf, t).join(t.select("tree", "node"), "node")
+    return T.rolling_folds(t, years.select("tree", "node", "year"), 3)
 
 
 @query()
