@@ -100,26 +100,36 @@ def neighbour_joining(names: list, matrix: np.ndarray) -> list[tuple[str, str |
 
     Lengths may be negative; inner nodes are ``inner1``, ``inner2``, ...
     """
-    labels, apart = [str(n) for n in names], matrix.astype(float).copy()
+    labels = [str(n) for n in names]
     if len(labels) == 1:
         return [(labels[0], None, 0.0)]
+    # Joined rows are closed up inside one matrix, and the criterion has one buffer, so a round makes nothing of the matrix's size.
+    whole = matrix.astype(float).copy()
+    buffer = np.empty_like(whole)
     edges: list[tuple[str, str, float]] = []
     made = 0
     while len(labels) > 2:
         n = len(labels)
+        apart, q = whole[:n, :n], buffer[:n, :n]
         total = apart.sum(axis=1)
-        q = (n - 2) * apart - total[:, None] - total[None, :]
+        np.multiply(apart, n - 2, out=q)
+        q -= total[:, None]
+        q -= total[None, :]
         np.fill_diagonal(q, np.inf)
-        i, j = divmod(int(q.argmin()), n)
-        i, j = min(i, j), max(i, j)
+        i = int(q.min(axis=1).argmin())
+        i, j = sorted((i, int(q[i].argmin())))
         made += 1
         left = apart[i, j] / 2 + (total[i] - total[j]) / (2 * (n - 2))
         new = f"inner{made}"
         edges += [(labels[i], new, left), (labels[j], new, apart[i, j] - left)]
-        row = (apart[i] + apart[j] - apart[i, j]) / 2
-        keep = [k for k in range(n) if k not in (i, j)]
-        apart = np.block([[apart[np.ix_(keep, keep)], row[keep][:, None]], [row[keep][None, :], np.zeros((1, 1))]])
-        labels = [labels[k] for k in keep] + [new]
+        row = np.delete((apart[i] + apart[j] - apart[i, j]) / 2, (i, j))
+        for k in (j, i):
+            apart[k:-1] = apart[k + 1 :]
+            apart[:, k:-1] = apart[:, k + 1 :]
+        whole[n - 2, : n - 2] = whole[: n - 2, n - 2] = row
+        whole[n - 2, n - 2] = 0.0
+        labels = [name for k, name in enumerate(labels) if k not in (i, j)] + [new]
+    apart = whole[:2, :2]
     edges.append((labels[0], labels[1], apart[0, 1]))
     near: dict[str, list[tuple[str, float]]] = {}
     for a, b, length in edges:
@@ -165,6 +175,20 @@ def _id(pairs: DataFrame) -> str:
     return dict(pairs.dtypes)["a"]
 
 
+#: Most members of a cohort that quadratic and cubic kernels take; larger ones are refused whole.
+MOST = 1500
+
+
+def bounded(pairs: DataFrame, most: int = MOST) -> tuple[DataFrame, DataFrame]:
+    """(pairs of the cohorts with at most ``most`` members, refused): ``refused`` are (group, members, reason).
+
+    Cohorts are complete, so members follow from the number of pairs, before any cohort is gathered.
+    """
+    sizes = pairs.groupBy("group").agg(F.count("*").alias("_pairs")).select("group", F.round((1 + F.sqrt(1 + 8 * F.col("_pairs"))) / 2).cast("bigint").alias("members"))
+    kept = pairs.join(sizes.where(F.col("members") > most).select("group"), "group", "left_anti")
+    return kept, sizes.where(F.col("members") > most).select("group", "members", F.lit(f"more_than_{most}_members").alias("reason"))
+
+
 def clustered(pairs: DataFrame, thresholds: list[float]) -> DataFrame:
     """(group, threshold, sample_id, cluster): complete linkage at each threshold; clusters are named by their smallest member."""
 

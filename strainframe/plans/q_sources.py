@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import gzip
+import io
 import uuid
+import zipfile
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import validate as X
-from ..sources import bundle, files, newick, readers, stages
+from ..sources import bundle, cohorts, files, newick, readers, stages, tools
 from ..sources.shared import checkpoint_folder, checkpointed
 from ..streaming import capture
 from .q_aggregates import rounded
@@ -230,13 +234,107 @@ def v14_ordered_bins(spark: SparkSession, sf: str) -> DataFrame:
     return X.bins_violations(bins, 0, 100)
 
 
-@query("""SELECT country, count(*) n FROM (SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'scheme_a' ELSE 'scheme_b' END country FROM supplier) GROUP BY 1""")
+@query("""SELECT DISTINCT 'incomplete' AS what, 'm3' AS name, 1::BIGINT AS n FROM supplier WHERE s_suppkey % 5 = 3
+ UNION ALL SELECT 'merged_samples', '', count(*) FROM supplier WHERE s_suppkey % 5 <> 3 UNION ALL SELECT 'merged_catalogues', '', count(DISTINCT s_suppkey % 5 % 2) FROM supplier WHERE s_suppkey % 5 <> 3
+ UNION ALL SELECT 'samples', s_suppkey::VARCHAR, 2 FROM supplier WHERE s_suppkey % 5 <> 3 AND s_suppkey % 11 = 4 UNION ALL SELECT 'calls', s_suppkey::VARCHAR, 1 FROM supplier WHERE s_suppkey % 5 <> 3 AND s_suppkey % 13 = 6""")
 def u06_merged_datasets(spark: SparkSession, sf: str) -> DataFrame:
-    """Two datasets with one catalogue in common become one cohort."""
-    s = spark.read.parquet(f"{sf}/supplier.parquet").select("s_suppkey", F.when(c("s_suppkey") % 2 == 0, "scheme_a").otherwise("scheme_b").alias("scheme"))
-    parts = [(s.where(f"s_suppkey % 3 = {i}"), s.where(f"s_suppkey % 3 = {i}").select("scheme").distinct()) for i in range(3)]
-    samples, catalogues = bundle.merged(parts)
-    return samples.join(catalogues, "scheme").groupBy(c("scheme").alias("country")).agg(F.count("*").alias("n"))
+    """Five members with two catalogues between them: one is incomplete and blocks; the others are merged, and rows changed afterwards name their sample."""
+    k = c("s_suppkey")
+    rows = spark.read.parquet(f"{sf}/supplier.parquet").select(k.cast("string").alias("sample_id"), F.concat(F.lit("m"), (k % 5).cast("string")).alias("member"), "s_name", (k % 5 % 2).alias("kind"), k.alias("k"))
+    status = rows.select("member").distinct().withColumn("status", F.when(c("member") == "m3", "running").otherwise("complete"))
+    samples = rows.select("member", "sample_id", "s_name", F.concat(F.lit("/work/"), "sample_id").alias("assembly_reference"))
+    scheme, version = F.lit("scheme").alias("scheme"), F.when(c("kind") == 0, "1").otherwise("2").alias("version")
+    calls = rows.select("member", "sample_id", scheme, version, F.explode(F.array(F.lit("l1"), F.lit("l2"))).alias("locus"), (c("k") % 9).cast("string").alias("allele"))
+    loci = rows.select("member", scheme, version, F.explode(F.array(F.lit("l1"), F.lit("l2"), F.lit("l3"))).alias("locus")).distinct()
+    blocked = cohorts.merger_problems(samples.select("sample_id"), status, samples, calls, loci)
+    out = blocked.select(c("problem").alias("what"), c("member").alias("name"), F.lit(1).cast("bigint").alias("n"))
+    good = [df.join(status.where("status = 'complete'").select("member"), "member", "left_semi") for df in (samples, calls, loci)]
+    cohort = {name: checkpointed(df) for name, df in cohorts.merged(*good).items()}
+    count = lambda df, what: df.agg(F.count("*").alias("n")).select(F.lit(what).alias("what"), F.lit("").alias("name"), "n")
+    out = out.unionByName(count(cohort["samples"], "merged_samples")).unionByName(count(cohort["catalogues"].select("catalogue").distinct(), "merged_catalogues"))
+    number = c("sample_id").cast("bigint")
+    cohort["samples"] = cohort["samples"].withColumn("s_name", F.when(number % 11 == 4, "changed").otherwise(c("s_name"))).withColumn("assembly_reference", F.concat(F.lit("copied/"), "sample_id"))
+    cohort["calls"] = cohort["calls"].where(~((number % 13 == 6) & (c("locus") == "l2")))
+    proof = cohorts.proof(cohort, *good, free=["assembly_reference"])
+    return out.unionByName(proof.select(c("table").alias("what"), "name", (c("only_merged") + c("only_members")).alias("n")))
+
+
+@query("""WITH k AS (SELECT s_suppkey, s_suppkey % 6 AS kind FROM supplier), f AS (SELECT kind, count(*) n FROM k GROUP BY 1)
+ SELECT kind::BIGINT kind, NULL AS problem, 2 * n AS n FROM f WHERE kind < 3 UNION ALL SELECT kind::BIGINT, CASE kind WHEN 3 THEN 'not_one_member' WHEN 4 THEN 'unreadable' END, 1 FROM f WHERE kind IN (3, 4) UNION ALL SELECT kind::BIGINT, 'unsupported_allele', n FROM f WHERE kind = 5 UNION ALL SELECT kind::BIGINT, NULL, n FROM f WHERE kind = 5""")
+def s12_compressed_exports(spark: SparkSession, sf: str) -> DataFrame:
+    """Exports in six files: plain, gzip, zip, a zip of two members, a broken gzip, and one with a wrong allele for each genome."""
+    at = place(spark, "exports")
+    rows = spark.read.parquet(f"{sf}/supplier.parquet").select("s_suppkey", (c("s_suppkey") % 6).alias("kind"))
+
+    def write(part: pd.DataFrame) -> pd.DataFrame:
+        kind = int(part["kind"].iloc[0])
+        text = "Genome ID,Gene,Allele ID\n" + "".join(f"g{k},l1,{'?' if k % 2 else '007'}\ng{k},l2,{'none at all' if kind == 5 else k + 1}\n" for k in part["s_suppkey"])
+        raw, packed = text.encode(), io.BytesIO()
+        if kind in (2, 3):
+            with zipfile.ZipFile(packed, "w") as archive:
+                for i in range(kind - 1):
+                    archive.writestr(f"{i}.csv", raw)
+            raw = packed.getvalue()
+        raw = gzip.compress(raw) if kind in (1, 4) else raw
+        return pd.DataFrame({"path": [f"export-{kind}.bin"], "content": [raw[:-6] if kind == 4 else raw]})
+
+    checkpointed(files.put_all(rows.groupBy("kind").applyInPandas(write, "path string, content binary"), at))
+    asked = rows.select(F.concat(F.lit("g"), c("s_suppkey").cast("string")).alias("genome"))
+    good, bad = tools.long_export(spark, at, requested=asked)
+    every = good.select("file", F.lit(None).cast("string").alias("problem")).unionByName(bad.select("file", "problem"))
+    return every.groupBy(F.regexp_extract("file", "export-([0-9])", 1).cast("bigint").alias("kind"), "problem").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT start_at AS "start", end_at AS "end", CASE WHEN id % 8 = 0 OR id % 11 IN (1, 2, 3, 4, 5) THEN NULL ELSE round(p, 9) END AS p, CASE id % 11 WHEN 1 THEN 'not_covered' WHEN 2 THEN 'coordinates_disagree' WHEN 3 THEN 'no_status' WHEN 4 THEN CASE WHEN id % 8 <> 0 THEN 'probabilities_disagree' END WHEN 5 THEN CASE WHEN id % 8 <> 0 THEN 'invalid_probability' END END AS problem FROM @windows""")
+def s25_window_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """A profile of windows as table and log; most kinds of disagreement between them."""
+    table, log, k = place(spark, "profile"), place(spark, "log"), c("id")
+    w = view(spark, sf, "windows").withColumn("centre", c("start_at") + 60).withColumn("kind", k % 11)
+    value = F.when(c("kind") == 5, "2.5").when(c("p").isNull(), "1e-310").otherwise(c("p").cast("string"))
+    w.where("kind != 1").select(F.concat_ws(", ", c("centre").cast("string"), value).alias("value")).write.text(table)
+    said = F.when(c("p").isNull(), "--").when(c("kind") == 4, F.format_number(c("p") / 2 + 0.5 + F.when(c("p") > 0.9, -0.4).otherwise(0), 6)).otherwise(F.format_string("%.4e", c("p")))
+    line = F.concat(F.lit(tools.WINDOW_MARK), c("centre").cast("string"), F.lit(" between "), (c("start_at") - F.when(c("kind") == 2, 1).otherwise(0)).cast("string"), F.lit(" and "), c("end_at").cast("string"), F.lit("\nsites: 12\n"), F.when(c("kind") == 3, "").otherwise(F.concat(F.lit("PHI (Normal):   "), said, F.lit("\n"))))
+    w.select(line.alias("value")).write.text(log)
+    found = tools.window_profile(spark, table, log, w.select(c("start_at").alias("start"), c("end_at").alias("end")))
+    return rounded(found, "p")
+
+
+@query("""SELECT 'state' AS what, 'n' || s_suppkey node, state, round(CASE state WHEN 'North' THEN (s_suppkey % 10) / 10.0 ELSE 1 - (s_suppkey % 10) / 10.0 END, 6) probability FROM supplier, (SELECT 'North' state UNION ALL SELECT 'Far South') WHERE s_suppkey % 7 <> 3 AND s_suppkey % 7 <> 5
+ UNION ALL SELECT 'invalid_probability', 'n' || s_suppkey, NULL, NULL FROM supplier WHERE s_suppkey % 7 = 3 UNION ALL SELECT 'repeated_node', 'n' || s_suppkey, NULL, NULL FROM supplier WHERE s_suppkey % 7 = 5 UNION ALL SELECT 'unmapped_code', 'C', NULL, NULL""")
+def s25_ancestral_states(spark: SparkSession, sf: str) -> DataFrame:
+    """Confidences by coded character with the text that maps the codes; nodes with wrong rows and a code without a state."""
+    table, mapping, k = place(spark, "confidence"), place(spark, "map"), c("s_suppkey")
+    share = (k % 10) / 10.0
+    rows = spark.read.parquet(f"{sf}/supplier.parquet").select(F.concat(F.lit("n"), k.cast("string")).alias("#name"), F.when(k % 7 == 3, "1.5").otherwise(share.cast("string")).alias("A"), (1 - share).cast("string").alias("B"), F.lit("0.0").alias("C"), k)
+    rows.withColumn("copy", F.explode(F.when(k % 7 == 5, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))).select("#name", "A", "B", "C").write.option("header", True).csv(table)
+    spark.createDataFrame([("Settings: none\n\nCharacter to attribute mapping:\n  A: North\n  B: Far South\n\nother: text\n",)], "value string").coalesce(1).write.text(mapping)
+    good, bad = tools.ancestral_states(spark, table, mapping)
+    none = F.lit(None)
+    return rounded(good.select(F.lit("state").alias("what"), "node", "state", F.round("probability", 6).alias("probability")).unionByName(bad.select(c("problem").alias("what"), "node", none.cast("string").alias("state"), none.cast("double").alias("probability"))), "probability")
+
+
+@query("""WITH k AS (SELECT s_suppkey k, s_suppkey % 8 AS kind FROM supplier) SELECT 'n' || k node, CASE WHEN kind IN (0, 1, 7) THEN 1990.0 + k END::DOUBLE AS estimate, CASE WHEN kind IN (0, 7) THEN 1985.0 + k END::DOUBLE low, CASE WHEN kind IN (0, 7) THEN 1995.0 + k END::DOUBLE high, CASE kind WHEN 2 THEN 'half_an_interval' WHEN 3 THEN 'date_outside_interval' WHEN 4 THEN 'invalid_date' WHEN 5 THEN 'invalid_bound' WHEN 6 THEN 'repeated_node' END problem FROM k""")
+def s25_node_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Dates of nodes with and without intervals, and with wrong ones."""
+    at, k = place(spark, "node-dates"), c("s_suppkey")
+    m = k % 8
+    rows = spark.read.parquet(f"{sf}/supplier.parquet").select(F.concat(F.lit("n"), k.cast("string")).alias("node"), F.when(m == 4, "nan").otherwise((1990.0 + k).cast("string")).alias("numeric_date"), F.when(m.isin(1, 4), None).when(m == 3, (1991.0 + k).cast("string")).otherwise((1985.0 + k).cast("string")).alias("lower_bound"), F.when(m.isin(1, 2, 4), None).when(m == 5, "x").otherwise((1995.0 + k).cast("string")).alias("upper_bound"), m.alias("m"))
+    rows.withColumn("copy", F.explode(F.when(c("m") == 6, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))).drop("copy", "m").write.option("header", True).csv(at)
+    good, bad = tools.node_dates(spark, at)
+    none = F.lit(None)
+    return good.withColumn("problem", none.cast("string")).unionByName(bad.select("node", *(none.cast("double").alias(x) for x in ("estimate", "low", "high")), "problem"))
+
+
+@query("""WITH k AS (SELECT s_suppkey k, s_suppkey % 4 AS kind FROM supplier) SELECT k, CASE WHEN kind <> 3 THEN round((k + 1) / 1000.0, 9) END rate, CASE WHEN kind < 2 THEN round((k + 1) / 10000.0, 9) END rate_sd, CASE WHEN kind <> 2 THEN 0.25 END r_squared, CASE kind WHEN 2 THEN 'not_a_clock_report' WHEN 3 THEN 'not_a_clock_report' END problem FROM k""")
+def s25_clock_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """A report for each supplier, some without a rate or its fit."""
+    at, k = place(spark, "clock"), c("s_suppkey")
+    rate = F.when(k % 4 != 3, F.concat(F.lit(" --rate:\t"), F.format_string("%.6e", (k + 1) / 1000.0), F.when(k % 4 < 2, F.concat(F.lit(" +/- "), F.format_string("%.6e", (k + 1) / 10000.0), F.lit(" (one std-dev)"))).otherwise(""), F.lit("\n"))).otherwise("")
+    text = F.concat(F.lit("Root-Tip-Regression:\n"), rate, F.when(k % 4 != 2, " --r^2:\t0.25\n").otherwise(""))
+    rows = spark.read.parquet(f"{sf}/supplier.parquet").select(F.concat(F.lit("r"), k.cast("string"), F.lit(".txt")).alias("path"), F.encode(text, "UTF-8").alias("content"))
+    checkpointed(files.put_all(rows, at))
+    found = tools.clock_fits(spark, at)
+    return rounded(found.select(F.regexp_extract("file", "r([0-9]+)[.]txt$", 1).cast("bigint").alias("k"), "rate", "rate_sd", "r_squared", "problem"), "rate", "rate_sd")
 
 
 @query("SELECT event_id, event_type FROM events")
