@@ -56,9 +56,7 @@ def comparable_pairs(profiles: DataFrame, calls: DataFrame, overlap: float) -> D
 
 def all_pairs(profiles: DataFrame, calls: DataFrame, overlap: float) -> DataFrame:
     """Every pair a < b with its status and, if unavailable, the reason; for bounded cohorts, as its rows are quadratic."""
-    full = with_calls(profiles, calls)
-    a, b = full.alias("a"), full.alias("b")
-    every = a.join(b, F.col("a.sample_id") < F.col("b.sample_id")).select(F.col("a.sample_id").alias("a"), F.col("b.sample_id").alias("b"), F.col("a.n_loci").alias("n_loci"), scope_reason().alias("why"))
+    every = tiled(with_calls(profiles, calls)).select(F.col("p.sample_id").alias("a"), F.col("q.sample_id").alias("b"), F.col("p.n_loci").alias("n_loci"), scope_reason("p", "q").alias("why"))
     found = every.join(shared_calls(profiles, calls), ["a", "b"], "left").withColumn("shared", F.coalesce("shared", F.lit(0)))
     reason = F.coalesce("why", F.when((F.col("shared") == 0) | (F.col("shared") / F.col("n_loci") < overlap), REASONS[4]))
     return found.withColumn("reason", reason).select(

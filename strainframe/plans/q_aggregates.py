@@ -254,12 +254,6 @@ def w09_date_folds(spark: SparkSession, sf: str) -> DataFrame:
     return years.withColumn("train", F.coalesce(F.sum("test").over(w), F.lit(0))).withColumn("_i", F.row_number().over(Window.orderBy(F.desc("test_year")))).where("_i <= 3").select("test_year", "train", "test")
 
 
-@query("""SELECT min(s)::VARCHAR first_day, max(e)::VARCHAR last_day, count(*) FILTER (p = 'year') AS "years", count(*) FILTER (p = 'month') AS "months", count(*) FILTER (p = 'day') AS "days" FROM (SELECT CASE length(raw) WHEN 4 THEN (raw || '-01-01')::DATE WHEN 7 THEN (raw || '-01')::DATE WHEN 10 THEN raw::DATE END s, CASE length(raw) WHEN 4 THEN (raw || '-12-31')::DATE WHEN 7 THEN last_day((raw || '-01')::DATE) WHEN 10 THEN raw::DATE END e, CASE length(raw) WHEN 4 THEN 'year' WHEN 7 THEN 'month' WHEN 10 THEN 'day' END p FROM @dates WHERE id % 11 < 7)""")
-def a33_date_summary(spark: SparkSession, sf: str) -> DataFrame:
-    start, end, precision = D.ingest(F.col("raw"))
-    return view(spark, sf, "dates").where("id % 11 < 7").select(start.alias("s"), end.alias("e"), precision.alias("p")).agg(F.min("s").cast("string").alias("first_day"), F.max("e").cast("string").alias("last_day"), *(F.count_if(F.col("p") == k).alias(f"{k}s") for k in ("year", "month", "day")))
-
-
 @query("""WITH p AS (SELECT sample_id % 7 AS g, unnest(range(1, 6)) pos, string_split(lineage, '_') c FROM @samples), d AS (SELECT g, pos, count(DISTINCT c[pos]) n, min(c[pos]) v FROM p GROUP BY 1, 2), f AS (SELECT g, pos, v, min(CASE WHEN n > 1 THEN pos END) OVER (PARTITION BY g) cut FROM d) SELECT g, coalesce(string_agg(v, '_' ORDER BY pos) FILTER (cut IS NULL OR pos < cut), '') prefix FROM f GROUP BY 1""")
 def a34_common_prefix(spark: SparkSession, sf: str) -> DataFrame:
     """The leading components in which all codes of a group agree."""

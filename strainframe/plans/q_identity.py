@@ -95,6 +95,15 @@ def f17_f18_date_bounds(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "dates").select("id", start.cast("string").alias("start_day"), end.cast("string").alias("end_day"), precision.alias("precision"))
 
 
+@query(f"""WITH b AS (SELECT id, raw, {START} s, {END} e FROM @dates), k AS (SELECT *, {PRECISION} p FROM b) SELECT (min(s) FILTER (p NOT IN ('missing', 'invalid')))::VARCHAR first_day, (max(e) FILTER (p NOT IN ('missing', 'invalid')))::VARCHAR last_day,
+ count(*) FILTER (p = 'year') AS "years", count(*) FILTER (p = 'month') AS "months", count(*) FILTER (p = 'day') AS "days", count(*) FILTER (p = 'interval') AS "intervals", count(*) FILTER (p = 'missing') AS missing, count(*) FILTER (p = 'invalid') AS invalid FROM k""")
+def a33_date_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """All dates: the first and last day that any can mean, and how many there are of each precision, blanks and errors too."""
+    start, end, precision = D.ingest(c("raw"))
+    counts = [F.count_if(c("p") == k).alias(f"{k}s" if k not in ("missing", "invalid") else k) for k in ("year", "month", "day", "interval", "missing", "invalid")]
+    return view(spark, sf, "dates").select(start.alias("s"), end.alias("e"), precision.alias("p")).agg(F.min("s").cast("string").alias("first_day"), F.max("e").cast("string").alias("last_day"), *counts)
+
+
 @query(f"""WITH b AS (SELECT id, raw, {START} s, {END} e FROM @dates), k AS (SELECT *, {PRECISION} p FROM b) SELECT id, CASE WHEN p IN ('missing', 'invalid') THEN p WHEN s > DATE '{TODAY}' THEN 'future' ELSE 'valid' END status, round({YEAR.format('s')}, 9) year_min, round({YEAR.format('e')}, 9) year_max, round(({YEAR.format('s')} + {YEAR.format('e')}) / 2, 9) midpoint FROM k""")
 def f19_sample_interval(spark: SparkSession, sf: str) -> DataFrame:
     found = view(spark, sf, "dates").select("id", D.canonical(c("raw"), today=TODAY).alias("d")).select("id", "d.status", "d.year_min", "d.year_max", "d.midpoint")

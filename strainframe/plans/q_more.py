@@ -13,6 +13,7 @@ from ..operators import identity as I
 from ..operators import trees as T
 from . import q_trees as Q
 from .q_aggregates import points, rounded
+from .q_identity import END, PRECISION, START
 from .registry import query
 from .views import sequences, view
 
@@ -70,9 +71,10 @@ def u02_u05_set_operations(spark: SparkSession, sf: str) -> DataFrame:
     return per.agg(F.count("*").alias("union"), F.count_if((c("x") == 1) & (c("y") == 1)).alias("common"), F.count_if(c("y") == 0).alias("first_only"), F.coalesce(F.sum("n"), F.lit(0)).alias("appended")).unpivot([], ["union", "common", "first_only", "appended"], "kind", "n")
 
 
-@query("""SELECT id, raw, 'future_collection_date' reason FROM @dates WHERE raw NOT LIKE '%/%' AND (CASE length(raw) WHEN 4 THEN try_cast(raw || '-01-01' AS DATE) WHEN 7 THEN try_cast(raw || '-01' AS DATE) WHEN 10 THEN try_cast(raw AS DATE) END) > DATE '1999-06-30'""")
+@query(f"""WITH b AS (SELECT id, raw, {START} s, {END} e FROM @dates), k AS (SELECT *, {PRECISION} p FROM b) SELECT id, raw, 'future_collection_date' reason FROM k WHERE p NOT IN ('missing', 'invalid') AND s > DATE '1999-06-30'""")
 def v08_future_dates(spark: SparkSession, sf: str) -> DataFrame:
-    found = view(spark, sf, "dates").where(~c("raw").contains("/")).select("id", "raw", D.canonical(c("raw"), today="1999-06-30")["status"].alias("s"))
+    """Dates and intervals that begin after the middle of 1999."""
+    found = view(spark, sf, "dates").select("id", "raw", D.canonical(c("raw"), today="1999-06-30")["status"].alias("s"))
     return found.where("s = 'future'").select("id", "raw", F.lit("future_collection_date").alias("reason"))
 
 

@@ -11,7 +11,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import dates as D
 from ..functions import scalars as S
+from ..operators import compare as R
 from ..operators import validate as X
 from ..sources import bundle, cohorts, files, newick, readers, stages, tools
 from ..sources.shared import checkpoint_folder, checkpointed
@@ -197,15 +199,35 @@ def k02_nested_csv(spark: SparkSession, sf: str) -> DataFrame:
     return back.select(c("sample_id").cast("bigint").alias("sample_id"), F.explode(F.from_json("profile", "map<string,string>")).alias("locus", "allele"))
 
 
-@query("SELECT 'CC_' || substr(sha256(sample_id::VARCHAR), 1, 16) export_id, sample_id, country FROM @samples")
+@query("""WITH x AS (SELECT sample_id, 'CC_' || substr(sha256(sample_id::VARCHAR), 1, 16) export_id, country FROM @samples)
+ SELECT export_id, x.sample_id, x.country, coalesce('CC_' || substr(sha256(p.sample_id::VARCHAR), 1, 16), t.parent) parent, round(t.length, 9) AS length FROM x JOIN @tree t ON t.sample_id = x.sample_id LEFT JOIN @tree p ON p.node = t.parent""")
 def k07_viewer_export(spark: SparkSession, sf: str) -> DataFrame:
-    return view(spark, sf, "samples").select(S.export_id(c("sample_id")).alias("export_id"), "sample_id", "country")
+    """A tree with its tips renamed to safe ids, the metadata and the map of ids, written and read back together."""
+    samples, t = view(spark, sf, "samples"), view(spark, sf, "tree")
+    ids = samples.select("sample_id", S.export_id(c("sample_id")).alias("export_id"))
+    at = place(spark, "viewer")
+    newick.write_trees(newick.renamed(t, ids).withColumn("tree", F.lit("fixed"))).select(c("newick").alias("value")).write.text(f"{at}/tree.nwk")
+    samples.join(ids, "sample_id").select("export_id", "country").write.option("header", True).csv(f"{at}/metadata")
+    ids.write.option("header", True).csv(f"{at}/ids")
+    back = newick.read_trees(spark.read.text(f"{at}/tree.nwk").select(F.lit("fixed").alias("tree"), c("value").alias("newick")))
+    named = lambda part: spark.read.option("header", True).csv(f"{at}/{part}")
+    known = named("metadata").join(named("ids"), "export_id")
+    return rounded(known.join(back.select(c("node").alias("export_id"), "parent", "length"), "export_id").select("export_id", c("sample_id").cast("bigint").alias("sample_id"), "country", "parent", "length"), "length")
 
 
-@query("""SELECT id, round(p, 9) rate, p >= 0.5 exceeds, p - 0.1 <= 0.5 AND 0.5 <= p + 0.1 AS "overlaps" FROM @windows WHERE p IS NOT NULL""")
+SHUFFLED = """pt AS (SELECT sample_id, year(day) + (dayofyear(day) - 1) / CASE WHEN year(day) % 4 = 0 AND (year(day) % 100 <> 0 OR year(day) % 400 = 0) THEN 366.0::DOUBLE ELSE 365.0::DOUBLE END x, value y, day FROM @points),
+ r AS (SELECT unnest(range(0, 6))::INT AS run), a AS (SELECT sample_id, run, x, row_number() OVER (PARTITION BY sample_id, run ORDER BY day) i FROM pt, r), b AS (SELECT sample_id, run, y, row_number() OVER (PARTITION BY sample_id, run ORDER BY CASE WHEN run = 0 THEN day::VARCHAR ELSE md5('3|' || run || '|' || day::VARCHAR) END) i FROM pt, r),
+ f AS (SELECT sample_id, run, count(*) n, count(DISTINCT x) k, regr_slope(y, x) b, sqrt(greatest(0, regr_syy(y, x) - regr_slope(y, x) * regr_sxy(y, x)) / regr_sxx(y, x) / nullif(count(*) - 2, 0)) se FROM a JOIN b USING (sample_id, run, i) GROUP BY 1, 2)"""
+
+
+@query(f"""WITH {SHUFFLED} SELECT f.sample_id, f.run, round(f.b, 4) rate, f.b >= o.b exceeds, f.b - 1.96 * f.se <= o.b AND o.b <= f.b + 1.96 * f.se AS "overlaps" FROM f JOIN f o ON o.sample_id = f.sample_id AND o.run = 0 WHERE f.run > 0 AND f.n >= 3 AND f.k >= 3""")
 def k12_randomisations(spark: SparkSession, sf: str) -> DataFrame:
-    w = view(spark, sf, "windows").where("p is not null")
-    return rounded(w.select("id", c("p").alias("rate"), (c("p") >= 0.5).alias("exceeds"), ((c("p") - 0.1 <= 0.5) & (c("p") + 0.1 >= 0.5)).alias("overlaps")), "rate")
+    """Each sample's values dealt anew to its days five times: the slope of each deal, whether it reaches the observed one, and whether its interval holds it, through a CSV."""
+    at = place(spark, "randomisations")
+    p = view(spark, sf, "points").select("sample_id", "day", D.decimal_year(c("day")).alias("x"), c("value").alias("y"))
+    R.randomised(p, ["sample_id"], "day", "x", "y", 5, 3).write.option("header", True).csv(at)
+    back = spark.read.option("header", True).schema("sample_id bigint, run int, rate double, exceeds boolean, overlaps boolean").csv(at)
+    return rounded(back.withColumn("rate", F.round("rate", 4)), "rate")
 
 
 @query("""WITH r AS (SELECT o_orderkey id, CASE o_orderkey % 5 WHEN 0 THEN 'other' ELSE 'input' END AS role, o_orderdate::DATE s, CASE WHEN o_orderkey % 4 = 0 THEN (o_orderdate - INTERVAL 1 DAY)::DATE ELSE o_orderdate::DATE END e, CASE o_orderkey % 3 WHEN 0 THEN 'day' WHEN 1 THEN 'month' END p FROM orders)

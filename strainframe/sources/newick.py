@@ -131,3 +131,10 @@ def write_trees(nodes: DataFrame) -> DataFrame:
         return pd.DataFrame([(rows["tree"].iloc[0], written(list(rows[["node", "parent", "length"]].itertuples(index=False, name=None))))], columns=["tree", "newick"])
 
     return nodes.select("tree", "node", "parent", F.col("length").cast("double").alias("length")).groupBy("tree").applyInPandas(run, f"tree {dict(nodes.dtypes)['tree']}, newick string")
+
+
+def renamed(nodes: DataFrame, ids: DataFrame) -> DataFrame:
+    """Node tables whose nodes with a sample bear its ``export_id``, as their children's parents too; ``ids`` are (sample_id, export_id)."""
+    named = nodes.join(ids, "sample_id", "left").select("*", F.coalesce("export_id", "node").alias("_name"))
+    above = named.select(F.col("node").alias("parent"), F.col("_name").alias("_above"))
+    return named.join(above, "parent", "left").select(F.col("_name").alias("node"), F.col("_above").alias("parent"), "length", "sample_id")
