@@ -361,11 +361,67 @@ def s25_clock_reports(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT event_id, event_type FROM events")
 def u01_captured_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Records captured from a stream of files, batch by batch."""
+    """Records captured from a stream of files, batch by batch; what an attempt left that was never committed is not read."""
     source, target, state = place(spark, "in"), place(spark, "captured"), place(spark, "state")
-    spark.read.parquet(f"{sf}/events.parquet").select("event_id", "event_type").repartition(3).write.json(source)
+    events = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "event_type")
+    events.repartition(3).write.json(source)
+    events.where("event_id % 2 = 0").write.parquet(f"{target}/rows/stream-0-killed")
     capture.captured(capture.stream_of(spark, source, "event_id bigint, event_type string"), target, state)
-    return spark.read.parquet(target).select("event_id", "event_type")
+    return capture.committed(spark, target).select("event_id", "event_type")
+
+
+@query("SELECT 'input' AS source, count(*) n, count(DISTINCT country) countries FROM @samples WHERE role = 'input' UNION ALL SELECT 'context', count(*), count(DISTINCT country) FROM samples WHERE role <> 'input'")
+def u01_appended_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Input and context records, each from a stream of its own, appended to one table; the context comes in two runs."""
+    target, samples = place(spark, "appended"), view(spark, sf, "samples").select("sample_id", "role", "country")
+    for name, parts in (("input", ["role = 'input'"]), ("context", ["role != 'input' and sample_id % 2 = 0", "role != 'input' and sample_id % 2 = 1"])):
+        source, state = place(spark, "in"), place(spark, "state")
+        for i, part in enumerate(parts):
+            samples.where(part).write.json(f"{source}/part={i}")
+            capture.captured(capture.stream_of(spark, f"{source}/*", "sample_id bigint, role string, country string"), target, state, name)
+    return capture.committed(spark, target).groupBy("source").agg(F.count("*").alias("n"), F.count_distinct("country").alias("countries"))
+
+
+@query("""WITH k AS (SELECT s_suppkey // 4 AS f, count(*) n, bool_or(s_suppkey % 4 = 1) one, bool_or(s_suppkey % 4 = 2) two, bool_or(s_suppkey % 4 = 3) three FROM supplier GROUP BY 1)
+ SELECT problem, count(*) files, sum(m)::BIGINT n FROM (SELECT 'repeated_name' problem, 1 m FROM k WHERE f % 4 = 1 AND one UNION ALL SELECT 'empty_sequence', 1 FROM k WHERE f % 4 = 2 AND two UNION ALL SELECT 'unequal_length', 1 FROM k WHERE f % 4 = 2 AND two AND n > 1 UNION ALL SELECT 'unequal_length', 1 FROM k WHERE f % 4 = 3 AND three AND n > 1) GROUP BY 1""")
+def s20_alignment_guard(spark: SparkSession, sf: str) -> DataFrame:
+    """Alignments of up to four sequences: sound ones, and ones with a repeated name, an empty sequence or another length."""
+    at, k = place(spark, "alignments"), c("sample_id")
+    kind = F.floor(k / 4) % 4
+    name = F.when((kind == 1) & (k % 4 == 1), (k - 1)).otherwise(k)
+    seq = F.when((kind == 2) & (k % 4 == 2), "").when((kind == 3) & (k % 4 == 3), F.concat("seq", F.lit("A"))).otherwise(c("seq"))
+    one = sequences(spark, sf).select(F.floor(k / 4).alias("file"), F.concat(F.lit(">s"), name.cast("string"), F.lit("\n"), seq, F.lit("\n")).alias("one"))
+    rows = one.groupBy("file").agg(F.array_join(F.sort_array(F.collect_list("one")), "").alias("body"))
+    checkpointed(files.put_all(rows.select(F.concat(F.lit("a"), c("file").cast("string"), F.lit(".fasta")).alias("path"), F.encode("body", "UTF-8").alias("content")), at))
+    return readers.alignment_violations(readers.fasta(spark, at)).groupBy("problem").agg(F.count("*").alias("files"), F.sum("n").alias("n"))
+
+
+@query("""SELECT s_suppkey::VARCHAR id, s_suppkey % 7 || '_' || s_nationkey code FROM supplier""")
+def s14_lineage_export(spark: SparkSession, sf: str) -> DataFrame:
+    """Lineage codes from JSON and tab separated files whose headers are spelled differently, each with its file's digest."""
+    at, k = place(spark, "lineages"), c("s_suppkey")
+    rows = spark.read.parquet(f"{sf}/supplier.parquet").select(k, F.concat((k % 7).cast("string"), F.lit("_"), c("s_nationkey").cast("string")).alias("code"))
+    body = F.to_json(F.collect_list(F.struct(k.cast("string").alias("Source genome_ID"), c("code").alias("LIN code"))))
+    table = F.concat(F.lit("source-genome-id\tLINcode\n"), F.array_join(F.collect_list(F.concat_ws("\t", k.cast("string"), "code")), "\n"))
+    some = rows.where(k % 2 == 0).agg(body.alias("b")).select(F.lit("a.json").alias("path"), "b").unionByName(rows.where(k % 2 == 1).agg(table.alias("b")).select(F.lit("b.tsv").alias("path"), "b"))
+    checkpointed(files.put_all(some.select("path", F.encode("b", "UTF-8").alias("content")), at))
+    found, bad = readers.lineage_export(spark, at)
+    digests = files.listed(spark, at).select(F.col("sha256").alias("file_sha256"))
+    whole = found.join(digests, "file_sha256", "left_semi")
+    return whole.select("id", "code").unionByName(bad.select(F.col("problem").alias("id"), F.lit("").alias("code")))
+
+
+@query("""WITH k AS (SELECT s_suppkey k, s_suppkey % 6 AS kind FROM supplier) SELECT 's' || k sample_id, CASE kind WHEN 1 THEN 'missing_species' WHEN 2 THEN 'invalid_collection_date' WHEN 3 THEN 'file_not_found' WHEN 4 THEN 'missing_assembly' END error FROM k WHERE kind BETWEEN 1 AND 4""")
+def s10_study_files_and_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Study metadata with several required columns, dates in the study's grammar, and assemblies that must be there."""
+    at, there, k = place(spark, "study"), place(spark, "assemblies"), c("s_suppkey")
+    rows = spark.read.parquet(f"{sf}/supplier.parquet").select(k, (k % 6).alias("kind"))
+    fasta = F.concat(F.lit("a"), k.cast("string"), F.lit(".fasta"))
+    checkpointed(files.put_all(rows.where("kind != 3").select(fasta.alias("path"), F.encode(F.lit(">a\nACGT\n"), "UTF-8").alias("content")), there))
+    date = F.element_at(F.array(*map(F.lit, ("2001", "2001-02", "2001-02-03", ""))), (k % 4 + 1).cast("int"))
+    told = rows.select(F.concat(F.lit("s"), k.cast("string")).alias("sample_id"), F.when(c("kind") != 1, "Species one").alias("species"), F.when(c("kind") == 2, "2001-13").otherwise(date).alias("collection_date"), F.when(c("kind") != 4, fasta).alias("assembly"))
+    told.write.option("header", True).csv(at)
+    return readers.study_metadata(spark, at, ["species", "assembly"], dates=["collection_date"], files=("assembly", files.listed(spark, there).select("path")))[1]
 
 
 @query("SELECT date_trunc('hour', ts)::VARCHAR begins, event_type, count(*) n, round(sum(value), 6) total FROM events GROUP BY 1, 2")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import vocabulary as V
+from ..functions.dates import bounds_start
 from ..functions.scalars import one_of, text
 
 
@@ -33,21 +34,54 @@ def accession_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim(F.regexp_replace("value", "#.*$", "")).alias("accession")).where("accession != ''").distinct()
 
 
-def study_metadata(spark: SparkSession, path: str, required: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows, errors): ids must be safe and unique, and required fields filled; an absent column is an error of its own."""
+def study_metadata(spark: SparkSession, path: str, required: list[str], dates: list[str] | None = None, files: tuple[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, errors): ids must be safe and unique, and required fields filled; an absent column is an error of its own.
+
+    ``dates`` names columns that are blank or a year, month or day; ``files``
+    a column whose values must be among the paths (path) of a listing.
+    """
     raw = header_csv(spark, path)
-    absent = [c for c in required if c not in raw.columns]
-    for c in absent:
-        raw = raw.withColumn(c, F.lit(None).cast("string"))
+    for c in [*required, *(dates or []), *([files[0]] if files else [])]:
+        if c not in raw.columns:
+            raw = raw.withColumn(c, F.lit(None).cast("string"))
     n = raw.groupBy("sample_id").agg(F.count("*").alias("_n"))
     counted = raw.join(n, "sample_id", "left")
+    if files:
+        counted = counted.join(files[1].select(F.col("path").alias("_path")).distinct(), F.col(files[0]) == F.col("_path"), "left")
     why = F.when(~F.coalesce(F.col("sample_id").rlike(r"^[A-Za-z0-9_.-]+$"), F.lit(False)), "unsafe_sample_id").when(F.col("_n") > 1, "repeated_sample_id")
     for c in required:
         why = why.when(F.coalesce(F.col(c), F.lit("")) == "", f"missing_{c}")
-    judged = counted.withColumn("error", why.otherwise(F.lit(None))).drop("_n")
+    for c in dates or []:
+        why = why.when((F.coalesce(F.col(c), F.lit("")) != "") & bounds_start(F.col(c)).isNull(), f"invalid_{c}")
+    if files:
+        why = why.when((F.coalesce(F.col(files[0]), F.lit("")) != "") & F.col("_path").isNull(), "file_not_found")
+    judged = counted.withColumn("error", why.otherwise(F.lit(None))).drop("_n", "_path")
     return judged.where("error is null").drop("error"), judged.where("error is not null").select("sample_id", "error")
 
 
+def lineage_export(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(file_sha256, id, code) of lineage exports, and (file, problem).
+
+    A file is a JSON list of objects, or comma or tab separated lines below a
+    header.  Names are compared in lower case without signs, so spellings of
+    "source genome id" and "LIN code" agree; each row keeps the digest of its
+    whole file.  A file is one row's text.
+    """
+    top = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.sha2("content", 256).alias("file_sha256"), F.decode("content", "UTF-8").alias("text"))
+    folded_ = lambda name: F.regexp_replace(F.lower(name), "[^a-z0-9]", "")
+    objects = F.from_json("text", "array<map<string, string>>")
+    lines = F.filter(F.split(F.col("text"), r"\r?\n"), lambda x: F.trim(x) != "")
+    sep = F.when(F.element_at(lines, 1).contains("\t"), "\t").otherwise(",")
+    cells = lambda line: F.transform(F.split(line, sep), lambda x: F.trim(x))
+    head = cells(F.try_element_at(lines, F.lit(1)))
+    table = F.transform(F.slice(lines, F.lit(2), F.size(lines)), lambda line: F.map_from_arrays(F.transform(head, folded_), F.slice(F.concat(cells(line), F.array_repeat(F.lit(""), F.size(head))), F.lit(1), F.size(head))))
+    is_json = F.trim("text").startswith("[")
+    rows = F.when(is_json, F.transform(objects, lambda o: F.map_from_entries(F.transform(F.map_entries(o), lambda e: F.struct(folded_(e["key"]).alias("key"), e["value"].alias("value")))))).otherwise(table)
+    each = top.select("path", "file_sha256", F.explode_outer(rows).alias("row")).select("path", "file_sha256", F.try_element_at("row", F.lit("sourcegenomeid")).alias("id"), F.try_element_at("row", F.lit("lincode")).alias("code"))
+    good = (F.coalesce("id", F.lit("")) != "") & F.col("code").isNotNull()
+    return each.where(good).select("file_sha256", "id", "code"), each.where(~good).select(F.col("path").alias("file"), F.lit("no_id_or_code").alias("problem")).distinct()
+
+
 def allele_export(df: DataFrame, sample: str, locus: str, allele: str) -> DataFrame:
     """(sample_id, locus, allele, status) of long rows: missing tokens are blank, repeats that disagree are ambiguous."""
     token = F.when(~one_of(text(F.col(allele)), V.NO_ALLELE), text(F.col(allele)))
