@@ -1,6 +1,6 @@
 """Katz backoff over pairs of words, with Good-Turing discounts.
 
-Training counts live in tables partitioned by kind and bucket: single tokens,
+Training counts live in tables partitioned by kind, in rows by bucket: single tokens,
 and pairs by the hash of their context (a context of very many tokens is
 spread over several buckets).  A token's probability is found by recursion:
 
