@@ -145,7 +145,7 @@ def distinct_sets(pool: DataFrame, chosen: DataFrame, pairs: DataFrame, size: in
 
     ``size`` grows to the chosen ones and ``reserve`` further places.  Sets
     equal to an earlier one are drawn again with another seed, up to
-    ``attempts`` times, all of a round together.  ``members`` are (run,
+    ``attempts`` times, several at once; each run takes its first that is new.  ``members`` are (run,
     sample_id, position, reason), ``audit`` (run, seed, attempts, size,
     duplicate_of, status).  The driver holds a digest for each run.
     """
@@ -155,23 +155,31 @@ def distinct_sets(pool: DataFrame, chosen: DataFrame, pairs: DataFrame, size: in
     fixed = needed >= effective or available <= effective
     near = neighbours(pairs)
     seen: dict[str, int] = {}
-    kept, told, open_ = None, {}, list(range(1, runs + 1))
-    for attempt in range(1 if fixed else attempts):
-        seeds = {r: seed + r + attempt * runs for r in open_}
+    kept, told, open_, first = None, {}, list(range(1, runs + 1)), 0
+    while open_:
+        # The first sets are drawn alone, then ever more attempts of the runs still open together.
+        last = 1 if fixed else min(attempts, max(1, 3 * first + 1))
+        tried = {i: (r, t) for i, (r, t) in enumerate(((r, t) for r in open_ for t in range(first, last)), 1)}
+        seeds = {i: seed + r + t * runs for i, (r, t) in tried.items()}
         sets = checkpointed(drawn_sets(pool, chosen, near, effective, seed, seeds, cells))
-        again = []
-        for r in sorted(ensemble(sets).collect(), key=lambda r: r["run"]):
-            first = seen.setdefault(r["digest"], r["run"])
-            told[r["run"]] = (r["run"], seeds[r["run"]], attempt + 1, r["size"], None if first == r["run"] else first)
-            if first != r["run"]:
-                again.append(r["run"])
-        last = attempt + 1 == (1 if fixed else attempts)
-        done = [r for r in open_ if last or r not in again]
-        part = sets.where(F.col("run").isin(done)) if done else None
-        kept = part if kept is None else kept if part is None else kept.unionByName(part)
-        open_ = again
-        if not open_:
-            break
+        digests = {r["run"]: r for r in ensemble(sets).collect()}
+        taken: dict[int, int] = {}
+        for i, (r, t) in tried.items():
+            if r in taken or i not in digests:
+                continue
+            earlier = seen.get(digests[i]["digest"])
+            final = last == (1 if fixed else attempts) and t + 1 == last
+            if earlier is None or final:
+                seen.setdefault(digests[i]["digest"], r)
+                taken[r] = i
+                told[r] = (r, seeds[i], t + 1, digests[i]["size"], earlier)
+        if taken:
+            names = spark.createDataFrame([(i, r) for r, i in taken.items()], "run int, _run int")
+            part = sets.join(F.broadcast(names), "run").select(F.col("_run").alias("run"), "sample_id", "position", "reason")
+            kept = part if kept is None else kept.unionByName(part)
+        open_ = [r for r in open_ if r not in taken] if last < (1 if fixed else attempts) else []
+        first = last
+    kept = sets if kept is None else kept  # nothing to choose and nothing held: no rows
     status = lambda duplicate: "no_choices" if fixed else "no_distinct_set_found" if duplicate else "distinct"
     audit = spark.createDataFrame([(*told[r], status(told[r][4])) for r in sorted(told)], "run int, seed int, attempts int, size long, duplicate_of int, status string")
     return kept, audit

@@ -483,7 +483,7 @@ def l05_quota_draws(spark: SparkSession, sf: str) -> DataFrame:
 def l06_ensemble(spark: SparkSession, sf: str) -> DataFrame:
     """Three sets that differ, with their seeds and attempts."""
     samples = view(spark, sf, "samples")
-    return L.distinct_sets(samples, mandatory(spark, sf), Q.pairs(spark, sf), 20, 2, 5, 3, L.strata(samples, [c("st"), c("region")]))[1]
+    return L.distinct_sets(samples, mandatory(spark, sf), Q.pairs(spark, sf), 20, 6, 5, 3, L.strata(samples, [c("st"), c("region")]))[1]
 
 
 NEED = Q.BOTH + """, rk AS (SELECT x query_id, y context_id, diff, row_number() OVER (PARTITION BY x ORDER BY diff, y) i FROM bw WHERE x % 10 = 0 AND y % 10 <> 0), cu AS (SELECT query_id, max(diff) b FROM rk WHERE i <= 3 GROUP BY 1), need AS (SELECT DISTINCT context_id sample_id FROM rk JOIN cu USING (query_id) WHERE diff <= b)"""
