@@ -81,3 +81,10 @@ def test_budget(spark):
     pool = spark.range(10).select(F.col("id").alias("sample_id"))
     assert tuple(L.budget(pool, pool.where("sample_id < 6"), 4, 2).first()) == (4, 8, 6, 2, 10)
     assert tuple(L.budget(pool, pool.where("sample_id < 2"), 4, 1).first()) == (4, 4, 2, 0, 10)
+
+
+def test_an_empty_pool_has_no_sets(spark):
+    pool = spark.range(0).select(F.col("id").alias("sample_id"))
+    none = spark.createDataFrame([], "a long, b long, distance double")
+    members, audit = L.distinct_sets(pool, pool, none, 3, 0, 1, 2)
+    assert members.count() == 0 and audit.count() == 0
