@@ -59,6 +59,8 @@ REGION, FREQUENT = 4096, 1024
 PIVOTS = 64
 #: Documents of a clump that vote on its pivot, and documents on either side of a tile.
 VOTERS, TILE = 32, 512
+#: Bytes of posts and counts that a bucket holds at about most; candidate pairs that are looked at together.
+BUCKET_BYTES, AT_ONCE = 128 << 20, 1 << 18
 
 PAIR = "a long, b long"
 
@@ -256,14 +258,20 @@ class Block:
         The sum of two kinds' differences is at least the difference of their sums, so folded counts bound distances too.
         """
         if tier not in self.folded:
-            rows, place, parts = 0, np.full(len(self), -1), []
-            for own in np.unique(self.tier[self.tier >= tier]):
+            kinds = np.unique(self.tier[self.tier >= tier])
+            rows, place = 0, np.full(len(self), -1)
+            # Counts fit a byte; sums of counts may not.
+            out = np.empty((int((self.tier >= tier).sum()), 1 << tier), np.uint8 if kinds.max() == tier else np.uint16)
+            for own in kinds:
                 docs = np.flatnonzero(self.tier == own)
-                values = self.counts[self.first[docs][:, None] + np.arange(1 << own)].astype(np.uint16)
-                parts.append(values.reshape(len(docs), -1, 1 << tier).sum(axis=1, dtype=np.uint16))
-                place[docs] = rows + np.arange(len(docs))
-                rows += len(docs)
-            self.folded[tier] = np.concatenate(parts), place
+                step = max(1, (1 << 20) >> int(own))
+                for k in range(0, len(docs), step):
+                    some = docs[k : k + step]
+                    values = self.counts[self.first[some][:, None] + np.arange(1 << own)]
+                    out[rows : rows + len(some)] = values if own == tier else values.reshape(len(some), -1, 1 << tier).sum(axis=1, dtype=np.uint16)
+                    place[some] = rows + np.arange(len(some))
+                    rows += len(some)
+            self.folded[tier] = out, place
         return self.folded[tier]
 
     def apart(self, i: np.ndarray, j: np.ndarray, tier: int | None = None) -> np.ndarray:
@@ -398,16 +406,17 @@ def meet(rule: Rule):
         gram, doc = gram[order], doc[order]
         start = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
         size = np.diff(np.append(start, len(gram)))
-        first, second = [], []
-        # Blocks of one size are joined directly together.
-        for k in range(2, LEAF + 1):
-            own = start[size == k]
-            for i, j in zip(*np.triu_indices(k, 1), strict=True):
-                first.append(doc[own + i])
-                second.append(doc[own + j])
         # How many first shingles two documents share here; with those of other buckets it must reach what links need.
-        pairs, edges = [pairs_of(everything, np.concatenate(first), np.concatenate(second), rule) if first else np.zeros((0, 3), np.int64)], [np.zeros((0, 2), np.int64)]
-        times = [np.ones(len(pairs[0]), np.int64)]
+        pairs, times, edges = [np.zeros((0, 3), np.int64)], [np.zeros(0, np.int64)], [np.zeros((0, 2), np.int64)]
+        # Blocks of one size are joined directly together, so many at a time.
+        for k in range(2, LEAF + 1):
+            own, (i, j) = start[size == k][:, None], np.triu_indices(k, 1)
+            step = max(1, AT_ONCE // len(i))
+            for at in range(0, len(own), step):
+                some = own[at : at + step]
+                met, often = np.unique(pairs_of(everything, doc[some + i].reshape(-1), doc[some + j].reshape(-1), rule), axis=0, return_counts=True)
+                pairs.append(met)
+                times.append(often)
         larger: dict[bytes, list] = {}
         for a, k in zip(start[size > LEAF], size[size > LEAF], strict=True):
             members = doc[a : a + k]
@@ -429,6 +438,17 @@ def meet(rule: Rule):
     return run
 
 
+def posts_buckets(docs: int, posts: int, counts: int) -> int:
+    """Buckets for ``posts`` first shingles of ``docs`` documents whose counts take ``counts`` bytes.
+
+    A document's counts go to each bucket in which it posts.  With few buckets that is nearly all of them, with many
+    each post brings its own counts, so their number follows from bytes, not from posts alone.
+    """
+    told = counts + 20 * docs
+    spread = buckets_for(posts * (8 * docs + told), max(1, BUCKET_BYTES * docs))
+    return spread if 2 * told > BUCKET_BYTES else min(spread, buckets_for(8 * posts, BUCKET_BYTES - told))
+
+
 def pairs_of(block: Block, i: np.ndarray, j: np.ndarray, rule: Rule) -> np.ndarray:
     """The feasible ones among the pairs, smaller names first, with the number of first shingles they must share."""
     if not len(i):
@@ -708,20 +728,23 @@ def similar_components(df: DataFrame, key: str, text: str, words: int = 4, least
     rule = Rule(words, least, per)
     table = chunked(df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")), "id", "text")
     docs = table.table.select("chunk", "doc_id", "text")
-    # Asked by a sixteenth as many buckets as there are chunks; the posts' buckets follow from the number of shingles.
+    # Asked by a sixteenth as many buckets as there are chunks; the posts' buckets follow from the bytes they hold.
     everything = stored(docs.groupBy("chunk").applyInArrow(frugal(describe(rule, buckets_for(table.n, 16)), False), DESCRIBED), "described")
     described = everything.where("bucket is null").select("row", "doc_id", "node", "n_shingles")
     # Equal word sequences are one node, named by the first row that has it.
     nodes = stored(described.where("node is not null").groupBy("node").agg(F.min("row").alias("id"), F.min("doc_id").alias("least")), "nodes")
-    facts = described.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("grams"), F.count("*").alias("n")).first()
-    buckets = buckets_for(int(facts["grams"] * (per - least) / per), 1_500_000)
+    kinds = F.pow(F.lit(2.0), F.greatest(F.lit(np.log2(CLASSES)), F.ceil(F.log2(F.greatest("n_shingles", F.lit(1)))) - 3))
+    facts = described.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("grams"), F.count("*").alias("n"), F.coalesce(F.sum(kinds), F.lit(0)).cast("long").alias("counts")).first()
+    buckets = posts_buckets(facts["n"], int(facts["grams"] * (per - least) / per) + facts["n"], facts["counts"])
     # Shingles of a thousandth of all documents come last in the order; there are at most a thousand times as many as a mean document has.
     counted = everything.where("bucket is not null").select("bucket", "chunk", "keys", "extra")
     common = counted.groupBy("bucket").applyInArrow(very_common(max(FREQUENT, facts["n"] // 1000)), "gram long").collect()
     common = np.sort(np.array([r["gram"] for r in common], np.int64).view(np.uint64))
     chosen = nodes.select(F.shiftright("id", ROW_BITS).alias("chunk"), F.col("id").alias("row"))
     posted = docs.groupBy("chunk").cogroup(chosen.groupBy("chunk")).applyInArrow(frugal(post(rule, buckets, common), True), POSTED)
-    met = stored(posted.groupBy("bucket").applyInArrow(meet(rule), MET), "met")
+    # Posts are few bytes and much work, so tasks follow the number of buckets, not their size.
+    bucket = meet(rule)
+    met = stored(posted.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(frugal(lambda _, posts: bucket(posts), False), MET), "met")
     edges = met.where("clump").select("a", "b")
     # Texts of one id count as linked.
     ids = described.where("doc_id is not null and node is not null").select("doc_id", "node").join(nodes.select("node", "id"), "node").select("doc_id", F.col("id").alias("b"))
