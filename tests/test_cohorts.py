@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strainframe.operators import cohorts as C
+from strainframe.operators import pairs as P
 from strainframe.sources import cohorts as M
 
 
@@ -64,3 +65,25 @@ def test_mergers(spark):
     assert proof(changed) == {("samples", "b", 1, 1), ("calls", "c", 1, 0)}
     odd = M.merger_problems(planned.unionByName(spark.createDataFrame([("d",)], "sample_id string")).where("sample_id != 'a'"), status.withColumn("status", F.when(F.col("member") == "m2", "failed").otherwise(F.col("status"))), samples.unionByName(samples.where("sample_id = 'c'")), calls.withColumn("locus", F.when(F.col("sample_id") == "a", "l9").otherwise(F.col("locus"))), loci)
     assert {tuple(r) for r in odd.collect()} == {("m2", "incomplete"), ("d", "planned_but_missing"), ("m1", "not_planned"), ("m2", "repeated_sample"), ("m1", "call_outside_catalogue")}
+
+
+def test_cohorts_from_classes_equal_first_fit_of_samples(spark):
+    rng = np.random.default_rng(3)
+    # Few kinds of called loci, databases and scopes, so that samples repeat; some have too few calls or none.
+    kinds = [[k for k in range(6) if rng.random() < 0.8] for _ in range(9)] + [[], [0], list(range(6))]
+    shas, scopes = ["", "A", "b"], ["x", "y", None]
+    rows = [(i, kinds[rng.integers(len(kinds))], shas[rng.integers(3)], scopes[rng.choice(3, p=[0.6, 0.3, 0.1])]) for i in range(150)]
+    profiles = spark.createDataFrame([(i, "sp", scope, sha, "loci", 6) for i, _, sha, scope in rows], "sample_id long, species_key string, scope string, database_sha256 string, loci_key string, n_loci int")
+    calls = spark.createDataFrame([(i, f"l{k}", str(i % 4)) for i, own, _, _ in rows for k in own], "sample_id long, locus string, allele string")
+    fits = lambda p, q: p[3] is not None and p[3] == q[3] and (not p[2] or not q[2] or p[2] == q[2]) and len(set(p[1]) & set(q[1])) / 6 >= 0.6
+    cohorts: list[list[tuple]] = []
+    for s in rows:
+        home = next((k for k in cohorts if all(fits(m, s) for m in k)), None)
+        cohorts.append([s]) if home is None else home.append(s)
+    members = P.cohort_members(profiles, calls, 0.6)
+    numbers = {r.sample_id: r.cohort for r in P.numbered_cohorts(profiles, members).collect()}
+    assert numbers == {m[0]: i for i, k in enumerate(cohorts, 1) for m in k}
+    assert {(r.group, r.a, r.b): round(r.distance, 9) for r in P.member_pairs(members, calls).collect()} == {(r.group, r.a, r.b): round(r.distance, 9) for r in P.cohort_pairs(profiles, P.comparable_pairs(profiles, calls, 0.6)).collect()}
+    kept, sizes = C.bounded_members(members, 10)
+    assert {r.group: (r.members, r.reason) for r in sizes.collect()} == {k[0][0]: (len(k), "more_than_10_members" if len(k) > 10 else None) for k in cohorts if len(k) > 1}
+    assert {r.sample_id for r in kept.collect()} == {m[0] for k in cohorts if 1 < len(k) <= 10 for m in k}
