@@ -24,10 +24,14 @@ TILE, MEETINGS = 512, 8192
 def coded_profiles(profiles: DataFrame, calls: DataFrame, tile: int) -> DataFrame:
     """(block, tile, sample_id, sha, loci, spots array<int>, codes array<int>) of (sample_id, block, sha) and called (sample_id, locus, allele).
 
-    A sample has one call for a locus; of several the smallest allele counts.
+    A sample has one call for a locus; of several the smallest allele counts.  Where ``profiles`` have a ``side`` (0 or 1),
+    tiles are of one side, whose number is their number's last bit.
     """
     sizes = profiles.groupBy("block").agg(F.ceil(F.count("*") / tile).alias("tiles"))
-    dealt = profiles.join(sizes, "block").select("sample_id", "block", "sha", F.pmod(F.xxhash64("sample_id", F.lit(5)), F.col("tiles")).cast("int").alias("tile"))
+    number = F.pmod(F.xxhash64("sample_id", F.lit(5)), F.col("tiles"))
+    if "side" in profiles.columns:
+        number = 2 * number + F.col("side")
+    dealt = profiles.join(sizes, "block").select("sample_id", "block", "sha", number.cast("int").alias("tile"))
     own = calls.where("allele is not null").select("sample_id", "locus", "allele").join(dealt, "sample_id")
     # The alleles of a locus are numbered together, in one task for each block and locus.
     coded = own.withColumn("code", F.dense_rank().over(Window.partitionBy("block", "locus").orderBy("allele")))
@@ -80,6 +84,48 @@ def compared(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return shared, shared - equal
 
 
+def side(rows: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Names, digests and codes of a tile."""
+    ids = rows["ids"].chunk(0).flatten()
+    item = {1: np.uint8, 2: np.uint16, 4: np.uint32}[rows["item"][0].as_py()]
+    return ids, np.array(rows["shas"].chunk(0).flatten().to_pylist(), object), np.frombuffer(rows["matrix"][0].as_buffer(), item).reshape(len(ids), rows["loci"][0].as_py())
+
+
+def near_counts(tiles: DataFrame, overlap: float, k: int) -> DataFrame:
+    """(a, b, shared, diff) of tiles of two sides, with ``n_loci``: for each sample a of side 1 its k nearest of each tile of side 0, and their ties.
+
+    Only pairs whose shared calls reach ``overlap`` of ``n_loci``, and whose digests agree, are looked at.
+    """
+    kind = dict(tiles.dtypes)["ids"].removeprefix("array<").removesuffix(">")
+    columns = ("tile", "ids", "shas", "loci", "item", "matrix")
+    x = tiles.where("tile % 2 = 1").select("block", "n_loci", *columns)
+    y = tiles.where("tile % 2 = 0").select(F.col("block").alias("block_"), *(F.col(c).alias(f"{c}_") for c in columns))
+    sides = tiles.groupBy("block").agg(F.sum((F.col("tile") % 2).cast("long")).alias("i"), F.count("*").alias("n"))
+    count = sides.agg(F.coalesce(F.sum(F.col("i") * (F.col("n") - F.col("i"))), F.lit(0))).first()[0]
+    spread = int(max(1, min(count, max(MEETINGS, tiles.sparkSession.sparkContext.defaultParallelism))))
+    # Tiles of one side are told the numbers of the other, so that each two meet once.
+    i, j = x.select("block", F.col("tile").alias("i")), y.select("block_", F.col("tile_").alias("j"))
+    x = x.join(j, F.col("block") == F.col("block_")).select("block", F.col("tile").alias("i"), "j", "n_loci", *columns[1:])
+    y = y.join(i, F.col("block") == F.col("block_")).select("block_", F.col("i").alias("i_"), F.col("tile_").alias("j_"), *(f"{c}_" for c in columns[1:]))
+
+    def meet(x: pa.Table, y: pa.Table) -> pa.Table:
+        if not len(x) or not len(y):
+            return pa.table({"a": pa.array([], x["ids"].type.value_type), "b": pa.array([], x["ids"].type.value_type), "shared": pa.array([], pa.int64()), "diff": pa.array([], pa.int64())})
+        (ids, sha, a), (others, other_sha, b) = side(x.combine_chunks()), side(y.combine_chunks().rename_columns([c.removesuffix("_") for c in y.column_names]))
+        wide = np.result_type(a, b)
+        shared, diff = compared(a.astype(wide, copy=False), b.astype(wide, copy=False))
+        ok = (shared > 0) & (shared / x["n_loci"][0].as_py() >= overlap)
+        if (sha != "").any() and (other_sha != "").any():
+            ok &= (sha == "")[:, None] | (other_sha == "")[None, :] | (sha[:, None] == other_sha[None, :])
+        far = np.where(ok, diff, np.iinfo(np.int32).max)
+        at = min(k, far.shape[1]) - 1
+        p, q = np.nonzero(ok & (far <= np.partition(far, at, axis=1)[:, at : at + 1]))
+        return pa.table({"a": ids.take(pa.array(p)), "b": others.take(pa.array(q)), "shared": pa.array(shared[p, q].astype(np.int64)), "diff": pa.array(diff[p, q].astype(np.int64))})
+
+    x, y = x.repartition(spread, "block", "i", "j"), y.repartition(spread, "block_", "i_", "j_")
+    return x.groupBy("block", "i", "j").cogroup(y.groupBy("block_", "i_", "j_")).applyInArrow(meet, f"a {kind}, b {kind}, shared long, diff long")
+
+
 def pair_counts(tiles: DataFrame, least: float = 0.0) -> DataFrame:
     """(block, a, b, shared, diff) of all pairs a < b of a block whose shared calls are some, and at least ``least`` of its loci.
 
@@ -95,11 +141,6 @@ def pair_counts(tiles: DataFrame, least: float = 0.0) -> DataFrame:
     x = held.select("block", F.col("tile").alias("i"), F.explode(F.sequence("tile", F.col("_tiles") - 1)).alias("j"), "ids", "shas", "loci", "item", "matrix")
     y = held.select(F.col("block").alias("block_"), F.explode(F.sequence(F.lit(0), F.col("tile"))).alias("i_"), F.col("tile").alias("j_"), *(F.col(c).alias(f"{c}_") for c in ("ids", "shas", "loci", "item", "matrix")))
 
-    def side(rows: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-        ids = rows["ids"].chunk(0).flatten()
-        item = {1: np.uint8, 2: np.uint16, 4: np.uint32}[rows["item"][0].as_py()]
-        return ids, np.array(rows["shas"].chunk(0).flatten().to_pylist(), object), np.frombuffer(rows["matrix"][0].as_buffer(), item).reshape(len(ids), rows["loci"][0].as_py())
-
     def meet(key: tuple, x: pa.Table, y: pa.Table) -> pa.Table:
         (ids, sha, a), (others, other_sha, b) = side(x), side(y.rename_columns([c.removesuffix("_") for c in y.column_names]))
         wide = np.result_type(a, b)
