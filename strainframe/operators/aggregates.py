@@ -101,7 +101,12 @@ def screen(pairs: DataFrame, value: str, least_z: float, least_ratio: float) ->
     With no spread, z is infinite above the centre and 0 else; with a centre of 0 the ratio is infinite above it and 1 else.
     """
     each = pairs.select(F.col("a").alias("sample_id"), F.col(value).alias("v")).unionByName(pairs.select(F.col("b").alias("sample_id"), F.col(value).alias("v"))).where("v is not null")
-    med = each.groupBy("sample_id").agg(F.median("v").alias("median"))
+    return screen_counts(each.withColumn("n", F.lit(1)), least_z, least_ratio)
+
+
+def screen_counts(each: DataFrame, least_z: float, least_ratio: float) -> DataFrame:
+    """``screen`` of how many (n) distances v each sample has (sample_id, v, n)."""
+    med = each.groupBy("sample_id").agg(F.percentile("v", 0.5, F.col("n")).alias("median"))
     centre = med.agg(F.median("median").alias("centre"))  # one row
     gap = med.join(F.broadcast(centre))
     mad = gap.agg(F.median(F.abs(F.col("median") - F.col("centre"))).alias("mad"))  # one row
@@ -216,6 +221,13 @@ def agreement(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.count("together").alias("callable_runs"), F.count_if("together").alias("together_runs")).withColumn("share", F.when(F.col("callable_runs") > 0, F.col("together_runs") / F.col("callable_runs")))
 
 
+def agreement_of(pairs: DataFrame, together: Column) -> DataFrame:
+    """``agreement`` where a pair (a, b) has one row with the list of what its common runs tell; those without a common run have no row."""
+    told = pairs.select("a", "b", together.alias("t")).where(F.size("t") > 0)
+    counted = told.select("a", "b", F.size(F.filter("t", lambda x: x.isNotNull())).cast("bigint").alias("callable_runs"), F.size(F.filter("t", lambda x: x)).cast("bigint").alias("together_runs"))
+    return counted.withColumn("share", F.when(F.col("callable_runs") > 0, F.col("together_runs") / F.col("callable_runs")))
+
+
 def permutation_p(draws: DataFrame, observed: float) -> DataFrame:
     """(n, exceed, p) with p = (1 + draws that reach the observed value) / (n + 1)."""
     return draws.agg(F.count("*").alias("n"), F.count_if(F.col("r2") >= observed).alias("exceed")).withColumn("p", (1 + F.col("exceed")) / (1 + F.col("n")))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import checkpoint_folder, checkpointed
+from . import pairs as P
 from .ranks import numbered
 
 
@@ -47,6 +48,57 @@ def representatives(cells: DataFrame, mandatory: DataFrame, places: DataFrame, s
     return first.select("cell", "place", F.col("m.sample_id").alias("sample_id"))
 
 
+class Listed:
+    """Distances from a table of pairs (a, b, distance)."""
+
+    def __init__(self, pairs: DataFrame):
+        self.near = neighbours(pairs)
+
+    def least(self, chosen: DataFrame, _runs: int) -> DataFrame:
+        """(run, sample_id, least): the smallest distance of each sample to those (run, sample_id) chosen."""
+        return chosen.select("run", F.col("sample_id").alias("x")).join(self.near, "x").groupBy("run", F.col("y").alias("sample_id")).agg(F.min("distance").alias("least"))
+
+    def told(self, now: list[tuple], ids: DataFrame) -> DataFrame:
+        """(run, sample_id, _d): distances to the one sample of each run that was just chosen."""
+        return self.near.where(F.col("x").isin([x[1] for x in now])).join(F.broadcast(ids.withColumnRenamed("sample_id", "x")), "x").select("run", F.col("y").alias("sample_id"), F.col("distance").alias("_d"))
+
+
+class Compared:
+    """Distances made from profiles when they are asked for, as ``comparable_pairs`` would list them; no table of pairs is made.
+
+    What every run holds is compared with all samples tile by tile, once; the few that single runs hold, and those chosen in
+    a round, with one pass over the profiles.
+    """
+
+    def __init__(self, profiles: DataFrame, calls: DataFrame, overlap: float):
+        self.profiles, self.calls, self.overlap = profiles, calls, overlap
+        self.packed: DataFrame | None = None
+        self.base: tuple[list, DataFrame] | None = None
+
+    def rows(self) -> DataFrame:
+        if self.packed is None:
+            self.packed = checkpointed(P.packed_profiles(self.profiles, self.calls))
+        return self.packed
+
+    def least(self, chosen: DataFrame, runs: int) -> DataFrame:
+        held = chosen.select("run", "sample_id").distinct()
+        common = held.groupBy("sample_id").agg(F.count("*").alias("n")).where(F.col("n") == runs).select("sample_id")
+        # Runs that are drawn again hold the same, whose distances are kept.
+        digest = common.agg(F.count("*"), F.sum(F.xxhash64("sample_id").cast("decimal(38,0)"))).collect()
+        if self.base is None or self.base[0] != digest:
+            self.base = digest, checkpointed(P.nearest_chosen(self.profiles, self.calls, self.overlap, common).select("sample_id", "least"))
+        every = self.base[1].join(F.broadcast(held.select("run").distinct()))
+        own = P.distances_to(held.join(common, "sample_id", "left_anti"), self.rows(), self.overlap)
+        return every.select("run", "sample_id", "least").unionByName(own.select("run", "sample_id", F.col("distance").alias("least"))).groupBy("run", "sample_id").agg(F.min("least").alias("least"))
+
+    def told(self, _now: list[tuple], ids: DataFrame) -> DataFrame:
+        return P.distances_to(ids, self.rows(), self.overlap).withColumnRenamed("distance", "_d")
+
+
+def distances(pairs: DataFrame | Compared) -> Listed | Compared:
+    return Listed(pairs) if isinstance(pairs, DataFrame) else pairs
+
+
 def neighbours(pairs: DataFrame) -> DataFrame:
     """Each pair from either side as (x, y, distance), written in the order of x so that a round reads little more than the rows it asks for."""
     spark = pairs.sparkSession
@@ -56,25 +108,26 @@ def neighbours(pairs: DataFrame) -> DataFrame:
     return spark.read.parquet(at)
 
 
-def farthest_first(pool: DataFrame, chosen: DataFrame, near: DataFrame, size: int, seeds: dict[int, int], every: int = 4) -> DataFrame:
+def farthest_first(pool: DataFrame, chosen: DataFrame, near: Listed | Compared, size: int, seeds: dict[int, int], every: int = 4) -> DataFrame:
     """(run, sample_id, position, reason): what fills each run up to ``size``, one sample of every run in each round.
 
     ``chosen`` are (run, sample_id, position, reason), ``seeds`` each run's
-    seed, ``near`` as ``neighbours`` gives it.  A round is one distributed
+    seed, ``near`` as ``distances`` gives it.  A round is one distributed
     maximum of the distance to the nearest chosen sample, ties by random
     order; where none is comparable, a random one follows.  The driver sees
     one row for each run and round; distances stay in a table, which is
     checkpointed every few rounds.
     """
     spark, kind = pool.sparkSession, dict(pool.dtypes)["sample_id"]
+    held = {r["run"]: r["n"] for r in chosen.groupBy("run").agg(F.count("*").alias("n")).collect()}
+    held = {run: held.get(run, 0) for run in seeds}
+    if all(n >= size for n in held.values()):
+        return spark.createDataFrame([], f"run int, sample_id {kind}, position int, reason string")
     runs = spark.createDataFrame(list(seeds.items()), "run int, seed int")
     # One row for each run.
     left = pool.select("sample_id").distinct().join(F.broadcast(runs)).join(chosen.select("run", "sample_id"), ["run", "sample_id"], "left_anti")
     left = left.select("run", "sample_id", F.md5(F.concat_ws("|", F.col("seed").cast("string"), F.col("sample_id").cast("string"))).alias("drawn"))
-    nearest = chosen.select("run", F.col("sample_id").alias("x")).join(near, "x").groupBy("run", F.col("y").alias("sample_id")).agg(F.min("distance").alias("least"))
-    state = checkpointed(left.join(nearest, ["run", "sample_id"], "left"))
-    held = {r["run"]: r["n"] for r in chosen.groupBy("run").agg(F.count("*").alias("n")).collect()}
-    held = {run: held.get(run, 0) for run in seeds}
+    state = checkpointed(left.join(near.least(chosen, len(seeds)), ["run", "sample_id"], "left"))
     picked: list[tuple] = []
     rounds = 0
     while any(n < size for n in held.values()):
@@ -90,10 +143,9 @@ def farthest_first(pool: DataFrame, chosen: DataFrame, near: DataFrame, size: in
             held[r["run"]] += 1
             now.append((r["run"], r["b"]["sample_id"], held[r["run"]], "background" if r["b"]["none"] else "diversity"))
         picked += now
-        ids = spark.createDataFrame([x[:2] for x in now], f"run int, x {kind}")
-        told = near.where(F.col("x").isin([x[1] for x in now])).join(F.broadcast(ids), "x").select("run", F.col("y").alias("sample_id"), F.col("distance").alias("_d"))
-        taken = F.broadcast(ids.withColumnRenamed("x", "sample_id"))
-        state = state.join(taken, ["run", "sample_id"], "left_anti").join(told, ["run", "sample_id"], "left").select("run", "sample_id", "drawn", F.least("least", "_d").alias("least"))
+        ids = spark.createDataFrame([x[:2] for x in now], f"run int, sample_id {kind}")
+        told = near.told(now, ids)
+        state = state.join(F.broadcast(ids), ["run", "sample_id"], "left_anti").join(told, ["run", "sample_id"], "left").select("run", "sample_id", "drawn", F.least("least", "_d").alias("least"))
         rounds += 1
         if rounds % every == 0:
             state = checkpointed(state)
@@ -116,15 +168,15 @@ def quota_draws(cells: DataFrame, mandatory: DataFrame, size: int, seed: int, se
     return first.select("run", "cell", "place", F.col("m.sample_id").alias("sample_id"))
 
 
-def diverse(pool: DataFrame, chosen: DataFrame, pairs: DataFrame, size: int, seed: int, runs: int = 1, cells: DataFrame | None = None) -> DataFrame:
+def diverse(pool: DataFrame, chosen: DataFrame, pairs: DataFrame | Compared, size: int, seed: int, runs: int = 1, cells: DataFrame | None = None) -> DataFrame:
     """(run, sample_id, position, reason): chosen ones first, then one of each quota cell, then again and again the sample farthest from all chosen ones.
 
     Rows do not depend on partitions: equals are settled by ``md5(seed|id)``.
     """
-    return drawn_sets(pool, chosen, neighbours(pairs), size, seed, {r: seed + r for r in range(1, runs + 1)}, cells)
+    return drawn_sets(pool, chosen, distances(pairs), size, seed, {r: seed + r for r in range(1, runs + 1)}, cells)
 
 
-def drawn_sets(pool: DataFrame, chosen: DataFrame, near: DataFrame, size: int, seed: int, seeds: dict[int, int], cells: DataFrame | None) -> DataFrame:
+def drawn_sets(pool: DataFrame, chosen: DataFrame, near: Listed | Compared, size: int, seed: int, seeds: dict[int, int], cells: DataFrame | None) -> DataFrame:
     held = with_mandatory(chosen, list(seeds))
     if cells is not None:
         base = chosen.select("sample_id").distinct().count()
@@ -140,7 +192,7 @@ def ensemble(runs: DataFrame) -> DataFrame:
     return listed.withColumn("duplicate_of", F.when(F.min("run").over(Window.partitionBy("digest")) < F.col("run"), F.min("run").over(Window.partitionBy("digest"))))
 
 
-def distinct_sets(pool: DataFrame, chosen: DataFrame, pairs: DataFrame, size: int, reserve: int, seed: int, runs: int, cells: DataFrame | None = None, attempts: int = 32) -> tuple[DataFrame, DataFrame]:
+def distinct_sets(pool: DataFrame, chosen: DataFrame, pairs: DataFrame | Compared, size: int, reserve: int, seed: int, runs: int, cells: DataFrame | None = None, attempts: int = 32) -> tuple[DataFrame, DataFrame]:
     """(members, audit) of ``runs`` sets that differ where the pool allows it.
 
     ``size`` grows to the chosen ones and ``reserve`` further places.  Sets
@@ -153,7 +205,7 @@ def distinct_sets(pool: DataFrame, chosen: DataFrame, pairs: DataFrame, size: in
     needed, available = chosen.select("sample_id").distinct().count(), pool.select("sample_id").distinct().count()
     effective = max(size, needed + reserve)
     fixed = needed >= effective or available <= effective
-    near = neighbours(pairs)
+    near = distances(pairs)
     seen: dict[str, int] = {}
     kept, told, open_, first = None, {}, list(range(1, runs + 1)), 0
     while open_:
