@@ -133,8 +133,8 @@ def a17_residuals(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {Q.COMPARABLE}, d AS (SELECT sample_id, avg({YEARS}) x FROM @points GROUP BY 1) SELECT count(*) n, round(corr(diff::DOUBLE / shared, abs(p.x - q.x)), 9) r FROM sc JOIN d p ON p.sample_id = a JOIN d q ON q.sample_id = b""")
 def a18_distance_date_correlation(spark: SparkSession, sf: str) -> DataFrame:
     mean = points(spark, sf).groupBy("sample_id").agg(F.avg("x").alias("x"))
-    joined = Q.pairs(spark, sf).join(mean.select(F.col("sample_id").alias("a"), F.col("x").alias("xa")), "a").join(mean.select(F.col("sample_id").alias("b"), F.col("x").alias("xb")), "b")
-    return joined.withColumn("gap", F.abs(F.col("xa") - F.col("xb"))).agg(F.count("*").alias("n"), R9(A.pearson("distance", "gap")).alias("r"))
+    found = P.distance_gap_correlation(Q.one_scope(spark, sf), view(spark, sf, "calls"), OVERLAP, mean)
+    return found.select("n", R9("r").alias("r"))
 
 
 @query(f"""WITH {Q.COMPARABLE}, e AS (SELECT a sample_id, diff::DOUBLE / shared v FROM sc UNION ALL SELECT b, diff::DOUBLE / shared FROM sc), m AS (SELECT sample_id, median(v) median FROM e GROUP BY 1), c AS (SELECT median(median) centre FROM m), g AS (SELECT median(abs(median - centre)) mad FROM m, c)
