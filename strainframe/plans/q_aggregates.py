@@ -140,7 +140,8 @@ def a18_distance_date_correlation(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {Q.COMPARABLE}, e AS (SELECT a sample_id, diff::DOUBLE / shared v FROM sc UNION ALL SELECT b, diff::DOUBLE / shared FROM sc), m AS (SELECT sample_id, median(v) median FROM e GROUP BY 1), c AS (SELECT median(median) centre FROM m), g AS (SELECT median(abs(median - centre)) mad FROM m, c)
  SELECT sample_id, round(median, 9) median, round(centre, 9) centre, round(CASE WHEN mad > 0 THEN 0.6745 * (median - centre) / mad WHEN median > centre THEN 'Infinity'::DOUBLE ELSE 0 END, 9) robust_z, round(CASE WHEN centre > 0 THEN median / centre WHEN median > 0 THEN 'Infinity'::DOUBLE ELSE 1 END, 9) ratio, (CASE WHEN mad > 0 THEN 0.6745 * (median - centre) / mad WHEN median > centre THEN 'Infinity'::DOUBLE ELSE 0 END) >= 10 AND median >= 5 * centre flagged FROM m, c, g""")
 def a19_coherence_screen(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(A.screen(Q.pairs(spark, sf), "distance", V.MIN_ROBUST_Z, V.MIN_MEDIAN_RATIO), "median", "centre", "robust_z", "ratio")
+    each = P.distance_histograms(Q.one_scope(spark, sf), view(spark, sf, "calls"), OVERLAP).withColumnRenamed("distance", "v")
+    return rounded(A.screen_counts(each, V.MIN_ROBUST_Z, V.MIN_MEDIAN_RATIO), "median", "centre", "robust_z", "ratio")
 
 
 @query("""WITH r AS (SELECT id, p, count(*) OVER () n, rank() OVER (ORDER BY p) + count(*) OVER (PARTITION BY p) - 1 rk FROM @windows WHERE p IS NOT NULL), q AS (SELECT id, least(1.0, min(p * n / rk) OVER (ORDER BY p DESC)) q FROM r) SELECT w.id, round(w.p, 9) p, round(q.q, 9) q FROM @windows w LEFT JOIN q USING (id)""")
