@@ -193,9 +193,11 @@ def a29_sensitivity_spread(spark: SparkSession, sf: str) -> DataFrame:
  SELECT a, b, count(together) callable_runs, count(*) FILTER (together) together_runs, round(count(*) FILTER (together)::DOUBLE / nullif(count(together), 0), 9) share FROM x GROUP BY 1, 2""")
 def a30_coclustering_agreement(spark: SparkSession, sf: str) -> DataFrame:
     t = view(spark, sf, "runs").where("role = 'input'")
-    x, y = t.alias("x"), t.alias("y")
-    pairs = x.join(y, (F.col("x.run") == F.col("y.run")) & (F.col("x.sample_id") < F.col("y.sample_id"))).select(F.col("x.sample_id").alias("a"), F.col("y.sample_id").alias("b"), F.when((F.col("x.run") + F.col("x.sample_id")) % 3 != 0, F.col("x.estimate") % 3 == F.col("y.estimate") % 3).alias("together"))
-    return rounded(A.agreement(pairs), "share")
+    own = t.groupBy("sample_id").agg(F.collect_list(F.struct("run", "estimate")).alias("runs"))
+    pairs = P.tiled(own).select(F.col("p.sample_id").alias("a"), F.col("q.sample_id").alias("b"), F.col("p.runs").alias("x"), F.col("q.runs").alias("y"))
+    tell = lambda r, s: F.when((r["run"] + F.col("a")) % 3 != 0, r["estimate"] % 3 == s["estimate"] % 3)
+    together = F.flatten(F.transform("x", lambda r: F.transform(F.filter("y", lambda s: s["run"] == r["run"]), lambda s: tell(r, s))))
+    return rounded(A.agreement_of(pairs, together), "share")
 
 
 @query("""WITH f AS (SELECT sample_id, min(run) run FROM @runs GROUP BY 1), n AS (SELECT run, count(*) new FROM f GROUP BY 1), s AS (SELECT run, count(DISTINCT sample_id) size FROM @runs GROUP BY 1) SELECT run, size, coalesce(new, 0) AS "new", sum(coalesce(new, 0)) OVER (ORDER BY run)::BIGINT seen FROM s LEFT JOIN n USING (run)""")
