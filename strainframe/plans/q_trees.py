@@ -432,6 +432,11 @@ def o05_refused_pools(spark: SparkSession, sf: str) -> DataFrame:
 # Selection -----------------------------------------------------------------------------------------------
 
 
+def compared(spark: SparkSession, sf: str) -> L.Compared:
+    """The distances of all samples in one scope, made as they are asked for."""
+    return L.Compared(Q.one_scope(spark, sf), view(spark, sf, "calls"), OVERLAP)
+
+
 def mandatory(spark: SparkSession, sf: str) -> DataFrame:
     return Q.w02_boundary_neighbours(spark, sf).select(c("context_id").alias("sample_id")).distinct()
 
@@ -469,7 +474,7 @@ def l04_representatives(spark: SparkSession, sf: str) -> DataFrame:
 def l05_diverse_fill(spark: SparkSession, sf: str) -> DataFrame:
     """Mandatory samples, one of each quota cell, then the farthest ones."""
     samples = view(spark, sf, "samples")
-    return L.diverse(samples, mandatory(spark, sf), Q.pairs(spark, sf), 60, 5, cells=L.strata(samples, [c("st"), c("region")]))
+    return L.diverse(samples, checkpointed(mandatory(spark, sf)), compared(spark, sf), 60, 5, cells=L.strata(samples, [c("st"), c("region")]))
 
 
 @query(f"WITH {PLACES}, r AS (SELECT unnest([1, 2, 3])::INT AS run) SELECT run, cell, place, arg_min(sample_id, md5((7 + run) || '|' || sample_id)) sample_id FROM cells JOIN places USING (cell) CROSS JOIN r WHERE sample_id NOT IN (SELECT sample_id FROM held) GROUP BY 1, 2, 3")
@@ -483,7 +488,7 @@ def l05_quota_draws(spark: SparkSession, sf: str) -> DataFrame:
 def l06_ensemble(spark: SparkSession, sf: str) -> DataFrame:
     """Three sets that differ, with their seeds and attempts."""
     samples = view(spark, sf, "samples")
-    return L.distinct_sets(samples, mandatory(spark, sf), Q.pairs(spark, sf), 20, 6, 5, 3, L.strata(samples, [c("st"), c("region")]))[1]
+    return L.distinct_sets(samples, checkpointed(mandatory(spark, sf)), compared(spark, sf), 20, 6, 5, 3, L.strata(samples, [c("st"), c("region")]))[1]
 
 
 NEED = Q.BOTH + """, rk AS (SELECT x query_id, y context_id, diff, row_number() OVER (PARTITION BY x ORDER BY diff, y) i FROM bw WHERE x % 10 = 0 AND y % 10 <> 0), cu AS (SELECT query_id, max(diff) b FROM rk WHERE i <= 3 GROUP BY 1), need AS (SELECT DISTINCT context_id sample_id FROM rk JOIN cu USING (query_id) WHERE diff <= b)"""
@@ -511,7 +516,7 @@ def k05_selection_bundle(spark: SparkSession, sf: str) -> DataFrame:
     at, inputs = place(spark, "selection"), samples.where("role = 'input'")
 
     def work() -> dict[str, DataFrame]:
-        members, audit = L.distinct_sets(samples, inputs, Q.pairs(spark, sf), 0, 3, 5, 3)
+        members, audit = L.distinct_sets(samples, inputs, compared(spark, sf), 0, 3, 5, 3)
         return {"members": members, "audit": audit, "overlap": A.selection_overlap(members.select("run", "sample_id"))}
 
     def check(tables: dict[str, DataFrame]) -> DataFrame:
