@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import matrix as M
-from ..sources import gates
+from ..sources import files, gates
+from ..sources.shared import checkpointed
 from .q_sources import place
 from .registry import query
 from .views import sequences, view
@@ -25,9 +26,11 @@ def s29_fasta_gate(spark: SparkSession, sf: str) -> DataFrame:
     """One file for each sequence, four of five of them broken in some way."""
     at, k = place(spark, "assemblies"), c("sample_id") % 5
     lines = F.when(k == 0, F.concat(F.lit(">a\n"), F.translate("seq", "-", "N"), F.lit("\n"))).when(k == 1, F.concat(F.lit(">a\nACGT*"), c("seq"))).when(k == 2, F.concat(F.lit(">a\n>b\n"), c("seq"))).when(k == 3, c("seq")).otherwise(F.concat(F.lit(">a\n"), F.lit("é"), c("seq")))
-    rows = sequences(spark, sf).select(c("sample_id").alias("file"), lines.alias("value"))
-    rows.repartition("file").write.partitionBy("file").text(at)
-    found = gates.assemblies(spark, f"{at}/*/*.txt").withColumn("kind", F.regexp_extract("path", "file=([0-9]+)", 1).cast("bigint") % 5)
+    # A folder for each thousand, so that neither writing nor listing has a step for each file in the driver.
+    path = F.concat(F.floor(c("sample_id") / 1000).cast("string"), F.lit("/"), c("sample_id").cast("string"), F.lit(".fasta"))
+    rows = sequences(spark, sf).select(path.alias("path"), F.encode(F.concat(lines, F.lit("\n")), "UTF-8").alias("content"))
+    checkpointed(files.put_all(rows.repartition(max(8, rows.count() // 1000), "path"), at))
+    found = gates.assemblies(spark, f"{at}/*").withColumn("kind", F.regexp_extract("path", "([0-9]+)\\.fasta$", 1).cast("bigint") % 5)
     return found.groupBy("kind", "problem").agg(F.count("*").alias("files"), F.sum(F.when(c("problem").isNull(), c("bases")).otherwise(0)).alias("bases"))
 
 
@@ -48,8 +51,8 @@ def s22_allele_index(spark: SparkSession, sf: str) -> DataFrame:
                 return pd.DataFrame({"gene": [key[0]], "content": [f.read()]})
 
     # The index's bytes travel as a row; Spark has no writer of binary files, so the rows stand for the files.
-    files = every.groupBy("gene").applyInPandas(write, "gene string, content binary")
-    files.write.parquet(at)
+    indexes = every.groupBy("gene").applyInPandas(write, "gene string, content binary")
+    indexes.write.parquet(at)
     loci = rows.where("cast(substring(gene, 2) as int) % 9 != 8").select(c("gene").alias("locus"))
     good, bad = gates.alleles_of(spark.read.parquet(at).withColumnRenamed("gene", "path"), loci)
     return good.select(F.lit(None).cast("string").alias("problem")).unionByName(bad.select("problem")).groupBy("problem").agg(F.count("*").alias("alleles"))

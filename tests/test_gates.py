@@ -64,3 +64,12 @@ def test_matrix_of_empty_and_wrong_tables(spark):
     assert {r.problem for r in wrong.collect()} == {"repeated_sample", "unsafe_sample", "missing_category", "code_out_of_range", "unknown_locus", "repeated_cell"}
     none = calls.where("1 = 0")
     assert matrix.coded(none, ["sample_id", "locus"])[0].count() == 0
+
+
+def test_assemblies_are_files_of_few_folders(spark, tmp_path, monkeypatch):
+    from strainframe.plans import q_gates
+
+    monkeypatch.setattr(q_gates, "place", lambda _spark, _label: f"file://{tmp_path}/assemblies")
+    found = q_gates.s29_fasta_gate(spark, "/root/testdata/sf0.01").collect()
+    assert sum(r.files for r in found) == 100
+    assert [p.name for p in (tmp_path / "assemblies").iterdir()] == ["0"]
