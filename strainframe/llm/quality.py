@@ -3,8 +3,9 @@
 Words, pairs of neighbouring words and runs of bytes are hashed to learned
 vectors; a document is the sum of its three mean vectors, and a softmax output
 gives the probability of label 1.  numpy stochastic gradient descent (AdaGrad
-steps) trains vectors and output together on the driver, on a sample of
-labelled rows whose size is a parameter.
+steps) trains vectors and output together in one task, on a sample of labelled
+rows whose size is a parameter; only the numbers that scoring needs come to the
+driver.
 
 As document vectors are means and the output is linear before the softmax,
 scoring needs only one number for each bucket: its vector's product with the
@@ -23,9 +24,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .exchange import frugal
 from .units import byte_grams, pair_hash, runs, sums, text_bytes, word_hashes
 
 WORD_BITS, PAIR_BITS, GRAM_BITS, GRAM = 17, 17, 16, 4
@@ -130,10 +133,20 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, mos
         some = known.where(F.col("_label") == value).orderBy(F.xxhash64(F.col("_key")), "_key").limit(per_class if value == 0 else most - per_class).select("_key", "_label")
         chosen = some if chosen is None else chosen.unionByName(some)
     # Of several texts of one key the first, so rows are bounded by ``most``.
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key").groupBy("_key", "_label").agg(F.min("_text").alias("_text")).orderBy("_key").toArrow()
-    texts, truth = rows["_text"].combine_chunks().cast(pa.large_string()), rows["_label"].to_numpy().astype(np.int64)
-    del rows
-    return train(texts, truth)
+    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key").groupBy("_key", "_label").agg(F.min("_text").alias("_text"))
+    # A task trains, so neither texts nor what training holds come to the driver, whose memory all stages share.
+    found = rows.groupBy(F.lit(0).alias("_all")).applyInArrow(frugal(learned, False), "tables array<binary>, bias double").first()
+    if found is None:
+        return train([], np.zeros(0, np.int64))
+    return Model([np.frombuffer(table) for table in found["tables"]], found["bias"])
+
+
+def learned(_key: tuple, rows: pa.Table) -> pa.Table:
+    """The model that the chosen rows give, as one row."""
+    order = pc.sort_indices(rows, sort_keys=[("_key", "ascending")])
+    texts, truth = rows["_text"].cast(pa.large_string()).combine_chunks().take(order), rows["_label"].to_numpy().astype(np.int64)[order.to_numpy()]
+    model = train(texts, truth)
+    return pa.table({"tables": pa.array([[t.tobytes() for t in model.tables]], pa.list_(pa.binary())), "bias": [model.bias]})
 
 
 def scored(docs: DataFrame, text: str, model: Model, threshold: float = 0.3, score: str = "score", predicted: str = "predicted") -> DataFrame:

@@ -448,3 +448,12 @@ def test_quality(spark):
     got = {r.doc_id: r for r in quality.scored(df, "text", model, score="s", predicted="p").collect()}
     assert all(got[i].p == i % 2 for i in range(150, 200))
     assert got[900].s == got[901].s and 0 <= got[900].s <= 1
+
+
+def test_quality_is_not_trained_on_the_driver(spark, monkeypatch):
+    rows = [(i, f"{'good' if i % 2 else 'bad'} w{i % 7} w{i % 5}", None, None, None) for i in (*range(99, 40, -1), *range(41))]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, quality int")
+    want = quality.train([text for _, text, *_ in sorted(rows)], np.array([i % 2 for i in range(100)]))
+    monkeypatch.setattr(quality, "train", None)
+    model = quality.fit(spark.createDataFrame(rows, SCHEMA), labels, "doc_id", "text", "quality")
+    assert model.bias == want.bias and all((a == b).all() for a, b in zip(model.tables, want.tables, strict=True))
