@@ -35,9 +35,10 @@ def test_a_tile_travels_once_for_each_strip(spark, strips):
     found = tiles.met_in_order(own, work, "n long", 8 * F.size("ids"))
     assert sorted((r.a, r.b) for r in found.collect()) == [(a, b) for a in range(100) for b in range(a + 1, 100)]
     assert own.count() == 15 and sent.value == 15 * 16 // 2
-    # Each of 15 tiles goes to four strips, not to 15 meetings.
-    groups = found._jdf.queryExecution().toRdd().getNumPartitions()
-    assert groups <= 2 * 10 - 1
+    # Each of 15 tiles goes to four strips, not to 15 meetings; twice the tiles go there twice as often in all, not four times.
+    assert tiles.in_turn(own, F.lit(1))[0].count() == 15 * 4 and found._jdf.queryExecution().toRdd().getNumPartitions() < 15 * 16 // 2
+    more = tiles.stacked(spark.range(200).select(F.col("id").alias("sample_id")))
+    assert more.count() == 29 and tiles.in_turn(more, F.lit(1))[0].count() == 29 * 4
 
 
 def test_larger_tiles_make_more_strips(spark, strips, monkeypatch):
@@ -47,16 +48,13 @@ def test_larger_tiles_make_more_strips(spark, strips, monkeypatch):
     assert found.count() == found.select("a", "b").distinct().count() == 60 * 59 // 2
 
 
-def test_prefixes_and_typing_meet_as_tiles(spark, strips):
+def test_prefixes_meet_as_tiles(spark, strips):
     own = lineages(spark, 40)
     every = P.tiled(own, 9).select("p.sample_id", "q.sample_id", S.prefix_relation(F.col("p.n"), F.col("q.n"), 3), S.prefix_depth(F.col("p.n"), F.col("q.n")))
     found = P.prefix_pairs(own, 3)
     assert rows_of(found) == rows_of(every) and found.count() == 780
     # No pair is looked at by expressions over arrays, which are not compiled.
     assert "zip_with" not in found._jdf.queryExecution().executedPlan().toString()
-    kinds = spark.createDataFrame([(i, [None, "x|1", "x|2"][i % 3], [None, "", "aB", "Ab", "c"][i % 5]) for i in range(40)], "sample_id long, scope string, database_sha256 string")
-    told = S.compatible_typing(F.col("p.scope"), F.col("q.scope"), F.col("p.database_sha256"), F.col("q.database_sha256"))
-    assert rows_of(P.typing_pairs(kinds)) == rows_of(P.tiled(kinds, 9).select("p.sample_id", "q.sample_id", told))
 
 
 def test_bases_meet_as_tiles(spark, strips):
