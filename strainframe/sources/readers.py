@@ -69,15 +69,22 @@ def lineage_export(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     """
     top = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.sha2("content", 256).alias("file_sha256"), F.decode("content", "UTF-8").alias("text"))
     folded_ = lambda name: F.regexp_replace(F.lower(name), "[^a-z0-9]", "")
-    objects = F.from_json("text", "array<map<string, string>>")
     lines = F.filter(F.split(F.col("text"), r"\r?\n"), lambda x: F.trim(x) != "")
-    sep = F.when(F.element_at(lines, 1).contains("\t"), "\t").otherwise(",")
-    cells = lambda line: F.transform(F.split(line, sep), lambda x: F.trim(x))
-    head = cells(F.try_element_at(lines, F.lit(1)))
-    table = F.transform(F.slice(lines, F.lit(2), F.size(lines)), lambda line: F.map_from_arrays(F.transform(head, folded_), F.slice(F.concat(cells(line), F.array_repeat(F.lit(""), F.size(head))), F.lit(1), F.size(head))))
+    objects = F.from_json("text", "array<map<string, string>>")
+    item = lambda line, o: F.struct(line.cast("string").alias("line"), o.cast("map<string, string>").alias("o"))
+    none = F.lit(None)
     is_json = F.trim("text").startswith("[")
-    rows = F.when(is_json, F.transform(objects, lambda o: F.map_from_entries(F.transform(F.map_entries(o), lambda e: F.struct(folded_(e["key"]).alias("key"), e["value"].alias("value")))))).otherwise(table)
-    each = top.select("path", "file_sha256", F.explode_outer(rows).alias("row")).select("path", "file_sha256", F.try_element_at("row", F.lit("sourcegenomeid")).alias("id"), F.try_element_at("row", F.lit("lincode")).alias("code"))
+    items = F.when(is_json, F.transform(objects, lambda o: item(none, o))).otherwise(F.transform(F.slice(lines, F.lit(2), F.size(lines)), lambda x: item(x, none)))
+    # A file is cut once, below the rows made of it, and a line where it has a row of its own; else the file would be cut again for each line.
+    each = top.select("path", "file_sha256", F.when(~is_json, F.try_element_at(lines, F.lit(1))).alias("first"), items.alias("items"))
+    each = each.select("path", "file_sha256", "first", F.explode_outer("items").alias("item"))
+    sep = F.when(F.col("first").contains("\t"), "\t").otherwise(",")
+    cells = lambda line: F.transform(F.split(line, sep), lambda x: F.trim(x))
+    head = cells(F.col("first"))
+    table = F.map_from_arrays(F.transform(head, folded_), F.slice(F.concat(cells(F.col("item.line")), F.array_repeat(F.lit(""), F.size(head))), F.lit(1), F.size(head)))
+    folded = F.map_from_entries(F.transform(F.map_entries("item.o"), lambda e: F.struct(folded_(e["key"]).alias("key"), e["value"].alias("value"))))
+    each = each.select("path", "file_sha256", F.when(F.col("item.line").isNotNull(), table).otherwise(folded).alias("row"))
+    each = each.select("path", "file_sha256", F.try_element_at("row", F.lit("sourcegenomeid")).alias("id"), F.try_element_at("row", F.lit("lincode")).alias("code"))
     good = (F.coalesce("id", F.lit("")) != "") & F.col("code").isNotNull()
     return each.where(good).select("file_sha256", "id", "code"), each.where(~good).select(F.col("path").alias("file"), F.lit("no_id_or_code").alias("problem")).distinct()
 

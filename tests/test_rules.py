@@ -1,6 +1,8 @@
 """Scalar rules, pairs and statistics on small literal tables."""
 
 import datetime as dt
+import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,3 +174,16 @@ def test_bins(spark):
     good = [("a", 0, 50), ("a", 50, 100), ("b", 0, 60), ("b", 50, 90)]
     got = {(r.group, r.rule) for r in X.bins_violations(spark.createDataFrame(good, "group string, least int, most int"), 0, 100).collect()}
     assert got == {("b", "overlap"), ("b", "wrong_end")}
+
+
+def test_lineage_exports_are_cut_once_each(spark, tmp_path):
+    n = 30_000
+    (tmp_path / "a.json").write_text(json.dumps([{"Source genome_ID": str(i), "LIN code": f"{i % 7}_1"} for i in range(n)]))
+    (tmp_path / "b.tsv").write_text("source-genome-id\tLINcode\n" + "\n".join(f"t{i}\t{i % 7}_1" for i in range(n)))
+    (tmp_path / "c.csv").write_text("Source Genome Id,LIN code\nx\n,5\ny,\n")
+    (tmp_path / "d.csv").write_text("Source Genome Id,LIN code\n")
+    begun = time.monotonic()
+    good, bad = readers.lineage_export(spark, f"file://{tmp_path}")
+    assert {(r.id, r.code) for r in good.collect()} == {(f"{t}{i}", f"{i % 7}_1") for t in ("", "t") for i in range(n)} | {("x", ""), ("y", "")}
+    assert sorted(r.file.rpartition("/")[2] for r in bad.collect()) == ["c.csv", "d.csv"]
+    assert time.monotonic() - begun < 60
