@@ -31,6 +31,11 @@ def all_cohorts(spark: SparkSession, sf: str) -> DataFrame:
     return P.cohort_members(Q.own_scopes(spark, sf), view(spark, sf, "dense_calls"), OVERLAP)
 
 
+def profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Tiles of the profiles of every greedy cohort, whatever its size."""
+    return P.member_tiles(all_cohorts(spark, sf), view(spark, sf, "dense_calls"))
+
+
 def tree(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "tree").withColumn("tree", F.lit("fixed"))
 
@@ -40,7 +45,7 @@ def tree(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def c01_complete_linkage(spark: SparkSession, sf: str) -> DataFrame:
-    return C.clustered(cohort(spark, sf), [0.8])
+    return C.clustered(profiles(spark, sf), [0.8])
 
 
 @query()
