@@ -50,7 +50,7 @@ def c01_complete_linkage(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def c02_threshold_sensitivity(spark: SparkSession, sf: str) -> DataFrame:
-    return C.sensitivity(C.clustered(cohort(spark, sf), [0.4, 0.8, 1.0]))
+    return C.sensitivity(C.clustered(profiles(spark, sf), [0.4, 0.8, 1.0]))
 
 
 @query()
