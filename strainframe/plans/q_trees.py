@@ -55,7 +55,7 @@ def c02_threshold_sensitivity(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def c04_ordination(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(C.ordinated(cohort(spark, sf)), "x", "y")
+    return rounded(C.ordinated(profiles(spark, sf)), "x", "y")
 
 
 @query()
