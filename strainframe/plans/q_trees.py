@@ -71,7 +71,7 @@ def c06_tree_ordination(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def c07_bootstrap_support(spark: SparkSession, sf: str) -> DataFrame:
     """Support of the clusters of every cohort, 30 replicates each."""
-    groups = checkpointed(C.clustered(cohort(spark, sf), [0.8]).select("group", "sample_id", "cluster"))
+    groups = checkpointed(C.clustered(profiles(spark, sf), [0.8]).select("group", "sample_id", "cluster"))
     calls = view(spark, sf, "dense_calls").join(groups.select("group", "sample_id"), "sample_id")
     return C.bootstrap_support(groups, C.bootstrap(calls.select("group", "sample_id", "locus", "allele"), 0.8, OVERLAP, 30))
 
